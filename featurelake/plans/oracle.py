@@ -56,3 +56,111 @@ SQL["align_schema"] = f"""
 SELECT petal_width, sepal_length, sepal_area, petal_length_to_width_ratio,
   CAST(0.0 AS DOUBLE) AS unseen_feature
 FROM {ENGINEERED}"""
+
+# ---------------------------------------------------------------- feature log / catalogue
+
+LOG = """(SELECT CAST(user_id AS VARCHAR) AS entity_id, event_type AS feature_name,
+   CASE WHEN isnan(value) THEN NULL ELSE value END AS feature_value, ts AS event_ts, event_id AS seq FROM events)"""
+
+SQL["feature_melt"] = """
+SELECT 'customer_' || CAST(c_custkey AS VARCHAR) AS entity_id, name AS feature_name, val AS feature_value,
+  TIMESTAMP '2024-01-31 00:00:00' AS event_ts, TIMESTAMP '2024-01-31 00:00:00' AS ingest_ts, CAST(0 AS BIGINT) AS seq
+FROM (SELECT c_custkey, 'c_nationkey' AS name, CAST(c_nationkey AS DOUBLE) AS val FROM customer
+      UNION ALL SELECT c_custkey, 'c_acctbal', c_acctbal FROM customer)
+UNION ALL
+SELECT 'supplier_' || CAST(s_suppkey AS VARCHAR), name, val,
+  TIMESTAMP '2024-01-31 00:00:00', TIMESTAMP '2024-01-31 00:00:00', CAST(0 AS BIGINT)
+FROM (SELECT s_suppkey, 's_nationkey' AS name, CAST(s_nationkey AS DOUBLE) AS val FROM supplier
+      UNION ALL SELECT s_suppkey, 's_acctbal', s_acctbal FROM supplier)"""
+
+
+def _pivot_sql(where: str, names: list[str], missing: list[str]) -> str:
+    cols = ",\n  ".join(f"max(CASE WHEN feature_name = '{n}' THEN feature_value END) AS {n}" for n in names)
+    miss = "".join(f",\n  CAST(NULL AS DOUBLE) AS {n}" for n in missing)
+    return f"""
+WITH f AS (SELECT * FROM {LOG} WHERE feature_value IS NOT NULL AND {where}),
+r AS (SELECT *, row_number() OVER (PARTITION BY entity_id, feature_name ORDER BY event_ts DESC, seq DESC) AS rn FROM f)
+SELECT entity_id,
+  {cols}{miss}
+FROM r WHERE rn = 1 GROUP BY entity_id"""
+
+
+SQL["feature_latest_pivot"] = _pivot_sql(
+    "entity_id IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer)",
+    ["click", "error", "purchase", "signup", "view"], ["unknown_feature"])
+
+SQL["feature_as_of_pivot"] = _pivot_sql(
+    "event_ts <= TIMESTAMP '2024-01-15 00:00:00'", ["click", "error", "purchase", "signup", "view"], [])
+
+SQL["list_features"] = "SELECT DISTINCT event_type AS feature_name FROM events"
+
+SQL["metadata_upsert"] = """
+SELECT event_type AS feature_name, 'Real-time updated feature: ' || event_type AS description,
+  'numeric' AS data_type, max(ts) AS created_at
+FROM events GROUP BY event_type"""
+
+SQL["feature_counts"] = """
+WITH names AS (
+  SELECT DISTINCT unnest(['sepal_length', 'sepal_width', 'petal_length', 'petal_width', 'sepal_area', 'petal_area',
+    'sepal_length_to_width_ratio', 'petal_length_to_width_ratio', 'log_sepal_length', 'log_petal_length',
+    'sepal_length_squared', 'petal_length_squared', 'feature_sum', 'feature_mean']) AS feature_name FROM lineitem),
+g AS (SELECT CASE WHEN feature_name IN ('sepal_length', 'sepal_width', 'petal_length', 'petal_width')
+        THEN 'original' ELSE 'engineered' END AS feature_group FROM names)
+SELECT feature_group, count(*) AS n_features FROM g GROUP BY feature_group
+UNION ALL SELECT 'total', count(*) FROM g"""
+
+# ---------------------------------------------------------------- feature views
+
+STATS = """(SELECT driver_id, event_timestamp, event_timestamp AS created, p / n AS conv_rate,
+   1.0 - e / n AS acc_rate, CAST(n AS BIGINT) AS avg_daily_trips
+ FROM (SELECT user_id AS driver_id, date_trunc('hour', ts) + INTERVAL 1 HOUR AS event_timestamp,
+         count(*) AS n, count(*) FILTER (WHERE event_type = 'purchase') AS p,
+         count(*) FILTER (WHERE event_type = 'error') AS e
+       FROM events GROUP BY 1, 2))"""
+
+ENTITIES = """(SELECT event_id AS request_id, user_id AS driver_id, ts AS event_timestamp, value AS label,
+   CAST(event_id % 10 AS BIGINT) AS val_to_add, CAST(event_id % 100 AS BIGINT) AS val_to_add_2
+ FROM events WHERE event_type = 'purchase')"""
+
+PIT = f"""(SELECT ent.*,
+   CASE WHEN s.event_timestamp >= ent.event_timestamp - INTERVAL 1 DAY THEN s.conv_rate END AS conv_rate,
+   CASE WHEN s.event_timestamp >= ent.event_timestamp - INTERVAL 1 DAY THEN s.acc_rate END AS acc_rate,
+   CASE WHEN s.event_timestamp >= ent.event_timestamp - INTERVAL 1 DAY THEN s.avg_daily_trips END AS avg_daily_trips
+ FROM {ENTITIES} ent ASOF LEFT JOIN {STATS} s
+   ON ent.driver_id = s.driver_id AND ent.event_timestamp >= s.event_timestamp)"""
+
+SQL["pit_training_set"] = f"SELECT * FROM {PIT}"
+
+SQL["on_demand"] = f"""SELECT *, CAST(conv_rate + val_to_add AS DOUBLE) AS conv_rate_plus_val1,
+  CAST(conv_rate + val_to_add_2 AS DOUBLE) AS conv_rate_plus_val2 FROM {PIT}"""
+
+SQL["feature_service_v1"] = f"""SELECT request_id, driver_id, event_timestamp, label, val_to_add, val_to_add_2,
+  conv_rate, CAST(conv_rate + val_to_add AS DOUBLE) AS conv_rate_plus_val1,
+  CAST(conv_rate + val_to_add_2 AS DOUBLE) AS conv_rate_plus_val2 FROM {PIT}"""
+
+
+def _latest_stats(where: str, src: str = STATS) -> str:
+    return f"""(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY driver_id
+      ORDER BY event_timestamp DESC, created DESC) AS rn FROM {src} WHERE {where}) WHERE rn = 1)"""
+
+
+SQL["batch_scoring_features"] = f"""
+SELECT ent.request_id, ent.driver_id, TIMESTAMP '2024-01-30 12:00:00' AS event_timestamp, ent.label,
+  ent.val_to_add, ent.val_to_add_2, l.conv_rate, l.acc_rate, l.avg_daily_trips
+FROM {ENTITIES} ent LEFT JOIN (SELECT * FROM {_latest_stats("event_timestamp <= TIMESTAMP '2024-01-30 12:00:00'")}
+  WHERE event_timestamp >= TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 1 DAY) l ON ent.driver_id = l.driver_id"""
+
+_CUT_2 = "event_timestamp <= TIMESTAMP '2024-01-25 00:00:00'"
+SQL["materialize_incremental"] = f"SELECT * FROM {_latest_stats(_CUT_2)}"
+
+SQL["online_lookup"] = f"""
+SELECT c_custkey AS driver_id, CAST(c_nationkey AS BIGINT) AS val_to_add, CAST(c_nationkey * 10 AS BIGINT) AS val_to_add_2,
+  l.acc_rate, CAST(l.conv_rate + c_nationkey AS DOUBLE) AS conv_rate_plus_val1,
+  CAST(l.conv_rate + c_nationkey * 10 AS DOUBLE) AS conv_rate_plus_val2
+FROM customer LEFT JOIN {_latest_stats("event_timestamp <= TIMESTAMP '2024-01-31 00:00:00'")} l
+  ON c_custkey = l.driver_id"""
+
+PUSHED = """(SELECT user_id AS driver_id, ts AS event_timestamp, ts AS created, 1.0::DOUBLE AS conv_rate,
+   1.0::DOUBLE AS acc_rate, CAST(1000 AS BIGINT) AS avg_daily_trips FROM events WHERE event_type = 'signup')"""
+
+SQL["push_upsert"] = f"""SELECT * FROM {_latest_stats("TRUE", f"(SELECT * FROM {STATS} WHERE event_timestamp <= TIMESTAMP '2024-01-31 00:00:00' UNION ALL SELECT * FROM {PUSHED})")}"""

@@ -17,10 +17,15 @@ from featurelake.sources.tables import table
 FLOWER_FEATURES = ["sepal_length", "sepal_width", "petal_length", "petal_width"]
 
 
-def flowers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lineitem mapped onto the four measurements plus a 0/1/2 class."""
+def flowers(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
+    """Lineitem mapped onto the four measurements plus a 0/1/2 class.
+
+    ``with_key`` adds ``row_key`` = order key and line number (not unique in the
+    synthetic data, so it serves as an entity id, never as a row id).
+    """
     li = table(spark, sf_dir, "lineitem")
-    return li.select(
+    key = [F.concat_ws("-", "l_orderkey", "l_linenumber").alias("row_key")] if with_key else []
+    return li.select(*key,
         nan_to_null("l_quantity").alias("sepal_length"),
         nan_to_null("l_tax").alias("sepal_width"),
         nan_to_null("l_extendedprice").alias("petal_length"),

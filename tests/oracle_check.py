@@ -32,8 +32,10 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
+    if hasattr(v, "item") and not hasattr(v, "__len__"):
+        v = v.item()
     if isinstance(v, float):
         if math.isnan(v):
             return None
