@@ -164,3 +164,136 @@ PUSHED = """(SELECT user_id AS driver_id, ts AS event_timestamp, ts AS created,
    1.0::DOUBLE AS acc_rate, CAST(1000 AS BIGINT) AS avg_daily_trips FROM events WHERE event_type = 'signup')"""
 
 SQL["push_upsert"] = f"""SELECT * FROM {_latest_stats("TRUE", f"(SELECT * FROM {STATS} WHERE event_timestamp <= TIMESTAMP '2024-01-31 00:00:00' UNION ALL SELECT * FROM {PUSHED})")}"""
+
+# ---------------------------------------------------------------- quality
+
+_PROFILE_COLS = {
+    "events": [("event_id", "fixed"), ("ts", "fixed"), ("user_id", "fixed"), ("event_type", "str"),
+               ("value", "float"), ("props", "str")],
+    "lineitem": [("l_orderkey", "fixed"), ("l_partkey", "fixed"), ("l_suppkey", "fixed"), ("l_linenumber", "fixed"),
+                 ("l_quantity", "float"), ("l_extendedprice", "float"), ("l_discount", "float"), ("l_tax", "float"),
+                 ("l_returnflag", "str"), ("l_linestatus", "str"), ("l_shipdate", "fixed")],
+}
+_FIXED_BYTES = {"events": 8 + 8 + 8 + 8, "lineitem": 8 * 3 + 4 + 8 * 4 + 8}
+
+
+def _profile_sql(t: str) -> str:
+    cols = _PROFILE_COLS[t]
+    strs = " + ".join(f"coalesce(sum(strlen({c})), 0)" for c, k in cols if k == "str")
+    parts = [f"SELECT '*' AS column_name, 'row_count' AS stat, CAST(count(*) AS DOUBLE) AS value FROM {t}",
+             f"SELECT '*', 'column_count', CAST({len(cols)} AS DOUBLE)",
+             f"SELECT '*', 'memory_bytes', CAST(count(*) * {_FIXED_BYTES[t]} + {strs} AS DOUBLE) FROM {t}"]
+    for c, k in cols:
+        cond = f"{c} IS NULL OR isnan({c})" if k == "float" else f"{c} IS NULL"
+        parts.append(f"SELECT '{c}', 'null_count', CAST(count(*) FILTER (WHERE {cond}) AS DOUBLE) FROM {t}")
+    return f"SELECT '{t}' AS dataset, * FROM (" + "\n UNION ALL ".join(parts) + ")"
+
+
+SQL["quality_profile"] = _profile_sql("events") + "\nUNION ALL\n" + _profile_sql("lineitem")
+
+_X1_COLS = [("sepal_length", "l_quantity"), ("sepal_width", "l_tax"), ("petal_length", "l_extendedprice"),
+            ("petal_width", "l_discount"),
+            ("target", "CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 WHEN 'R' THEN 2 END")]
+
+SQL["quality_describe"] = "\nUNION ALL\n".join(
+    f"""SELECT '{n}' AS column_name, count(x) AS count, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std,
+  round(min(x), 6) AS min, round(quantile_cont(x, 0.25), 6) AS p25, round(quantile_cont(x, 0.5), 6) AS p50,
+  round(quantile_cont(x, 0.75), 6) AS p75, round(max(x), 6) AS max
+FROM (SELECT CAST({e} AS DOUBLE) AS x FROM lineitem)""" for n, e in _X1_COLS)
+
+_DRIFT_ROWS = "\n  UNION ALL ".join(
+    f"""SELECT '{n}' AS column_name,
+    avg(CASE WHEN l_shipdate < TIMESTAMP '1998-07-01' THEN {e} END) AS reference_mean,
+    avg(CASE WHEN l_shipdate < TIMESTAMP '1998-07-01' THEN NULL ELSE {e} END) AS current_mean FROM lineitem"""
+    for n, e in _X1_COLS[:4])
+
+SQL["mean_drift"] = f"""
+WITH m AS ({_DRIFT_ROWS}),
+d AS (SELECT *, CASE WHEN reference_mean <> 0
+        THEN abs((current_mean - reference_mean) / reference_mean) * 100 ELSE 0.0 END AS drift_percentage FROM m)
+SELECT column_name, round(reference_mean, 6) AS reference_mean, round(current_mean, 6) AS current_mean,
+  round(drift_percentage, 6) AS drift_percentage, drift_percentage > 10 AS drift_detected,
+  CAST(sum(CASE WHEN drift_percentage > 10 THEN 1 ELSE 0 END) OVER () AS BIGINT) AS drifted_features
+FROM d"""
+
+# ---------------------------------------------------------------- trips
+
+TRIPS = """(SELECT o_orderdate AS pickup_datetime, l_shipdate AS dropoff_datetime, s_nationkey AS pu,
+   c_nationkey AS dropoff_zone, l_quantity AS trip_distance,
+   epoch_us(l_shipdate - o_orderdate) / 86400000000.0 AS duration
+ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+   JOIN supplier ON l_suppkey = s_suppkey)"""
+
+PREP = f"""(SELECT CAST(pu AS VARCHAR) AS PULocationID, CAST(dropoff_zone AS VARCHAR) AS DOLocationID,
+   CAST(pu AS VARCHAR) || '_' || CAST(dropoff_zone AS VARCHAR) AS PU_DO, trip_distance, pickup_datetime, duration
+ FROM {TRIPS} WHERE duration BETWEEN 1 AND 60)"""
+
+SPLIT = f"""(SELECT *, CASE WHEN pickup_datetime < TIMESTAMP '1999-01-01' THEN 'train'
+   WHEN pickup_datetime < TIMESTAMP '2000-01-01' THEN 'val' ELSE 'test' END AS split FROM {PREP})"""
+
+SQL["trip_prep"] = f"SELECT * FROM {PREP}"
+SQL["trip_counts"] = f"""SELECT count(*) AS rows_before,
+  count(*) FILTER (WHERE duration BETWEEN 1 AND 60) AS rows_after FROM {TRIPS}"""
+SQL["temporal_split"] = f"SELECT * FROM {SPLIT}"
+SQL["hash_split"] = """SELECT o_orderkey,
+  CASE WHEN CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 80
+    THEN 'train' ELSE 'test' END AS split FROM orders"""
+SQL["one_hot"] = f"""
+WITH s AS (SELECT * FROM {SPLIT}),
+vocab AS (SELECT PU_DO, CAST(row_number() OVER (ORDER BY PU_DO) - 1 AS BIGINT) AS pu_do_index
+          FROM (SELECT DISTINCT PU_DO FROM s WHERE split = 'train'))
+SELECT s.PU_DO, s.trip_distance, s.split, v.pu_do_index FROM s LEFT JOIN vocab v ON s.PU_DO = v.PU_DO
+WHERE s.split <> 'train'"""
+
+# ---------------------------------------------------------------- metrics
+
+CLASS = """(SELECT CAST(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 WHEN 'R' THEN 2 END AS INTEGER) AS actual,
+   CASE WHEN l_quantity < 17 THEN 0 WHEN l_quantity < 34 THEN 1 ELSE 2 END AS predicted FROM lineitem)"""
+
+CLASS_METRICS = f"""(WITH cm AS (SELECT actual, predicted, count(*) AS n FROM {CLASS} GROUP BY 1, 2),
+ t AS (SELECT actual AS cls, sum(n) AS support, sum(CASE WHEN actual = predicted THEN n END) AS tp FROM cm GROUP BY 1),
+ p AS (SELECT predicted AS cls, sum(n) AS n_pred FROM cm GROUP BY 1),
+ per AS (SELECT coalesce(t.cls, p.cls) AS cls, coalesce(support, 0) AS support, coalesce(tp, 0) AS tp,
+           coalesce(n_pred, 0) AS n_pred FROM t FULL JOIN p ON t.cls = p.cls),
+ pr AS (SELECT *, coalesce(CAST(tp AS DOUBLE) / NULLIF(n_pred, 0), 0.0) AS pp,
+           coalesce(CAST(tp AS DOUBLE) / NULLIF(support, 0), 0.0) AS rr FROM per)
+ SELECT sum(tp) / sum(support) AS accuracy, sum(support * pp) / sum(support) AS precision,
+   sum(support * rr) / sum(support) AS recall,
+   sum(support * coalesce(2 * pp * rr / NULLIF(pp + rr, 0), 0.0)) / sum(support) AS f1 FROM pr)"""
+
+SQL["class_metrics"] = f"""SELECT round(accuracy, 9) AS accuracy, round(precision, 9) AS precision,
+  round(recall, 9) AS recall, round(f1, 9) AS f1 FROM {CLASS_METRICS}"""
+
+SQL["metric_gate"] = f"""SELECT round(accuracy, 9) AS accuracy, round(precision, 9) AS precision,
+  round(recall, 9) AS recall, round(f1, 9) AS f1,
+  CASE WHEN accuracy >= 0.9 AND f1 >= 0.9 THEN 'SUCCESS' ELSE 'WARNING' END AS status,
+  CASE WHEN accuracy >= 0.9 AND f1 >= 0.9
+    THEN printf('✅ Pipeline validation passed! Accuracy: %.4f, F1: %.4f', accuracy, f1)
+    ELSE printf('⚠️ Pipeline validation warning! Accuracy: %.4f, F1: %.4f', accuracy, f1) END AS message,
+  accuracy > 0.8 AS passes_0_8, accuracy > 0.7 AS passes_0_7
+FROM {CLASS_METRICS}"""
+
+SQL["regression_metrics"] = """
+SELECT round(1.0 - avg((p - a) * (p - a)) / var_pop(a), 9) AS r2, round(avg((p - a) * (p - a)), 4) AS mse,
+  round(sqrt(avg((p - a) * (p - a))), 6) AS rmse
+FROM (SELECT l_extendedprice AS a, l_quantity * 1500.0 AS p FROM lineitem)"""
+
+SQL["residuals"] = """
+WITH m AS (SELECT o_orderpriority, avg(o_totalprice) AS predicted FROM orders GROUP BY 1)
+SELECT CAST(o_orderkey AS VARCHAR) AS entity_id, o_totalprice AS actual, round(m.predicted, 6) AS predicted,
+  round(m.predicted - o_totalprice, 6) AS difference
+FROM orders JOIN m ON orders.o_orderpriority = m.o_orderpriority"""
+
+SQL["rule_score"] = "SELECT event_id, value, CASE WHEN value > 23 THEN 0.8 ELSE 0.3 END AS score FROM events"
+
+CANDIDATES = """(WITH g AS (SELECT p_brand AS run_id, count(v) AS n, sum(v) AS s1, sum(v * v) AS s2
+   FROM (SELECT p_brand, l_extendedprice / NULLIF(l_quantity, 0) AS v FROM lineitem JOIN part ON l_partkey = p_partkey)
+   GROUP BY p_brand)
+ SELECT run_id, s1 / n AS prediction,
+   sqrt(greatest(sum(s2) OVER () / sum(n) OVER () - 2 * (s1 / n) * sum(s1) OVER () / sum(n) OVER ()
+     + (s1 / n) * (s1 / n), 0.0)) AS rmse FROM g)"""
+
+SQL["topn_candidates"] = f"""SELECT run_id, round(prediction, 6) AS prediction, round(rmse, 6) AS rmse
+FROM {CANDIDATES} ORDER BY rmse, run_id LIMIT 5"""
+SQL["best_candidate"] = f"""SELECT run_id, round(prediction, 6) AS prediction, round(rmse, 6) AS rmse
+FROM {CANDIDATES} ORDER BY rmse, run_id LIMIT 1"""

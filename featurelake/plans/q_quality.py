@@ -1,3 +1,31 @@
-"""Registered queries."""
+"""Queries for data quality: profile, schema, numeric summary, drift."""
 
 from __future__ import annotations
+
+from featurelake.functions.columns import rounded
+from featurelake.operators import quality as qa
+from featurelake.plans.catalog import query
+from featurelake.sources import fixtures as fx
+from featurelake.sources.tables import table
+
+
+@query("quality_profile")
+def quality_profile(spark, sf_dir):
+    return qa.profile(table(spark, sf_dir, "events"), "events").unionByName(
+        qa.profile(table(spark, sf_dir, "lineitem"), "lineitem"))
+
+
+@query("quality_schema")
+def quality_schema(spark, sf_dir):
+    return qa.schema_rows(table(spark, sf_dir, "events"), "events")
+
+
+@query("quality_describe")
+def quality_describe(spark, sf_dir):
+    return rounded(qa.describe(fx.flowers(spark, sf_dir)), 6)
+
+
+@query("mean_drift")
+def mean_drift(spark, sf_dir):
+    df = fx.flowers_with_period(spark, sf_dir, cut="1998-07-01")
+    return rounded(qa.mean_drift(df, "period"), 6)

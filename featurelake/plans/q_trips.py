@@ -1,3 +1,45 @@
-"""Registered queries."""
+"""Queries for trip preparation, splits and one-hot encoding."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from featurelake.operators import trips as tp
+from featurelake.plans.catalog import query
+from featurelake.sources import fixtures as fx
+from featurelake.sources.tables import table
+
+VAL_FROM, TEST_FROM = "1999-01-01", "2000-01-01"
+
+
+def prepared(spark, sf_dir):
+    # The stand-in trips carry dates only, so the duration unit is days (1..60 kept).
+    return tp.trip_prep(fx.trips(spark, sf_dir), "pickup_datetime", "dropoff_datetime", unit="days")
+
+
+@query("trip_prep")
+def trip_prep(spark, sf_dir):
+    return prepared(spark, sf_dir)
+
+
+@query("trip_counts")
+def trip_counts(spark, sf_dir):
+    return tp.trip_counts(fx.trips(spark, sf_dir), "pickup_datetime", "dropoff_datetime", unit="days")
+
+
+@query("temporal_split")
+def temporal_split(spark, sf_dir):
+    return tp.temporal_split(prepared(spark, sf_dir), "pickup_datetime", VAL_FROM, TEST_FROM)
+
+
+@query("hash_split")
+def hash_split(spark, sf_dir):
+    return tp.hash_split(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 80)
+
+
+@query("one_hot")
+def one_hot(spark, sf_dir):
+    data = tp.temporal_split(prepared(spark, sf_dir), "pickup_datetime", VAL_FROM, TEST_FROM)
+    model = tp.fit_one_hot(data.filter(F.col("split") == "train"), ["PU_DO"], ["trip_distance"])
+    enc = model.transform(data.filter(F.col("split") != "train"))
+    return enc.select("PU_DO", "trip_distance", "split", tp.active_category(enc, "PU_DO").alias("pu_do_index"))
