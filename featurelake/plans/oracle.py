@@ -297,3 +297,62 @@ SQL["topn_candidates"] = f"""SELECT run_id, round(prediction, 6) AS prediction,
 FROM {CANDIDATES} ORDER BY rmse, run_id LIMIT 5"""
 SQL["best_candidate"] = f"""SELECT run_id, round(prediction, 6) AS prediction, round(rmse, 6) AS rmse
 FROM {CANDIDATES} ORDER BY rmse, run_id LIMIT 1"""
+
+# ---------------------------------------------------------------- correlation network and graph
+
+_ENG_COLS = ["sepal_length", "sepal_width", "petal_length", "petal_width", "target", "sepal_area", "petal_area",
+             "sepal_length_to_width_ratio", "petal_length_to_width_ratio", "log_sepal_length", "log_petal_length",
+             "sepal_length_squared", "petal_length_squared", "feature_sum", "feature_mean"]
+
+
+def _corr_sql() -> str:
+    parts = []
+    for i, a in enumerate(_ENG_COLS):
+        for b in _ENG_COLS[i + 1:]:
+            xa = f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN CAST({a} AS DOUBLE) END"
+            xb = f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN CAST({b} AS DOUBLE) END"
+            parts.append(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, covar_pop({xa}, {xb}) / "
+                         f"NULLIF(stddev_pop({xa}) * stddev_pop({xb}), 0) AS correlation FROM eng")
+    return f"(WITH eng AS (SELECT * FROM {ENGINEERED}) " + "\n UNION ALL ".join(parts) + ")"
+
+
+CORR = _corr_sql()
+SQL["corr_matrix"] = f"SELECT feature_a, feature_b, round(correlation, 6) AS correlation FROM {CORR}"
+SQL["corr_edges"] = f"""SELECT feature_a AS src, feature_b AS dst, round(abs(correlation), 6) AS weight,
+  round(correlation, 6) AS correlation FROM {CORR} WHERE abs(correlation) > 0.3"""
+
+GRAPH = """(WITH li AS (SELECT o_custkey * 3 AS c, l_partkey * 3 + 1 AS p, l_suppkey * 3 + 2 AS s
+   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+ raw AS (SELECT c AS a, p AS b FROM li UNION ALL SELECT p, s FROM li UNION ALL SELECT c, s FROM li)
+ SELECT least(a, b) AS src, greatest(a, b) AS dst FROM raw GROUP BY 1, 2 HAVING count(*) >= 2)"""
+
+DEG = f"""(SELECT node, count(*) AS degree FROM (SELECT src AS node FROM {GRAPH} UNION ALL SELECT dst FROM {GRAPH})
+ GROUP BY node)"""
+
+SQL["graph_metrics"] = f"""SELECT count(*) AS node_count, CAST(sum(degree) / 2 AS BIGINT) AS edge_count,
+  CASE WHEN count(*) > 1 THEN 2 * CAST(sum(degree) / 2 AS BIGINT) / (count(*) * (count(*) - 1)) END AS density
+FROM {DEG}"""
+
+SQL["degree_centrality"] = f"""SELECT node, degree, degree / (count(*) OVER () - 1) AS centrality FROM {DEG}"""
+
+SQL["clustering"] = f"""
+WITH e AS (SELECT * FROM {GRAPH}),
+t AS (SELECT e1.src AS a, e1.dst AS b, e2.dst AS c FROM e e1 JOIN e e2 ON e1.dst = e2.src
+      JOIN e e3 ON e3.src = e1.src AND e3.dst = e2.dst),
+per AS (SELECT node, count(*) AS tri FROM (SELECT a AS node FROM t UNION ALL SELECT b FROM t UNION ALL SELECT c FROM t)
+        GROUP BY node),
+d AS (SELECT node, count(*) AS degree FROM (SELECT src AS node FROM e UNION ALL SELECT dst FROM e) GROUP BY node)
+SELECT round(avg(CASE WHEN degree > 1 THEN 2.0 * coalesce(tri, 0) / (degree * (degree - 1)) ELSE 0.0 END), 9)
+    AS average_clustering,
+  CAST(sum(coalesce(tri, 0)) / 3 AS BIGINT) AS triangles
+FROM d LEFT JOIN per ON d.node = per.node"""
+
+SQL["connected_components"] = f"""
+WITH RECURSIVE e2 AS (SELECT src AS a, dst AS b FROM {GRAPH} UNION ALL SELECT dst, src FROM {GRAPH}),
+r(node, label) USING KEY (node) AS (
+  SELECT a, a FROM (SELECT DISTINCT a FROM e2)
+  UNION
+  SELECT e2.b, min(r.label) FROM r JOIN e2 ON r.node = e2.a GROUP BY e2.b
+  HAVING min(r.label) < (SELECT r2.label FROM recurring.r r2 WHERE r2.node = e2.b)
+)
+SELECT label AS component, count(*) AS size FROM r GROUP BY label"""

@@ -145,3 +145,22 @@ def learnable(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(q < 17, 0).when(q < 34, 1).otherwise(2).cast("double").alias("label"),
         (3 * q - 2 * t + 5).alias("y"),
     )
+
+
+def purchase_graph(spark: SparkSession, sf_dir: str, min_support: int = 2) -> DataFrame:
+    """X7 (graph at scale): customers, parts and suppliers linked by repeated purchases.
+
+    Every line item links its buyer, part and supplier (three edges, so the work
+    is linear in the line items); an edge is kept when at least ``min_support``
+    line items back it. Node ids: customer key * 3, part key * 3 + 1, supplier key * 3 + 2.
+    """
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    c, p, s = F.col("o_custkey") * 3, F.col("l_partkey") * 3 + 1, F.col("l_suppkey") * 3 + 2
+    pairs = F.array(F.struct(c.alias("a"), p.alias("b")), F.struct(p.alias("a"), s.alias("b")),
+                    F.struct(c.alias("a"), s.alias("b")))
+    raw = j.select(F.explode(pairs).alias("e"))
+    und = raw.select(F.least("e.a", "e.b").alias("src"), F.greatest("e.a", "e.b").alias("dst"))
+    return (und.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("support"))
+            .filter(F.col("support") >= min_support).select("src", "dst"))
