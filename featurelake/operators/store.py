@@ -152,3 +152,18 @@ def feature_counts(log: DataFrame, original: list[str]) -> DataFrame:
     per = names.groupBy("grp").agg(F.count(F.lit(1)).alias("n_features"))
     total = names.agg(F.count(F.lit(1)).alias("n_features")).select(F.lit("total").alias("grp"), "n_features")
     return per.unionByName(total).withColumnRenamed("grp", "feature_group")
+
+
+def latest_long_rows(log: DataFrame, order_by: str = "event") -> DataFrame:
+    """W1 keeping full log rows: the newest non-NULL row per (entity, feature).
+
+    Used to merge a micro-batch into the latest-value table; a late row with an
+    older event time loses to the newer one already there.
+    """
+    order = (F.struct("event_ts", "ingest_ts", "seq") if order_by == "event"
+             else F.struct("ingest_ts", "seq"))
+    ordering = F.when(F.col("feature_value").isNotNull(), order)
+    row = F.struct("feature_value", "event_ts", "ingest_ts", "seq")
+    return (log.groupBy("entity_id", "feature_name").agg(F.max_by(row, ordering).alias("r"))
+            .filter(F.col("r").isNotNull())
+            .select("entity_id", "feature_name", "r.feature_value", "r.event_ts", "r.ingest_ts", "r.seq"))

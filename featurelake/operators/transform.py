@@ -77,10 +77,14 @@ def clean_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[clean_name(c) for c in df.columns])
 
 
-def align_schema(df: DataFrame, want: list[str], fill: float = 0.0) -> DataFrame:
-    """Keep ``want`` in order, add missing columns as ``fill``, drop the rest."""
+def align_schema(df: DataFrame, want: list[str], fill: float = 0.0, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Keep ``want`` in order, add missing columns as ``fill``, drop the rest.
+
+    ``keep`` names pass-through columns (keys, times) placed before the features.
+    """
     have = set(df.columns)
-    return df.select(*[F.col(c) if c in have else F.lit(fill).cast("double").alias(c) for c in want])
+    return df.select(*[F.col(c) for c in keep],
+                     *[F.col(c) if c in have else F.lit(fill).cast("double").alias(c) for c in want])
 
 
 def schema_diff(df: DataFrame, expected: T.StructType) -> list[str]:

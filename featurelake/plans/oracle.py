@@ -356,3 +356,35 @@ r(node, label) USING KEY (node) AS (
   HAVING min(r.label) < (SELECT r2.label FROM recurring.r r2 WHERE r2.node = e2.b)
 )
 SELECT label AS component, count(*) AS size FROM r GROUP BY label"""
+
+# ---------------------------------------------------------------- envelopes and streams
+
+ISO = "strftime({}, '%Y-%m-%dT%H:%M:%S.%f')"
+
+SQL["update_envelope"] = f"""SELECT CAST(user_id AS VARCHAR) AS key, CAST(user_id AS VARCHAR) AS entity_id,
+  'feature_update' AS event_type, {ISO.format('ts')} AS timestamp, event_type AS feature_name, value AS feature_value
+FROM events"""
+
+SQL["prediction_envelope"] = f"""SELECT CAST(user_id AS VARCHAR) AS key, CAST(user_id AS VARCHAR) AS entity_id,
+  CASE WHEN value > 23 THEN 0.8 ELSE 0.3 END AS prediction, 'model_prediction' AS event_type,
+  {ISO.format('ts')} AS timestamp, CAST(1 AS BIGINT) AS n_features
+FROM events"""
+
+SQL["stream_decode"] = """SELECT CAST(user_id AS VARCHAR) AS entity_id, event_type AS feature_name,
+  value AS feature_value, ts AS event_ts FROM events"""
+
+SQL["stream_bad_records"] = """SELECT '{bad' || CAST(event_id AS VARCHAR) AS raw_value, 'unparseable' AS reason
+FROM events WHERE event_type = 'error' AND value > 45"""
+
+SQL["stream_upsert"] = """SELECT entity_id, feature_name, feature_value, event_ts FROM (
+  SELECT CAST(user_id AS VARCHAR) AS entity_id, event_type AS feature_name, value AS feature_value, ts AS event_ts,
+    row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) AS rn
+  FROM events WHERE value IS NOT NULL) WHERE rn = 1"""
+
+SQL["stream_score"] = f"""SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS key,
+  CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS entity_id,
+  CASE WHEN l_quantity < 17 THEN 0.0 WHEN l_quantity < 34 THEN 1.0 ELSE 2.0 END AS prediction,
+  'model_prediction' AS event_type, {ISO.format('l_shipdate')} AS timestamp,
+  CAST(12 + (CASE WHEN l_tax <> 0 THEN 1 ELSE 0 END) + (CASE WHEN l_discount <> 0 THEN 1 ELSE 0 END) AS BIGINT)
+    AS n_features
+FROM lineitem"""

@@ -1,3 +1,112 @@
-"""Registered queries."""
+"""Queries for envelopes and streaming.
+
+Streaming keys write their input messages (derived from the tables) to a
+scratch folder under the session's checkpoint folder, run the stream with
+``availableNow`` and return the table the stream produced, read back.
+"""
 
 from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from featurelake.operators import metrics as mt
+from featurelake.plans.catalog import query
+from featurelake.session import scratch_dir
+from featurelake.sources import fixtures as fx
+from featurelake.sources.tables import table
+from featurelake.streaming import envelopes as env
+from featurelake.streaming.scoring import score_messages
+from featurelake.streaming.store_sink import FeatureStoreSink, run_available_now
+
+MESSAGE_FILES = 4
+
+
+def update_messages(spark, sf_dir):
+    """One update message per event, plus malformed messages for large error events."""
+    ev = table(spark, sf_dir, "events")
+    good = env.update_envelope(ev, F.col("user_id"), F.create_map(F.col("event_type"), F.col("value")), F.col("ts"))
+    bad = ev.filter((F.col("event_type") == "error") & (F.col("value") > 45)).select(
+        F.col("user_id").cast("string").alias("key"), F.concat(F.lit("{bad"), F.col("event_id").cast("string")).alias("value"))
+    return good.unionByName(bad)
+
+
+def _parse_updates(envelopes):
+    m = F.from_json("value", env.UPDATE_SCHEMA)
+    return envelopes.select("key", m.alias("m")).select(
+        "key", "m.entity_id", "m.event_type", "m.timestamp", F.explode("m.feature_data").alias("feature_name", "feature_value"))
+
+
+@query("update_envelope")
+def update_envelope(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    e = env.update_envelope(ev, F.col("user_id"), F.create_map(F.col("event_type"), F.col("value")), F.col("ts"))
+    return _parse_updates(e)
+
+
+@query("prediction_envelope")
+def prediction_envelope(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    e = env.prediction_envelope(ev, F.col("user_id"), mt.rule_score(F.col("value")),
+                                F.create_map(F.col("event_type"), F.col("value")), F.col("ts"))
+    m = F.from_json("value", env.PREDICTION_SCHEMA)
+    return e.select("key", m.alias("m")).select("key", "m.entity_id", "m.prediction", "m.event_type", "m.timestamp",
+                                                F.size("m.features").cast("bigint").alias("n_features"))
+
+
+def _run_store_stream(spark, sf_dir) -> FeatureStoreSink:
+    root = scratch_dir(spark, "stream")
+    src = os.path.join(root, "messages")
+    update_messages(spark, sf_dir).select("value").repartition(MESSAGE_FILES).write.text(src)
+    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+    sink = FeatureStoreSink(os.path.join(root, "store"))
+    run_available_now(stream, sink, os.path.join(root, "checkpoint"))
+    return sink
+
+
+@query("stream_decode")
+def stream_decode(spark, sf_dir):
+    return _run_store_stream(spark, sf_dir).log(spark).select("entity_id", "feature_name", "feature_value", "event_ts")
+
+
+@query("stream_bad_records")
+def stream_bad_records(spark, sf_dir):
+    return _run_store_stream(spark, sf_dir).dead_letters(spark).select("raw_value", "reason")
+
+
+@query("stream_upsert")
+def stream_upsert(spark, sf_dir):
+    return _run_store_stream(spark, sf_dir).latest(spark).select("entity_id", "feature_name", "feature_value", "event_ts")
+
+
+def measurement_messages(spark, sf_dir):
+    """Update messages carrying the four measurements of each line item."""
+    li = table(spark, sf_dir, "lineitem")
+    feats = F.create_map(F.lit("sepal_length"), F.col("l_quantity"), F.lit("sepal_width"), F.col("l_tax"),
+                         F.lit("petal_length"), F.col("l_extendedprice"), F.lit("petal_width"), F.col("l_discount"))
+    return env.update_envelope(li, F.concat_ws("-", "l_orderkey", "l_linenumber"), feats, F.col("l_shipdate"))
+
+
+def band_model(df):
+    """Rule model: class by quantity band (the fixture's deterministic predictor)."""
+    q = F.col("sepal_length")
+    return df.withColumn("prediction", F.when(q < 17, 0.0).when(q < 34, 1.0).otherwise(2.0))
+
+
+@query("stream_score")
+def stream_score(spark, sf_dir):
+    root = scratch_dir(spark, "score")
+    src, out = os.path.join(root, "messages"), os.path.join(root, "predictions")
+    measurement_messages(spark, sf_dir).select("value").repartition(MESSAGE_FILES).write.text(src)
+    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+    scored = score_messages(stream, fx.FLOWER_FEATURES, band_model)
+
+    def sink(batch, batch_id):
+        batch.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+
+    run_available_now(scored, sink, os.path.join(root, "checkpoint"))
+    m = F.from_json("value", env.PREDICTION_SCHEMA)
+    return spark.read.parquet(out).select("key", m.alias("m")).select(
+        "key", "m.entity_id", "m.prediction", "m.event_type", "m.timestamp",
+        F.size("m.features").cast("bigint").alias("n_features"))
