@@ -120,3 +120,10 @@ def residuals(predictions: DataFrame, actuals: DataFrame, key: str = "entity_id"
     """Align predictions with actuals by key (never by position) and add the difference."""
     j = predictions.join(actuals, key, "inner")
     return j.select(key, F.col(actual_col), F.col(pred_col), (F.col(pred_col) - F.col(actual_col)).alias("difference"))
+
+
+def vector_to_array_col(name: str) -> Column:
+    """unwrap an ML vector column into an array<double> (for storage or per-element access)."""
+    from pyspark.ml.functions import vector_to_array
+
+    return vector_to_array(F.col(name))

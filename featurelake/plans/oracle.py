@@ -388,3 +388,16 @@ SQL["stream_score"] = f"""SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_li
   CAST(12 + (CASE WHEN l_tax <> 0 THEN 1 ELSE 0 END) + (CASE WHEN l_discount <> 0 THEN 1 ELSE 0 END) AS BIGINT)
     AS n_features
 FROM lineitem"""
+
+# ---------------------------------------------------------------- ML with closed-form answers
+
+SQL["standard_scale"] = f"""SELECT
+  round((sepal_length - avg(sepal_length) OVER ()) / stddev_samp(sepal_length) OVER (), 6) AS sepal_length_scaled,
+  round((sepal_width - avg(sepal_width) OVER ()) / stddev_samp(sepal_width) OVER (), 6) AS sepal_width_scaled,
+  round((petal_length - avg(petal_length) OVER ()) / stddev_samp(petal_length) OVER (), 6) AS petal_length_scaled,
+  round((petal_width - avg(petal_width) OVER ()) / stddev_samp(petal_width) OVER (), 6) AS petal_width_scaled
+FROM {X1}"""
+
+# OLS on a one-hot encoding of a single category (with intercept) fits the per-category means.
+SQL["linreg"] = f"""SELECT round(sqrt(avg((duration - m) * (duration - m))), 4) AS train_rmse, count(*) AS n_train
+FROM (SELECT duration, avg(duration) OVER (PARTITION BY PU_DO) AS m FROM {SPLIT} WHERE split = 'train')"""

@@ -1,3 +1,90 @@
-"""Registered queries."""
+"""Queries for Spark ML: scaling, PCA, models, search, batch scoring."""
 
 from __future__ import annotations
+
+import os
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+
+from featurelake.functions.columns import rounded
+from featurelake.operators import metrics as mt
+from featurelake.operators import models as ml
+from featurelake.operators import store as st
+from featurelake.operators import transform as tr
+from featurelake.operators import trips as tp
+from featurelake.plans.catalog import query
+from featurelake.plans.q_trips import TEST_FROM, VAL_FROM, prepared
+from featurelake.session import scratch_dir
+from featurelake.sources import fixtures as fx
+
+NO_NULL_ENGINEERED = ["sepal_length", "sepal_width", "petal_length", "petal_width", "sepal_area", "petal_area",
+                      "log_sepal_length", "log_petal_length", "sepal_length_squared", "petal_length_squared",
+                      "feature_sum", "feature_mean"]
+
+
+@query("standard_scale")
+def standard_scale(spark, sf_dir):
+    df = fx.flowers(spark, sf_dir)
+    model = ml.feature_pipeline(fx.FLOWER_FEATURES, with_pca=False).fit(df)
+    return rounded(ml.scaled_columns(model.transform(df), fx.FLOWER_FEATURES), 6)
+
+
+@query("pca")
+def pca(spark, sf_dir):
+    eng = tr.engineer_features(fx.flowers(spark, sf_dir))
+    model = ml.feature_pipeline(NO_NULL_ENGINEERED).fit(eng)
+    arr = F.col("pca")
+    out = model.transform(eng).select(tr.vector_to_array_col("pca_features").alias("pca"))
+    return out.select(*[arr[i].alias(f"pc{i + 1}") for i in range(10)])
+
+
+def _learnable_split(spark, sf_dir):
+    df = fx.learnable(spark, sf_dir).withColumn("row_key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    df = tp.hash_split(df, "row_key", 80)
+    va = VectorAssembler(inputCols=["quantity", "tax", "discount"], outputCol="features")
+    return va.transform(df)
+
+
+@query("logreg")
+def logreg(spark, sf_dir):
+    df = _learnable_split(spark, sf_dir)
+    model = ml.logistic_regression(df.filter(F.col("split") == "train"), label="label", max_iter=200)
+    pred = model.transform(df.filter(F.col("split") == "test"))
+    return mt.class_metrics(pred.select(F.col("label").alias("actual"), F.col("prediction").alias("predicted")))
+
+
+@query("linreg")
+def linreg(spark, sf_dir):
+    data = tp.temporal_split(prepared(spark, sf_dir), "pickup_datetime", VAL_FROM, TEST_FROM)
+    train = data.filter(F.col("split") == "train")
+    enc = tp.fit_one_hot(train, ["PU_DO"], [])
+    x = enc.transform(train).select("features", F.col("duration").alias("label"))
+    model = ml.linear_regression(x)
+    pred = model.transform(x)
+    err = F.col("prediction") - F.col("label")
+    return pred.agg(F.round(F.sqrt(F.avg(err * err)), 4).alias("train_rmse"), F.count(F.lit(1)).alias("n_train"))
+
+
+@query("random_forest")
+def random_forest(spark, sf_dir):
+    df = _learnable_split(spark, sf_dir).withColumnRenamed("y", "target_y")
+    model = ml.random_forest(df.filter(F.col("split") == "train"), label="target_y", num_trees=20, max_depth=10)
+    pred = model.transform(df.filter(F.col("split") == "test"))
+    return mt.regression_metrics(pred, actual="target_y", predicted="prediction")
+
+
+@query("hyper_search")
+def hyper_search(spark, sf_dir):
+    df = _learnable_split(spark, sf_dir)
+    return ml.hyper_search(df.filter(F.col("split") == "train"), label="y", trials=4, depth=(2, 8), trees=(10, 30))
+
+
+@query("batch_score")
+def batch_score(spark, sf_dir):
+    df = _learnable_split(spark, sf_dir)
+    model = ml.logistic_regression(df.filter(F.col("split") == "train"), label="label", max_iter=200)
+    path = ml.save(model, scratch_dir(spark, "model"))
+    scored = ml.load(path).transform(df.filter(F.col("split") == "test"))
+    out = scored.select("row_key", F.col("prediction").alias("predicted_target"))
+    return st.melt(out, key="row_key", values=["predicted_target"], prefix="test_sample_", event_ts="2024-01-31 00:00:00")
