@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from featurelake.operators.transform import numeric_columns
 from featurelake.session import checkpoint_dir
+from featurelake.sources.tables import spread
 
 
 # ---------------------------------------------------------------- correlation network
@@ -39,7 +40,7 @@ def correlation_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFram
     cols = cols or numeric_columns(df)
     p = len(cols)
     vals = F.array(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols])
-    s1 = df.select(vals.alias("arr")).select("arr", F.posexplode("arr").alias("i", "xi"))
+    s1 = spread(df.select(vals.alias("arr"))).select("arr", F.posexplode("arr").alias("i", "xi"))
     s2 = s1.select("i", "xi", F.posexplode(F.slice("arr", F.col("i") + 2, p)).alias("k", "xj"))
     both = F.col("xi").isNotNull() & F.col("xj").isNotNull()
     pairs = s2.select("i", (F.col("i") + F.col("k") + 1).alias("j"),

@@ -62,94 +62,126 @@ def schema_rows(df: DataFrame, dataset: str) -> DataFrame:
                                        "nullable boolean")
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float], window: int = 20000,
-                    splits: int = 64, max_rounds: int = 12) -> dict[float, float | None]:
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], window: int = 50000,
+                    splits: int = 64, max_rounds: int = 16) -> dict[str, dict[float, float | None]]:
     """Exact linear-interpolated quantiles (like ``quantile_cont``) by distributed selection.
 
-    Each round narrows, for every target rank, a value bracket ``(lo, hi]`` using
-    approximate quantiles of the values still inside it, and counts the values
-    below the bracket exactly. When a bracket holds at most ``window`` distinct
-    values, those (value, count) pairs are aggregated and the ranks resolved. No
-    round keeps more than ``splits`` numbers per target or ``window`` distinct
-    values, whatever the table size; each round is one pruned scan.
+    For every (column, target rank) a value bracket ``(lo, hi]`` with a known
+    row count is narrowed round by round. A bracket with more than ``window``
+    rows gets up to ``splits`` cut points from ``percentile_approx`` of its rows;
+    one grouped count then tags every row with its bracket and sub-bracket
+    (number of cuts below the value, or "equal to hi"), which picks the
+    sub-bracket holding the rank. A bracket with at most ``window`` rows is
+    grouped by value instead and the rank is resolved exactly. Each round is at
+    most two jobs for all columns together; no job returns more than ``splits``
+    counts or ``window`` (value, count) pairs per bracket, whatever the table
+    size, so rounds ~ log_splits(n / window). The projected columns are
+    persisted once, so rounds re-read executor storage rather than the source.
     """
-    v = F.col(col).cast("double")
-    base = df.select(v.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    n = base.count()
-    if n == 0:
-        return {p: None for p in probs}
-    ranks = sorted({r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))})
-    # state per rank: (lo, hi, below) with bracket (lo, hi]; lo None = -inf, hi None = +inf
-    state = {r: (None, None, 0) for r in ranks}
-    found: dict[int, float] = {}
-
-    def inside(lo, hi) -> Column:
-        c = F.lit(True)
-        if lo is not None:
-            c = c & (F.col("v") > F.lit(lo))
-        if hi is not None:
-            c = c & (F.col("v") <= F.lit(hi))
-        return c
-
-    for _ in range(max_rounds):
-        todo = sorted({state[r] for r in ranks if r not in found}, key=str)
-        if not todo:
-            break
-        # distinct count per open bracket (approximate is enough to choose the path)
-        est = base.agg(*[F.approx_count_distinct(F.when(inside(lo, hi), F.col("v"))).alias(f"d{i}")
-                         for i, (lo, hi, _) in enumerate(todo)]).first()
-        small = [b for i, b in enumerate(todo) if est[f"d{i}"] <= window]
-        large = [b for i, b in enumerate(todo) if est[f"d{i}"] > window]
-        for lo, hi, below in small:
-            cond = inside(lo, hi)
-            vals = (base.filter(cond).groupBy("v").agg(F.count(F.lit(1)).alias("c")).orderBy("v").collect())
-            cum = below
-            for row in vals:
-                for r in ranks:
-                    if r not in found and state[r] == (lo, hi, below) and cum <= r < cum + row["c"]:
-                        found[r] = row["v"]
-                cum += row["c"]
-        if large:
-            qs = [i / splits for i in range(1, splits)]
-            cuts_row = base.agg(*[F.percentile_approx(F.when(inside(lo, hi), F.col("v")), qs, 10 * splits)
-                                  .alias(f"q{i}") for i, (lo, hi, _) in enumerate(large)]).first()
-            plans = []
-            for i, (lo, hi, below) in enumerate(large):
-                cuts = sorted(set(x for x in cuts_row[f"q{i}"] if x is not None))
-                cuts = [c for c in cuts if (lo is None or c > lo) and (hi is None or c < hi)]
-                plans.append((lo, hi, below, cuts))
-            cnt_cols = []
-            for i, (lo, hi, below, cuts) in enumerate(plans):
-                for j, c in enumerate(cuts):
-                    cnt_cols.append(F.count_if(inside(lo, c)).alias(f"c{i}_{j}"))
-                if hi is not None:  # values strictly below hi: a rank past them sits exactly at hi
-                    cnt_cols.append(F.count_if(inside(lo, hi) & (F.col("v") < F.lit(hi))).alias(f"h{i}"))
-            counts = base.agg(*cnt_cols).first() if cnt_cols else {}
-            for i, (lo, hi, below, cuts) in enumerate(plans):
-                if hi is not None:
-                    for r in ranks:
-                        if r not in found and state[r] == (lo, hi, below) and r >= below + counts[f"h{i}"]:
-                            found[r] = hi
-                edges = [lo] + cuts + [hi]
-                prev = 0
-                cum_counts = [counts[f"c{i}_{j}"] for j in range(len(cuts))] if cuts else []
-                for r in ranks:
-                    if r in found or state[r] != (lo, hi, below):
-                        continue
-                    # pick the sub-bracket (edges[j], edges[j+1]] holding rank r
-                    prev = 0
+    from pyspark import StorageLevel
+
+    from featurelake.sources.tables import spread
+
+    names = [f"v{i}" for i in range(len(cols))]
+    vals = spread(df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(n)
+                              for c, n in zip(cols, names)])).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ns = vals.agg(*[F.count(n).alias(n) for n in names]).first()
+        targets = {(i, r) for i, n in enumerate(names) if ns[n] > 0
+                   for p in probs for r in (math.floor(p * (ns[n] - 1)), math.ceil(p * (ns[n] - 1)))}
+        # bracket = (column, lo, hi, rows below lo, rows in (lo, hi]); None = unbounded
+        state = {t: (t[0], None, None, 0, ns[names[t[0]]]) for t in targets}
+        found: dict[tuple[int, int], float] = {}
+
+        # Expressions are built as SQL text: one gateway call per expression,
+        # however many brackets and cut points it carries.
+        def lit(x: float) -> str:
+            return f"CAST({x!r} AS DOUBLE)"
+
+        def inside(i, lo, hi) -> str:
+            c = f"{names[i]} IS NOT NULL"
+            if lo is not None:
+                c += f" AND {names[i]} > {lit(lo)}"
+            if hi is not None:
+                c += f" AND {names[i]} <= {lit(hi)}"
+            return c
+
+        for _ in range(max_rounds):
+            todo = sorted({state[t] for t in targets if t not in found}, key=str)
+            if not todo:
+                break
+            large = [b for b in todo if b[4] > window]
+            cuts: dict[int, list[float]] = {}
+            if large:
+                qs = ", ".join(repr(j / splits) for j in range(1, splits))
+                row = vals.agg(*[F.expr(f"percentile_approx(CASE WHEN {inside(i, lo, hi)} THEN {names[i]} END, "
+                                        f"array({qs}), {10 * splits})").alias(f"q{k}")
+                                 for k, (i, lo, hi, _, _) in enumerate(large)]).first()
+                for k, (i, lo, hi, _, _) in enumerate(large):
+                    cs = sorted({x for x in (row[f"q{k}"] or []) if x is not None
+                                 and (lo is None or x > lo) and (hi is None or x < hi)})
+                    if not cs and lo is not None and hi is not None and lo < (lo + hi) / 2 < hi:
+                        cs = [(lo + hi) / 2]  # bisect when the sketch offers no interior cut
+                    cuts[todo.index(large[k])] = cs
+            recs = []
+            for k, (i, lo, hi, _, _) in enumerate(todo):
+                v = names[i]
+                if k in cuts:
+                    arr = f"array({', '.join(lit(c) for c in cuts[k])})" if cuts[k] else "CAST(array() AS ARRAY<DOUBLE>)"
+                    bucket = f"CAST(size(filter({arr}, c -> c < {v})) AS DOUBLE)"
+                    key = f"CASE WHEN {v} = {lit(hi)} THEN -1.0D ELSE {bucket} END" if hi is not None else bucket
+                else:
+                    key = v
+                recs.append(f"CASE WHEN {inside(i, lo, hi)} THEN named_struct('b', {k}, 'key', {key}) END")
+            tagged = F.expr(f"filter(array({', '.join(recs)}), x -> x IS NOT NULL)")
+            got = (vals.select(F.explode(tagged).alias("r"))
+                   .groupBy("r.b", "r.key").agg(F.count(F.lit(1)).alias("c")).collect())
+            per: dict[int, list[tuple[float, int]]] = {}
+            for g in got:
+                per.setdefault(g["b"], []).append((g["key"], g["c"]))
+            for k, b in enumerate(todo):
+                i, lo, hi, below, n_in = b
+                mine = [t for t in targets if t not in found and state[t] == b]
+                pairs = sorted(per.get(k, []))
+                if k not in cuts:  # exact: walk the (value, count) pairs
+                    for t in mine:
+                        cum = below
+                        for val, c in pairs:
+                            if cum <= t[1] < cum + c:
+                                found[t] = val
+                                break
+                            cum += c
+                    continue
+                eq_hi = sum(c for key, c in pairs if key == -1.0)
+                buckets = dict((int(key), c) for key, c in pairs if key != -1.0)
+                edges = [lo] + cuts[k] + [hi]
+                for t in mine:
+                    cum = below
                     for j in range(len(edges) - 1):
-                        total = cum_counts[j] if j < len(cum_counts) else None
-                        if total is None or below + total > r:
-                            state[r] = (edges[j], edges[j + 1], below + prev)
+                        c = buckets.get(j, 0)
+                        if j == len(edges) - 2:
+                            if t[1] >= cum + c and hi is not None:
+                                found[t] = hi  # the rank falls on rows equal to hi
+                            else:
+                                state[t] = (i, edges[j], edges[j + 1], cum, c + eq_hi)
                             break
-                        prev = total
-    out = {}
-    for p in probs:
-        pos = p * (n - 1)
-        a, b = found.get(math.floor(pos)), found.get(math.ceil(pos))
-        out[p] = None if a is None or b is None else a + (b - a) * (pos - math.floor(pos))
-    return out
+                        if cum + c > t[1]:
+                            state[t] = (i, edges[j], edges[j + 1], cum, c)
+                            break
+                        cum += c
+        out: dict[str, dict[float, float | None]] = {}
+        for i, c in enumerate(cols):
+            out[c] = {}
+            for p in probs:
+                if ns[names[i]] == 0:
+                    out[c][p] = None
+                    continue
+                pos = p * (ns[names[i]] - 1)
+                a, b = found.get((i, math.floor(pos))), found.get((i, math.ceil(pos)))
+                out[c][p] = None if a is None or b is None else a + (b - a) * (pos - math.floor(pos))
+        return out
+    finally:
+        vals.unpersist()
 
 
 def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
@@ -168,9 +200,10 @@ def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -
         aggs += [F.percentile_approx(c, [0.25, 0.5, 0.75], 100000).alias(f"{c}::q") for c in cols]
     mom = clean.agg(*aggs)
     rows = []
+    qall = exact_quantiles(clean, cols, [0.25, 0.5, 0.75]) if exact else {}
     for c in cols:
         if exact:
-            q = exact_quantiles(clean, c, [0.25, 0.5, 0.75])
+            q = qall[c]
             q25, q50, q75 = (F.lit(q[p]).cast("double") for p in (0.25, 0.5, 0.75))
         else:
             q25, q50, q75 = (F.col(f"`{c}::q`")[i] for i in range(3))

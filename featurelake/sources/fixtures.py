@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurelake.functions.columns import nan_to_null
-from featurelake.sources.tables import table
+from featurelake.sources.tables import spread, table
 
 FLOWER_FEATURES = ["sepal_length", "sepal_width", "petal_length", "petal_width"]
 
@@ -154,7 +154,7 @@ def purchase_graph(spark: SparkSession, sf_dir: str, min_support: int = 2) -> Da
     is linear in the line items); an edge is kept when at least ``min_support``
     line items back it. Node ids: customer key * 3, part key * 3 + 1, supplier key * 3 + 2.
     """
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     c, p, s = F.col("o_custkey") * 3, F.col("l_partkey") * 3 + 1, F.col("l_suppkey") * 3 + 2

@@ -15,12 +15,35 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "benchmark labels conversations").split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read one of the given tables. ``schema`` skips footer inference on wide deployments."""
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give a scan at least the session's parallelism in partitions.
+
+    A table stored as a few large row groups is read by as many tasks as it has
+    row groups, and everything pipelined behind the scan (projections, broadcast
+    joins, partial aggregates) runs in those few tasks. When the scan has fewer
+    partitions than the default parallelism, rows are redistributed round-robin;
+    otherwise (the normal case on a cluster reading many files) the frame is
+    returned unchanged and no shuffle is added. Filters and column pruning still
+    reach the scan below the repartition.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType | None = None,
+          balance: bool = False) -> DataFrame:
+    """Read one of the given tables. ``schema`` skips footer inference on wide deployments.
+
+    ``balance`` applies ``spread``; CPU-heavy operators call ``spread`` themselves
+    on their (already projected) input instead, so cheap scans pay no shuffle.
+    """
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df) if balance else df
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> str:
