@@ -73,7 +73,8 @@ def split_bad(decoded: DataFrame, value: str = "value") -> tuple[DataFrame, Data
     good = decoded.filter("_valid")
     bad = decoded.filter(~F.col("_valid")).select(
         F.col(value).cast("string").alias("raw_value"),
-        F.when(F.col("m").isNull(), "unparseable").when(F.col("m.entity_id").isNull(), "missing entity_id")
+        F.when(F.col("m").isNull() | F.get_json_object(F.col(value).cast("string"), "$").isNull(), "unparseable")
+         .when(F.col("m.entity_id").isNull(), "missing entity_id")
          .when(F.col("m.feature_data").isNull(), "missing feature_data").otherwise("bad timestamp").alias("reason"))
     return good, bad
 
