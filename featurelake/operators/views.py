@@ -303,3 +303,10 @@ def online_features(entity_rows: DataFrame, online: dict, items: tuple) -> DataF
     for odfv, fs in od:
         out = apply_on_demand(out, odfv, fs)
     return out.select(*entity_rows.columns, *sorted(dict.fromkeys(wanted)))
+
+
+def log_served(served: DataFrame, service: str, served_at, path: str) -> None:
+    """Append served feature rows with the service name and serving time (partitioned by service)."""
+    (served.select("*", F.lit(service).alias("feature_service"),
+                   F.lit(served_at).cast("timestamp_ntz").alias("served_at"))
+     .write.mode("append").partitionBy("feature_service").parquet(path))
