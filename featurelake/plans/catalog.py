@@ -7,6 +7,7 @@ operators) so the result compares exactly with the SQL oracle.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,13 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(name: str):
+    """Register ``fn(spark, sf_dir)``; the session is pinned to UTC first (all feature times are UTC)."""
     def deco(fn):
-        REGISTRY[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+        REGISTRY[name] = run
         return fn
     return deco
 

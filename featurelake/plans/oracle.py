@@ -401,3 +401,13 @@ FROM {X1}"""
 # OLS on a one-hot encoding of a single category (with intercept) fits the per-category means.
 SQL["linreg"] = f"""SELECT round(sqrt(avg((duration - m) * (duration - m))), 4) AS train_rmse, count(*) AS n_train
 FROM (SELECT duration, avg(duration) OVER (PARTITION BY PU_DO) AS m FROM {SPLIT} WHERE split = 'train')"""
+
+SQL["feature_service_v2"] = SQL["on_demand"]
+
+_PUSHED_LATEST = _latest_stats("TRUE", f"(SELECT * FROM {STATS} WHERE event_timestamp <= TIMESTAMP '2024-01-31 00:00:00' "
+                                       f"UNION ALL SELECT * FROM {PUSHED})")
+SQL["online_service_v3"] = f"""
+SELECT c_custkey AS driver_id, CAST(c_nationkey AS BIGINT) AS val_to_add, CAST(c_nationkey * 10 AS BIGINT) AS val_to_add_2,
+  l.acc_rate, l.avg_daily_trips, l.conv_rate, CAST(l.conv_rate + c_nationkey AS DOUBLE) AS conv_rate_plus_val1,
+  CAST(l.conv_rate + c_nationkey * 10 AS DOUBLE) AS conv_rate_plus_val2
+FROM customer LEFT JOIN {_PUSHED_LATEST} l ON c_custkey = l.driver_id"""

@@ -80,3 +80,18 @@ def push_upsert(spark, sf_dir):
     online = vw.materialize_incremental(None, src, repo.STATS_FRESH, None, ONLINE_END)
     _, online2 = vw.push(src, online, pushed_rows(spark, sf_dir), repo.STATS_FRESH)
     return online2
+
+
+@query("feature_service_v2")
+def feature_service_v2(spark, sf_dir):
+    return vw.historical_features(fx.training_entities(spark, sf_dir), _sources(spark, sf_dir),
+                                  repo.ACTIVITY_V2.items)
+
+
+@query("online_service_v3")
+def online_service_v3(spark, sf_dir):
+    """Push fresh rows into the push-sourced view, then read it online through service v3."""
+    src = fx.driver_hourly_stats(spark, sf_dir)
+    online = vw.materialize_incremental(None, src, repo.STATS_FRESH, None, ONLINE_END)
+    _, online2 = vw.push(src, online, pushed_rows(spark, sf_dir), repo.STATS_FRESH)
+    return vw.online_features(_request_rows(spark, sf_dir), {repo.STATS_FRESH.name: online2}, repo.ACTIVITY_V3.items)
