@@ -1,17 +1,21 @@
 """Keep the feature store current from a stream.
 
-``FeatureStoreSink`` is a ``foreachBatch`` function. For micro-batch ``b`` it
-
-1. decodes the messages, sends malformed ones to ``dead_letter/batch_id=b``;
-2. appends the long rows to ``log/batch_id=b`` (overwrite of that one
-   partition, so a replayed batch changes nothing);
-3. merges the batch into the latest-value table and writes it as a new
-   version ``latest/v=b`` (a late message with an older event time is logged
-   but never replaces a newer value, because the merge orders by event time);
-4. upserts catalogue rows for features seen in the batch.
-
-Versions are never overwritten in place while readers may use them; readers
-take the highest version. Old versions can be removed by a compaction job.
+``FeatureStoreSink`` is a ``foreachBatch`` function, log-structured so that a
+micro-batch costs work proportional to the batch, not to the stored state.
+For micro-batch ``b`` it
+
+1. decodes the messages and sends malformed ones to ``dead_letter/batch_id=b``;
+2. writes the long rows to ``log/batch_id=b`` (overwrite of that one partition,
+   so a replayed batch changes nothing);
+3. upserts catalogue rows for the features seen in the batch;
+4. every ``compact_every`` batches, folds the log written since the last
+   snapshot into a new latest-value snapshot ``latest/v=b``.
+
+Reads of the latest values merge the newest snapshot with the log partitions
+after it (partition-pruned on ``batch_id``). The merge orders by event time,
+so a late message with an older event time is logged but never served over a
+newer value. Snapshots are new folders; nothing a reader may be using is
+overwritten in place.
 """
 
 from __future__ import annotations
@@ -50,15 +54,16 @@ def read_latest(spark: SparkSession, latest_path: str, before: int | None = None
 
 
 class FeatureStoreSink:
-    """``foreachBatch`` sink that keeps log, latest values, dead letters and catalogue current."""
+    """``foreachBatch`` sink keeping log, dead letters, catalogue and latest-value snapshots."""
 
-    def __init__(self, root: str, value_col: str = "value"):
+    def __init__(self, root: str, value_col: str = "value", compact_every: int = 8):
         self.root = root
         self.log_path = os.path.join(root, "log")
         self.latest_path = os.path.join(root, "latest")
         self.dead_path = os.path.join(root, "dead_letter")
         self.catalog_path = os.path.join(root, "catalog")
         self.value_col = value_col
+        self.compact_every = max(1, compact_every)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -70,19 +75,37 @@ class FeatureStoreSink:
         bad.write.mode("overwrite").parquet(os.path.join(self.dead_path, f"batch_id={batch_id}"))
 
         written = spark.read.parquet(os.path.join(self.log_path, f"batch_id={batch_id}"))
-        prev = read_latest(spark, self.latest_path, before=batch_id)
-        merged_in = written if prev is None else prev.select(*st.LOG_COLUMNS).unionByName(written)
-        latest = st.latest_long_rows(merged_in)
-        latest.write.mode("overwrite").parquet(os.path.join(self.latest_path, f"v={batch_id}"))
-
         names = written.groupBy("feature_name").agg(F.max("event_ts").alias("at"))
         cat_new = st.describe_stream_features(names, F.col("at"))
         prev_cat = read_latest(spark, self.catalog_path, before=batch_id)
         cat = st.metadata_upsert(prev_cat, cat_new)
         cat.write.mode("overwrite").parquet(os.path.join(self.catalog_path, f"v={batch_id}"))
+        if (batch_id + 1) % self.compact_every == 0:
+            self.compact(spark, upto=batch_id)
+
+    def _merged(self, spark: SparkSession, upto: int | None = None) -> DataFrame | None:
+        """Latest rows: newest snapshot (at or before ``upto``) merged with the log after it."""
+        snaps = [v for v in list_versions(spark, self.latest_path, "v") if upto is None or v <= upto]
+        base = spark.read.parquet(os.path.join(self.latest_path, f"v={snaps[-1]}")) if snaps else None
+        if not list_versions(spark, self.log_path, "batch_id"):
+            return base
+        log = spark.read.parquet(self.log_path)
+        if snaps:
+            log = log.filter(F.col("batch_id") > snaps[-1])
+        if upto is not None:
+            log = log.filter(F.col("batch_id") <= upto)
+        delta = log.select(*st.LOG_COLUMNS)
+        both = delta if base is None else base.select(*st.LOG_COLUMNS).unionByName(delta)
+        return st.latest_long_rows(both)
+
+    def compact(self, spark: SparkSession, upto: int) -> None:
+        """Fold the log up to batch ``upto`` into snapshot ``latest/v=upto`` (idempotent)."""
+        merged = self._merged(spark, upto=upto)
+        if merged is not None:
+            merged.write.mode("overwrite").parquet(os.path.join(self.latest_path, f"v={upto}"))
 
     def latest(self, spark: SparkSession) -> DataFrame | None:
-        return read_latest(spark, self.latest_path)
+        return self._merged(spark)
 
     def log(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.log_path)

@@ -224,7 +224,7 @@ def test_bad_json_goes_to_dead_letter(spark):
 
 def test_sink_replay_is_idempotent_and_late_rows_do_not_win(spark):
     root = tempfile.mkdtemp(prefix="fl-sink-")
-    sink = FeatureStoreSink(os.path.join(root, "store"))
+    sink = FeatureStoreSink(os.path.join(root, "store"), compact_every=2)
     b0 = spark.createDataFrame([(_msg("a", 2.0, T0),)], "value string")
     b1 = spark.createDataFrame([(_msg("a", 1.0, T0 - DAY),)], "value string")  # late, older event time
     sink(b0, 0)
