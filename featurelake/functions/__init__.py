@@ -4,6 +4,7 @@
 from featurelake.functions.columns import (  # noqa: F401
     hash_bucket,
     nan_to_null,
+    quantize,
     row_mean,
     row_sum,
     safe_div,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import add
 
@@ -57,8 +58,24 @@ def hash_bucket(key, buckets: int = 100) -> Column:
     return F.pmod(h, F.lit(buckets))
 
 
+def _bits(digits: int) -> int:
+    return int(math.ceil(digits * math.log2(10)))
+
+
+def quantize(c, digits: int = 6) -> Column:
+    """Round to a multiple of 2^-b with 2^-b just below 10^-digits: ``round(x * 2^b) / 2^b``.
+
+    Scaling by a power of two is exact, so engines that differ only in the last
+    bits of a sum agree after this unless the value sits within that noise of a
+    multiple of 2^-b. Unlike decimal rounding, values that are exact decimal
+    halves (means of decimal data often are) are not ties here.
+    """
+    scale = F.lit(float(2 ** _bits(digits)))
+    return F.round(_c(c).cast("double") * scale) / scale
+
+
 def rounded(df: DataFrame, digits: int = 6, cols: list[str] | None = None) -> DataFrame:
-    """Round floating columns (all, or ``cols``) where engines may differ in the last bits.
+    """Quantize floating columns (all, or ``cols``) where engines may differ in the last bits.
 
     Only results of transcendental functions and of order-dependent aggregates
     need this; exact IEEE arithmetic (+, -, *, /) is left untouched.
@@ -66,7 +83,7 @@ def rounded(df: DataFrame, digits: int = 6, cols: list[str] | None = None) -> Da
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and (cols is None or f.name in cols):
-            out.append(F.round(F.col(f.name).cast("double"), digits).alias(f.name))
+            out.append(quantize(f.name, digits).alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)

@@ -7,7 +7,7 @@ classes squared), regression metrics from one moment pass. Nothing is collected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -79,14 +79,14 @@ def best(runs: DataFrame, metric: str = "rmse", run_id: str = "run_id") -> DataF
 def unit_price_candidates(lines: DataFrame, group: str, value: Column) -> DataFrame:
     """X8/M13 candidates: one constant predictor per group value, scored by RMSE over all rows.
 
-    RMSE of predicting constant p over all rows is sqrt(E[v^2] - 2 p E[v] + p^2),
-    so the global moments come from the per-group sums and no row is paired
-    with any candidate. The window runs over the (small) table of candidates.
+    RMSE of predicting constant p over all rows is sqrt(E[v^2] - 2 p E[v] + p^2):
+    the two global moments are one aggregate (two scalars), the per-group
+    predictions another; no row is ever paired with a candidate.
     """
-    g = lines.groupBy(F.col(group).alias("run_id")).agg(
-        F.count(value).alias("n"), F.sum(value).alias("s1"), F.sum(value * value).alias("s2"))
-    w = Window.partitionBy()
-    tot_n, tot_s1, tot_s2 = F.sum("n").over(w), F.sum("s1").over(w), F.sum("s2").over(w)
-    pred = F.col("s1") / F.col("n")
-    ms = tot_s2 / tot_n - 2 * pred * tot_s1 / tot_n + pred * pred
-    return g.select("run_id", pred.alias("prediction"), F.sqrt(F.greatest(ms, F.lit(0.0))).alias("rmse"))
+    tot = lines.agg(F.count(value).alias("n"), F.sum(value).alias("s1"), F.sum(value * value).alias("s2")).first()
+    if not tot["n"]:
+        return lines.sparkSession.createDataFrame([], "run_id string, prediction double, rmse double")
+    ev, ev2 = F.lit(tot["s1"] / tot["n"]), F.lit(tot["s2"] / tot["n"])
+    g = lines.groupBy(F.col(group).alias("run_id")).agg((F.sum(value) / F.count(value)).alias("prediction"))
+    p = F.col("prediction")
+    return g.select("run_id", "prediction", F.sqrt(F.greatest(ev2 - 2 * p * ev + p * p, F.lit(0.0))).alias("rmse"))

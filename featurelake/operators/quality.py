@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,7 +63,8 @@ def schema_rows(df: DataFrame, dataset: str) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], window: int = 50000,
-                    splits: int = 64, max_rounds: int = 16) -> dict[str, dict[float, float | None]]:
+                    splits: int = 64, max_rounds: int = 16,
+                    moments: bool = False) -> dict[str, dict]:
     """Exact linear-interpolated quantiles (like ``quantile_cont``) by distributed selection.
 
     For every (column, target rank) a value bracket ``(lo, hi]`` with a known
@@ -77,6 +78,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], window:
     counts or ``window`` (value, count) pairs per bracket, whatever the table
     size, so rounds ~ log_splits(n / window). The projected columns are
     persisted once, so rounds re-read executor storage rather than the source.
+    With ``moments=True`` the first pass also returns count, mean, sample std,
+    min and max per column under the keys "count", "mean", "std", "min", "max".
     """
     from pyspark import StorageLevel
 
@@ -86,7 +89,11 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], window:
     vals = spread(df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(n)
                               for c, n in zip(cols, names)])).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        ns = vals.agg(*[F.count(n).alias(n) for n in names]).first()
+        first = [F.count(n).alias(n) for n in names]
+        if moments:
+            first += [e for n in names for e in (F.avg(n).alias(f"{n}_mean"), F.stddev_samp(n).alias(f"{n}_std"),
+                                                 F.min(n).alias(f"{n}_min"), F.max(n).alias(f"{n}_max"))]
+        ns = vals.agg(*first).first()
         targets = {(i, r) for i, n in enumerate(names) if ns[n] > 0
                    for p in probs for r in (math.floor(p * (ns[n] - 1)), math.ceil(p * (ns[n] - 1)))}
         # bracket = (column, lo, hi, rows below lo, rows in (lo, hi]); None = unbounded
@@ -169,9 +176,13 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], window:
                             state[t] = (i, edges[j], edges[j + 1], cum, c)
                             break
                         cum += c
-        out: dict[str, dict[float, float | None]] = {}
+        out: dict[str, dict] = {}
         for i, c in enumerate(cols):
             out[c] = {}
+            if moments:
+                n = names[i]
+                out[c].update({"count": ns[n], "mean": ns[f"{n}_mean"], "std": ns[f"{n}_std"],
+                               "min": ns[f"{n}_min"], "max": ns[f"{n}_max"]})
             for p in probs:
                 if ns[names[i]] == 0:
                     out[c][p] = None
@@ -185,32 +196,33 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], window:
 
 
 def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
-    """A5: count, mean, std (n-1), min, 25/50/75 %, max per numeric column, tidy rows.
+    """A5: count, mean, std (n-1), min, 25/50/75 %, max per numeric column, one row per column.
 
-    Moments come from one aggregate pass. Quantiles are exact by default
-    (distributed selection); ``exact=False`` uses ``percentile_approx``.
+    Exact (default): moments and quantiles come from the persisted projection
+    used by ``exact_quantiles`` (moments ride on its first pass); the summary
+    (a handful of numbers per column) is returned as a small DataFrame.
+    ``exact=False`` is one lazy aggregate with ``percentile_approx``.
     """
     cols = cols or numeric_columns(df)
+    schema = ("column_name string, count bigint, mean double, std double, min double, p25 double, p50 double, "
+              "p75 double, max double")
+    if exact:
+        q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], moments=True)
+        rows = [(c, q[c]["count"], q[c]["mean"], q[c]["std"], q[c]["min"], q[c][0.25], q[c][0.5], q[c][0.75],
+                 q[c]["max"]) for c in cols]
+        return df.sparkSession.createDataFrame(rows, schema)
     clean = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in cols])
     aggs = []
     for c in cols:
         aggs += [F.count(c).alias(f"{c}::count"), F.avg(c).alias(f"{c}::mean"), F.stddev_samp(c).alias(f"{c}::std"),
-                 F.min(c).alias(f"{c}::min"), F.max(c).alias(f"{c}::max")]
-    if not exact:
-        aggs += [F.percentile_approx(c, [0.25, 0.5, 0.75], 100000).alias(f"{c}::q") for c in cols]
+                 F.min(c).alias(f"{c}::min"), F.max(c).alias(f"{c}::max"),
+                 F.percentile_approx(c, [0.25, 0.5, 0.75], 100000).alias(f"{c}::q")]
     mom = clean.agg(*aggs)
-    rows = []
-    qall = exact_quantiles(clean, cols, [0.25, 0.5, 0.75]) if exact else {}
-    for c in cols:
-        if exact:
-            q = qall[c]
-            q25, q50, q75 = (F.lit(q[p]).cast("double") for p in (0.25, 0.5, 0.75))
-        else:
-            q25, q50, q75 = (F.col(f"`{c}::q`")[i] for i in range(3))
-        rows.append(F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}::count`").alias("count"),
-                             F.col(f"`{c}::mean`").alias("mean"), F.col(f"`{c}::std`").alias("std"),
-                             F.col(f"`{c}::min`").alias("min"), q25.alias("p25"), q50.alias("p50"),
-                             q75.alias("p75"), F.col(f"`{c}::max`").alias("max")))
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}::count`").alias("count"),
+                     F.col(f"`{c}::mean`").alias("mean"), F.col(f"`{c}::std`").alias("std"),
+                     F.col(f"`{c}::min`").alias("min"), F.col(f"`{c}::q`")[0].alias("p25"),
+                     F.col(f"`{c}::q`")[1].alias("p50"), F.col(f"`{c}::q`")[2].alias("p75"),
+                     F.col(f"`{c}::max`").alias("max")) for c in cols]
     return mom.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
@@ -229,16 +241,18 @@ def mean_drift(df: DataFrame, period_col: str, reference: str = "reference", cur
         aggs += [F.avg(F.when(p == reference, F.col(c))).alias(f"{c}::ref"),
                  F.avg(F.when(p == current, F.col(c))).alias(f"{c}::cur")]
     one = df.agg(*aggs)
+
+    def pct(c: str) -> Column:
+        ref, cur = F.col(f"`{c}::ref`"), F.col(f"`{c}::cur`")
+        return F.when(ref != 0, F.abs((cur - ref) / ref) * 100).otherwise(F.lit(0.0))
+
+    # the count of drifted columns is computed on the same single aggregate row
+    n_drift = sum((F.coalesce((pct(c) > threshold_pct).cast("int"), F.lit(0)) for c in cols), F.lit(0))
     rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}::ref`").alias("reference_mean"),
-                     F.col(f"`{c}::cur`").alias("current_mean")) for c in cols]
-    out = one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    pct = F.when(F.col("reference_mean") != 0,
-                 F.abs((F.col("current_mean") - F.col("reference_mean")) / F.col("reference_mean")) * 100
-                 ).otherwise(F.lit(0.0))
-    out = out.withColumn("drift_percentage", pct).withColumn("drift_detected", F.col("drift_percentage") > threshold_pct)
-    # one row per compared column: the un-partitioned window runs over a handful of rows
-    n = F.sum(F.col("drift_detected").cast("int")).over(Window.partitionBy())
-    return out.withColumn("drifted_features", n.cast("bigint"))
+                     F.col(f"`{c}::cur`").alias("current_mean"), pct(c).alias("drift_percentage"),
+                     (pct(c) > threshold_pct).alias("drift_detected")) for c in cols]
+    return one.select(F.explode(F.array(*rows)).alias("r"), n_drift.cast("bigint").alias("drifted_features")) \
+        .select("r.*", "drifted_features")
 
 
 def report_rows(report: DataFrame, validated_at, ttl_seconds: int = 3600) -> DataFrame:

@@ -6,6 +6,8 @@ semantics in plain SQL over the pre-registered table views.
 
 from __future__ import annotations
 
+import math
+
 X1 = """(SELECT l_quantity AS sepal_length, l_tax AS sepal_width, l_extendedprice AS petal_length,
         l_discount AS petal_width,
         CAST(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 WHEN 'R' THEN 2 END AS INTEGER) AS target
@@ -26,7 +28,7 @@ ENGINEERED = f"""(SELECT sepal_length, sepal_width, petal_length, petal_width, t
 
 
 def r(expr: str, digits: int = 6, name: str | None = None) -> str:
-    return f"round(CAST({expr} AS DOUBLE), {digits}) AS {name or expr}"
+    return f"round({expr}, {digits}) AS {name or expr}"
 
 
 SQL: dict[str, str] = {}
@@ -411,3 +413,40 @@ SELECT c_custkey AS driver_id, CAST(c_nationkey AS BIGINT) AS val_to_add, CAST(c
   l.acc_rate, l.avg_daily_trips, l.conv_rate, CAST(l.conv_rate + c_nationkey AS DOUBLE) AS conv_rate_plus_val1,
   CAST(l.conv_rate + c_nationkey * 10 AS DOUBLE) AS conv_rate_plus_val2
 FROM customer LEFT JOIN {_PUSHED_LATEST} l ON c_custkey = l.driver_id"""
+
+
+# ---------------------------------------------------------------- quantized rounding
+# Every round(x, d) above is evaluated as round(x * 2^b) / 2^b with 2^-b just below
+# 10^-d, the same quantization the Spark side applies (functions.columns.quantize).
+
+def _quantize_sql(sql: str) -> str:
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, comma = 0, j + 6, None
+        while True:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                if depth == 0:
+                    break
+                depth -= 1
+            elif ch == "," and depth == 0:
+                comma = k
+            k += 1
+        inner = _quantize_sql(sql[j + 6:comma])
+        digits = int(sql[comma + 1:k])
+        scale = float(2 ** int(math.ceil(digits * math.log2(10))))
+        out.append(sql[i:j] + f"(round(CAST({inner} AS DOUBLE) * {scale!r}) / {scale!r})")
+        i = k + 1
+
+
+SQL = {k: _quantize_sql(v) for k, v in SQL.items()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from featurelake.functions.columns import rounded, safe_div
+from featurelake.functions.columns import quantize, rounded, safe_div
 from featurelake.operators import metrics as mt
 from featurelake.operators import transform as tr
 from featurelake.plans.catalog import query
@@ -20,7 +20,7 @@ def class_metrics(spark, sf_dir):
 @query("regression_metrics")
 def regression_metrics(spark, sf_dir):
     m = mt.regression_metrics(fx.regression_predictions(spark, sf_dir))
-    return m.select(F.round("r2", 9).alias("r2"), F.round("mse", 4).alias("mse"), F.round("rmse", 6).alias("rmse"))
+    return m.select(quantize("r2", 9).alias("r2"), quantize("mse", 4).alias("mse"), quantize("rmse", 6).alias("rmse"))
 
 
 @query("residuals")

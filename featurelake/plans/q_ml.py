@@ -7,7 +7,7 @@ import os
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from featurelake.functions.columns import rounded
+from featurelake.functions.columns import quantize, rounded
 from featurelake.operators import metrics as mt
 from featurelake.operators import models as ml
 from featurelake.operators import store as st
@@ -63,7 +63,7 @@ def linreg(spark, sf_dir):
     model = ml.linear_regression(x)
     pred = model.transform(x)
     err = F.col("prediction") - F.col("label")
-    return pred.agg(F.round(F.sqrt(F.avg(err * err)), 4).alias("train_rmse"), F.count(F.lit(1)).alias("n_train"))
+    return pred.agg(quantize(F.sqrt(F.avg(err * err)), 4).alias("train_rmse"), F.count(F.lit(1)).alias("n_train"))
 
 
 @query("random_forest")
