@@ -96,3 +96,23 @@ def save(model: PipelineModel, path: str) -> str:
 
 def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def retrain_and_select(trials: DataFrame, train: DataFrame, val: DataFrame, test: DataFrame, top: int = 5,
+                       features: str = "features", label: str = "label", select_on: str = "val_rmse",
+                       seed: int = 42) -> DataFrame:
+    """Refit the ``top`` best trials, score them on validation and test, rank by ``select_on``.
+
+    The reference picks on the test split; ``select_on`` makes that a choice
+    (validation by default). Returns one row per candidate, best first.
+    """
+    best = trials.orderBy("val_rmse", "trial").limit(top).collect()  # at most ``top`` parameter rows
+    rows = []
+    for t in best:
+        m = random_forest(train, features, label, num_trees=t["num_trees"], max_depth=t["max_depth"],
+                          min_instances=t["min_instances"], seed=seed)
+        rows.append((t["trial"], t["max_depth"], t["num_trees"], t["min_instances"],
+                     rmse(m.transform(val), label), rmse(m.transform(test), label)))
+    out = train.sparkSession.createDataFrame(
+        rows, "trial int, max_depth int, num_trees int, min_instances int, val_rmse double, test_rmse double")
+    return out.orderBy(select_on, "trial")

@@ -79,3 +79,8 @@ def active_category(encoded: DataFrame, column: str) -> Column:
     arr = vector_to_array(F.col(f"{column}__vec"))
     pos = F.array_position(arr, F.lit(1.0))
     return F.when(pos > 0, pos - 1).cast("bigint")
+
+
+def hash_bucket_col(key: str, buckets: int = 100) -> Column:
+    """The md5 bucket in [0, buckets) used by ``hash_split`` (for further deterministic splits)."""
+    return hash_bucket(key, buckets)

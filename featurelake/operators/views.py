@@ -18,6 +18,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SIDE_FEATURE, _SIDE_ENTITY = 0, 1
 
@@ -29,6 +30,34 @@ class Entity:
     keys: tuple[str, ...]
 
 
+@dataclass(frozen=True)
+class FileSource:
+    """A Parquet batch source with its event-time and created-time columns."""
+    path: str
+    timestamp_field: str = "event_timestamp"
+    created_field: str | None = "created"
+    schema: T.StructType | None = None
+
+    def read(self, spark) -> DataFrame:
+        reader = spark.read if self.schema is None else spark.read.schema(self.schema)
+        return reader.parquet(self.path)
+
+
+@dataclass(frozen=True)
+class RequestSource:
+    """Values known only at request time, as typed columns of the caller's frame."""
+    name: str
+    schema: T.StructType
+
+    def check(self, df: DataFrame) -> DataFrame:
+        """Cast request columns to the declared types; raise when one is missing."""
+        missing = [f.name for f in self.schema.fields if f.name not in df.columns]
+        if missing:
+            raise ValueError(f"request source {self.name} misses columns {missing}")
+        types = {f.name: f.dataType for f in self.schema.fields}
+        return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+
+
 @dataclass(frozen=True)
 class FeatureView:
     """Keyed features from a time-stamped source, valid for ``ttl`` after their event time."""
@@ -45,6 +74,13 @@ class FeatureView:
     def keys(self) -> tuple[str, ...]:
         return self.entity.keys
 
+    def schema(self, types: dict[str, T.DataType] | None = None) -> T.StructType:
+        """The view's fields as a StructType; descriptions and tags ride in field metadata."""
+        types = types or {}
+        return T.StructType([T.StructField(f, types.get(f, T.DoubleType()), True,
+                                           {"description": self.descriptions.get(f, ""), "view": self.name,
+                                            "tags": dict(self.tags)}) for f in self.features])
+
     def select(self, *names: str) -> "FeatureRef":
         """Sub-select fields, e.g. ``view.select("conv_rate")``."""
         unknown = [n for n in names if n not in self.features]
@@ -310,3 +346,23 @@ def log_served(served: DataFrame, service: str, served_at, path: str) -> None:
     (served.select("*", F.lit(service).alias("feature_service"),
                    F.lit(served_at).cast("timestamp_ntz").alias("served_at"))
      .write.mode("append").partitionBy("feature_service").parquet(path))
+
+
+def apply_on_demand_pandas(df: DataFrame, fn, outputs: T.StructType) -> DataFrame:
+    """F1 for opaque pandas code: ``fn(pandas.DataFrame) -> pandas.DataFrame`` of the ``outputs`` columns.
+
+    Runs per Arrow batch with ``mapInPandas`` (no per-row Python); the result
+    columns are appended to the input row. Prefer ``OnDemandView`` (Column
+    expressions, stays in codegen) when the transform can be written that way.
+    """
+    out_schema = T.StructType(df.schema.fields + outputs.fields)
+    names = [f.name for f in outputs.fields]
+
+    def run(batches):
+        for pdf in batches:
+            res = fn(pdf)
+            for n in names:
+                pdf[n] = res[n].values
+            yield pdf
+
+    return df.mapInPandas(run, out_schema)

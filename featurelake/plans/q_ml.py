@@ -88,3 +88,13 @@ def batch_score(spark, sf_dir):
     scored = ml.load(path).transform(df.filter(F.col("split") == "test"))
     out = scored.select("row_key", F.col("prediction").alias("predicted_target"))
     return st.melt(out, key="row_key", values=["predicted_target"], prefix="test_sample_", event_ts="2024-01-31 00:00:00")
+
+
+@query("model_selection")
+def model_selection(spark, sf_dir):
+    df = _learnable_split(spark, sf_dir).withColumn("part", tp.hash_bucket_col("row_key"))
+    train = df.filter(F.col("split") == "train")
+    val, test = train.filter(F.col("part") < 10), df.filter(F.col("split") == "test")
+    fit = train.filter(F.col("part") >= 10)
+    trials = ml.hyper_search(fit, label="y", trials=4, depth=(2, 8), trees=(10, 30))
+    return ml.retrain_and_select(trials, fit, val, test, top=2, label="y")

@@ -88,3 +88,35 @@ def fan_out(good: DataFrame, ingest_ts: Column | None = None, seq: Column | None
                        ing.cast("timestamp_ntz").alias("ingest_ts"), sq.cast("bigint").alias("seq"),
                        F.explode("m.feature_data").alias("feature_name", "feature_value"))
     return rows.select("entity_id", "feature_name", "feature_value", "event_ts", "ingest_ts", "seq")
+
+
+def update_stream(spark, source: str = "kafka", **options) -> DataFrame:
+    """A stream of update messages with a string ``value`` (and ``key`` when the source has one).
+
+    ``source="kafka"`` reads the topic from its latest offsets by default
+    (``subscribe`` and ``kafka.bootstrap.servers`` come in ``options``); a file
+    source (``"text"``/``"json"``) takes ``path`` and serves tests and replays.
+    """
+    if source == "kafka":
+        opts = {"startingOffsets": "latest", **options}
+        raw = spark.readStream.format("kafka").options(**opts).load()
+        return raw.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
+                          F.col("timestamp").alias("ingest_ts"))
+    path = options.pop("path")
+    return spark.readStream.options(**options).schema("value string").format("text").load(path)
+
+
+def publish(envelopes: DataFrame, sink: str = "kafka", checkpoint: str | None = None, **options):
+    """Write (key, value) envelopes; keyed by entity so the topic partitions by entity.
+
+    Works for batch and streaming frames. Delivery guarantees come from the
+    sink (Kafka idempotent producer settings pass through ``options``, e.g.
+    ``kafka.acks=all``) and, for streams, the checkpoint.
+    """
+    if envelopes.isStreaming:
+        w = envelopes.writeStream.format(sink).options(**options)
+        if checkpoint:
+            w = w.option("checkpointLocation", checkpoint)
+        return w.start()
+    envelopes.write.format(sink).options(**options).mode("append").save()
+    return None

@@ -235,3 +235,46 @@ def test_sink_replay_is_idempotent_and_late_rows_do_not_win(spark):
     assert sink.log(spark).count() == 2  # both logged once, replay changed nothing
     cat = sink.catalog(spark).collect()
     assert [(r["feature_name"], r["description"]) for r in cat] == [("t", "Real-time updated feature: t")]
+
+
+# ---------------------------------------------------------------- declarative API pieces
+
+def test_request_source_and_schema_metadata(spark):
+    from pyspark.sql import types as T
+    rs = vw.RequestSource("vals_to_add", T.StructType([T.StructField("val_to_add", T.LongType()),
+                                                       T.StructField("val_to_add_2", T.LongType())]))
+    df = spark.createDataFrame([(1, 2.0, 3.0)], "driver_id long, val_to_add double, val_to_add_2 double")
+    assert rs.check(df).schema["val_to_add"].dataType == T.LongType()
+    with pytest.raises(ValueError):
+        rs.check(df.drop("val_to_add"))
+    sch = repo.STATS.schema({"avg_daily_trips": T.LongType()})
+    assert sch["avg_daily_trips"].metadata["description"] == "Average daily trips"
+    assert sch["conv_rate"].metadata["tags"] == {"team": "driver_performance"}
+
+
+def test_pandas_on_demand_matches_column_version(spark):
+    from pyspark.sql import types as T
+    df = spark.createDataFrame([(1, 0.5, 1, 10), (2, None, 2, 20)],
+                               "driver_id long, conv_rate double, val_to_add long, val_to_add_2 long")
+
+    def plus(pdf):
+        import pandas as pd
+        out = pd.DataFrame()
+        out["conv_rate_plus_val1"] = pdf["conv_rate"] + pdf["val_to_add"]
+        out["conv_rate_plus_val2"] = pdf["conv_rate"] + pdf["val_to_add_2"]
+        return out
+
+    outs = T.StructType([T.StructField("conv_rate_plus_val1", T.DoubleType()),
+                         T.StructField("conv_rate_plus_val2", T.DoubleType())])
+    a = {r["driver_id"]: r for r in vw.apply_on_demand_pandas(df, plus, outs).collect()}
+    b = {r["driver_id"]: r for r in vw.apply_on_demand(df, repo.TRANSFORMED).collect()}
+    assert a[1]["conv_rate_plus_val1"] == b[1]["conv_rate_plus_val1"] == 1.5
+    assert b[2]["conv_rate_plus_val2"] is None
+
+
+def test_schema_check_detects_drift(spark):
+    df = spark.createDataFrame([(1.0, 2.0)], "a double, b double")
+    assert tr.check_schema(df, df.schema.json()) is df
+    with pytest.raises(ValueError):
+        tr.check_schema(df.drop("b"), df.schema)
+    assert tr.schema_diff(df.withColumn("b", F.col("b").cast("int")), df.schema) == ["type of b: int != double"]
