@@ -144,45 +144,56 @@ def _micros(c: Column) -> Column:
 
 def point_in_time_join(entities: DataFrame, source: DataFrame, view: FeatureView,
                        features: tuple[str, ...] | None = None, entity_ts: str = "event_timestamp",
-                       buckets_per_ttl: int = 1, full_names: bool = False) -> DataFrame:
+                       buckets_per_ttl: int = 4, full_names: bool = False) -> DataFrame:
     """Leakage-free as-of left join with TTL. Keeps every entity row exactly once.
 
-    ``buckets_per_ttl`` = k splits each key's timeline into buckets of ttl/k;
-    feature rows are copied into the k+1 buckets whose entity rows may see them,
-    so one hot key spreads over many tasks at a copy cost of k+1.
+    Time is cut into buckets of ttl/k (k = ``buckets_per_ttl``). A feature row
+    visible at entity time t (t - ttl <= ts <= t) lies in t's bucket or in one of
+    the k buckets before it, and the newest such row is either in t's own bucket
+    or is the newest row of one of those earlier buckets. So each window
+    partition (key, bucket) gets its own feature rows, one "carry" row per
+    earlier bucket (the newest row of each of the k previous buckets, from a
+    partial ``max_by`` aggregate), and its entity rows; ``last(ignorenulls)``
+    over (ts, side, created) then gives the as-of row, and a TTL check finishes.
+
+    Feature rows are shuffled once (no copies); a key holding a large share of
+    the rows is split into one window partition per bucket, and a larger k
+    splits it further at the cost of k carry rows per non-empty bucket.
+    Without a TTL (unbounded look-back) each key is one timeline.
     """
     features = tuple(features or view.features)
     keys = list(view.keys)
     ts, created = view.timestamp_field, view.created_field
     ent_cols = entities.columns
     t_ent = F.col(entity_ts).cast("timestamp_ntz")
-
-    feat_payload = F.struct(*[F.col(ts).cast("timestamp_ntz").alias("__ts"),
-                              *[F.col(f).alias(f) for f in features]])
-    ent_payload = F.struct(*[F.col(c) for c in ent_cols])
     created_c = F.col(created).cast("timestamp_ntz") if created else F.lit(None).cast("timestamp_ntz")
 
+    feat = source.select(*[F.col(c) for c in keys], F.col(ts).cast("timestamp_ntz").alias("__t"),
+                         created_c.alias("__created"),
+                         F.struct(F.col(ts).cast("timestamp_ntz").alias("__ts"),
+                                  *[F.col(f).alias(f) for f in features]).alias("__f"))
     if view.ttl is not None:
         k = max(1, int(buckets_per_ttl))
         width = max(1, int(view.ttl / timedelta(microseconds=1)) // k)
+        feat = feat.withColumn("__b", F.floor(_micros(F.col("__t")) / F.lit(width)).cast("bigint"))
         ent_bucket = F.floor(_micros(t_ent) / F.lit(width)).cast("bigint")
-        feat_bucket = F.floor(_micros(F.col("__t")) / F.lit(width)).cast("bigint") + F.col("__j")
-        copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(k).cast("bigint")))
+        newest = feat.groupBy(*keys, "__b").agg(
+            F.max_by(F.struct("__t", "__created", "__f"), F.struct("__t", "__created")).alias("__n"))
+        carry = (newest.select(*keys, "__b", "__n.__t", "__n.__created", "__n.__f",
+                               F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(k).cast("bigint"))).alias("__j"))
+                 .withColumn("__b", F.col("__b") + F.col("__j")).drop("__j"))
+        feat_rows = feat.unionByName(carry)
     else:  # unbounded look-back: one timeline per key
         ent_bucket = F.lit(0).cast("bigint")
-        feat_bucket = F.col("__j")
-        copies = F.lit(0).cast("bigint")
-
-    f_rows = source.select(*[F.col(c) for c in keys], F.col(ts).cast("timestamp_ntz").alias("__t"),
-                           F.lit(_SIDE_FEATURE).alias("__side"), created_c.alias("__created"),
-                           F.lit(None).cast(entities.select(ent_payload.alias("e")).schema["e"].dataType).alias("__e"),
-                           feat_payload.alias("__f"), copies.alias("__j"))
-    f_rows = f_rows.withColumn("__b", feat_bucket).drop("__j")
+        feat_rows = feat.withColumn("__b", F.lit(0).cast("bigint"))
+
+    e_type = entities.select(F.struct(*[F.col(c) for c in ent_cols]).alias("e")).schema["e"].dataType
+    f_rows = feat_rows.select(*keys, "__t", F.lit(_SIDE_FEATURE).alias("__side"), "__created",
+                              F.lit(None).cast(e_type).alias("__e"), "__f", "__b")
     e_rows = entities.select(*[F.col(c) for c in keys], t_ent.alias("__t"),
                              F.lit(_SIDE_ENTITY).alias("__side"), F.lit(None).cast("timestamp_ntz").alias("__created"),
-                             ent_payload.alias("__e"),
-                             F.lit(None).cast(source.select(feat_payload.alias("f")).schema["f"].dataType).alias("__f"),
-                             ent_bucket.alias("__b"))
+                             F.struct(*[F.col(c) for c in ent_cols]).alias("__e"),
+                             F.lit(None).cast(feat.schema["__f"].dataType).alias("__f"), ent_bucket.alias("__b"))
     both = f_rows.unionByName(e_rows)
     w = (Window.partitionBy(*keys, "__b").orderBy("__t", "__side", "__created")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))

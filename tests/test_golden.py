@@ -74,7 +74,8 @@ def test_pit_bucket_split_matches_single_bucket(spark):
     stats, e = _stats(spark, rows), _entities(spark, ents)
     a = _pit(spark, stats, e, buckets_per_ttl=1)
     b = _pit(spark, stats, e.repartition(5), buckets_per_ttl=4)
-    assert a == b and len(a) == 200
+    c = _pit(spark, stats.repartition(3), e, buckets_per_ttl=8)
+    assert a == b == c and len(a) == 200
     # brute force
     for rid, key, t in ents:
         cands = [r for r in rows if r[0] == key and t - DAY <= r[1] <= t]
@@ -278,3 +279,12 @@ def test_schema_check_detects_drift(spark):
     with pytest.raises(ValueError):
         tr.check_schema(df.drop("b"), df.schema)
     assert tr.schema_diff(df.withColumn("b", F.col("b").cast("int")), df.schema) == ["type of b: int != double"]
+
+
+def test_pit_without_ttl_looks_back_without_limit(spark):
+    from dataclasses import replace
+    view = replace(repo.STATS, ttl=None)
+    stats = _stats(spark, [(1, T0 - 30 * DAY, T0, 0.1, 1.0, 1), (2, T0 + US, T0, 0.2, 1.0, 1)])
+    ents = _entities(spark, [(1, 1, T0), (2, 2, T0)])
+    got = {r["request_id"]: r for r in vw.point_in_time_join(ents, stats, view).collect()}
+    assert got[1]["conv_rate"] == 0.1 and got[2]["conv_rate"] is None
