@@ -84,3 +84,18 @@ def active_category(encoded: DataFrame, column: str) -> Column:
 def hash_bucket_col(key: str, buckets: int = 100) -> Column:
     """The md5 bucket in [0, buckets) used by ``hash_split`` (for further deterministic splits)."""
     return hash_bucket(key, buckets)
+
+
+def trip_prep_observed(df: DataFrame, pickup: str, dropoff: str, name: str = "trip_counts", **kw):
+    """A10 without a second scan: (prepared frame, Observation).
+
+    The row counts before and after the duration filter are collected by
+    ``observe`` while the prepared frame is written (or otherwise consumed);
+    read them with ``obs.get`` after that action.
+    """
+    from pyspark.sql import Observation
+
+    obs_in, obs_out = Observation(name + "_before"), Observation(name + "_after")
+    src = df.observe(obs_in, F.count(F.lit(1)).alias("rows_before"))
+    out = trip_prep(src, pickup, dropoff, **kw).observe(obs_out, F.count(F.lit(1)).alias("rows_after"))
+    return out, (obs_in, obs_out)

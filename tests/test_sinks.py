@@ -48,3 +48,13 @@ def test_report_retention(spark):
     rows = qa.report_rows(rep, dt.datetime(2024, 1, 1, 0, 0, 0))
     assert qa.live_reports(rows, dt.datetime(2024, 1, 1, 0, 59, 59)).count() == rep.count()
     assert qa.live_reports(rows, dt.datetime(2024, 1, 1, 1, 0, 0)).count() == 0
+
+
+def test_trip_counts_observed_while_writing(spark):
+    d = tempfile.mkdtemp(prefix="fl-obs-")
+    out, (before, after) = tp.trip_prep_observed(fx.trips(spark, SF_SMALL), "pickup_datetime", "dropoff_datetime",
+                                                 unit="days")
+    write_parquet(out, os.path.join(d, "prepared"))
+    want = tp.trip_counts(fx.trips(spark, SF_SMALL), "pickup_datetime", "dropoff_datetime", unit="days").first()
+    assert before.get["rows_before"] == want["rows_before"]
+    assert after.get["rows_after"] == want["rows_after"]
