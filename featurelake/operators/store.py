@@ -63,8 +63,8 @@ def _select_log(log: DataFrame, features: list[str] | None, entities: DataFrame
         log = log.filter(F.col("feature_name").isin(list(features)))
     if as_of is not None:
         log = log.filter(F.col("event_ts") <= _ts(as_of))
-    if entities is not None:
-        ent = entities.select(F.col(entities.columns[0]).cast("string").alias("entity_id")).distinct()
+    if entities is not None:  # a semi join needs no distinct: each log row is kept at most once
+        ent = entities.select(F.col(entities.columns[0]).cast("string").alias("entity_id"))
         log = log.join(ent, "entity_id", "left_semi")
     return log
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -63,5 +64,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediate tables, under the shared checkpoint folder."""
     base = checkpoint_dir(spark)
-    path = os.path.join(base, "tables", name + "-" + next(tempfile._get_candidate_names()))
-    return path
+    return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
