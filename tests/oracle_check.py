@@ -113,8 +113,13 @@ if __name__ == "__main__":
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     ks = sys.argv[2:] or None
-    sp = build_session(os.environ.get("ORACLE_MASTER", "local[8]"),
-                       shuffle_partitions=int(os.environ.get("ORACLE_SHUFFLE", "8")))
+    if os.environ.get("ORACLE_PLAIN"):  # a session with Spark's own defaults, as a driver might build it
+        from pyspark.sql import SparkSession
+
+        sp = SparkSession.builder.master(os.environ.get("ORACLE_MASTER", "local[8]")).getOrCreate()
+    else:
+        sp = build_session(os.environ.get("ORACLE_MASTER", "local[8]"),
+                           shuffle_partitions=int(os.environ.get("ORACLE_SHUFFLE", "8")))
     res = compare(sp, sf, ks)
     bad = {k: v for k, v in res.items() if not (v.startswith("OK") or v.startswith("rows-only"))}
     print(f"{len(res) - len(bad)}/{len(res)} ok")
