@@ -3,6 +3,7 @@
 
 from featurelake.functions.columns import (  # noqa: F401
     hash_bucket,
+    literal_frame,
     nan_to_null,
     quantize,
     row_mean,

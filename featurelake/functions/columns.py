@@ -87,3 +87,17 @@ def rounded(df: DataFrame, digits: int = 6, cols: list[str] | None = None) -> Da
         else:
             out.append(F.col(f.name))
     return df.select(*out)
+
+
+def literal_frame(spark, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
+    """A small DataFrame from driver-side values (summaries, trial tables), built JVM-side.
+
+    The rows become literals of one exploded array, so no Python worker is
+    started; meant for results whose size is bounded by parameters or columns.
+    """
+    if isinstance(schema, str):
+        schema = spark.createDataFrame([], schema).schema
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)]) for r in rows]
+    return spark.range(1).select(F.explode(F.array(*structs)).alias("r")).select("r.*")

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from featurelake.functions.columns import literal_frame
+
 
 def confusion(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
     return df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(
@@ -85,7 +87,7 @@ def unit_price_candidates(lines: DataFrame, group: str, value: Column) -> DataFr
     """
     tot = lines.agg(F.count(value).alias("n"), F.sum(value).alias("s1"), F.sum(value * value).alias("s2")).first()
     if not tot["n"]:
-        return lines.sparkSession.createDataFrame([], "run_id string, prediction double, rmse double")
+        return literal_frame(lines.sparkSession, [], "run_id string, prediction double, rmse double")
     ev, ev2 = F.lit(tot["s1"] / tot["n"]), F.lit(tot["s2"] / tot["n"])
     g = lines.groupBy(F.col(group).alias("run_id")).agg((F.sum(value) / F.count(value)).alias("prediction"))
     p = F.col("prediction")

@@ -21,6 +21,8 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from featurelake.functions.columns import literal_frame
+
 
 def feature_pipeline(cols: list[str], k: int | None = None, with_pca: bool = True) -> Pipeline:
     """M1–M4: assemble, standardise (mean 0, sample std 1), optional PCA with k = min(10, #features).
@@ -84,7 +86,7 @@ def hyper_search(train: DataFrame, features: str = "features", label: str = "lab
     rows = [(i, pm[rf.maxDepth], pm[rf.numTrees], pm[rf.minInstancesPerNode], float(m))
             for i, (pm, m) in enumerate(zip(sample, model.validationMetrics))]
     spark = train.sparkSession
-    return spark.createDataFrame(rows, "trial int, max_depth int, num_trees int, min_instances int, val_rmse double") \
+    return literal_frame(spark, rows, "trial int, max_depth int, num_trees int, min_instances int, val_rmse double") \
         .orderBy("val_rmse", "trial")
 
 
@@ -113,6 +115,6 @@ def retrain_and_select(trials: DataFrame, train: DataFrame, val: DataFrame, test
                           min_instances=t["min_instances"], seed=seed)
         rows.append((t["trial"], t["max_depth"], t["num_trees"], t["min_instances"],
                      rmse(m.transform(val), label), rmse(m.transform(test), label)))
-    out = train.sparkSession.createDataFrame(
-        rows, "trial int, max_depth int, num_trees int, min_instances int, val_rmse double, test_rmse double")
+    out = literal_frame(train.sparkSession, rows,
+                        "trial int, max_depth int, num_trees int, min_instances int, val_rmse double, test_rmse double")
     return out.orderBy(select_on, "trial")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from featurelake.functions.columns import literal_frame
 from featurelake.operators.transform import numeric_columns
 
 _FIXED_WIDTH = {T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
@@ -58,8 +59,8 @@ def schema_rows(df: DataFrame, dataset: str) -> DataFrame:
     """A3: column types as rows. Built from the schema (metadata, no scan of the data)."""
     spark = df.sparkSession
     rows = [(dataset, i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "dataset string, position int, column_name string, data_type string, "
-                                       "nullable boolean")
+    return literal_frame(spark, rows, "dataset string, position int, column_name string, data_type string, "
+                                      "nullable boolean")
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], window: int = 50000,
@@ -105,6 +106,14 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], window:
         def lit(x: float) -> str:
             return f"CAST({x!r} AS DOUBLE)"
 
+        def bucket_of(v: str, cs: list[float], lo: int, hi: int) -> str:
+            """Number of cut points below v, as a balanced CASE tree (log2 comparisons, codegen-friendly)."""
+            if lo == hi:
+                return str(lo)
+            mid = (lo + hi) // 2
+            return (f"CASE WHEN {v} <= {lit(cs[mid])} THEN {bucket_of(v, cs, lo, mid)} "
+                    f"ELSE {bucket_of(v, cs, mid + 1, hi)} END")
+
         def inside(i, lo, hi) -> str:
             c = f"{names[i]} IS NOT NULL"
             if lo is not None:
@@ -134,18 +143,17 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], window:
             for k, (i, lo, hi, _, _) in enumerate(todo):
                 v = names[i]
                 if k in cuts:
-                    arr = f"array({', '.join(lit(c) for c in cuts[k])})" if cuts[k] else "CAST(array() AS ARRAY<DOUBLE>)"
-                    bucket = f"CAST(size(filter({arr}, c -> c < {v})) AS DOUBLE)"
+                    bucket = f"CAST({bucket_of(v, cuts[k], 0, len(cuts[k]))} AS DOUBLE)"
                     key = f"CASE WHEN {v} = {lit(hi)} THEN -1.0D ELSE {bucket} END" if hi is not None else bucket
                 else:
                     key = v
                 recs.append(f"CASE WHEN {inside(i, lo, hi)} THEN named_struct('b', {k}, 'key', {key}) END")
             tagged = F.expr(f"filter(array({', '.join(recs)}), x -> x IS NOT NULL)")
             got = (vals.select(F.explode(tagged).alias("r"))
-                   .groupBy("r.b", "r.key").agg(F.count(F.lit(1)).alias("c")).collect())
+                   .groupBy("r.b", "r.key").agg(F.count(F.lit(1)).alias("c")).toPandas())
             per: dict[int, list[tuple[float, int]]] = {}
-            for g in got:
-                per.setdefault(g["b"], []).append((g["key"], g["c"]))
+            for b_, key_, c_ in zip(got["b"].tolist(), got["key"].tolist(), got["c"].tolist()):
+                per.setdefault(int(b_), []).append((float(key_), int(c_)))
             for k, b in enumerate(todo):
                 i, lo, hi, below, n_in = b
                 mine = [t for t in targets if t not in found and state[t] == b]
@@ -210,7 +218,7 @@ def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -
         q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], moments=True)
         rows = [(c, q[c]["count"], q[c]["mean"], q[c]["std"], q[c]["min"], q[c][0.25], q[c][0.5], q[c][0.75],
                  q[c]["max"]) for c in cols]
-        return df.sparkSession.createDataFrame(rows, schema)
+        return literal_frame(df.sparkSession, rows, schema)
     clean = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in cols])
     aggs = []
     for c in cols:
