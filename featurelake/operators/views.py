@@ -144,7 +144,8 @@ def _micros(c: Column) -> Column:
 
 def point_in_time_join(entities: DataFrame, source: DataFrame, view: FeatureView,
                        features: tuple[str, ...] | None = None, entity_ts: str = "event_timestamp",
-                       buckets_per_ttl: int = 4, full_names: bool = False) -> DataFrame:
+                       buckets_per_ttl: int = 4, full_names: bool = False,
+                       hot_rows: int | None = 2_000_000) -> DataFrame:
     """Leakage-free as-of left join with TTL. Keeps every entity row exactly once.
 
     Time is cut into buckets of ttl/k (k = ``buckets_per_ttl``). A feature row
@@ -157,9 +158,12 @@ def point_in_time_join(entities: DataFrame, source: DataFrame, view: FeatureView
     over (ts, side, created) then gives the as-of row, and a TTL check finishes.
 
     Feature rows are shuffled once (no copies); a key holding a large share of
-    the rows is split into one window partition per bucket, and a larger k
-    splits it further at the cost of k carry rows per non-empty bucket.
-    Without a TTL (unbounded look-back) each key is one timeline.
+    the rows is split into one window partition per bucket. Keys with more
+    than ``hot_rows`` feature rows are split further: such a key gets a
+    multiplier m = ceil(rows / hot_rows), buckets m times finer, and carry rows
+    reaching k*m buckets back. The hot-key table comes from a partial count and
+    has at most rows/hot_rows entries; AQE broadcasts it when small. Without a
+    TTL (unbounded look-back) each key is one timeline.
     """
     features = tuple(features or view.features)
     keys = list(view.keys)
@@ -174,15 +178,28 @@ def point_in_time_join(entities: DataFrame, source: DataFrame, view: FeatureView
                                   *[F.col(f).alias(f) for f in features]).alias("__f"))
     if view.ttl is not None:
         k = max(1, int(buckets_per_ttl))
-        width = max(1, int(view.ttl / timedelta(microseconds=1)) // k)
-        feat = feat.withColumn("__b", F.floor(_micros(F.col("__t")) / F.lit(width)).cast("bigint"))
-        ent_bucket = F.floor(_micros(t_ent) / F.lit(width)).cast("bigint")
-        newest = feat.groupBy(*keys, "__b").agg(
+        base = max(1, int(view.ttl / timedelta(microseconds=1)) // k)
+        if hot_rows:
+            hot = (source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+                   .filter(F.col("__n") > hot_rows)
+                   .select(*keys, F.ceil(F.col("__n") / F.lit(hot_rows)).cast("bigint").alias("__m")))
+            feat = feat.join(hot, keys, "left")
+            entities_m = entities.join(hot, keys, "left")
+        else:
+            feat = feat.withColumn("__m", F.lit(None).cast("bigint"))
+            entities_m = entities.withColumn("__m", F.lit(None).cast("bigint"))
+        m = F.coalesce(F.col("__m"), F.lit(1).cast("bigint"))
+        width = F.greatest(F.floor(F.lit(base) / m), F.lit(1)).cast("bigint")
+        feat = feat.withColumn("__b", F.floor(_micros(F.col("__t")) / width).cast("bigint")) \
+                   .withColumn("__reach", (F.lit(k) * m).cast("bigint"))
+        entities = entities_m.withColumn("__eb", F.floor(_micros(t_ent) / width).cast("bigint")).drop("__m")
+        ent_bucket = F.col("__eb")
+        newest = feat.groupBy(*keys, "__b", "__reach").agg(
             F.max_by(F.struct("__t", "__created", "__f"), F.struct("__t", "__created")).alias("__n"))
         carry = (newest.select(*keys, "__b", "__n.__t", "__n.__created", "__n.__f",
-                               F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(k).cast("bigint"))).alias("__j"))
+                               F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__reach"))).alias("__j"))
                  .withColumn("__b", F.col("__b") + F.col("__j")).drop("__j"))
-        feat_rows = feat.unionByName(carry)
+        feat_rows = feat.select(*keys, "__t", "__created", "__f", "__b").unionByName(carry)
     else:  # unbounded look-back: one timeline per key
         ent_bucket = F.lit(0).cast("bigint")
         feat_rows = feat.withColumn("__b", F.lit(0).cast("bigint"))

@@ -75,7 +75,8 @@ def test_pit_bucket_split_matches_single_bucket(spark):
     a = _pit(spark, stats, e, buckets_per_ttl=1)
     b = _pit(spark, stats, e.repartition(5), buckets_per_ttl=4)
     c = _pit(spark, stats.repartition(3), e, buckets_per_ttl=8)
-    assert a == b == c and len(a) == 200
+    d = _pit(spark, stats, e, buckets_per_ttl=2, hot_rows=10)  # hot keys split into finer buckets
+    assert a == b == c == d and len(a) == 200
     # brute force
     for rid, key, t in ents:
         cands = [r for r in rows if r[0] == key and t - DAY <= r[1] <= t]
