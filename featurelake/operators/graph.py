@@ -15,9 +15,10 @@ canonical ``src < dst``. Every metric is a DataFrame job:
 
 from __future__ import annotations
 
+import uuid
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from featurelake.operators.transform import numeric_columns
@@ -155,9 +156,14 @@ def component_labels(edges: DataFrame, max_rounds: int = 100, checkpoint_every:
         jump = new.select(F.col("node").alias("label"), F.col("label").alias("label2"))
         new = new.join(jump, "label", "left").select(
             "node", F.least(F.col("label"), F.coalesce(F.col("label2"), F.col("label"))).alias("label"), "old")
+        # the number of changed labels is observed by the checkpoint job itself: one job per round
+        obs = Observation(f"components_{uuid.uuid4().hex[:8]}_{i}")
+        new = new.observe(obs, F.count_if(F.col("label") < F.col("old")).alias("changed"))
         if (i + 1) % checkpoint_every == 0:
             new = new.checkpoint()
-        changed = new.filter(F.col("label") < F.col("old")).limit(1).count()
+            changed = obs.get["changed"]
+        else:
+            changed = new.filter(F.col("label") < F.col("old")).limit(1).count()
         labels = new.select("node", "label")
         if changed == 0:
             break
