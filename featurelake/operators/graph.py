@@ -16,9 +16,8 @@ canonical ``src < dst``. Every metric is a DataFrame job:
 from __future__ import annotations
 
 import uuid
-from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from featurelake.operators.transform import numeric_columns

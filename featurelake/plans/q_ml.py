@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from featurelake.functions.columns import rounded
 from featurelake.operators import transform as tr
 from featurelake.plans.catalog import query
