@@ -286,7 +286,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS entity_id, o_totalprice AS actual, round(m
   round(m.predicted - o_totalprice, 6) AS difference
 FROM orders JOIN m ON orders.o_orderpriority = m.o_orderpriority"""
 
-SQL["rule_score"] = "SELECT event_id, value, CASE WHEN value > 23 THEN 0.8 ELSE 0.3 END AS score FROM events"
+SQL["rule_score"] = "SELECT event_id, value, CAST(CASE WHEN value > 23 THEN 0.8 ELSE 0.3 END AS DOUBLE) AS score FROM events"
 
 CANDIDATES = """(WITH g AS (SELECT p_brand AS run_id, count(v) AS n, sum(v) AS s1, sum(v * v) AS s2
    FROM (SELECT p_brand, l_extendedprice / NULLIF(l_quantity, 0) AS v FROM lineitem JOIN part ON l_partkey = p_partkey)
@@ -368,7 +368,7 @@ SQL["update_envelope"] = f"""SELECT CAST(user_id AS VARCHAR) AS key, CAST(user_i
 FROM events"""
 
 SQL["prediction_envelope"] = f"""SELECT CAST(user_id AS VARCHAR) AS key, CAST(user_id AS VARCHAR) AS entity_id,
-  CASE WHEN value > 23 THEN 0.8 ELSE 0.3 END AS prediction, 'model_prediction' AS event_type,
+  CAST(CASE WHEN value > 23 THEN 0.8 ELSE 0.3 END AS DOUBLE) AS prediction, 'model_prediction' AS event_type,
   {ISO.format('ts')} AS timestamp, CAST(1 AS BIGINT) AS n_features
 FROM events"""
 
@@ -385,7 +385,7 @@ SQL["stream_upsert"] = """SELECT entity_id, feature_name, feature_value, event_t
 
 SQL["stream_score"] = f"""SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS key,
   CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS entity_id,
-  CASE WHEN l_quantity < 17 THEN 0.0 WHEN l_quantity < 34 THEN 1.0 ELSE 2.0 END AS prediction,
+  CAST(CASE WHEN l_quantity < 17 THEN 0.0 WHEN l_quantity < 34 THEN 1.0 ELSE 2.0 END AS DOUBLE) AS prediction,
   'model_prediction' AS event_type, {ISO.format('l_shipdate')} AS timestamp,
   CAST(12 + (CASE WHEN l_tax <> 0 THEN 1 ELSE 0 END) + (CASE WHEN l_discount <> 0 THEN 1 ELSE 0 END) AS BIGINT)
     AS n_features
