@@ -14,9 +14,28 @@ def con():
     return duck(SF_SMALL)
 
 
+def _kind_spark(dt) -> str:
+    name = dt.simpleString()
+    if name in ("tinyint", "smallint", "int", "bigint"):
+        return name
+    return {"double": "float", "float": "float", "string": "str", "boolean": "bool",
+            "timestamp": "ts", "timestamp_ntz": "ts"}.get(name, name)
+
+
+def _kind_duck(t) -> str:
+    t = str(t).upper()
+    return {"TINYINT": "tinyint", "SMALLINT": "smallint", "INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "float",
+            "FLOAT": "float", "VARCHAR": "str", "BOOLEAN": "bool", "TIMESTAMP": "ts"}.get(t, t)
+
+
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
-    got = se.queries()[key](spark, SF_SMALL).toPandas()
+    df = se.queries()[key](spark, SF_SMALL)
+    rel = con.sql(se.oracle_sql()[key])
+    types = dict(zip(rel.columns, rel.types))
+    assert {f.name: _kind_spark(f.dataType) for f in df.schema.fields} == \
+        {n: _kind_duck(t) for n, t in types.items()}
+    got = df.toPandas()
     want = con.execute(se.oracle_sql()[key]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
