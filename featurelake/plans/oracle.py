@@ -450,3 +450,9 @@ def _quantize_sql(sql: str) -> str:
 
 
 SQL = {k: _quantize_sql(v) for k, v in SQL.items()}
+
+_EVENTS_TYPES = [("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"), ("event_type", "string"),
+                 ("value", "double"), ("props", "string")]
+SQL["quality_schema"] = "\nUNION ALL\n".join(
+    f"SELECT 'events' AS dataset, {i} AS position, '{c}' AS column_name, '{t}' AS data_type, TRUE AS nullable, "
+    f"count({c}) AS non_null FROM events" for i, (c, t) in enumerate(_EVENTS_TYPES))
