@@ -132,7 +132,7 @@ def average_clustering(edges: DataFrame) -> DataFrame:
                   (F.sum("triangles") / 3).cast("bigint").alias("triangles"))
 
 
-def component_labels(edges: DataFrame, max_rounds: int = 100, checkpoint_every: int = 1) -> DataFrame:
+def component_labels(edges: DataFrame, max_rounds: int = 100, checkpoint_every: int = 1, jumps: int = 2) -> DataFrame:
     """(node, component) where component = smallest node id reachable.
 
     Each round: every node takes the minimum label over itself and its
@@ -152,9 +152,10 @@ def component_labels(edges: DataFrame, max_rounds: int = 100, checkpoint_every:
         cand = labels.select("node", "label", F.col("label").alias("own")).unionAll(
             msgs.select("node", "label", F.lit(None).cast(labels.schema["label"].dataType).alias("own")))
         new = cand.groupBy("node").agg(F.min("label").alias("label"), F.min("own").alias("old"))
-        jump = new.select(F.col("node").alias("label"), F.col("label").alias("label2"))
-        new = new.join(jump, "label", "left").select(
-            "node", F.least(F.col("label"), F.coalesce(F.col("label2"), F.col("label"))).alias("label"), "old")
+        for _ in range(jumps):  # pointer jumping: adopt the label's label (labels only ever decrease)
+            jump = new.select(F.col("node").alias("label"), F.col("label").alias("label2"))
+            new = new.join(jump, "label", "left").select(
+                "node", F.least(F.col("label"), F.coalesce(F.col("label2"), F.col("label"))).alias("label"), "old")
         # the number of changed labels is observed by the checkpoint job itself: one job per round
         obs = Observation(f"components_{uuid.uuid4().hex[:8]}_{i}")
         new = new.observe(obs, F.count_if(F.col("label") < F.col("old")).alias("changed"))
