@@ -7,7 +7,7 @@ For micro-batch ``b`` it
 1. decodes the messages and sends malformed ones to ``dead_letter/batch_id=b``;
 2. writes the long rows to ``log/batch_id=b`` (overwrite of that one partition,
    so a replayed batch changes nothing);
-3. upserts catalogue rows for the features seen in the batch;
+3. writes catalogue rows for the features seen in the batch (reads fold them, last write wins);
 4. every ``compact_every`` batches, folds the log written since the last
    snapshot into a new latest-value snapshot ``latest/v=b``.
 
@@ -75,14 +75,11 @@ class FeatureStoreSink:
         rows = fan_out(good, ingest_ts=F.current_timestamp(), seq=F.lit(batch_id))
         rows.write.mode("overwrite").parquet(os.path.join(self.log_path, f"batch_id={batch_id}"))
         bad.write.mode("overwrite").parquet(os.path.join(self.dead_path, f"batch_id={batch_id}"))
+        # catalogue entries of this batch (one row per feature name); reads fold them, last write wins
+        names = rows.groupBy("feature_name").agg(F.max("event_ts").alias("at"))
+        st.describe_stream_features(names, F.col("at")).write.mode("overwrite").parquet(
+            os.path.join(self.catalog_path, f"batch_id={batch_id}"))
         decoded.unpersist()
-
-        written = spark.read.parquet(os.path.join(self.log_path, f"batch_id={batch_id}"))
-        names = written.groupBy("feature_name").agg(F.max("event_ts").alias("at"))
-        cat_new = st.describe_stream_features(names, F.col("at"))
-        prev_cat = read_latest(spark, self.catalog_path, before=batch_id)
-        cat = st.metadata_upsert(prev_cat, cat_new)
-        cat.write.mode("overwrite").parquet(os.path.join(self.catalog_path, f"v={batch_id}"))
         if (batch_id + 1) % self.compact_every == 0:
             self.compact(spark, upto=batch_id)
 
@@ -117,7 +114,9 @@ class FeatureStoreSink:
         return spark.read.parquet(self.dead_path)
 
     def catalog(self, spark: SparkSession) -> DataFrame | None:
-        return read_latest(spark, self.catalog_path)
+        if not list_versions(spark, self.catalog_path, "batch_id"):
+            return None
+        return st.metadata_upsert(None, spark.read.parquet(self.catalog_path))
 
 
 def run_available_now(stream: DataFrame, batch_fn, checkpoint: str, timeout_s: int = 600) -> None:
