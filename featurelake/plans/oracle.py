@@ -456,3 +456,13 @@ _EVENTS_TYPES = [("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "b
 SQL["quality_schema"] = "\nUNION ALL\n".join(
     f"SELECT 'events' AS dataset, {i} AS position, '{c}' AS column_name, '{t}' AS data_type, TRUE AS nullable, "
     f"count({c}) AS non_null FROM events" for i, (c, t) in enumerate(_EVENTS_TYPES))
+
+SQL["one_hot_ids"] = f"""
+WITH s AS (SELECT * FROM {SPLIT}),
+pu AS (SELECT PULocationID, CAST(row_number() OVER (ORDER BY PULocationID) - 1 AS BIGINT) AS pu_index
+       FROM (SELECT DISTINCT PULocationID FROM s WHERE split = 'train')),
+dz AS (SELECT DOLocationID, CAST(row_number() OVER (ORDER BY DOLocationID) - 1 AS BIGINT) AS do_index
+       FROM (SELECT DISTINCT DOLocationID FROM s WHERE split = 'train'))
+SELECT s.PULocationID, s.DOLocationID, s.split, pu.pu_index, dz.do_index
+FROM s LEFT JOIN pu ON s.PULocationID = pu.PULocationID LEFT JOIN dz ON s.DOLocationID = dz.DOLocationID
+WHERE s.split <> 'train'"""

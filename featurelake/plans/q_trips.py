@@ -43,3 +43,14 @@ def one_hot(spark, sf_dir):
     model = tp.fit_one_hot(data.filter(F.col("split") == "train"), ["PU_DO"], ["trip_distance"])
     enc = model.transform(data.filter(F.col("split") != "train"))
     return enc.select("PU_DO", "trip_distance", "split", tp.active_category(enc, "PU_DO").alias("pu_do_index"))
+
+
+@query("one_hot_ids")
+def one_hot_ids(spark, sf_dir):
+    """M5, second input set: pickup and dropoff ids encoded separately (one vocabulary each)."""
+    data = tp.temporal_split(prepared(spark, sf_dir), "pickup_datetime", VAL_FROM, TEST_FROM)
+    cats = ["PULocationID", "DOLocationID"]
+    model = tp.fit_one_hot(data.filter(F.col("split") == "train"), cats, [])
+    enc = model.transform(data.filter(F.col("split") != "train"))
+    return enc.select(*cats, "split", tp.active_category(enc, "PULocationID").alias("pu_index"),
+                      tp.active_category(enc, "DOLocationID").alias("do_index"))
