@@ -155,3 +155,28 @@ class NetworkAnalyzer:
         e = edges.select("src", "dst")
         return {"summary": gr.summary(e), "clustering": gr.average_clustering(e),
                 "components": gr.component_sizes(e), "centrality": gr.degree_centrality(e)}
+
+
+def run_batch_flow(spark: SparkSession, data: DataFrame, key: str, features: list[str], label: str, store_root: str,
+                   train_pct: int = 80, threshold: float = 0.9) -> DataFrame:
+    """Entry C: extract -> train -> evaluate -> gate, as four DataFrame steps sharing tables.
+
+    1. extract: the feature columns go into the long feature store (keyed rows, no positions);
+    2. train: multinomial logistic regression on the md5 train split;
+    3. evaluate: class metrics of the scored test rows (label and prediction on one row);
+    4. gate: SUCCESS / WARNING with the reference's thresholds.
+    """
+    from pyspark.ml.feature import VectorAssembler
+
+    from featurelake.operators import metrics as mt
+    from featurelake.operators import models as ml
+    from featurelake.operators import trips as tp
+
+    FeatureStore(spark, store_root).store_features(data.select(key, *features), key=key, features=features)
+    split = tp.hash_split(data, key, train_pct)
+    x = VectorAssembler(inputCols=features, outputCol="features").transform(split)
+    model = ml.logistic_regression(x.filter(F.col("split") == "train"), label=label, max_iter=200)
+    # the scored rows still carry the label, so actual and predicted stay on the same row (no re-alignment)
+    pred = model.transform(x.filter(F.col("split") == "test"))
+    metrics = mt.class_metrics(pred.select(F.col(label).alias("actual"), F.col("prediction").alias("predicted")))
+    return mt.gate(metrics, threshold=threshold)

@@ -96,3 +96,12 @@ def model_selection(spark, sf_dir):
     fit = train.filter(F.col("part") >= 10)
     trials = ml.hyper_search(fit, label="y", trials=4, depth=(2, 8), trees=(10, 30))
     return ml.retrain_and_select(trials, fit, val, test, top=2, label="y")
+
+
+@query("batch_flow")
+def batch_flow(spark, sf_dir):
+    from featurelake.api import run_batch_flow
+
+    data = fx.learnable(spark, sf_dir).withColumn("row_key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    return run_batch_flow(spark, data, "row_key", ["quantity", "tax", "discount"], "label",
+                          scratch_dir(spark, "batch-flow"))
