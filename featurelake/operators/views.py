@@ -145,25 +145,29 @@ def _micros(c: Column) -> Column:
 def point_in_time_join(entities: DataFrame, source: DataFrame, view: FeatureView,
                        features: tuple[str, ...] | None = None, entity_ts: str = "event_timestamp",
                        buckets_per_ttl: int = 4, full_names: bool = False,
-                       hot_rows: int | None = 2_000_000) -> DataFrame:
+                       hot_rows: int | None = 2_000_000, bucket_width=None) -> DataFrame:
     """Leakage-free as-of left join with TTL. Keeps every entity row exactly once.
 
-    Time is cut into buckets of ttl/k (k = ``buckets_per_ttl``). A feature row
-    visible at entity time t (t - ttl <= ts <= t) lies in t's bucket or in one of
-    the k buckets before it, and the newest such row is either in t's own bucket
-    or is the newest row of one of those earlier buckets. So each window
-    partition (key, bucket) gets its own feature rows, one "carry" row per
-    earlier bucket (the newest row of each of the k previous buckets, from a
-    partial ``max_by`` aggregate), and its entity rows; ``last(ignorenulls)``
-    over (ts, side, created) then gives the as-of row, and a TTL check finishes.
-
-    Feature rows are shuffled once (no copies); a key holding a large share of
-    the rows is split into one window partition per bucket. Keys with more
-    than ``hot_rows`` feature rows are split further: such a key gets a
-    multiplier m = ceil(rows / hot_rows), buckets m times finer, and carry rows
-    reaching k*m buckets back. The hot-key table comes from a partial count and
-    has at most rows/hot_rows entries; AQE broadcasts it when small. Without a
-    TTL (unbounded look-back) each key is one timeline.
+    Time is cut into buckets (TTL/k with k = ``buckets_per_ttl``, or
+    ``bucket_width`` when there is no TTL). The newest feature row at or before
+    an entity time t is either in t's own bucket or is the newest row of all
+    earlier buckets of that key. So:
+
+    1. ``newest``: the newest feature row per non-empty (key, bucket), a
+       partial ``max_by`` aggregate;
+    2. ``carry``: for each distinct entity (key, bucket), the newest row of all
+       earlier buckets, from one running ``last`` over the small per-key table
+       of ``newest`` rows and entity-bucket markers (one carry row per entity
+       bucket, never a copy per bucket in reach);
+    3. the main window over (key, bucket): own feature rows, the carry row and
+       the entity rows, ``last(ignorenulls)`` ordered by (time, side, created),
+       then the TTL check (``t - ttl <= ts <= t``).
+
+    Feature rows are shuffled once and never copied. A key with more than
+    ``hot_rows`` feature rows gets m = ceil(rows / hot_rows) times finer buckets,
+    so a key holding a third of all rows is spread over many window
+    partitions; the hot-key table (a partial count) has at most rows/hot_rows
+    entries and AQE broadcasts it when small.
     """
     features = tuple(features or view.features)
     keys = list(view.keys)
@@ -172,45 +176,53 @@ def point_in_time_join(entities: DataFrame, source: DataFrame, view: FeatureView
     t_ent = F.col(entity_ts).cast("timestamp_ntz")
     created_c = F.col(created).cast("timestamp_ntz") if created else F.lit(None).cast("timestamp_ntz")
 
+    if view.ttl is not None:
+        base = max(1, int(view.ttl / timedelta(microseconds=1)) // max(1, int(buckets_per_ttl)))
+    else:
+        base = max(1, int((bucket_width or timedelta(days=1)) / timedelta(microseconds=1)))
+
     feat = source.select(*[F.col(c) for c in keys], F.col(ts).cast("timestamp_ntz").alias("__t"),
                          created_c.alias("__created"),
                          F.struct(F.col(ts).cast("timestamp_ntz").alias("__ts"),
                                   *[F.col(f).alias(f) for f in features]).alias("__f"))
-    if view.ttl is not None:
-        k = max(1, int(buckets_per_ttl))
-        base = max(1, int(view.ttl / timedelta(microseconds=1)) // k)
-        if hot_rows:
-            hot = (source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-                   .filter(F.col("__n") > hot_rows)
-                   .select(*keys, F.ceil(F.col("__n") / F.lit(hot_rows)).cast("bigint").alias("__m")))
-            feat = feat.join(hot, keys, "left")
-            entities_m = entities.join(hot, keys, "left")
-        else:
-            feat = feat.withColumn("__m", F.lit(None).cast("bigint"))
-            entities_m = entities.withColumn("__m", F.lit(None).cast("bigint"))
-        m = F.coalesce(F.col("__m"), F.lit(1).cast("bigint"))
-        width = F.greatest(F.floor(F.lit(base) / m), F.lit(1)).cast("bigint")
-        feat = feat.withColumn("__b", F.floor(_micros(F.col("__t")) / width).cast("bigint")) \
-                   .withColumn("__reach", (F.lit(k) * m).cast("bigint"))
-        entities = entities_m.withColumn("__eb", F.floor(_micros(t_ent) / width).cast("bigint")).drop("__m")
-        ent_bucket = F.col("__eb")
-        newest = feat.groupBy(*keys, "__b", "__reach").agg(
-            F.max_by(F.struct("__t", "__created", "__f"), F.struct("__t", "__created")).alias("__n"))
-        carry = (newest.select(*keys, "__b", "__n.__t", "__n.__created", "__n.__f",
-                               F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__reach"))).alias("__j"))
-                 .withColumn("__b", F.col("__b") + F.col("__j")).drop("__j"))
-        feat_rows = feat.select(*keys, "__t", "__created", "__f", "__b").unionByName(carry)
-    else:  # unbounded look-back: one timeline per key
-        ent_bucket = F.lit(0).cast("bigint")
-        feat_rows = feat.withColumn("__b", F.lit(0).cast("bigint"))
-
+    ents = entities
+    if hot_rows:
+        hot = (source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+               .filter(F.col("__n") > hot_rows)
+               .select(*keys, F.ceil(F.col("__n") / F.lit(hot_rows)).cast("bigint").alias("__m")))
+        feat = feat.join(hot, keys, "left")
+        ents = ents.join(hot, keys, "left")
+    else:
+        feat = feat.withColumn("__m", F.lit(None).cast("bigint"))
+        ents = ents.withColumn("__m", F.lit(None).cast("bigint"))
+    width = F.greatest(F.floor(F.lit(base) / F.coalesce(F.col("__m"), F.lit(1).cast("bigint"))), F.lit(1))
+    feat = feat.withColumn("__b", F.floor(_micros(F.col("__t")) / width).cast("bigint")).drop("__m")
+    ents = ents.withColumn("__b", F.floor(_micros(t_ent) / width).cast("bigint")).drop("__m")
+
+    # 1. newest feature row per non-empty (key, bucket)
+    newest = feat.groupBy(*keys, "__b").agg(
+        F.max_by(F.struct("__t", "__created", "__f"), F.struct("__t", "__created")).alias("__n"))
+    # 2. one carry row per entity bucket: newest row of all earlier buckets of the key
+    markers = ents.select(*keys, "__b").distinct()
+    n_type = newest.schema["__n"].dataType
+    summary = (newest.select(*keys, "__b", F.lit(1).alias("__s"), "__n")
+               .unionByName(markers.select(*keys, "__b", F.lit(0).alias("__s"), F.lit(None).cast(n_type).alias("__n"))))
+    ws = (Window.partitionBy(*keys).orderBy("__b", "__s")
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    carry = (summary.select(*keys, "__b", "__s", F.last("__n", ignorenulls=True).over(ws).alias("__c"))
+             .filter((F.col("__s") == 0) & F.col("__c").isNotNull())
+             .select(*keys, "__b", F.col("__c.__t").alias("__t"), F.col("__c.__created").alias("__created"),
+                     F.col("__c.__f").alias("__f")))
+    feat_rows = feat.select(*keys, "__t", "__created", "__f", "__b").unionByName(carry)
+
+    # 3. main window per (key, bucket)
     e_type = entities.select(F.struct(*[F.col(c) for c in ent_cols]).alias("e")).schema["e"].dataType
     f_rows = feat_rows.select(*keys, "__t", F.lit(_SIDE_FEATURE).alias("__side"), "__created",
                               F.lit(None).cast(e_type).alias("__e"), "__f", "__b")
-    e_rows = entities.select(*[F.col(c) for c in keys], t_ent.alias("__t"),
-                             F.lit(_SIDE_ENTITY).alias("__side"), F.lit(None).cast("timestamp_ntz").alias("__created"),
-                             F.struct(*[F.col(c) for c in ent_cols]).alias("__e"),
-                             F.lit(None).cast(feat.schema["__f"].dataType).alias("__f"), ent_bucket.alias("__b"))
+    e_rows = ents.select(*[F.col(c) for c in keys], t_ent.alias("__t"),
+                         F.lit(_SIDE_ENTITY).alias("__side"), F.lit(None).cast("timestamp_ntz").alias("__created"),
+                         F.struct(*[F.col(c) for c in ent_cols]).alias("__e"),
+                         F.lit(None).cast(feat.schema["__f"].dataType).alias("__f"), "__b")
     both = f_rows.unionByName(e_rows)
     w = (Window.partitionBy(*keys, "__b").orderBy("__t", "__side", "__created")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))

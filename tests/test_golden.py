@@ -76,7 +76,8 @@ def test_pit_bucket_split_matches_single_bucket(spark):
     b = _pit(spark, stats, e.repartition(5), buckets_per_ttl=4)
     c = _pit(spark, stats.repartition(3), e, buckets_per_ttl=8)
     d = _pit(spark, stats, e, buckets_per_ttl=2, hot_rows=10)  # hot keys split into finer buckets
-    assert a == b == c == d and len(a) == 200
+    f = _pit(spark, stats, e, buckets_per_ttl=4, hot_rows=1)   # every key hot: very fine buckets
+    assert a == b == c == d == f and len(a) == 200
     # brute force
     for rid, key, t in ents:
         cands = [r for r in rows if r[0] == key and t - DAY <= r[1] <= t]
@@ -285,7 +286,9 @@ def test_schema_check_detects_drift(spark):
 def test_pit_without_ttl_looks_back_without_limit(spark):
     from dataclasses import replace
     view = replace(repo.STATS, ttl=None)
-    stats = _stats(spark, [(1, T0 - 30 * DAY, T0, 0.1, 1.0, 1), (2, T0 + US, T0, 0.2, 1.0, 1)])
-    ents = _entities(spark, [(1, 1, T0), (2, 2, T0)])
-    got = {r["request_id"]: r for r in vw.point_in_time_join(ents, stats, view).collect()}
-    assert got[1]["conv_rate"] == 0.1 and got[2]["conv_rate"] is None
+    stats = _stats(spark, [(1, T0 - 30 * DAY, T0, 0.1, 1.0, 1), (2, T0 + US, T0, 0.2, 1.0, 1),
+                           (3, T0 - 2 * DAY, T0, 0.3, 1.0, 1), (3, T0 - DAY, T0, 0.4, 1.0, 1)])
+    ents = _entities(spark, [(1, 1, T0), (2, 2, T0), (3, 3, T0 + 5 * DAY)])
+    for kw in ({}, {"bucket_width": dt.timedelta(hours=1)}, {"hot_rows": 1}):
+        got = {r["request_id"]: r for r in vw.point_in_time_join(ents, stats, view, **kw).collect()}
+        assert got[1]["conv_rate"] == 0.1 and got[2]["conv_rate"] is None and got[3]["conv_rate"] == 0.4
