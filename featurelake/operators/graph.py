@@ -85,8 +85,13 @@ def summary(edges: DataFrame) -> DataFrame:
 
 
 def degree_centrality(edges: DataFrame) -> DataFrame:
-    """Degree / (n - 1) per node. n is one scalar computed first (a count, not a collect)."""
-    deg = degrees(edges)
+    """Degree / (n - 1) per node. n is one scalar computed first (a count, not a collect).
+
+    The degree table (one row per node) is checkpointed, so counting it and
+    returning it do not evaluate the edge list twice.
+    """
+    checkpoint_dir(edges.sparkSession)
+    deg = degrees(edges).checkpoint()
     n = deg.count()
     denom = F.lit(float(n - 1)) if n > 1 else F.lit(None).cast("double")
     return deg.select("node", "degree", (F.col("degree") / denom).alias("centrality"))
@@ -126,7 +131,14 @@ def local_clustering(edges: DataFrame) -> DataFrame:
 
 
 def average_clustering(edges: DataFrame) -> DataFrame:
-    """Mean local clustering over all nodes, plus the triangle count; one row."""
+    """Mean local clustering over all nodes, plus the triangle count; one row.
+
+    The edge list feeds the degrees, the orientation and the wedge closing, so
+    it is materialised once (checkpointed to the shared folder) instead of
+    being recomputed from its sources by each branch.
+    """
+    checkpoint_dir(edges.sparkSession)
+    edges = edges.select("src", "dst").checkpoint()
     lc = local_clustering(edges)
     return lc.agg(F.avg("clustering").alias("average_clustering"),
                   (F.sum("triangles") / 3).cast("bigint").alias("triangles"))
