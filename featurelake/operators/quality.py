@@ -92,7 +92,10 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], window:
     vals = spread(df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(n)
                               for c, n in zip(cols, names)])).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        qs_sql = ", ".join(repr(j / splits) for j in range(1, splits))
+        # the first bracket of every column is its whole range: its cut points ride on the first pass
         first = [F.count(n).alias(n) for n in names]
+        first += [F.expr(f"percentile_approx({n}, array({qs_sql}), {10 * splits})").alias(f"{n}_cuts") for n in names]
         if moments:
             first += [e for n in names for e in (F.avg(n).alias(f"{n}_mean"), F.stddev_samp(n).alias(f"{n}_std"),
                                                  F.min(n).alias(f"{n}_min"), F.max(n).alias(f"{n}_max"))]
@@ -130,6 +133,9 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], window:
                 break
             large = [b for b in todo if b[4] > window]
             cuts: dict[int, list[float]] = {}
+            for b in [b for b in large if b[1] is None and b[2] is None]:  # whole column: cuts known
+                cuts[todo.index(b)] = sorted({x for x in (ns[f"{names[b[0]]}_cuts"] or []) if x is not None})
+            large = [b for b in large if not (b[1] is None and b[2] is None)]
             if large:
                 qs = ", ".join(repr(j / splits) for j in range(1, splits))
                 row = vals.agg(*[F.expr(f"percentile_approx(CASE WHEN {inside(i, lo, hi)} THEN {names[i]} END, "
