@@ -76,3 +76,20 @@ def test_publish_batch_and_stream_through_file_sinks(spark):
     q.processAllAvailable()
     q.stop()
     assert spark.read.parquet(os.path.join(d, "out")).count() == ev.count()
+
+
+def test_spread_only_when_the_scan_is_narrow(spark):
+    from featurelake.sources.tables import spread
+
+    wide = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
+    assert spread(wide) is wide  # enough splits already: no shuffle added
+    narrow = spark.range(0, 1000, numPartitions=1)
+    assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_file_source_reads_with_declared_schema(spark):
+    d = tempfile.mkdtemp(prefix="fl-src-")
+    stats = fx.driver_hourly_stats(spark, SF_SMALL)
+    write_parquet(stats, os.path.join(d, "stats"))
+    src = vw.FileSource(os.path.join(d, "stats"), schema=stats.schema)
+    assert src.read(spark).count() == stats.count()
