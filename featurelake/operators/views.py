@@ -4,8 +4,9 @@ A ``FeatureView`` names a keyed, time-stamped source frame with a TTL. Retrieval
 
 * ``point_in_time_join`` (J1): for each entity row the newest feature row with
   ``t - ttl <= event_ts <= t`` (ties by ``created``). Built as one union + one
-  window, partitioned by key *and* a TTL-sized time bucket, so a hot key is split
-  across tasks by time and no pairs are ever formed.
+  window partitioned by key *and* time bucket, plus one carry row per entity
+  bucket from a small per-key running ``last``; hot keys get finer buckets.
+  Feature rows are never copied and no pairs are ever formed.
 * ``latest_per_key`` (W2) with partial aggregation for batch scoring,
   materialisation and pushes.
 * ``online_lookup`` (J3): a left join of request rows with the online table.
