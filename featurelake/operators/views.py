@@ -312,12 +312,14 @@ def apply_on_demand(df: DataFrame, odfv: OnDemandView, fields: tuple[str, ...] |
 
 
 def historical_features(entities: DataFrame, sources: dict, items: tuple, entity_ts: str = "event_timestamp",
-                        buckets_per_ttl: int = 1) -> DataFrame:
+                        buckets_per_ttl: int = 4, full_names: bool = False) -> DataFrame:
     """Assemble views and on-demand views for an entity frame (training set).
 
     ``sources`` maps a view name to its source frame. Views are retrieved with
     J1 one after another on the same key; on-demand views are computed last. The
     on-demand inputs that are not requested are fetched and dropped again.
+    ``full_names=True`` names view fields ``<view>__<field>`` so that views sharing
+    field names can be combined (on-demand views then read the prefixed names).
     """
     out = entities
     wanted: list[str] = list(entities.columns)
@@ -331,7 +333,7 @@ def historical_features(entities: DataFrame, sources: dict, items: tuple, entity
         if isinstance(it, FeatureRef):
             v, fs = needed.get(it.view.name, (it.view, []))
             needed[it.view.name] = (v, fs + [f for f in it.fields if f not in fs])
-            wanted += list(it.fields)
+            wanted += [f"{it.view.name}__{f}" if full_names else f for f in it.fields]
         elif isinstance(it, OnDemandRef):
             od.append((it.view, it.fields))
             wanted += list(it.fields)
@@ -343,9 +345,16 @@ def historical_features(entities: DataFrame, sources: dict, items: tuple, entity
     if clash:
         raise ValueError(f"feature names clash: {sorted(clash)}")
     for vname, (view, fs) in needed.items():
-        out = point_in_time_join(out, sources[vname], view, tuple(fs), entity_ts, buckets_per_ttl)
+        out = point_in_time_join(out, sources[vname], view, tuple(fs), entity_ts, buckets_per_ttl,
+                                 full_names=full_names)
     for odfv, fs in od:
-        out = apply_on_demand(out, odfv, fs)
+        if full_names:  # on-demand code reads plain field names of its source view
+            src = next(s_ for s_ in odfv.sources if isinstance(s_, FeatureView))
+            plain = out.select("*", *[F.col(f"{src.name}__{f}").alias(f) for f in src.features
+                                      if f"{src.name}__{f}" in out.columns and f not in out.columns])
+            out = apply_on_demand(plain, odfv, fs).drop(*[f for f in src.features if f not in out.columns])
+        else:
+            out = apply_on_demand(out, odfv, fs)
     return out.select(*wanted)
 
 

@@ -292,3 +292,14 @@ def test_pit_without_ttl_looks_back_without_limit(spark):
     for kw in ({}, {"bucket_width": dt.timedelta(hours=1)}, {"hot_rows": 1}):
         got = {r["request_id"]: r for r in vw.point_in_time_join(ents, stats, view, **kw).collect()}
         assert got[1]["conv_rate"] == 0.1 and got[2]["conv_rate"] is None and got[3]["conv_rate"] == 0.4
+
+
+def test_full_names_allow_views_with_shared_fields(spark):
+    stats = _stats(spark, [(1, T0 - dt.timedelta(hours=1), T0, 0.5, 1.0, 1)])
+    ents = spark.createDataFrame([(1, 1, T0, 2, 20)], "request_id long, driver_id long, event_timestamp timestamp_ntz, "
+                                                      "val_to_add long, val_to_add_2 long")
+    items = (repo.STATS.select("conv_rate"), repo.STATS_FRESH.select("conv_rate"), repo.TRANSFORMED)
+    out = vw.historical_features(ents, {repo.STATS.name: stats, repo.STATS_FRESH.name: stats}, items, full_names=True)
+    r = out.first()
+    assert r["driver_hourly_stats__conv_rate"] == 0.5 and r["driver_hourly_stats_fresh__conv_rate"] == 0.5
+    assert r["conv_rate_plus_val1"] == 2.5 and "conv_rate" not in out.columns
