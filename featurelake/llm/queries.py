@@ -33,3 +33,26 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(common.remainder("doc_id", 3) == 1, F.lit(False))
     model = language_id.train(docs.filter(~held))
     return language_id.predict(docs.select("doc_id", "text", held.alias("held_out")), model)
+
+
+@query("op2_ngram_join")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from featurelake.llm import ngram_join
+
+    return ngram_join.components(common.documents(spark, sf_dir))
+
+
+SQL["op2_ngram_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, sh FROM (
+    SELECT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN [array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)]
+                               WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+x AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x.a, x.b FROM x JOIN n na ON na.doc_id = x.a JOIN n nb ON nb.doc_id = x.b WHERE 100 * x.c >= 80 * (na.n + nb.n - x.c)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) m USING (doc_id)
+"""
