@@ -56,3 +56,12 @@ r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.component_id
 FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) m USING (doc_id)
 """
+
+
+@query("op8_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from featurelake.llm import packing
+
+    return packing.pack(common.documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
