@@ -65,3 +65,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from featurelake.llm import packing
 
     return packing.pack(common.documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op9_decontamination")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from featurelake.llm import decontaminate
+
+    return decontaminate.find(common.documents(spark, sf_dir), common.table(spark, sf_dir, "benchmark"))
