@@ -72,3 +72,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from featurelake.llm import decontaminate
 
     return decontaminate.find(common.documents(spark, sf_dir), common.table(spark, sf_dir, "benchmark"))
+
+
+@query("op4_line_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from featurelake.llm import line_dedup
+
+    done = line_dedup.dedup(common.documents(spark, sf_dir).select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
