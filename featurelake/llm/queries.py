@@ -80,3 +80,34 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     done = line_dedup.dedup(common.documents(spark, sf_dir).select("doc_id", "text"))
     return done.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
+@query("op6_quality_rules")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from featurelake.llm import quality_rules
+
+    return quality_rules.verdicts(common.documents(spark, sf_dir))
+
+
+SQL["op6_quality_rules"] = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, host, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w)),
+t AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g),
+r AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM t, range(8) AS o(j) WHERE c > 1 GROUP BY doc_id),
+l AS (SELECT doc_id, host, pos, line FROM (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d)),
+lw AS (SELECT doc_id, host, line, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g')) AS f, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM l),
+u AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lw WHERE n > 0 GROUP BY doc_id),
+c AS (SELECT host, f, count(DISTINCT doc_id) AS docs, min(doc_id) AS first_doc FROM lw WHERE n > 0 GROUP BY host, f),
+h AS (SELECT host, count(DISTINCT doc_id) AS docs FROM d GROUP BY host),
+q AS (SELECT c.host, c.f, c.first_doc FROM c JOIN h USING (host) WHERE c.docs > 20 AND c.docs > h.docs * 0.02::DOUBLE),
+x AS (SELECT lw.doc_id, sum(lw.n) AS n FROM lw JOIN q ON q.host = lw.host AND q.f = lw.f WHERE lw.doc_id <> q.first_doc GROUP BY lw.doc_id),
+b AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+        (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+        coalesce(u.n, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words, coalesce(x.n, 0)::BIGINT AS n_removed_words
+      FROM w LEFT JOIN r USING (doc_id) LEFT JOIN u USING (doc_id) LEFT JOIN x USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_removed_words,
+  (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND n_removed_words <= 0.5::DOUBLE * n_words AS kept
+FROM b
+"""
