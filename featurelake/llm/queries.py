@@ -111,3 +111,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_re
   NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND n_removed_words <= 0.5::DOUBLE * n_words AS kept
 FROM b
 """
+
+
+@query("op7_secret_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from featurelake.llm import secrets
+
+    found = secrets.scan(common.documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "n_entropy", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
+@query("op10_chat_format")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from featurelake.llm import chat
+
+    given = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    return chat.read_back(chat.windows(given.unionByName(extra)))
+
