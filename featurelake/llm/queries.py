@@ -131,3 +131,30 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     return chat.read_back(chat.windows(given.unionByName(extra)))
 
+
+
+@query("op3_quality_classifier")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from featurelake.llm import rule_ensemble
+
+    docs = common.documents(spark, sf_dir).select("doc_id", "text")
+    held = F.coalesce(common.remainder("doc_id", 4) == 2, F.lit(False))
+    labels = common.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")).filter(~held)
+    scored = rule_ensemble.score(docs.withColumn("held_out", held), rule_ensemble.fit(docs, labels))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op5_token_counts")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three edits of every document, by its length: words overwritten, a stretch deleted, a line added at the end."""
+    import public_tokenizers
+
+    from featurelake.llm import token_edits
+
+    n = F.coalesce(F.length("text"), F.lit(0))
+    one = lambda start, length, said: F.struct(start.cast("int").alias("start"), F.lit(length).alias("length"), F.lit(said).alias("replacement"))
+    script = F.array(one(F.floor(n / 3), 5, " [edited] "), one(F.floor(2 * n / 3), 9, ""), one(n + 10, 0, "\nThe end."))
+    docs = common.documents(spark, sf_dir).select("doc_id", "text", script.alias("edits"))
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    done = token_edits.apply_edits(token_edits.with_trees(docs, ranks), ranks)
+    return done.select("doc_id", "n_tokens_before", "n_tokens", "n_edits", "n_reencoded", F.length("text").cast("long").alias("n_chars"))
