@@ -161,5 +161,5 @@ def shingles(words: np.ndarray, first: np.ndarray, k: int = 5) -> tuple[np.ndarr
         out[long_enough] = h[place[long_enough]]
         for i in np.flatnonzero((n > 0) & (n < k)):
             own = words[first[i]:first[i + 1]]
-            out[at[i]] = mix(np.array([(own * _MIX[:len(own)]).sum(dtype=np.uint64) + _MIX[20 + len(own)]], np.uint64))[0]
+            out[at[i]:at[i] + 1] = mix((own * _MIX[:len(own)]).sum(dtype=np.uint64, keepdims=True) + _MIX[20 + len(own)])
     return out, at

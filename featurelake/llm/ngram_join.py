@@ -11,14 +11,17 @@ must both have mass on one of the first n - ceil(t n) + 1 axes of either, in any
 The order is by the mass of the coarse groups, rarest first (a table of fixed size), so common passages open no
 axis unless a text has little else. Each axis with two or more sets is a cell.
 
-1. ``describe``: one scan gives set sizes, set identities (equal sets become one point) and the group masses.
+1. ``describe``: one scan gives set sizes, set identities (equal sets become one point), points and the group masses.
 2. ``cells``: a second scan deals each set to its first axes; cells of one set end here.
-3. In each cell every set is held against the first set that its size allows (linear in the cell's size). Links
-   found so merge into components; a group of near copies is then one component at nearly no cost.
-4. Cells that still hold two components get an R-tree over their count vectors; it is joined with itself,
-   leaving out box pairs within one component, pairs of sizes too different, and those below the overlap bound.
-   Cells beyond ``CELL_ROWS`` are cut into blocks, and each pair of blocks is a task of its own.
-5. All surviving pairs are verified on the whole sets, exactly. Links and step 3's give the components.
+3. In each cell every set is held against the commonest set that its size allows, of all members the likeliest
+   original (linear in the cell's size). Links found so merge into components; a group of near copies is then one
+   component at nearly no cost.
+4. Cells that still hold two components get an R-tree over their count vectors. First each leaf's points are held
+   against each other; after merging, the trees of the cells left are joined with themselves, leaving out box pairs
+   within one component, pairs of sizes too different, and those below the overlap bound. Cells beyond
+   ``CELL_ROWS`` are cut into blocks, and each pair of blocks is a task of its own.
+5. All surviving pairs are verified on the whole sets, exactly. Only the sets concerned leave the scan that makes them
+   (a filter of fixed size names them), so texts are never shuffled.
 
 No link between different texts is lost: a linked pair meets in a cell, and is verified there or already connected.
 """
@@ -61,25 +64,26 @@ def _identity(s: np.ndarray) -> int:
 
 
 def describe(docs: DataFrame, k: int = 5) -> DataFrame:
-    """Rows (doc_id, n_shingles, set) of every document (set: 0 for none), and rows (piece, masses) of each task."""
+    """Rows (doc_id, n_shingles, set, counts) of every document (set: 0 for none), and rows (piece, masses) of each task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mass = np.zeros(1 << MASS_BITS, np.int32)
         for batch in batches:
-            n, sets = [], []
+            n, sets, counts = [], [], []
             for _, s in _sets(batch, k):
                 n.append(len(s))
                 sets.append(_identity(s))
+                counts.append(np.minimum(np.bincount((s & _U(DIMS - 1)).astype(np.int64), minlength=DIMS), 255).astype(np.uint8).tobytes() if len(s) else None)
                 np.add.at(mass, (s >> _U(64 - MASS_BITS)).astype(np.int64), 1)
             rows = len(n)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(sets, pa.int64()),
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(sets, pa.int64()), pa.array(counts, pa.binary()),
                                               pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names=names)
         pieces = mass.reshape(-1, 1 << PIECE_BITS)
         some = np.flatnonzero(pieces.any(1))
-        yield pa.RecordBatch.from_arrays([*[pa.nulls(len(some), pa.int64())] * 3, pa.array(some, pa.int32()),
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(len(some), pa.int64())] * 3, pa.nulls(len(some), pa.binary()), pa.array(some, pa.int32()),
                                           pa.array([pieces[i].tobytes() for i in some], pa.binary())], names=names)
 
-    names = ["doc_id", "n_shingles", "set", "piece", "masses"]
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set long, piece int, masses binary")
+    names = ["doc_id", "n_shingles", "set", "counts", "piece", "masses"]
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set long, counts binary, piece int, masses binary")
 
 
 def _masses(described: DataFrame) -> np.ndarray:
@@ -111,31 +115,33 @@ def _cells(docs: DataFrame, masses: np.ndarray, k: int, percent: int) -> DataFra
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mass, seen = shared.value, set()
         for batch in batches:
-            axes, sets, sizes = [], [], []
+            axes, sets, sizes, common = [], [], [], []
 
             def rows() -> pa.RecordBatch:
                 n = np.array(sizes, np.int32)
                 each = np.array([len(x) for x in axes], np.int64)
                 return pa.RecordBatch.from_arrays([pa.array(np.concatenate(axes).view(np.int64) if axes else np.zeros(0, np.int64)), pa.array(np.repeat(np.array(sets, np.int64), each)),
-                                                   pa.array(np.repeat(n, each))], names=["axis", "set", "n"])
+                                                   pa.array(np.repeat(n, each)), pa.array(np.repeat(np.array(common, np.int32), each))], names=["axis", "set", "n", "common"])
             for _, s in _sets(batch, k):
                 if not len(s) or (me := _identity(s)) in seen:
                     continue
                 seen.add(me)
                 p = len(s) - int(_at_least(len(s), percent)) + 1
-                order = (mass[(s >> _U(64 - MASS_BITS)).astype(np.int64)].astype(_U) << _U(32)) | (s & _U(0xFFFFFFFF))
+                own = mass[(s >> _U(64 - MASS_BITS)).astype(np.int64)]
+                order = (own.astype(_U) << _U(32)) | (s & _U(0xFFFFFFFF))
+                common.append(int(1000 * np.log2(own + 1.0).mean()))
                 axes.append(s[np.argpartition(order, p - 1)[:p]] if p < len(s) else s)
                 sets.append(me)
                 sizes.append(len(s))
                 if len(axes) >= 2000:
                     yield rows()
-                    axes, sets, sizes = [], [], []
+                    axes, sets, sizes, common = [], [], [], []
             yield rows()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            cols = [batch.column(i).to_numpy() for i in range(3)]
+            cols = [batch.column(i).to_numpy() for i in range(4)]
             if held is not None:
                 cols = [np.concatenate([a, b]) for a, b in zip(held, cols)]
             axis = cols[0]
@@ -145,42 +151,63 @@ def _cells(docs: DataFrame, masses: np.ndarray, k: int, percent: int) -> DataFra
         if held is not None:
             yield _members(held, percent)
 
-    dealt = docs.select("doc_id", "text").mapInArrow(deal, "axis long, set long, n int")
+    dealt = docs.select("doc_id", "text").mapInArrow(deal, "axis long, set long, n int, common int")
     return (dealt.repartition("axis").sortWithinPartitions("axis", "n", "set")
             .mapInArrow(meet, "axis long, set long, n int, hub long"))
 
 
 def _members(cols: list[np.ndarray], percent: int) -> pa.RecordBatch:
-    axis, sets, n = cols
-    new = np.ones(len(axis), bool)
-    new[1:] = (axis[1:] != axis[:-1]) | (sets[1:] != sets[:-1]) | (n[1:] != n[:-1])
-    axis, sets, n = axis[new], sets[new], n[new]
-    same = axis[1:] == axis[:-1]
-    several = np.zeros(len(axis), bool)
+    new = np.ones(len(cols[0]), bool)
+    new[1:] = (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]) | (cols[2][1:] != cols[2][:-1])
+    cols = [c[new] for c in cols]
+    same = cols[0][1:] == cols[0][:-1]
+    several = np.zeros(len(cols[0]), bool)
     several[1:] |= same
     several[:-1] |= same
-    axis, sets, n = axis[several], sets[several], n[several]
+    axis, sets, n, common = (c[several] for c in cols)
     hub, none = np.empty(len(axis), np.int64), np.zeros(len(axis), bool)
     at = np.flatnonzero(np.diff(axis, prepend=axis[:1] - 1)) if len(axis) else []
-    for lo, hi in zip(at, [*at[1:], len(axis)]):
-        while lo < hi:  # members come by size: one hub serves all sizes up to its own / percent
-            to = lo + int(np.searchsorted(n[lo:hi], n[lo] * 100 // percent, side="right"))
-            hub[lo:to], none[lo] = sets[lo], True
-            lo = to
+    todo = list(zip(at, [*at[1:], len(axis)]))
+    while todo:  # members come by size; the commonest serves all sizes near its own
+        lo, hi = todo.pop()
+        h = lo + int(common[lo:hi].argmax())
+        a = lo + int(np.searchsorted(n[lo:hi], _at_least(int(n[h]), percent)))
+        b = lo + int(np.searchsorted(n[lo:hi], int(n[h]) * 100 // percent, side="right"))
+        hub[a:b], none[h] = sets[h], True
+        if lo < a:
+            todo.append((lo, a))
+        if b < hi:
+            todo.append((b, hi))
     return pa.RecordBatch.from_arrays([pa.array(axis), pa.array(sets), pa.array(n), pa.array(hub, mask=none)], names=["axis", "set", "n", "hub"])
 
 
-def _points(docs: DataFrame, k: int) -> DataFrame:
-    """(set, n, counts, members) of (doc_id, text, set): the point and the sorted shingle hashes."""
+FILTER_BITS = 24
+
+
+def _wholes(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(set, members) of wanted (set, rep): the sorted shingle hashes, from one scan of docs.
+
+    The scan passes over documents by a bit table of the wanted ids, of fixed size; what it lets through by chance goes in the join.
+    """
+    bit = F.pmod(F.xxhash64("rep"), F.lit(1 << FILTER_BITS))
+    got = (wanted.select(F.shiftright(bit, 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(pmod(xxhash64(rep), 64) as int))").alias("bit"))
+           .groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toArrow())
+    bits = np.zeros(1 << FILTER_BITS - 6, np.uint64)
+    bits[got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(2)
+            h = batch.column(2).to_numpy()
+            batch = batch.filter(pa.array((shared.value[h >> 6] >> (h & 63).astype(np.uint64) & _U(1)).astype(bool)))
             for lo, hi, found in _in_runs(_sets(batch, k)):
-                counts = [np.minimum(np.bincount((s & _U(DIMS - 1)).astype(np.int64), minlength=DIMS), 255).astype(np.uint8).tobytes() for s in found]
-                yield pa.RecordBatch.from_arrays([at.slice(lo, hi - lo), pa.array([len(s) for s in found], pa.int32()), pa.array(counts, pa.binary()),
-                                                  pa.array([s.tobytes() for s in found], pa.binary())], names=["set", "n", "counts", "members"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([_identity(s) for s in found], pa.int64()),
+                                                  pa.array([s.tobytes() for s in found], pa.binary())], names=["rep", "set", "members"])
 
-    return docs.select("doc_id", "text", "set").mapInArrow(run, "set long, n int, counts binary, members binary")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = (docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).alias("h")).filter("doc_id IS NOT NULL")
+             .mapInArrow(run, f"rep {kind}, set long, members binary"))
+    return found.join(wanted, ["rep", "set"]).select("set", "members").dropDuplicates(["set"])
 
 
 def _in_runs(sets: Iterator[tuple[int, np.ndarray]], size: int = 1 << 20) -> Iterator[tuple[int, int, list[np.ndarray]]]:
@@ -267,9 +294,14 @@ class Tree:
             self._pack(points, order, lo, mid)
             self._pack(points, order, mid, hi)
 
-    def pairs(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """All pairs of points of different groups whose bounds reach the overlap needed."""
-        todo = [(len(self.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    def pairs(self, percent: int, near: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All pairs of points of different groups whose bounds reach the overlap needed; ``near``: those within a leaf."""
+        top = len(self.levels) - 1
+        if near and top:
+            leaf = np.arange(len(self.levels[1][1]))
+            todo = [(1, leaf, leaf)]
+        else:
+            todo = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64))]
         while todo:
             level, i, j = todo.pop()
             if len(i) > 4096:
@@ -294,8 +326,19 @@ class Tree:
                 todo.append((level - 1, a[ok], b[ok]))
 
 
-def _remaining(cells: DataFrame, points: DataFrame, labels: DataFrame, percent: int, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """(a, b): pairs of different components that survive the tree of a cell they share."""
+def _mixed(cells: DataFrame, labels: DataFrame, cell_rows: int) -> DataFrame:
+    """(axis, set, label, blocks): the cells that hold two components; of cells of the same members, one."""
+    own = cells.select("axis", "set").join(labels, "set", "left").select("axis", "set", F.coalesce("label", "set").alias("label"))
+    some = lambda *seed: F.sum(F.xxhash64("set", *seed).bitwiseAND((1 << 40) - 1))
+    mixed = (own.groupBy("axis").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count(F.lit(1)).alias("rows"),
+                                     some().alias("sum"), some(F.lit(1)).alias("other"))
+             .filter("least < most").groupBy("rows", "sum", "other").agg(F.min("axis").alias("axis"))
+             .select("axis", F.ceil(F.col("rows") / cell_rows).cast("int").alias("blocks")))
+    return own.join(mixed, "axis")
+
+
+def _remaining(mixed: DataFrame, points: DataFrame, percent: int, near: bool) -> DataFrame:
+    """(a, b): pairs of different components that survive the tree of a cell they share; ``near``: of a leaf."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         key = None
@@ -318,50 +361,55 @@ def _remaining(cells: DataFrame, points: DataFrame, labels: DataFrame, percent:
         lo, hi = t["lo"][0].as_py(), t["hi"][0].as_py()
         sets, group, block = t["set"].to_numpy(), t["label"].to_numpy(), t["block"].to_numpy()
         tree = Tree(_vectors(t["counts"]), t["n"].to_numpy(), group)
-        for i, j in tree.pairs(percent):
+        for i, j in tree.pairs(percent, near):
             ok = group[i] != group[j]
             if lo != hi:
                 ok &= block[i] != block[j]
             x, y = sets[i[ok]], sets[j[ok]]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
-    own = cells.select("axis", "set").join(labels, "set", "left").select("axis", "set", F.coalesce("label", "set").alias("label"))
-    mixed = (own.groupBy("axis").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count(F.lit(1)).alias("rows"),
-                                     F.sum(F.xxhash64("set").bitwiseAND((1 << 40) - 1)).alias("sum"), F.sum(F.xxhash64("set", F.lit(1)).bitwiseAND((1 << 40) - 1)).alias("other"))
-             .filter("least < most")
-             .groupBy("rows", "sum", "other").agg(F.min("axis").alias("axis"))  # of cells of the same members, one is enough
-             .select("axis", F.ceil(F.col("rows") / cell_rows).cast("int").alias("blocks")))
     block = F.pmod(F.xxhash64("set", F.lit(2)), F.col("blocks")).cast("int")
-    dealt = (own.join(mixed, "axis").withColumn("block", block)
+    dealt = (mixed.withColumn("block", block)
              .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("axis", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "set", "label", "block"))
-    full = dealt.join(points.select("set", "n", "counts"), "set").select("axis", "lo", "hi", "set", "label", "block", "n", "counts")
+    full = dealt.join(points, "set").select("axis", "lo", "hi", "set", "label", "block", "n", "counts")
     return full.repartition("axis", "lo", "hi").sortWithinPartitions("axis", "lo", "hi").mapInArrow(run, "a long, b long").distinct()
 
 
-def components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+def components(docs: DataFrame, k: int = 5, percent: int = 80, cell_rows: int = CELL_ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs (doc_id, text); further columns are left out.
 
     component_id is the smallest doc_id reachable by links of Jaccard similarity percent / 100 or more. Texts that are
     NULL, empty or without words have no shingles and link with nothing. Rows with a NULL doc_id keep their size and
-    get the component of their set's smallest id, or NULL. Repeated rows give repeated results. No rows: no rows.
+    get the smallest id among equal sets and their links, or NULL. Repeated rows give repeated results. No rows: no rows.
     """
     described = keep(describe(docs, k), "sets")
-    sized = described.filter("piece IS NULL").select("doc_id", "n_shingles", "set")
-    cells = keep(_cells(docs, _masses(described), k, percent), "cells")
+    sized = described.filter("piece IS NULL").select("doc_id", "n_shingles", "set", "counts")
+    cells = keep(_cells(docs.filter("doc_id IS NOT NULL"), _masses(described), k, percent), "cells")
     reps = sized.filter("n_shingles > 0").groupBy("set").agg(F.min("doc_id").alias("rep"))
-    wanted = reps.join(cells.select("set").distinct(), "set").select(F.col("rep").alias("doc_id"), "set")
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id").dropDuplicates(["set"])
-    points = keep(_points(texts, k), "points")
-    first = cells.filter("hub IS NOT NULL").select(F.least("hub", "set").alias("a"), F.greatest("hub", "set").alias("b")).distinct()
-    links = keep(_verified(keep(_bounded(first, points, percent), "pairs"), points, percent), "links")
+    met = reps.join(cells.select("set").distinct(), "set")
+    points = keep(sized.join(met.select(F.col("rep").alias("doc_id"), "set"), ["doc_id", "set"]).dropDuplicates(["set"])
+                  .select("set", F.col("n_shingles").cast("int").alias("n"), "counts"), "points")
+
+    def wholes(sets: DataFrame) -> DataFrame:
+        return keep(_wholes(docs, keep(sets.distinct().join(reps, "set"), "wanted"), k), "wholes")
+
+    ends = F.explode(F.array("a", "b")).alias("set")
+    pairs = cells.filter("hub IS NOT NULL").select(F.least("hub", "set").alias("a"), F.greatest("hub", "set").alias("b")).distinct()
+    pairs = keep(_bounded(pairs, points, percent), "pairs")
+    links = keep(_verified(pairs, wholes(pairs.select(ends)), percent), "links")
     labels = _labels(links)
-    more = keep(_verified(_remaining(cells, points, labels, percent), points, percent), "links")
-    if more.limit(1).count():
-        labels = _labels(links.unionAll(more))
+    mixed = keep(_mixed(cells, labels, cell_rows), "mixed")
+    known = wholes(mixed.select("set"))
+    for near in (True, False):
+        more = keep(_verified(keep(_remaining(mixed, points, percent, near), "pairs"), known, percent), "links")
+        if more.limit(1).count():
+            links = links.unionAll(more)
+            labels = _labels(links)
+            mixed = keep(_mixed(mixed, labels, cell_rows), "mixed")
     least = reps.join(labels, "set").groupBy("label").agg(F.min("rep").alias("component_id"))
     found = reps.join(labels, "set", "left").join(least, "label", "left").select("set", F.coalesce("component_id", "rep").alias("component_id"))
-    return (sized.join(found, "set", "left")
+    return (sized.drop("counts").join(found, "set", "left")
             .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
