@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from featurelake.operators.transform import numeric_columns
-from featurelake.session import checkpoint_dir
+from featurelake.session import checkpoint_dir, discard, written
 from featurelake.sources.tables import spread
 
 
@@ -144,42 +144,47 @@ def average_clustering(edges: DataFrame) -> DataFrame:
                   (F.sum("triangles") / 3).cast("bigint").alias("triangles"))
 
 
-def component_labels(edges: DataFrame, max_rounds: int = 100, checkpoint_every: int = 1, jumps: int = 2) -> DataFrame:
-    """(node, component) where component = smallest node id reachable.
+def component_labels(edges: DataFrame, max_rounds: int | None = None, salts: int = 8) -> DataFrame:
+    """(node, label) where label = smallest node id reachable. Edges with a NULL end are left out.
 
     Each round: every node takes the minimum label over itself and its
     neighbours (a partial aggregate, so hubs are combined map-side), then jumps
     to its label's label (shortcutting), which cuts rounds to about log of the
-    diameter. Labels are checkpointed to the shared folder so lineage stays flat and
-    a lost executor recomputes one round, not the whole loop.
+    diameter. A jump looks each label in use up once and deals the answers out
+    again by (label, salt), so a giant component is not one task's work. Each
+    round's labels are a table in the shared folder, so lineage stays flat, a
+    lost executor recomputes one round, and the tables of past rounds are deleted.
+
+    The loop ends when no label changes. ``max_rounds`` is a guard, not a cut:
+    if it is reached before that, the function raises.
     """
     spark = edges.sparkSession
-    checkpoint_dir(spark)
-    both = edges.select("src", "dst").unionAll(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    both = both.checkpoint()
-    labels = both.select(F.col("src").alias("node")).distinct().select("node", F.col("node").alias("label"))
-    labels = labels.checkpoint()
-    for i in range(max_rounds):
+    edges = edges.filter("src IS NOT NULL AND dst IS NOT NULL")
+    both, _ = written(edges.select("src", "dst").unionAll(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))), "edges")
+    labels, path = written(both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("label"))
+                           .select("node", F.least("node", "label").alias("label")), "labels")
+    none = F.lit(None).cast(labels.schema["label"].dataType)
+    done = 0
+    while True:
+        if max_rounds is not None and done >= max_rounds:
+            raise RuntimeError(f"components have not converged in max_rounds={max_rounds} rounds")
         msgs = both.join(labels.withColumnRenamed("node", "src"), "src").select(F.col("dst").alias("node"), "label")
-        cand = labels.select("node", "label", F.col("label").alias("own")).unionAll(
-            msgs.select("node", "label", F.lit(None).cast(labels.schema["label"].dataType).alias("own")))
-        new = cand.groupBy("node").agg(F.min("label").alias("label"), F.min("own").alias("old"))
-        for _ in range(jumps):  # pointer jumping: adopt the label's label (labels only ever decrease)
-            jump = new.select(F.col("node").alias("label"), F.col("label").alias("label2"))
-            new = new.join(jump, "label", "left").select(
-                "node", F.least(F.col("label"), F.coalesce(F.col("label2"), F.col("label"))).alias("label"), "old")
-        # the number of changed labels is observed by the checkpoint job itself: one job per round
-        obs = Observation(f"components_{uuid.uuid4().hex[:8]}_{i}")
-        new = new.observe(obs, F.count_if(F.col("label") < F.col("old")).alias("changed"))
-        if (i + 1) % checkpoint_every == 0:
-            new = new.checkpoint()
-            changed = obs.get["changed"]
-        else:
-            changed = new.filter(F.col("label") < F.col("old")).limit(1).count()
-        labels = new.select("node", "label")
-        if changed == 0:
-            break
-    return labels
+        cand = labels.select("node", "label", F.col("label").alias("own")).unionAll(msgs.select("node", "label", none.alias("own")))
+        new, step = written(cand.groupBy("node").agg(F.min("label").alias("label"), F.min("own").alias("old")), "labels")
+        hop = (new.select("label").distinct().join(new.select(F.col("node").alias("label"), F.col("label").alias("label2")), "label")
+               .withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(salts)]))))
+        # pointer jumping: adopt the label's label (labels only ever decrease)
+        new = (new.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int")).join(hop, ["label", "salt"], "left")
+               .select("node", F.least("label", F.coalesce("label2", "label")).alias("label"), "old"))
+        # the number of changed labels is observed by the job that writes them: one count less per round
+        obs = Observation(f"components_{uuid.uuid4().hex[:8]}_{done}")
+        new, after = written(new.observe(obs, F.count_if(F.col("label") < F.col("old")).alias("changed")), "labels")
+        discard(spark, path)
+        discard(spark, step)
+        labels, path = new.select("node", "label"), after
+        done += 1
+        if not obs.get["changed"]:
+            return labels
 
 
 def component_sizes(edges: DataFrame, **kw) -> DataFrame:
