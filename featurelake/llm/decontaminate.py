@@ -177,11 +177,11 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             item_type = pa.array(own.ids).type if own.ids else pa.int64()
             for batch in batches:
                 for part in slices(batch):
-                    rows, items, *rest = (list(x) for x in zip(*own.hits(part.column(1)))) if own.ids else ([], [])
-                    rest = rest or [[], [], []]
+                    hits = list(own.hits(part.column(1)))
+                    row, item, start, words, similar = ([h[i] for h in hits] for i in range(5))
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(0).take(pa.array(rows, pa.int64())), pa.array([own.ids[i] for i in items], item_type),
-                         pa.array(rest[0], pa.int64()), pa.array(rest[1], pa.int64()), pa.array(rest[2], pa.float64())], names=schema.names)
+                        [part.column(0).take(pa.array(row, pa.int64())), pa.array([own.ids[i] for i in item], item_type),
+                         pa.array(start, pa.int64()), pa.array(words, pa.int64()), pa.array(similar, pa.float64())], names=schema.names)
 
         out = out.unionAll(docs.select("doc_id", "text").mapInArrow(run, schema))
     return out
