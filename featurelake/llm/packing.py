@@ -26,7 +26,7 @@ from featurelake.llm.word_tokens import encoded
 
 CAPACITY, STEP, END_ID = 2048, 8, 1
 #: Rows that are ranked in one task.
-PART_ROWS = 200_000
+PART_ROWS = 5_000
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
