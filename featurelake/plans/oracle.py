@@ -373,22 +373,30 @@ SQL["prediction_envelope"] = f"""SELECT CAST(user_id AS VARCHAR) AS key, CAST(us
 FROM events"""
 
 SQL["stream_decode"] = """SELECT CAST(user_id AS VARCHAR) AS entity_id, event_type AS feature_name,
-  value AS feature_value, ts AS event_ts FROM events"""
-
-SQL["stream_bad_records"] = """SELECT '{bad' || CAST(event_id AS VARCHAR) AS raw_value, 'unparseable' AS reason
-FROM events WHERE event_type = 'error' AND value > 45"""
+  CASE WHEN isnan(value) THEN NULL ELSE value END AS feature_value, CAST(date_trunc('day', ts) AS TIMESTAMP) AS event_ts FROM events"""
+
+# Message texts and reasons as the input writes them and the contract names them.
+SQL["stream_bad_records"] = """SELECT CASE event_type
+  WHEN 'error' THEN '{bad' || event_id
+  WHEN 'click' THEN '{"feature_data":{"x":' || event_id || '},"timestamp":"2024-01-01T00:00:00"}'
+  WHEN 'view' THEN '{"entity_id":"' || event_id || '","feature_data":{},"timestamp":"2024-01-01T00:00:00"}'
+  WHEN 'signup' THEN '{"entity_id":"' || event_id || '","timestamp":"2024-01-01T00:00:00"}'
+  ELSE '{"entity_id":"' || event_id || '","feature_data":{"x":1.0},"timestamp":"not-a-time"}' END AS raw_value,
+ CASE event_type WHEN 'error' THEN 'unparseable' WHEN 'click' THEN 'missing entity_id' WHEN 'view' THEN 'empty feature_data'
+  WHEN 'signup' THEN 'missing feature_data' ELSE 'bad timestamp' END AS reason
+FROM events WHERE value > 45 AND event_type IN ('error', 'click', 'view', 'signup', 'purchase')"""
 
 SQL["stream_upsert"] = """SELECT entity_id, feature_name, feature_value, event_ts FROM (
-  SELECT CAST(user_id AS VARCHAR) AS entity_id, event_type AS feature_name, value AS feature_value, ts AS event_ts,
-    row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) AS rn
-  FROM events WHERE value IS NOT NULL) WHERE rn = 1"""
+  SELECT CAST(user_id AS VARCHAR) AS entity_id, event_type AS feature_name, value AS feature_value,
+    CAST(date_trunc('day', ts) AS TIMESTAMP) AS event_ts,
+    row_number() OVER (PARTITION BY user_id, event_type ORDER BY date_trunc('day', ts) DESC, event_id DESC) AS rn
+  FROM events WHERE value IS NOT NULL AND NOT isnan(value)) WHERE rn = 1"""
 
 SQL["stream_score"] = f"""SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS key,
   CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS entity_id,
   CAST(CASE WHEN l_quantity < 17 THEN 0.0 WHEN l_quantity < 34 THEN 1.0 ELSE 2.0 END AS DOUBLE) AS prediction,
   'model_prediction' AS event_type, {ISO.format('l_shipdate')} AS timestamp,
-  CAST(12 + (CASE WHEN l_tax <> 0 THEN 1 ELSE 0 END) + (CASE WHEN l_discount <> 0 THEN 1 ELSE 0 END) AS BIGINT)
-    AS n_features
+  CAST(4 AS BIGINT) AS n_features
 FROM lineitem"""
 
 # ---------------------------------------------------------------- ML with closed-form answers

@@ -9,29 +9,48 @@ from __future__ import annotations
 
 import os
 
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from featurelake.operators import metrics as mt
+from featurelake.operators import transform as tr
 from featurelake.plans.catalog import query
 from featurelake.session import scratch_dir
 from featurelake.sources import fixtures as fx
 from featurelake.sources.tables import table
 from featurelake.streaming import envelopes as env
-from featurelake.streaming.scoring import score_messages
-from featurelake.streaming.store_sink import FeatureStoreSink, run_available_now
-
-MESSAGE_FILES = 4
-
+from featurelake.streaming.scoring import bad_messages, score_messages
+from featurelake.streaming.store_sink import FeatureStoreSink, read_committed, run_available_now
 
 def update_messages(spark, sf_dir):
-    """One update message per event, plus malformed messages for large error events."""
+    """One update message per event, its time cut to the day (so many of an entity share one), and five kinds of
+    malformed messages for events of large value. offset = event id, as a topic would number them."""
     ev = table(spark, sf_dir, "events")
-    good = env.update_envelope(ev, F.col("user_id"), F.create_map(F.col("event_type"), F.col("value")), F.col("ts"))
-    bad = ev.filter((F.col("event_type") == "error") & (F.col("value") > 45)).select(
-        F.col("user_id").cast("string").alias("key"), F.concat(F.lit("{bad"), F.col("event_id").cast("string")).alias("value"))
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    body = F.struct(F.col("user_id").cast("string").alias("entity_id"), F.create_map("event_type", "value").alias("feature_data"),
+                    env.iso(day).alias("timestamp"), F.lit(env.UPDATE_EVENT).alias("event_type"))
+    key = F.col("user_id").cast("string").alias("key")
+    good = ev.select(key, F.to_json(body).alias("value"), F.col("event_id").alias("offset"))
+    n = F.col("event_id").cast("string")
+    kind = F.col("event_type")
+    malformed = (F.when(kind == "error", F.concat(F.lit("{bad"), n))
+                 .when(kind == "click", F.concat(F.lit('{"feature_data":{"x":'), n, F.lit('},"timestamp":"2024-01-01T00:00:00"}')))
+                 .when(kind == "view", F.concat(F.lit('{"entity_id":"'), n, F.lit('","feature_data":{},"timestamp":"2024-01-01T00:00:00"}')))
+                 .when(kind == "signup", F.concat(F.lit('{"entity_id":"'), n, F.lit('","timestamp":"2024-01-01T00:00:00"}')))
+                 .when(kind == "purchase", F.concat(F.lit('{"entity_id":"'), n, F.lit('","feature_data":{"x":1.0},"timestamp":"not-a-time"}'))))
+    bad = ev.filter(F.col("value") > 45).select(key, malformed.alias("value"), F.col("event_id").alias("offset")).filter("value IS NOT NULL")
     return good.unionByName(bad)
 
 
+def _message_stream(spark, messages, path: str):
+    """Write keyed messages as a topic would hold them (an entity's messages lie in one file) and stream them in a few micro-batches."""
+    messages.select("key", "value", "offset").repartition("key").write.parquet(path)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return env.update_stream(spark, "parquet", path=path, maxFilesPerTrigger=max(1, files // 4))
+
+
 def _parse_updates(envelopes):
     m = F.from_json("value", env.UPDATE_SCHEMA)
     return envelopes.select("key", m.alias("m")).select(
@@ -58,8 +77,7 @@ def prediction_envelope(spark, sf_dir):
 def _run_store_stream(spark, sf_dir) -> FeatureStoreSink:
     root = scratch_dir(spark, "stream")
     src = os.path.join(root, "messages")
-    update_messages(spark, sf_dir).select("value").repartition(MESSAGE_FILES).write.text(src)
-    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+    stream = _message_stream(spark, update_messages(spark, sf_dir), src)
     sink = FeatureStoreSink(os.path.join(root, "store"))
     run_available_now(stream, sink, os.path.join(root, "checkpoint"))
     return sink
@@ -85,28 +103,36 @@ def measurement_messages(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     feats = F.create_map(F.lit("sepal_length"), F.col("l_quantity"), F.lit("sepal_width"), F.col("l_tax"),
                          F.lit("petal_length"), F.col("l_extendedprice"), F.lit("petal_width"), F.col("l_discount"))
-    return env.update_envelope(li, F.concat_ws("-", "l_orderkey", "l_linenumber"), feats, F.col("l_shipdate"))
+    return env.update_envelope(li, F.concat_ws("-", "l_orderkey", "l_linenumber"), feats, F.col("l_shipdate")).withColumn("offset", F.lit(0).cast("bigint"))
 
 
-def band_model(df):
-    """Rule model: class by quantity band (the fixture's deterministic predictor)."""
+#: The model's training columns; the ratios, which can be NULL, are not among them.
+TRAINING_COLUMNS = ["sepal_length", "sepal_width", "petal_length", "petal_width", "sepal_area", "petal_area"]
+
+
+def band_model(spark, sf_dir):
+    """A decision tree fitted to the quantity bands of the line items (X10's label)."""
+    rows = fx.flowers(spark, sf_dir)
     q = F.col("sepal_length")
-    return df.withColumn("prediction", F.when(q < 17, 0.0).when(q < 34, 1.0).otherwise(2.0))
+    rows = tr.engineer_features(rows.withColumn("label", F.when(q < 17, 0.0).when(q < 34, 1.0).otherwise(2.0)))
+    tree = DecisionTreeClassifier(maxDepth=4, maxBins=128, seed=0)
+    return Pipeline(stages=[VectorAssembler(inputCols=TRAINING_COLUMNS, outputCol="features"), tree]).fit(rows)
 
 
 @query("stream_score")
 def stream_score(spark, sf_dir):
     root = scratch_dir(spark, "score")
     src, out = os.path.join(root, "messages"), os.path.join(root, "predictions")
-    measurement_messages(spark, sf_dir).select("value").repartition(MESSAGE_FILES).write.text(src)
-    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
-    scored = score_messages(stream, fx.FLOWER_FEATURES, band_model)
+    model = band_model(spark, sf_dir)
+    stream = _message_stream(spark, measurement_messages(spark, sf_dir), src)
 
     def sink(batch, batch_id):
-        batch.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+        scored = score_messages(batch, fx.FLOWER_FEATURES, model.transform, TRAINING_COLUMNS)
+        scored.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+        bad_messages(batch).write.mode("overwrite").parquet(os.path.join(root, "dead_letter", f"batch_id={batch_id}"))
 
-    run_available_now(scored, sink, os.path.join(root, "checkpoint"))
+    run_available_now(stream, sink, os.path.join(root, "checkpoint"))
     m = F.from_json("value", env.PREDICTION_SCHEMA)
-    return spark.read.parquet(out).select("key", m.alias("m")).select(
+    return read_committed(spark, out).select("key", m.alias("m")).select(
         "key", "m.entity_id", "m.prediction", "m.event_type", "m.timestamp",
         F.size("m.features").cast("bigint").alias("n_features"))

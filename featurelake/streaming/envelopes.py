@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from featurelake.functions.columns import nan_to_null
+
 # Event type names of the two message kinds.
 UPDATE_EVENT = "feature_update"
 PREDICTION_EVENT = "model_prediction"
@@ -59,12 +61,17 @@ def prediction_envelope(df: DataFrame, entity: Column, prediction: Column, featu
     return df.select(entity.cast("string").alias("key"), F.to_json(body).alias("value"))
 
 
+def event_time() -> Column:
+    """The message's time; NULL, not an error, when it cannot be read."""
+    return F.col("m.timestamp").try_cast("timestamp_ntz")
+
+
 def decode_updates(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Parse update messages; adds ``_valid`` (parsed, has an entity and a non-empty map)."""
+    """Parse update messages; adds ``_valid`` (parsed, has an entity, a non-empty map and a readable time)."""
     m = F.from_json(F.col(value).cast("string"), UPDATE_SCHEMA)
     out = messages.select("*", m.alias("m"))
     valid = (F.col("m").isNotNull() & F.col("m.entity_id").isNotNull() & F.col("m.feature_data").isNotNull()
-             & F.to_timestamp(F.col("m.timestamp")).isNotNull())
+             & (F.size("m.feature_data") > 0) & event_time().isNotNull())
     return out.select("*", F.coalesce(valid, F.lit(False)).alias("_valid"))
 
 
@@ -75,7 +82,8 @@ def split_bad(decoded: DataFrame, value: str = "value") -> tuple[DataFrame, Data
         F.col(value).cast("string").alias("raw_value"),
         F.when(F.col("m").isNull() | F.get_json_object(F.col(value).cast("string"), "$").isNull(), "unparseable")
          .when(F.col("m.entity_id").isNull(), "missing entity_id")
-         .when(F.col("m.feature_data").isNull(), "missing feature_data").otherwise("bad timestamp").alias("reason"))
+         .when(F.col("m.feature_data").isNull(), "missing feature_data")
+         .when(F.size("m.feature_data") == 0, "empty feature_data").otherwise("bad timestamp").alias("reason"))
     return good, bad
 
 
@@ -83,15 +91,15 @@ def fan_out(good: DataFrame, ingest_ts: Column | None = None, seq: Column | None
     """One long-log row per (message, feature): the intent of one value per feature per message (Q1)."""
     ing = ingest_ts if ingest_ts is not None else F.lit(None).cast("timestamp_ntz")
     sq = seq if seq is not None else F.lit(0).cast("bigint")
-    rows = good.select(F.col("m.entity_id").alias("entity_id"),
-                       F.to_timestamp_ntz(F.col("m.timestamp")).alias("event_ts"),
+    rows = good.select(F.col("m.entity_id").alias("entity_id"), event_time().alias("event_ts"),
                        ing.cast("timestamp_ntz").alias("ingest_ts"), sq.cast("bigint").alias("seq"),
                        F.explode("m.feature_data").alias("feature_name", "feature_value"))
-    return rows.select("entity_id", "feature_name", "feature_value", "event_ts", "ingest_ts", "seq")
+    return rows.select("entity_id", "feature_name", nan_to_null("feature_value").alias("feature_value"), "event_ts",
+                       "ingest_ts", "seq")
 
 
 def update_stream(spark, source: str = "kafka", **options) -> DataFrame:
-    """A stream of update messages with a string ``value`` (and ``key`` when the source has one).
+    """A stream of update messages: string ``value``, ``ingest_ts`` and ``offset`` (its place in the source).
 
     ``source="kafka"`` reads the topic from its latest offsets by default
     (``subscribe`` and ``kafka.bootstrap.servers`` come in ``options``); a file
@@ -101,9 +109,13 @@ def update_stream(spark, source: str = "kafka", **options) -> DataFrame:
         opts = {"startingOffsets": "latest", **options}
         raw = spark.readStream.format("kafka").options(**opts).load()
         return raw.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
-                          F.col("timestamp").alias("ingest_ts"))
+                          F.col("timestamp").alias("ingest_ts"), "offset")
     path = options.pop("path")
-    return spark.readStream.options(**options).schema("value string").format("text").load(path)
+    if source == "parquet":  # rows (value, offset), as a topic archive keeps them
+        raw = spark.readStream.options(**options).schema("value string, offset bigint").parquet(path)
+        return raw.select("value", F.col("_metadata.file_modification_time").alias("ingest_ts"), "offset")
+    raw = spark.readStream.options(**options).schema("value string").format("text").load(path)
+    return raw.select("value", F.col("_metadata.file_modification_time").alias("ingest_ts"))
 
 
 def publish(envelopes: DataFrame, sink: str = "kafka", checkpoint: str | None = None, **options):

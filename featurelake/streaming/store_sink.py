@@ -47,6 +47,14 @@ def list_versions(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return sorted(out)
 
 
+def read_committed(spark: SparkSession, path: str, prefix: str = "batch_id") -> DataFrame | None:
+    """The table of the sub-folders whose writes have been committed; a half-written batch stays invisible."""
+    done = list_versions(spark, path, prefix)
+    if not done:
+        return None
+    return spark.read.option("basePath", path).parquet(*[os.path.join(path, f"{prefix}={n}") for n in done])
+
+
 def read_latest(spark: SparkSession, latest_path: str, before: int | None = None) -> DataFrame | None:
     vs = [v for v in list_versions(spark, latest_path, "v") if before is None or v < before]
     if not vs:
@@ -71,8 +79,11 @@ class FeatureStoreSink:
         # parse each message once: the log and the dead-letter writes both read it
         decoded = decode_updates(batch, self.value_col).persist(StorageLevel.MEMORY_AND_DISK)
         good, bad = split_bad(decoded, self.value_col)
-        # ingest time = the batch; seq = batch id, so arrival order is recoverable (Q3)
-        rows = fan_out(good, ingest_ts=F.current_timestamp(), seq=F.lit(batch_id))
+        # the source's own arrival time and offset where it has them: a replayed batch then writes the same rows, and of
+        # equal event times the later message wins (Q3); else the batch's time and the place in the batch
+        ingest = F.col("ingest_ts") if "ingest_ts" in batch.columns else F.current_timestamp()
+        seq = F.col("offset") if "offset" in batch.columns else F.monotonically_increasing_id()
+        rows = fan_out(good, ingest_ts=ingest, seq=seq)
         rows.write.mode("overwrite").parquet(os.path.join(self.log_path, f"batch_id={batch_id}"))
         bad.write.mode("overwrite").parquet(os.path.join(self.dead_path, f"batch_id={batch_id}"))
         # catalogue entries of this batch (one row per feature name); reads fold them, last write wins
@@ -89,7 +100,7 @@ class FeatureStoreSink:
         base = spark.read.parquet(os.path.join(self.latest_path, f"v={snaps[-1]}")) if snaps else None
         if not list_versions(spark, self.log_path, "batch_id"):
             return base
-        log = spark.read.parquet(self.log_path)
+        log = self.log(spark)
         if snaps:
             log = log.filter(F.col("batch_id") > snaps[-1])
         if upto is not None:
@@ -107,24 +118,29 @@ class FeatureStoreSink:
     def latest(self, spark: SparkSession) -> DataFrame | None:
         return self._merged(spark)
 
-    def log(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.log_path)
+    def log(self, spark: SparkSession) -> DataFrame | None:
+        return read_committed(spark, self.log_path)
 
-    def dead_letters(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.dead_path)
+    def dead_letters(self, spark: SparkSession) -> DataFrame | None:
+        return read_committed(spark, self.dead_path)
 
     def catalog(self, spark: SparkSession) -> DataFrame | None:
         if not list_versions(spark, self.catalog_path, "batch_id"):
             return None
-        return st.metadata_upsert(None, spark.read.parquet(self.catalog_path))
+        return st.metadata_upsert(None, read_committed(spark, self.catalog_path))
+
 
+def run_available_now(stream: DataFrame, batch_fn, checkpoint: str, timeout_s: float | None = None) -> None:
+    """Process everything available now in micro-batches, then stop (checkpointed, restartable).
 
-def run_available_now(stream: DataFrame, batch_fn, checkpoint: str, timeout_s: int = 600) -> None:
-    """Process everything available now in micro-batches, then stop (checkpointed, restartable)."""
+    Waits until all of it is processed. A ``timeout_s`` that runs out before that stops the stream and raises; the
+    checkpoint lets the next call go on from there.
+    """
     q = (stream.writeStream.foreachBatch(batch_fn).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
+    done = q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination() is None
+    if not done:
         q.stop()
+        raise TimeoutError(f"the stream had input left after {timeout_s} s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
