@@ -58,7 +58,7 @@ class FeatureStore:
     def get_features(self, feature_names: list[str], entities: DataFrame | None = None, as_of=None,
                      keep_missing: bool = False) -> DataFrame:
         """Newest value per entity and feature as one wide row per entity (optionally as of a time)."""
-        return st.latest_pivot(self.log().select(*st.LOG_COLUMNS), feature_names, entities=entities,
+        return st.latest_pivot(self.log(), feature_names, entities=entities,
                                as_of=as_of, keep_missing=keep_missing)
 
     def get_feature_metadata(self) -> DataFrame | None:
@@ -175,7 +175,7 @@ def run_batch_flow(spark: SparkSession, data: DataFrame, key: str, features: lis
     FeatureStore(spark, store_root).store_features(data.select(key, *features), key=key, features=features)
     split = tp.hash_split(data, key, train_pct)
     x = VectorAssembler(inputCols=features, outputCol="features").transform(split)
-    model = ml.logistic_regression(x.filter(F.col("split") == "train"), label=label, max_iter=200)
+    model = ml.logistic_regression(x.filter(F.col("split") == "train"), label=label)
     # the scored rows still carry the label, so actual and predicted stay on the same row (no re-alignment)
     pred = model.transform(x.filter(F.col("split") == "test"))
     metrics = mt.class_metrics(pred.select(F.col(label).alias("actual"), F.col("prediction").alias("predicted")))

@@ -10,6 +10,7 @@ candidates in parallel.
 from __future__ import annotations
 
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -21,7 +22,10 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurelake.functions.columns import literal_frame
+from featurelake.functions.columns import hash_bucket, literal_frame
+
+MAX_DEPTH = 30
+NORMAL_WIDTH = 4096
 
 
 def feature_pipeline(cols: list[str], k: int | None = None, with_pca: bool = True) -> Pipeline:
@@ -52,15 +56,20 @@ def logistic_regression(train: DataFrame, features: str = "features", label: str
 
 
 def linear_regression(train: DataFrame, features: str = "features", label: str = "label") -> PipelineModel:
-    """M9: ordinary least squares (no penalty), normal-equation solver."""
-    return Pipeline(stages=[LinearRegression(featuresCol=features, labelCol=label, regParam=0.0,
-                                             solver="normal")]).fit(train)
+    """M9: ordinary least squares with intercept (no penalty). Normal equations up to ``NORMAL_WIDTH`` features, beyond
+    that L-BFGS to a tight tolerance: one-hot pairs can be far wider than a matrix on one machine."""
+    first = train.select(features).first()
+    wide = first is not None and len(first[0]) > NORMAL_WIDTH
+    return Pipeline(stages=[LinearRegression(featuresCol=features, labelCol=label, regParam=0.0, maxIter=1000 if wide else 100,
+                                             tol=1e-9 if wide else 1e-6, solver="l-bfgs" if wide else "normal")]).fit(train)
 
 
 def random_forest(train: DataFrame, features: str = "features", label: str = "label", num_trees: int = 20,
                   max_depth: int = 10, min_instances: int = 1, subset: str = "auto", seed: int = 0) -> PipelineModel:
-    """Random-forest regression (Spark caps depth at 30)."""
-    rf = RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=num_trees, maxDepth=min(max_depth, 30),
+    """Random-forest regression. Spark's trees have a depth of 30 at most; a larger one raises."""
+    if max_depth > MAX_DEPTH:
+        raise ValueError(f"max_depth={max_depth}: Spark's trees are at most {MAX_DEPTH} deep")
+    rf = RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=num_trees, maxDepth=max_depth,
                                minInstancesPerNode=min_instances, featureSubsetStrategy=subset, seed=seed)
     return Pipeline(stages=[rf]).fit(train)
 
@@ -69,24 +78,41 @@ def rmse(pred: DataFrame, label: str = "label", prediction: str = "prediction")
     return RegressionEvaluator(labelCol=label, predictionCol=prediction, metricName="rmse").evaluate(pred)
 
 
-def hyper_search(train: DataFrame, features: str = "features", label: str = "label", trials: int = 6,
-                 depth=(2, 20), trees=(10, 50), leaf=(1, 4), seed: int = 42, parallelism: int = 4) -> DataFrame:
+def hyper_search(train: DataFrame, features: str = "features", label: str = "label", trials: int = 15,
+                 depth=(1, 20), trees=(10, 50), leaf=(1, 4), subsets=("auto",), seed: int = 42, parallelism: int = 4,
+                 key: str | None = None) -> DataFrame:
     """M12 (re-aimed): seeded random sample of a forest grid, scored by TrainValidationSplit.
 
+    ``subsets`` are Spark's feature-subset strategies (the share of features a split looks at). Spark has no minimum size
+    of a node to be split; ``leaf`` bounds the rows of its children instead. With ``key``, a fifth of the rows by its md5
+    validates, whatever the partitioning; else TrainValidationSplit draws by partition. A depth beyond 30 raises.
     Returns one row per trial: its parameters and validation RMSE, best first.
     """
+    if depth[1] > MAX_DEPTH:
+        raise ValueError(f"depth up to {depth[1]}: Spark's trees are at most {MAX_DEPTH} deep")
     rf = RandomForestRegressor(featuresCol=features, labelCol=label, seed=seed)
-    grid = (ParamGridBuilder().addGrid(rf.maxDepth, list(range(depth[0], min(depth[1], 30) + 1)))
+    grid = (ParamGridBuilder().addGrid(rf.maxDepth, list(range(depth[0], depth[1] + 1)))
             .addGrid(rf.numTrees, list(range(trees[0], trees[1] + 1, 10)))
-            .addGrid(rf.minInstancesPerNode, list(range(leaf[0], leaf[1] + 1))).build())
+            .addGrid(rf.minInstancesPerNode, list(range(leaf[0], leaf[1] + 1)))
+            .addGrid(rf.featureSubsetStrategy, list(subsets)).build())
     sample = random.Random(seed).sample(grid, min(trials, len(grid)))
-    tvs = TrainValidationSplit(estimator=rf, estimatorParamMaps=sample, trainRatio=0.8, seed=seed,
-                               evaluator=RegressionEvaluator(labelCol=label, metricName="rmse"), parallelism=parallelism)
-    model = tvs.fit(train)
-    rows = [(i, pm[rf.maxDepth], pm[rf.numTrees], pm[rf.minInstancesPerNode], float(m))
-            for i, (pm, m) in enumerate(zip(sample, model.validationMetrics))]
+    evaluator = RegressionEvaluator(labelCol=label, metricName="rmse")
+    if key is None:
+        scores = TrainValidationSplit(estimator=rf, estimatorParamMaps=sample, trainRatio=0.8, seed=seed,
+                                      evaluator=evaluator, parallelism=parallelism).fit(train).validationMetrics
+    else:
+        parted = train.withColumn("part__", hash_bucket(F.concat(F.lit("search-"), F.col(key).cast("string")), 100) < 80)
+        fit, val = parted.filter("part__").drop("part__").persist(), parted.filter("NOT part__").drop("part__").persist()
+        try:
+            with ThreadPoolExecutor(parallelism) as pool:
+                scores = list(pool.map(lambda pm: evaluator.evaluate(rf.copy(pm).fit(fit).transform(val)), sample))
+        finally:
+            fit.unpersist()
+            val.unpersist()
+    rows = [(i, pm[rf.maxDepth], pm[rf.numTrees], pm[rf.minInstancesPerNode], pm[rf.featureSubsetStrategy], float(m))
+            for i, (pm, m) in enumerate(zip(sample, scores))]
     spark = train.sparkSession
-    return literal_frame(spark, rows, "trial int, max_depth int, num_trees int, min_instances int, val_rmse double") \
+    return literal_frame(spark, rows, "trial int, max_depth int, num_trees int, min_instances int, subset string, val_rmse double") \
         .orderBy("val_rmse", "trial")
 
 
@@ -112,7 +138,7 @@ def retrain_and_select(trials: DataFrame, train: DataFrame, val: DataFrame, test
     rows = []
     for t in best:
         m = random_forest(train, features, label, num_trees=t["num_trees"], max_depth=t["max_depth"],
-                          min_instances=t["min_instances"], seed=seed)
+                          min_instances=t["min_instances"], subset=t["subset"], seed=seed)
         rows.append((t["trial"], t["max_depth"], t["num_trees"], t["min_instances"],
                      rmse(m.transform(val), label), rmse(m.transform(test), label)))
     out = literal_frame(train.sparkSession, rows,

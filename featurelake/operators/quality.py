@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featurelake.functions.columns import literal_frame
+from featurelake.functions.columns import literal_frame, nan_to_null
 from featurelake.operators.transform import numeric_columns
 
 _FIXED_WIDTH = {T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
@@ -30,18 +30,21 @@ def _null(c: str, dt) -> Column:
 def profile(df: DataFrame, dataset: str) -> DataFrame:
     """A1/A2/A4: row and column count, NULL (and NaN) count per column, logical size in bytes.
 
-    Size = fixed width x rows for fixed-width types + total UTF-8 bytes of strings.
+    Size = fixed width x rows for fixed-width types (decimals: 8 bytes up to 18 digits, else 16) + total UTF-8 bytes of
+    strings, and of the JSON form of arrays, maps and structs.
     """
     fields = df.schema.fields
     aggs = [F.count(F.lit(1)).alias("__rows")]
     aggs += [F.count_if(_null(f.name, f.dataType)).alias(f"n::{f.name}") for f in fields]
-    var = [F.coalesce(F.sum(F.octet_length(f.name)), F.lit(0)).alias(f"b::{f.name}")
-           for f in fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    var = [F.coalesce(F.sum(F.octet_length(F.to_json(f.name) if isinstance(f.dataType, nested) else f.name)), F.lit(0)).alias(f"b::{f.name}")
+           for f in fields if isinstance(f.dataType, (T.StringType, T.BinaryType, *nested))]
     one = df.agg(*aggs, *var)
     fixed = sum(w for f in fields for t, w in _FIXED_WIDTH.items() if isinstance(f.dataType, t))
+    fixed += sum(8 if f.dataType.precision <= 18 else 16 for f in fields if isinstance(f.dataType, T.DecimalType))
     size = F.col("__rows") * F.lit(fixed)
     for f in fields:
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+        if isinstance(f.dataType, (T.StringType, T.BinaryType, *nested)):
             size = size + F.col(f"`b::{f.name}`")
     def stat(col_name: str, name: str, value: Column) -> Column:
         return F.struct(F.lit(col_name).alias("column_name"), F.lit(name).alias("stat"),
@@ -66,7 +69,7 @@ def schema_rows(df: DataFrame, dataset: str) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], window: int = 50000,
-                    splits: int = 64, max_rounds: int = 16,
+                    splits: int = 64, max_rounds: int | None = None,
                     moments: bool = False) -> dict[str, dict]:
     """Exact linear-interpolated quantiles (like ``quantile_cont``) by distributed selection.
 
@@ -81,16 +84,16 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], window:
     counts or ``window`` (value, count) pairs per bracket, whatever the table
     size, so rounds ~ log_splits(n / window). The projected columns are
     persisted once, so rounds re-read executor storage rather than the source.
+    Every round either shrinks a bracket or resolves it; the loop ends when all
+    ranks are resolved. ``max_rounds`` is a guard: reached before that, it raises.
     With ``moments=True`` the first pass also returns count, mean, sample std,
     min and max per column under the keys "count", "mean", "std", "min", "max".
     """
     from pyspark import StorageLevel
 
-    from featurelake.sources.tables import spread
-
     names = [f"v{i}" for i in range(len(cols))]
-    vals = spread(df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(n)
-                              for c, n in zip(cols, names)])).persist(StorageLevel.MEMORY_AND_DISK)
+    vals = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(n)
+                       for c, n in zip(cols, names)]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         qs_sql = ", ".join(repr(j / splits) for j in range(1, splits))
         # the first bracket of every column is its whole range: its cut points ride on the first pass
@@ -109,7 +112,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], window:
         # Expressions are built as SQL text: one gateway call per expression,
         # however many brackets and cut points it carries.
         def lit(x: float) -> str:
-            return f"CAST({x!r} AS DOUBLE)"
+            return f"CAST('{x!r}' AS DOUBLE)"  # quoted: inf and -inf have no literal of their own
 
         def bucket_of(v: str, cs: list[float], lo: int, hi: int) -> str:
             """Number of cut points below v, as a balanced CASE tree (log2 comparisons, codegen-friendly)."""
@@ -127,10 +130,11 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], window:
                 c += f" AND {names[i]} <= {lit(hi)}"
             return c
 
-        for _ in range(max_rounds):
-            todo = sorted({state[t] for t in targets if t not in found}, key=str)
-            if not todo:
-                break
+        done = 0
+        while todo := sorted({state[t] for t in targets if t not in found}, key=str):
+            if max_rounds is not None and done >= max_rounds:
+                raise RuntimeError(f"{len(todo)} brackets are unresolved after max_rounds={max_rounds} rounds")
+            done += 1
             large = [b for b in todo if b[4] > window]
             cuts: dict[int, list[float]] = {}
             for b in [b for b in large if b[1] is None and b[2] is None]:  # whole column: cuts known
@@ -140,12 +144,17 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], window:
                 qs = ", ".join(repr(j / splits) for j in range(1, splits))
                 row = vals.agg(*[F.expr(f"percentile_approx(CASE WHEN {inside(i, lo, hi)} THEN {names[i]} END, "
                                         f"array({qs}), {10 * splits})").alias(f"q{k}")
+                                 for k, (i, lo, hi, _, _) in enumerate(large)],
+                               *[F.expr(f"min(CASE WHEN {inside(i, lo, hi)} THEN {names[i]} END)").alias(f"m{k}")
                                  for k, (i, lo, hi, _, _) in enumerate(large)]).first()
                 for k, (i, lo, hi, _, _) in enumerate(large):
                     cs = sorted({x for x in (row[f"q{k}"] or []) if x is not None
                                  and (lo is None or x > lo) and (hi is None or x < hi)})
-                    if not cs and lo is not None and hi is not None and lo < (lo + hi) / 2 < hi:
-                        cs = [(lo + hi) / 2]  # bisect when the sketch offers no interior cut
+                    least = row[f"m{k}"]
+                    if not cs and least is not None and (hi is None or least < hi):
+                        # the sketch offers no interior cut: part the bracket between its least value and its end
+                        mid = (least + hi) / 2 if hi is not None else least
+                        cs = [mid if least < mid and (hi is None or mid < hi) else least]
                     cuts[todo.index(large[k])] = cs
             recs = []
             for k, (i, lo, hi, _, _) in enumerate(todo):
@@ -205,7 +214,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], window:
                     continue
                 pos = p * (ns[names[i]] - 1)
                 a, b = found.get((i, math.floor(pos))), found.get((i, math.ceil(pos)))
-                out[c][p] = None if a is None or b is None else a + (b - a) * (pos - math.floor(pos))
+                out[c][p] = a if a == b else a + (b - a) * (pos - math.floor(pos))
         return out
     finally:
         vals.unpersist()
@@ -246,7 +255,8 @@ def mean_drift(df: DataFrame, period_col: str, reference: str = "reference", cur
                cols: list[str] | None = None, threshold_pct: float = 10.0) -> DataFrame:
     """Per-column mean shift between two periods of one table, in one pass.
 
-    drift % = |(cur - ref) / ref| * 100, 0 when ref = 0; flagged when > threshold.
+    drift % = |(cur - ref) / ref| * 100, 0 when ref = 0; flagged when > threshold. NULL and NaN values are left out of
+    the means; a period without any value has a NULL mean, and no drift is flagged.
     Both means come from a single conditional aggregate (no self-join). The
     result also carries the number of drifted columns.
     """
@@ -254,19 +264,19 @@ def mean_drift(df: DataFrame, period_col: str, reference: str = "reference", cur
     p = F.col(period_col)
     aggs = []
     for c in cols:
-        aggs += [F.avg(F.when(p == reference, F.col(c))).alias(f"{c}::ref"),
-                 F.avg(F.when(p == current, F.col(c))).alias(f"{c}::cur")]
+        aggs += [F.avg(F.when(p == reference, nan_to_null(c))).alias(f"{c}::ref"),
+                 F.avg(F.when(p == current, nan_to_null(c))).alias(f"{c}::cur")]
     one = df.agg(*aggs)
 
     def pct(c: str) -> Column:
         ref, cur = F.col(f"`{c}::ref`"), F.col(f"`{c}::cur`")
-        return F.when(ref != 0, F.abs((cur - ref) / ref) * 100).otherwise(F.lit(0.0))
+        return F.when(ref != 0, F.abs((cur - ref) / ref) * 100).when(ref == 0, F.lit(0.0))
 
     # the count of drifted columns is computed on the same single aggregate row
     n_drift = sum((F.coalesce((pct(c) > threshold_pct).cast("int"), F.lit(0)) for c in cols), F.lit(0))
     rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}::ref`").alias("reference_mean"),
                      F.col(f"`{c}::cur`").alias("current_mean"), pct(c).alias("drift_percentage"),
-                     (pct(c) > threshold_pct).alias("drift_detected")) for c in cols]
+                     F.coalesce(pct(c) > threshold_pct, F.lit(False)).alias("drift_detected")) for c in cols]
     return one.select(F.explode(F.array(*rows)).alias("r"), n_drift.cast("bigint").alias("drifted_features")) \
         .select("r.*", "drifted_features")
 

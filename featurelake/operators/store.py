@@ -15,6 +15,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from featurelake.functions.columns import nan_to_null
 from featurelake.operators.transform import numeric_columns
 
 LOG_COLUMNS = ["entity_id", "feature_name", "feature_value", "event_ts", "ingest_ts", "seq"]
@@ -32,7 +33,7 @@ def melt(df: DataFrame, key: str, values: list[str] | None = None, prefix: str =
     """Wide rows -> long log rows, one per (entity, numeric feature).
 
     Entity ids come from a stable business key (``prefix`` + key), never from row
-    position. ``event_ts``/``ingest_ts`` are a column name, a Column or a literal.
+    position; a NaN cell is stored as NULL. ``event_ts``/``ingest_ts`` are a column name, a Column or a literal.
     """
     values = values or numeric_columns(df, exclude=(key,) + ((seq,) if seq else ()))
 
@@ -43,7 +44,7 @@ def melt(df: DataFrame, key: str, values: list[str] | None = None, prefix: str =
     ing = tcol(ingest_ts) if ingest_ts is not None else ev
     base = df.select(
         F.concat(F.lit(prefix), F.col(key).cast("string")).alias("entity_id"),
-        *[F.col(v).cast("double").alias(v) for v in values],
+        *[nan_to_null(F.col(v).cast("double")).alias(v) for v in values],
         ev.alias("event_ts"), ing.alias("ingest_ts"),
         (F.col(seq).cast("bigint") if seq else F.lit(0).cast("bigint")).alias("seq"),
     )
@@ -52,8 +53,11 @@ def melt(df: DataFrame, key: str, values: list[str] | None = None, prefix: str =
 
 
 def append_log(log: DataFrame, path: str) -> None:
-    """Bulk append to the log table, partitioned by event date (replaces per-cell INSERTs)."""
-    (log.withColumn("event_date", F.to_date("event_ts"))
+    """Bulk append to the log table, partitioned by event date (replaces per-cell INSERTs).
+
+    Rows are ranged by date and entity first, so a date is written by few tasks (and a large one by several).
+    """
+    (log.withColumn("event_date", F.to_date("event_ts")).repartitionByRange("event_date", "entity_id")
         .write.mode("append").partitionBy("event_date").parquet(path))
 
 
@@ -63,6 +67,8 @@ def _select_log(log: DataFrame, features: list[str] | None, entities: DataFrame
         log = log.filter(F.col("feature_name").isin(list(features)))
     if as_of is not None:
         log = log.filter(F.col("event_ts") <= _ts(as_of))
+        if "event_date" in log.columns:  # a written log: the bound prunes its date partitions
+            log = log.filter(F.col("event_date") <= F.to_date(_ts(as_of)))
     if entities is not None:  # a semi join needs no distinct: each log row is kept at most once
         ent = entities.select(F.col(entities.columns[0]).cast("string").alias("entity_id"))
         log = log.join(ent, "entity_id", "left_semi")
@@ -89,8 +95,8 @@ def latest_pivot(log: DataFrame, features: list[str], entities: DataFrame | None
                  keep_missing: bool = False, order_by: str = "event") -> DataFrame:
     """One row per entity, one column per requested feature, newest non-NULL value.
 
-    The pivot values are given, so Spark does not scan for them; the aggregate is
-    split into partial/final ``max_by`` around one shuffle on ``entity_id``.
+    Two steps: the newest value per (entity, feature), a partial ``max_by`` whose work does not depend on the number of
+    features asked for; then the pivot of that small table, whose values are given.
     Features absent from the log come back as NULL columns. Entities whose
     requested values are all NULL are dropped unless ``keep_missing``.
     """
@@ -99,10 +105,11 @@ def latest_pivot(log: DataFrame, features: list[str], entities: DataFrame | None
     order = (F.struct("event_ts", "ingest_ts", "seq") if order_by == "event"
              else F.struct("ingest_ts", "seq"))
     ordering = F.when(F.col("feature_value").isNotNull(), order)
-    aggs = [F.max_by(F.when(F.col("feature_name") == f, F.col("feature_value")),
-                     F.when(F.col("feature_name") == f, ordering)).alias(f) for f in features]
-    wide = log.groupBy("entity_id").agg(*aggs)
+    newest = log.groupBy("entity_id", "feature_name").agg(F.max_by("feature_value", ordering).alias("v"))
     if not keep_missing:
+        newest = newest.filter("v IS NOT NULL")
+    wide = newest.groupBy("entity_id").agg(*[F.max(F.when(F.col("feature_name") == f, F.col("v"))).alias(f) for f in features])
+    if not keep_missing and features:
         wide = wide.filter(reduce(or_, [F.col(f).isNotNull() for f in features]))
     if keep_missing and entities is not None:
         ent = entities.select(F.col(entities.columns[0]).cast("string").alias("entity_id")).distinct()

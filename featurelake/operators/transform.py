@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featurelake.functions.columns import row_mean, row_sum, safe_div
+from featurelake.functions.columns import nan_to_null, row_mean, row_sum, safe_div
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -55,12 +55,13 @@ def engineer_features(df: DataFrame, pairs=DEFAULT_PAIRS) -> DataFrame:
 
 def row_stats(df: DataFrame, cols: list[str] | None = None, include_all: bool = False,
               sum_name: str = "feature_sum", mean_name: str = "feature_mean") -> DataFrame:
-    """NULL-skipping row sum and mean.
+    """Row sum and mean that skip NULL and NaN.
 
     ``cols`` defaults to every numeric column. ``include_all=True`` reproduces the
     reference's sequential behaviour where the mean also averages the new sum.
     """
-    cols = cols or numeric_columns(df, exclude=(sum_name, mean_name))
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    cols = [nan_to_null(c) if c in floating else c for c in cols or numeric_columns(df, exclude=(sum_name, mean_name))]
     s = row_sum(cols, skip_nulls=True)
     mean_cols = [*cols, s] if include_all else cols
     m = row_mean(mean_cols, skip_nulls=True)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,16 +42,16 @@ def trip_counts(df: DataFrame, pickup: str, dropoff: str, unit: str = "minutes",
 
 
 def temporal_split(df: DataFrame, ts: str, val_from, test_from, name: str = "split") -> DataFrame:
-    """M7: train / val / test by time: [.., val_from) / [val_from, test_from) / [test_from, ..)."""
+    """M7: train / val / test by time: [.., val_from) / [val_from, test_from) / [test_from, ..). A NULL time is in none (NULL)."""
     t = F.col(ts)
     s = (F.when(t < F.lit(val_from).cast("timestamp_ntz"), "train")
-         .when(t < F.lit(test_from).cast("timestamp_ntz"), "val").otherwise("test"))
+         .when(t < F.lit(test_from).cast("timestamp_ntz"), "val").when(t.isNotNull(), "test"))
     return df.withColumn(name, s)
 
 
 def hash_split(df: DataFrame, key: str, train_pct: int = 80, name: str = "split") -> DataFrame:
-    """M6: repeatable train/test split from the md5 of a stable key (any partitioning, any engine)."""
-    return df.withColumn(name, F.when(hash_bucket(key, 100) < train_pct, "train").otherwise("test"))
+    """M6: repeatable train/test split from the md5 of a stable key (any partitioning, any engine). A NULL key is in neither (NULL)."""
+    return df.withColumn(name, F.when(hash_bucket(key, 100) < train_pct, "train").when(F.col(key).isNotNull(), "test"))
 
 
 def fit_one_hot(train: DataFrame, categorical: list[str], numeric: list[str], output: str = "features") -> PipelineModel:
@@ -75,27 +74,12 @@ def fit_one_hot(train: DataFrame, categorical: list[str], numeric: list[str], ou
 
 
 def active_category(encoded: DataFrame, column: str) -> Column:
-    """Index of the active one-hot slot of ``column`` (NULL for an unseen value)."""
-    arr = vector_to_array(F.col(f"{column}__vec"))
-    pos = F.array_position(arr, F.lit(1.0))
-    return F.when(pos > 0, pos - 1).cast("bigint")
+    """Index of the active one-hot slot of ``column`` (NULL for an unseen value), from the indexer's column: unseen
+    values have the index after the vocabulary's last, which the encoder's vector length names."""
+    slots = encoded.schema[f"{column}__vec"].metadata["ml_attr"]["num_attrs"]
+    return F.when(F.col(f"{column}__idx") < slots, F.col(f"{column}__idx")).cast("bigint")
 
 
 def hash_bucket_col(key: str, buckets: int = 100) -> Column:
     """The md5 bucket in [0, buckets) used by ``hash_split`` (for further deterministic splits)."""
     return hash_bucket(key, buckets)
-
-
-def trip_prep_observed(df: DataFrame, pickup: str, dropoff: str, name: str = "trip_counts", **kw):
-    """A10 without a second scan: (prepared frame, Observation).
-
-    The row counts before and after the duration filter are collected by
-    ``observe`` while the prepared frame is written (or otherwise consumed);
-    read them with ``obs.get`` after that action.
-    """
-    from pyspark.sql import Observation
-
-    obs_in, obs_out = Observation(name + "_before"), Observation(name + "_after")
-    src = df.observe(obs_in, F.count(F.lit(1)).alias("rows_before"))
-    out = trip_prep(src, pickup, dropoff, **kw).observe(obs_out, F.count(F.lit(1)).alias("rows_after"))
-    return out, (obs_in, obs_out)

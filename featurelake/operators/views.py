@@ -16,6 +16,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -182,6 +184,8 @@ def point_in_time_join(entities: DataFrame, source: DataFrame, view: FeatureView
     else:
         base = max(1, int((bucket_width or timedelta(days=1)) / timedelta(microseconds=1)))
 
+    for c in keys:
+        source = source.filter(F.col(c).isNotNull())
     feat = source.select(*[F.col(c) for c in keys], F.col(ts).cast("timestamp_ntz").alias("__t"),
                          created_c.alias("__created"),
                          F.struct(F.col(ts).cast("timestamp_ntz").alias("__ts"),
@@ -199,6 +203,9 @@ def point_in_time_join(entities: DataFrame, source: DataFrame, view: FeatureView
     width = F.greatest(F.floor(F.lit(base) / F.coalesce(F.col("__m"), F.lit(1).cast("bigint"))), F.lit(1))
     feat = feat.withColumn("__b", F.floor(_micros(F.col("__t")) / width).cast("bigint")).drop("__m")
     ents = ents.withColumn("__b", F.floor(_micros(t_ent) / width).cast("bigint")).drop("__m")
+    # entity rows of a NULL key meet no feature rows: dealt out by their content, not into one window partition
+    lost = reduce(or_, [F.col(c).isNull() for c in keys])
+    ents = ents.withColumn("__b", F.when(lost, F.xxhash64(*[F.col(c) for c in ent_cols])).otherwise(F.col("__b")))
 
     # 1. newest feature row per non-empty (key, bucket)
     newest = feat.groupBy(*keys, "__b").agg(
@@ -233,6 +240,8 @@ def point_in_time_join(entities: DataFrame, source: DataFrame, view: FeatureView
         fresh = F.col("__hit.__ts") >= F.col("__t") - F.lit(view.ttl)
     else:
         fresh = F.col("__hit.__ts").isNotNull()
+    for c in keys:  # a window takes NULL keys for equal; a NULL key matches nothing
+        fresh = fresh & F.col(f"__e.{c}").isNotNull()
     out_name = (lambda f: f"{view.name}__{f}") if full_names else (lambda f: f)
     return joined.select(*[F.col("__e." + c).alias(c) for c in ent_cols],
                          *[F.when(fresh, F.col("__hit." + f)).alias(out_name(f)) for f in features])

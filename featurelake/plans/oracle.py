@@ -212,9 +212,9 @@ _DRIFT_ROWS = "\n  UNION ALL ".join(
 SQL["mean_drift"] = f"""
 WITH m AS ({_DRIFT_ROWS}),
 d AS (SELECT *, CASE WHEN reference_mean <> 0
-        THEN abs((current_mean - reference_mean) / reference_mean) * 100 ELSE 0.0 END AS drift_percentage FROM m)
+        THEN abs((current_mean - reference_mean) / reference_mean) * 100 WHEN reference_mean = 0 THEN 0.0 END AS drift_percentage FROM m)
 SELECT column_name, round(reference_mean, 6) AS reference_mean, round(current_mean, 6) AS current_mean,
-  round(drift_percentage, 6) AS drift_percentage, drift_percentage > 10 AS drift_detected,
+  round(drift_percentage, 6) AS drift_percentage, coalesce(drift_percentage > 10, FALSE) AS drift_detected,
   CAST(sum(CASE WHEN drift_percentage > 10 THEN 1 ELSE 0 END) OVER () AS BIGINT) AS drifted_features
 FROM d"""
 
@@ -231,7 +231,7 @@ PREP = f"""(SELECT CAST(pu AS VARCHAR) AS PULocationID, CAST(dropoff_zone AS VAR
  FROM {TRIPS} WHERE duration BETWEEN 1 AND 60)"""
 
 SPLIT = f"""(SELECT *, CASE WHEN pickup_datetime < TIMESTAMP '1999-01-01' THEN 'train'
-   WHEN pickup_datetime < TIMESTAMP '2000-01-01' THEN 'val' ELSE 'test' END AS split FROM {PREP})"""
+   WHEN pickup_datetime < TIMESTAMP '2000-01-01' THEN 'val' WHEN pickup_datetime IS NOT NULL THEN 'test' END AS split FROM {PREP})"""
 
 SQL["trip_prep"] = f"SELECT * FROM {PREP}"
 SQL["trip_counts"] = f"""SELECT count(*) AS rows_before,
@@ -239,7 +239,7 @@ SQL["trip_counts"] = f"""SELECT count(*) AS rows_before,
 SQL["temporal_split"] = f"SELECT * FROM {SPLIT}"
 SQL["hash_split"] = """SELECT o_orderkey,
   CASE WHEN CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 80
-    THEN 'train' ELSE 'test' END AS split FROM orders"""
+    THEN 'train' WHEN o_orderkey IS NOT NULL THEN 'test' END AS split FROM orders"""
 SQL["one_hot"] = f"""
 WITH s AS (SELECT * FROM {SPLIT}),
 vocab AS (SELECT PU_DO, CAST(row_number() OVER (ORDER BY PU_DO) - 1 AS BIGINT) AS pu_do_index
@@ -326,7 +326,7 @@ SQL["corr_edges"] = f"""SELECT feature_a AS src, feature_b AS dst, round(abs(cor
 GRAPH = """(WITH li AS (SELECT o_custkey * 3 AS c, l_partkey * 3 + 1 AS p, l_suppkey * 3 + 2 AS s
    FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
  raw AS (SELECT c AS a, p AS b FROM li UNION ALL SELECT p, s FROM li UNION ALL SELECT c, s FROM li)
- SELECT least(a, b) AS src, greatest(a, b) AS dst FROM raw GROUP BY 1, 2 HAVING count(*) >= 2)"""
+ SELECT least(a, b) AS src, greatest(a, b) AS dst FROM raw GROUP BY 1, 2)"""
 
 DEG = f"""(SELECT node, count(*) AS degree FROM (SELECT src AS node FROM {GRAPH} UNION ALL SELECT dst FROM {GRAPH})
  GROUP BY node)"""
@@ -359,6 +359,15 @@ r(node, label) USING KEY (node) AS (
 )
 SELECT label AS component, count(*) AS size FROM r GROUP BY label"""
 
+# Both kinds of links stay within a customer's day: its orders, from the smallest key on, and their lines.
+SQL["order_components"] = """
+WITH o AS (SELECT o_orderkey, min(o_orderkey) OVER (PARTITION BY o_custkey, o_orderdate) AS root FROM orders),
+n AS (SELECT o_orderkey * 16 AS node, root * 16 AS label FROM o
+        WHERE root <> o_orderkey OR o_orderkey IN (SELECT root FROM o WHERE root <> o_orderkey)
+      UNION SELECT l_orderkey * 16, coalesce(root, l_orderkey) * 16 FROM lineitem LEFT JOIN o ON l_orderkey = o_orderkey
+      UNION SELECT l_orderkey * 16 + l_linenumber, coalesce(root, l_orderkey) * 16 FROM lineitem LEFT JOIN o ON l_orderkey = o_orderkey)
+SELECT label AS component, count(*) AS size FROM n GROUP BY label"""
+
 # ---------------------------------------------------------------- envelopes and streams
 
 ISO = "strftime({}, '%Y-%m-%dT%H:%M:%S.%f')"

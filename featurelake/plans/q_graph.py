@@ -43,3 +43,8 @@ def clustering(spark, sf_dir):
 @query("connected_components")
 def connected_components(spark, sf_dir):
     return gr.component_sizes(fx.purchase_graph(spark, sf_dir))
+
+
+@query("order_components")
+def order_components(spark, sf_dir):
+    return gr.component_sizes(fx.order_graph(spark, sf_dir))

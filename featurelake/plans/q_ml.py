@@ -16,9 +16,10 @@ from featurelake.plans.q_trips import TEST_FROM, VAL_FROM, prepared
 from featurelake.session import scratch_dir
 from featurelake.sources import fixtures as fx
 
-NO_NULL_ENGINEERED = ["sepal_length", "sepal_width", "petal_length", "petal_width", "sepal_area", "petal_area",
-                      "log_sepal_length", "log_petal_length", "sepal_length_squared", "petal_length_squared",
-                      "feature_sum", "feature_mean"]
+#: All engineered features; the assembler takes no NULLs, so an undefined ratio counts as 0.
+ENGINEERED = ["sepal_length", "sepal_width", "petal_length", "petal_width", "sepal_area", "petal_area",
+              "sepal_length_to_width_ratio", "petal_length_to_width_ratio", "log_sepal_length", "log_petal_length", "sepal_length_squared", "petal_length_squared",
+              "feature_sum", "feature_mean"]
 
 
 @query("standard_scale")
@@ -30,8 +31,8 @@ def standard_scale(spark, sf_dir):
 
 @query("pca")
 def pca(spark, sf_dir):
-    eng = tr.engineer_features(fx.flowers(spark, sf_dir))
-    model = ml.feature_pipeline(NO_NULL_ENGINEERED).fit(eng)
+    eng = tr.engineer_features(fx.flowers(spark, sf_dir)).fillna(0.0, ENGINEERED)
+    model = ml.feature_pipeline(ENGINEERED).fit(eng)
     arr = F.col("pca")
     out = model.transform(eng).select(tr.vector_to_array_col("pca_features").alias("pca"))
     return out.select(*[arr[i].alias(f"pc{i + 1}") for i in range(10)])
@@ -47,7 +48,7 @@ def _learnable_split(spark, sf_dir):
 @query("logreg")
 def logreg(spark, sf_dir):
     df = _learnable_split(spark, sf_dir)
-    model = ml.logistic_regression(df.filter(F.col("split") == "train"), label="label", max_iter=200)
+    model = ml.logistic_regression(df.filter(F.col("split") == "train"), label="label")
     pred = model.transform(df.filter(F.col("split") == "test"))
     return mt.class_metrics(pred.select(F.col("label").alias("actual"), F.col("prediction").alias("predicted")))
 
@@ -75,13 +76,13 @@ def random_forest(spark, sf_dir):
 @query("hyper_search")
 def hyper_search(spark, sf_dir):
     df = _learnable_split(spark, sf_dir)
-    return ml.hyper_search(df.filter(F.col("split") == "train"), label="y", trials=4, depth=(2, 8), trees=(10, 30))
+    return ml.hyper_search(df.filter(F.col("split") == "train"), label="y", key="row_key")
 
 
 @query("batch_score")
 def batch_score(spark, sf_dir):
     df = _learnable_split(spark, sf_dir)
-    model = ml.logistic_regression(df.filter(F.col("split") == "train"), label="label", max_iter=200)
+    model = ml.logistic_regression(df.filter(F.col("split") == "train"), label="label")
     path = ml.save(model, scratch_dir(spark, "model"))
     scored = ml.load(path).transform(df.filter(F.col("split") == "test"))
     out = scored.select("row_key", F.col("prediction").alias("predicted_target"))
@@ -94,8 +95,8 @@ def model_selection(spark, sf_dir):
     train = df.filter(F.col("split") == "train")
     val, test = train.filter(F.col("part") < 10), df.filter(F.col("split") == "test")
     fit = train.filter(F.col("part") >= 10)
-    trials = ml.hyper_search(fit, label="y", trials=4, depth=(2, 8), trees=(10, 30))
-    return ml.retrain_and_select(trials, fit, val, test, top=2, label="y")
+    trials = ml.hyper_search(fit, label="y", key="row_key")
+    return ml.retrain_and_select(trials, fit, val, test, top=5, label="y")
 
 
 @query("batch_flow")

@@ -23,7 +23,7 @@ def flowers(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFra
     ``with_key`` adds ``row_key`` = order key and line number (not unique in the
     synthetic data, so it serves as an entity id, never as a row id).
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", balance=True)
     key = [F.concat_ws("-", "l_orderkey", "l_linenumber").alias("row_key")] if with_key else []
     return li.select(*key,
         nan_to_null("l_quantity").alias("sepal_length"),
@@ -147,12 +147,11 @@ def learnable(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def purchase_graph(spark: SparkSession, sf_dir: str, min_support: int = 2) -> DataFrame:
-    """X7 (graph at scale): customers, parts and suppliers linked by repeated purchases.
+def purchase_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X7 (graph at scale): customers, parts and suppliers linked by purchases.
 
     Every line item links its buyer, part and supplier (three edges, so the work
-    is linear in the line items); an edge is kept when at least ``min_support``
-    line items back it. Node ids: customer key * 3, part key * 3 + 1, supplier key * 3 + 2.
+    is linear in the line items). Node ids: customer key * 3, part key * 3 + 1, supplier key * 3 + 2.
     """
     li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -162,5 +161,16 @@ def purchase_graph(spark: SparkSession, sf_dir: str, min_support: int = 2) -> Da
                     F.struct(c.alias("a"), s.alias("b")))
     raw = j.select(F.explode(pairs).alias("e"))
     und = raw.select(F.least("e.a", "e.b").alias("src"), F.greatest("e.a", "e.b").alias("dst"))
-    return (und.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("support"))
-            .filter(F.col("support") >= min_support).select("src", "dst"))
+    return und.distinct()
+
+
+def order_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X7b (many components): each order linked with its lines, and with the orders of its customer on the same day.
+
+    Node ids: order key * 16, and order key * 16 + line number.
+    """
+    li = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 16).alias("src"), (F.col("l_orderkey") * 16 + F.col("l_linenumber")).alias("dst"))
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", (F.col("o_orderkey") * 16).alias("node"))
+    first = o.groupBy("o_custkey", "o_orderdate").agg(F.min("node").alias("src"))
+    same = o.join(first, ["o_custkey", "o_orderdate"]).select("src", F.col("node").alias("dst")).filter("src < dst")
+    return li.unionAll(same).distinct()

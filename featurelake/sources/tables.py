@@ -24,7 +24,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     partitions than the default parallelism, rows are redistributed round-robin;
     otherwise (the normal case on a cluster reading many files) the frame is
     returned unchanged and no shuffle is added. Filters and column pruning still
-    reach the scan below the repartition.
+    reach the scan below the repartition. For scans and projections of scans only:
+    asking a shuffled frame for its partitions would run the stages before them.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:

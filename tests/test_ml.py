@@ -46,7 +46,7 @@ def test_saved_model_scores_the_same_after_reload(spark):
 
 def test_search_reports_each_trial(spark):
     t = se.queries()["hyper_search"](spark, SF_SMALL).collect()
-    assert len(t) == 4 and t[0]["val_rmse"] <= t[-1]["val_rmse"]
+    assert len(t) == 15 and t[0]["val_rmse"] <= t[-1]["val_rmse"]
 
 
 def test_batch_flow_passes_the_gate_on_learnable_data(spark):
