@@ -99,7 +99,7 @@ class Model:
         for i in range(len(langs)):
             own = lang == i
             self._distributions(i, [p[own] for p in parts], n[own], rows, start)
-        self.bits = self.bits.reshape(-1, len(langs))
+        self.bits = self.bits.reshape(start[-1] * a, len(langs))
 
     def _distributions(self, i: int, parts: list, n: np.ndarray, rows: list, start: np.ndarray) -> None:
         a = self.a

@@ -158,13 +158,13 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     NULL texts stay NULL, with 0 lines. A text all of whose lines go becomes empty. Columns named n_lines or
     n_removed give way. No rows: no rows.
     """
-    gone = repeated_lines(docs, min_words).withColumnRenamed("doc_id", "id__")
+    gone = repeated_lines(docs, min_words).select(F.col("doc_id").alias("id__"), F.col("tag").alias("same__"), F.col("removed").alias("removed__"))
     carried = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     joined = docs.select(*carried, F.xxhash64("text").alias("tag__")).join(
-        gone, F.col("doc_id").eqNullSafe(F.col("id__")) & (F.col("tag__") == F.col("tag")), "left")
+        gone, F.col("doc_id").eqNullSafe(F.col("id__")) & (F.col("tag__") == F.col("same__")), "left")
     # a one-element array binds the lines to a name, so the text is split once
     kept = F.transform(F.array(F.split("text", "\n", -1)), lambda lines: F.array_join(F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed")), lambda i: lines[i]), "\n"))[0]
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed__")), lambda i: lines[i]), "\n"))[0]
     n_lines = F.coalesce(F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long")
-    return joined.select(*[(F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept)).alias("text") if c == "text" else F.col(c) for c in carried],
-                         n_lines.alias("n_lines"), F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"))
+    return joined.select(*[(F.when(F.col("removed__").isNull(), F.col("text")).otherwise(kept)).alias("text") if c == "text" else F.col(c) for c in carried],
+                         n_lines.alias("n_lines"), F.coalesce(F.size("removed__"), F.lit(0)).cast("long").alias("n_removed"))

@@ -6,6 +6,8 @@
 3. ``plan``: its linear program starts with patterns of one class each; duals price the classes, a knapsack dynamic
    program finds the best new pattern, until none improves. The solution is rounded down; what
    remains of the demand (at most a sequence's worth per pattern) is filled first-fit, longest first.
+   If the plan wastes more than ``WASTE``, no patterns fit these lengths well; the documents' rests are then cut in two at
+   a place by their hash, which gives lengths of all kinds, and planned anew.
 4. ``assign``: pieces are ranked within their class (in salted parts, so that a class with a third of all rows is
    no single task's work), and a piece's class and rank tell its sequence: pattern p, made x times with a pieces of
    the class, takes the next a * x ranks.
@@ -13,6 +15,7 @@
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -25,15 +28,18 @@ from featurelake.llm.common import keep
 from featurelake.llm.word_tokens import encoded
 
 CAPACITY, STEP, END_ID = 2048, 8, 1
+#: The share of sequences beyond the least number possible that a plan may take before rests are cut.
+WASTE = 0.02
 #: Rows that are ranked in one task.
 PART_ROWS = 5_000
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False,
+                 cut_rests: bool = False) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens[, ids]) per piece of each row of docs (doc_id, text).
 
     A document's ids are its whole text's and ``end_id``; NULL and empty texts have the end id alone. Pieces are cut
-    every ``capacity`` ids. Repeated rows give repeated pieces; a NULL doc_id stays NULL; further columns are left out.
+    every ``capacity`` ids, and with ``cut_rests`` the last one again at a place by the text's hash. Repeated rows give repeated pieces; a NULL doc_id stays NULL; further columns are left out.
     """
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids]
 
@@ -45,6 +51,13 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
                 row = np.repeat(np.arange(rows.num_rows), n)
                 start = (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)) * capacity
                 length = np.minimum(capacity, total[row] - start)
+                if cut_rests:
+                    rest = np.flatnonzero((length < capacity) & (length > 1))
+                    some = rows.column(2).to_numpy()[row[rest]].view(np.uint64) % (length[rest] - 1).astype(np.uint64)
+                    first_part = some.astype(np.int64) + 1
+                    row, start, length = (np.concatenate(x) for x in (
+                        (row, row[rest]), (start, start[rest] + first_part), (length, length[rest] - first_part)))
+                    length[rest] = first_part
                 crc, own = np.empty(len(row), np.int64), []
                 end = np.uint32(end_id).tobytes()
                 for k, (i, s, m) in enumerate(zip(row.tolist(), start.tolist(), length.tolist())):
@@ -63,12 +76,18 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
+    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("hash")).mapInArrow(
         run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids)
 
 
 def plan(demand: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
     """[({class: pieces of it}, times)] that use each class (its size, 1 to capacity) exactly as often as demanded."""
+    return _plan(tuple(sorted(demand.items())), capacity)
+
+
+@functools.lru_cache(maxsize=4)
+def _plan(classes: tuple[tuple[int, int], ...], capacity: int) -> list[tuple[dict[int, int], int]]:
+    demand = dict(classes)
     sizes = np.array(sorted(demand), np.int64)
     m = len(sizes)
     if not m:
@@ -147,6 +166,18 @@ def _first_fit(sizes: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple
     return made
 
 
+def histogram(pieces: DataFrame, step: int = STEP) -> dict[int, int]:
+    """{class: pieces}; at most capacity / step classes."""
+    counts = pieces.groupBy(F.ceil(F.col("length") / step).cast("int").alias("class")).agg(F.count(F.lit(1)).alias("n"))
+    return {r["class"]: r["n"] for r in counts.collect()}
+
+
+def wasteful(pieces: DataFrame, capacity: int, step: int, waste: float = WASTE) -> bool:
+    tokens = pieces.agg(F.sum("length")).first()[0] or 0
+    least = -(-tokens // capacity)
+    return sum(times for _, times in plan(histogram(pieces, step), capacity // step)) > least * (1 + waste) + 1
+
+
 def assign(pieces: DataFrame, capacity: int = CAPACITY, step: int = STEP, part_rows: int = PART_ROWS) -> DataFrame:
     """pieces (doc_id, start, length, ...) and sequence_id, offset: gapless from 0 within a sequence of at most ``capacity``.
 
@@ -154,7 +185,7 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY, step: int = STEP, part_r
     """
     carried = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
     pieces = pieces.select(*carried).withColumn("class__", F.ceil(F.col("length") / step).cast("int"))
-    n = {r["class__"]: r["n"] for r in pieces.groupBy("class__").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most capacity / step rows
+    n = histogram(pieces, step)
     parts = max(1, -(-sum(n.values()) // part_rows))
     pieces = pieces.withColumn("part__", F.pmod(F.xxhash64("doc_id", "start"), F.lit(parts)).cast("int"))
     sizes = pieces.groupBy("class__", "part__").agg(F.count(F.lit(1)).alias("n__"))
@@ -190,8 +221,12 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY, step: int = STEP, part_r
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, step: int = STEP, with_ids: bool = False) -> DataFrame:
-    """token_pieces and assign: one row per piece. The pieces are written once; texts are read and encoded once."""
-    return assign(keep(token_pieces(docs, tokenizer, capacity, with_ids=with_ids), "pieces"), capacity, step)
+    """token_pieces and assign: one row per piece. The pieces are written once; texts are read and encoded once, or
+    twice where rests have to be cut."""
+    pieces = keep(token_pieces(docs, tokenizer, capacity, with_ids=with_ids), "pieces")
+    if wasteful(pieces, capacity, step):
+        pieces = keep(token_pieces(docs, tokenizer, capacity, with_ids=with_ids, cut_rests=True), "pieces")
+    return assign(pieces, capacity, step)
 
 
 def sequences(packed: DataFrame, capacity: int = CAPACITY, pad_id: int = 0) -> DataFrame:
