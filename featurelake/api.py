@@ -24,7 +24,7 @@ from featurelake.operators import graph as gr
 from featurelake.operators import quality as qa
 from featurelake.operators import store as st
 from featurelake.operators import views as vw
-from featurelake.streaming.store_sink import list_versions, read_latest
+from featurelake.streaming.store_sink import list_versions, read_committed, read_latest
 
 
 def _utcnow() -> datetime:
@@ -72,8 +72,29 @@ class FeatureRepo:
     """Feature views over source frames, with an online table per view kept in ``root/online/<view>``."""
 
     def __init__(self, spark: SparkSession, root: str, views: dict, sources: dict[str, DataFrame]):
-        self.spark, self.root, self.views, self.sources = spark, root, dict(views), dict(sources)
-        self._marks: dict[str, object] = {}
+        self.spark, self.root, self.views, self._given = spark, root, dict(views), dict(sources)
+
+    def _offline_path(self, name: str) -> str:
+        return os.path.join(self.root, "offline", name)
+
+    @property
+    def sources(self) -> dict[str, DataFrame]:
+        """Each view's history: its given source and the rows pushed to it, which are kept under the root."""
+        out = {}
+        for name, given in self._given.items():
+            pushed = read_committed(self.spark, self._offline_path(name), "v")
+            out[name] = given if pushed is None else given.unionByName(pushed.select(*given.columns))
+        return out
+
+    def mark(self, name: str):
+        """The end of the view's last materialisation; NULL before the first. It is kept under the root."""
+        row = read_latest(self.spark, os.path.join(self.root, "marks", name))
+        return None if row is None else row.first()["end"]
+
+    def _set_mark(self, name: str, end) -> None:
+        path = os.path.join(self.root, "marks", name)
+        version = max(list_versions(self.spark, path, "v"), default=-1) + 1
+        self.spark.range(1).select(F.lit(end).cast("timestamp_ntz").alias("end")).write.mode("overwrite").parquet(os.path.join(path, f"v={version}"))
 
     def _online_path(self, name: str) -> str:
         return os.path.join(self.root, "online", name)
@@ -100,24 +121,29 @@ class FeatureRepo:
 
     def materialize_incremental(self, end_date) -> None:
         """Fold each view's source rows since the last run (up to ``end_date``) into its online table."""
+        sources = self.sources
         for name, view in self.views.items():
-            if not isinstance(view, vw.FeatureView) or name not in self.sources:
+            if not isinstance(view, vw.FeatureView) or name not in sources:
                 continue
-            new = vw.materialize_incremental(self.online_table(name), self.sources[name], view,
-                                             self._marks.get(name), end_date)
+            new = vw.materialize_incremental(self.online_table(name), sources[name], view, self.mark(name), end_date)
             self._write_online(name, new)
-            self._marks[name] = end_date
+            self._set_mark(name, end_date)
 
     def get_online_features(self, entity_rows: DataFrame, features) -> DataFrame:
         online = {n: self.online_table(n) for n, v in self.views.items()
                   if isinstance(v, vw.FeatureView) and self.online_table(n) is not None}
-        return vw.online_features(entity_rows, online, self._items(features))
+        served = vw.online_features(entity_rows, online, self._items(features))
+        if isinstance(features, vw.FeatureService) and features.log_path:
+            vw.log_served(served, features.name, _utcnow(), features.log_path)
+        return served
 
     def push(self, view_name: str, rows: DataFrame, to_offline: bool = True, to_online: bool = True) -> None:
         """Push fresh rows: append to the offline source and merge into the online table."""
         view = self.views[view_name]
         if to_offline:
-            self.sources[view_name] = self.sources[view_name].unionByName(rows.select(*self.sources[view_name].columns))
+            path = self._offline_path(view_name)
+            version = max(list_versions(self.spark, path, "v"), default=-1) + 1
+            rows.select(*self._given[view_name].columns).write.mode("overwrite").parquet(os.path.join(path, f"v={version}"))
         if to_online:
             self._write_online(view_name, vw.merge_latest(self.online_table(view_name), rows, view))
 
@@ -132,8 +158,9 @@ class QualityValidator:
         profile = qa.profile(df, name)
         out = {"profile": profile, "schema": qa.schema_rows(df, name), "summary": qa.describe(df, exact=exact)}
         if self.report_path:
-            qa.report_rows(profile, _utcnow()).write.mode("append").parquet(
-                os.path.join(self.report_path, f"dataset={name}", uuid.uuid4().hex[:8]))
+            run, at = uuid.uuid4().hex[:8], _utcnow()
+            for part, rows in out.items():
+                qa.report_rows(rows, at).write.mode("append").parquet(os.path.join(self.report_path, f"dataset={name}", f"part={part}", run))
         return out
 
     def check_data_drift(self, current: DataFrame, reference: DataFrame, columns: list[str] | None = None,

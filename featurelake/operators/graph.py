@@ -17,9 +17,12 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from featurelake.functions.columns import nan_to_null
 from featurelake.operators.transform import numeric_columns
 from featurelake.session import checkpoint_dir, discard, written
 
@@ -27,28 +30,48 @@ from featurelake.session import checkpoint_dir, discard, written
 # ---------------------------------------------------------------- correlation network
 
 def correlation_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Pairwise-complete Pearson correlation of every numeric pair i < j, long form.
-
-    Each row becomes one array of the p values; two ``posexplode`` steps turn it
-    into one (i, j, x_i, x_j) record per pair i < j, masked where either side is
-    NULL, and one grouped aggregate computes ``covar_pop / (stddev_pop *
-    stddev_pop)`` per pair. Expressions stay small (no per-pair code, so no
-    codegen limit at large p), and the aggregate is partial: the shuffle carries
-    p(p-1)/2 rows per task whatever the row count. A constant column gives NULL.
+    """Pairwise-complete Pearson correlation of every numeric pair i < j, long form. NULL and NaN are missing values.
+
+    Each task keeps p x p matrices of masked moment sums, which grow by matrix products of whole Arrow batches;
+    it returns p(p-1)/2 rows, which one grouped sum puts together. No row is multiplied by the number
+    of pairs. Values are taken from the column's mean (a first, cheap aggregate), so
+    the sums lose no digits to a large mean. A constant column gives NULL.
     """
     cols = cols or numeric_columns(df)
-    p = len(cols)
-    vals = F.array(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols])
-    s1 = df.select(vals.alias("arr")).select("arr", F.posexplode("arr").alias("i", "xi"))
-    s2 = s1.select("i", "xi", F.posexplode(F.slice("arr", F.col("i") + 2, p)).alias("k", "xj"))
-    both = F.col("xi").isNotNull() & F.col("xj").isNotNull()
-    pairs = s2.select("i", (F.col("i") + F.col("k") + 1).alias("j"),
-                      F.when(both, F.col("xi")).alias("x"), F.when(both, F.col("xj")).alias("y"))
-    agg = pairs.groupBy("i", "j").agg(
-        F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("correlation"))
-    names = F.array(*[F.lit(c) for c in cols])
-    return agg.select(F.element_at(names, F.col("i") + 1).alias("feature_a"),
-                      F.element_at(names, F.col("j") + 1).alias("feature_b"), "correlation")
+    vals = df.select(*[nan_to_null(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    if len(cols) < 2:
+        return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, correlation double")
+    means = np.array([m if m is not None and np.isfinite(m) else 0.0 for m in vals.agg(*[F.avg(c) for c in vals.columns]).first()])
+
+    def moments(batches):
+        p = len(means)
+        n, s, q, xy = (np.zeros((p, p)) for _ in range(4))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) - means
+            there = ~np.isnan(x)
+            x = np.where(there, x, 0.0)
+            m = there.astype(float)
+            n += m.T @ m
+            s += x.T @ m
+            q += (x * x).T @ m
+            xy += x.T @ x
+        i, j = np.triu_indices(p, 1)
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (i, j, n[i, j], s[i, j], s[j, i], q[i, j], q[j, i], xy[i, j])],
+                                         names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    total = (vals.mapInArrow(moments, "i long, j long, n double, sx double, sy double, sxx double, syy double, sxy double")
+             .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]))
+    names, mean = F.array(*[F.lit(c) for c in cols]), F.array(*[F.lit(float(m)) for m in means])
+    n = F.col("n")
+
+    def spread_of(square: str, linear: str, at: str):
+        """The sum of squares about the pair's own mean; what rounding leaves of a constant column counts as none."""
+        v = F.col(square) - F.try_divide(F.col(linear) * F.col(linear), n)
+        return F.when((v > 0) & (v > 1e-29 * n * F.element_at(mean, F.col(at).cast("int") + 1) * F.element_at(mean, F.col(at).cast("int") + 1)), v)
+
+    r = (F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)) / F.sqrt(spread_of("sxx", "sx", "i") * spread_of("syy", "sy", "j"))
+    return total.select(F.element_at(names, F.col("i").cast("int") + 1).alias("feature_a"),
+                        F.element_at(names, F.col("j").cast("int") + 1).alias("feature_b"), r.alias("correlation"))
 
 
 def correlation_edges(corr: DataFrame, threshold: float = 0.5) -> DataFrame:

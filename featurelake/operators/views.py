@@ -85,7 +85,7 @@ class FeatureView:
                                             "tags": dict(self.tags)}) for f in self.features])
 
     def select(self, *names: str) -> "FeatureRef":
-        """Sub-select fields, e.g. ``view.select("conv_rate")``."""
+        """Sub-select fields, e.g. ``view.select("purchase_share")``."""
         unknown = [n for n in names if n not in self.features]
         if unknown:
             raise KeyError(f"{self.name} has no field(s) {unknown}")
@@ -127,9 +127,10 @@ class OnDemandRef:
 
 @dataclass(frozen=True)
 class FeatureService:
-    """A named, ordered list of view sub-selections and on-demand views."""
+    """A named, ordered list of view sub-selections and on-demand views; ``log_path`` keeps what it serves."""
     name: str
     items: tuple
+    log_path: str | None = None
 
 
 def parse_refs(refs: list[str], views: dict) -> tuple:
@@ -393,6 +394,21 @@ def online_features(entity_rows: DataFrame, online: dict, items: tuple) -> DataF
                 if isinstance(s, FeatureView):
                     v, fs = needed.get(s.name, (s, []))
                     needed[s.name] = (v, fs + [f for f in s.features if f not in fs])
+    clash = sorted({n for n in wanted if wanted.count(n) > 1 or n in entity_rows.columns})
+    owners: dict[str, set[str]] = {}
+    for vname, (_, fs) in needed.items():
+        for f in fs:
+            owners.setdefault(f, set()).add(vname)
+    clash += [f for f, v in owners.items() if len(v) > 1 and f not in clash]
+    if clash:
+        raise ValueError(f"feature names clash: {clash}")
+    for odfv, _ in od:  # S4: the request carries what the on-demand views read
+        missing = [s for s in odfv.sources if isinstance(s, str) and s not in entity_rows.columns]
+        if missing:
+            raise ValueError(f"{odfv.name} misses request columns {missing}")
+        for s in odfv.sources:
+            if isinstance(s, RequestSource):
+                out = s.check(out)
     for vname, (view, fs) in needed.items():
         out = online_lookup(out, online[vname], view, tuple(fs))
     for odfv, fs in od:

@@ -38,9 +38,16 @@ def pca(spark, sf_dir):
     return out.select(*[arr[i].alias(f"pc{i + 1}") for i in range(10)])
 
 
+def learnable_rows(spark, sf_dir):
+    """X10 with one row per order line: order key and line number repeat in the given table, so the largest values stand for a line."""
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber").alias("row_key")
+    rows = fx.learnable(spark, sf_dir).groupBy(key).agg(*[F.max(c).alias(c) for c in ("quantity", "tax", "discount")])
+    q, t = F.col("quantity"), F.col("tax")
+    return rows.select("*", F.when(q < 17, 0).when(q < 34, 1).otherwise(2).cast("double").alias("label"), (3 * q - 2 * t + 5).alias("y"))
+
+
 def _learnable_split(spark, sf_dir):
-    df = fx.learnable(spark, sf_dir).withColumn("row_key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
-    df = tp.hash_split(df, "row_key", 80)
+    df = tp.hash_split(learnable_rows(spark, sf_dir), "row_key", 80)
     va = VectorAssembler(inputCols=["quantity", "tax", "discount"], outputCol="features")
     return va.transform(df)
 
@@ -65,6 +72,42 @@ def linreg(spark, sf_dir):
     return pred.agg(quantize(F.sqrt(F.avg(err * err)), 4).alias("train_rmse"), F.count(F.lit(1)).alias("n_train"))
 
 
+@query("linreg_ids")
+def linreg_ids(spark, sf_dir):
+    """M9 on the two one-hot ids with intercept; the target is a sum of both ids' effects, so the fit is exact."""
+    trips = tp.trip_prep(fx.minute_trips(spark, sf_dir), "lpep_pickup_datetime", "lpep_dropoff_datetime", pair=False)
+    label = 2 * F.col("PULocationID").cast("double") + 3 * F.col("DOLocationID").cast("double") + 5
+    enc = tp.fit_one_hot(trips, ["PULocationID", "DOLocationID"], [])
+    x = enc.transform(trips).select("features", label.alias("label"))
+    pred = ml.linear_regression(x).transform(x)
+    err = F.col("prediction") - F.col("label")
+    return pred.agg(F.abs(F.round(F.sqrt(F.avg(err * err)), 2)).alias("train_rmse"), F.count(F.lit(1)).alias("n_train"))
+
+
+@query("pca_variance")
+def pca_variance(spark, sf_dir):
+    """M3 against the correlation matrix: all components' variances sum to the number of features, their squares to
+    the sum of squared correlations."""
+    eng = tr.engineer_features(fx.flowers(spark, sf_dir)).fillna(0.0, ENGINEERED)
+    k = len(ENGINEERED)
+    model = ml.feature_pipeline(ENGINEERED, k=k).fit(eng)
+    pcs = model.transform(eng).select(tr.vector_to_array_col("pca_features").alias("pca"))
+    var = pcs.agg(*[F.var_samp(F.col("pca")[i]).alias(f"v{i}") for i in range(k)])
+    return var.select(F.lit(k).cast("bigint").alias("n_components"), quantize(sum((F.col(f"v{i}") for i in range(k)), F.lit(0.0)), 4).alias("total"),
+                      quantize(sum((F.col(f"v{i}") * F.col(f"v{i}") for i in range(k)), F.lit(0.0)), 4).alias("squares"))
+
+
+@query("batch_score_linear")
+def batch_score_linear(spark, sf_dir):
+    """M8-M11 with a known answer: a saved and reloaded linear model predicts y = 3 quantity - 2 tax + 5 of the test rows."""
+    df = _learnable_split(spark, sf_dir)
+    model = ml.linear_regression(df.filter(F.col("split") == "train").select("features", F.col("y").alias("label")))
+    path = ml.save(model, scratch_dir(spark, "model"))
+    scored = ml.load(path).transform(df.filter(F.col("split") == "test"))
+    out = scored.select("row_key", quantize(F.col("prediction"), 4).alias("predicted_target"))
+    return st.melt(out, key="row_key", values=["predicted_target"], prefix="test_sample_", event_ts="2024-01-31 00:00:00")
+
+
 @query("random_forest")
 def random_forest(spark, sf_dir):
     df = _learnable_split(spark, sf_dir).withColumnRenamed("y", "target_y")
@@ -103,6 +146,5 @@ def model_selection(spark, sf_dir):
 def batch_flow(spark, sf_dir):
     from featurelake.api import run_batch_flow
 
-    data = fx.learnable(spark, sf_dir).withColumn("row_key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
-    return run_batch_flow(spark, data, "row_key", ["quantity", "tax", "discount"], "label",
+    return run_batch_flow(spark, learnable_rows(spark, sf_dir), "row_key", ["quantity", "tax", "discount"], "label",
                           scratch_dir(spark, "batch-flow"))

@@ -22,6 +22,11 @@ def trip_prep(spark, sf_dir):
     return prepared(spark, sf_dir)
 
 
+@query("trip_prep_minutes")
+def trip_prep_minutes(spark, sf_dir):
+    return tp.trip_prep(fx.minute_trips(spark, sf_dir), "lpep_pickup_datetime", "lpep_dropoff_datetime")
+
+
 @query("trip_counts")
 def trip_counts(spark, sf_dir):
     return tp.trip_counts(fx.trips(spark, sf_dir), "pickup_datetime", "dropoff_datetime", unit="days")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from featurelake.operators import views as vw
-from featurelake.plans import driver_repo as repo
+from featurelake.plans import activity_repo as repo
 from featurelake.plans.catalog import query
 from featurelake.sources import fixtures as fx
 from featurelake.sources.tables import table
@@ -16,7 +16,7 @@ ONLINE_END = "2024-01-31 00:00:00"
 
 
 def _sources(spark, sf_dir):
-    stats = fx.driver_hourly_stats(spark, sf_dir)
+    stats = fx.user_activity(spark, sf_dir)
     return {repo.STATS.name: stats, repo.STATS_FRESH.name: stats}
 
 
@@ -40,28 +40,28 @@ def feature_service_v1(spark, sf_dir):
 
 @query("batch_scoring_features")
 def batch_scoring_features(spark, sf_dir):
-    return vw.batch_scoring_features(fx.training_entities(spark, sf_dir), fx.driver_hourly_stats(spark, sf_dir),
+    return vw.batch_scoring_features(fx.training_entities(spark, sf_dir), fx.user_activity(spark, sf_dir),
                                      repo.STATS, SCORING_AS_OF)
 
 
 @query("materialize_incremental")
 def materialize_incremental(spark, sf_dir):
-    src = fx.driver_hourly_stats(spark, sf_dir)
+    src = fx.user_activity(spark, sf_dir)
     online = vw.materialize_incremental(None, src, repo.STATS, None, CUT_1)
     return vw.materialize_incremental(online, src, repo.STATS, CUT_1, CUT_2)
 
 
 def _request_rows(spark, sf_dir):
-    """Request rows for every customer key; keys without driver statistics stay unknown."""
+    """Request rows for every customer key; keys without activity stay unknown."""
     c = table(spark, sf_dir, "customer")
-    return c.select(F.col("c_custkey").alias("driver_id"),
-                    F.col("c_nationkey").cast("bigint").alias("val_to_add"),
-                    (F.col("c_nationkey") * 10).cast("bigint").alias("val_to_add_2"))
+    return c.select(F.col("c_custkey").alias("member_id"),
+                    F.col("c_nationkey").cast("bigint").alias("bonus"),
+                    (F.col("c_nationkey") * 10).cast("bigint").alias("extra"))
 
 
 @query("online_lookup")
 def online_lookup(spark, sf_dir):
-    online = vw.materialize_incremental(None, fx.driver_hourly_stats(spark, sf_dir), repo.STATS, None, ONLINE_END)
+    online = vw.materialize_incremental(None, fx.user_activity(spark, sf_dir), repo.STATS, None, ONLINE_END)
     refs = vw.parse_refs(repo.ONLINE_REFS, repo.VIEWS)
     return vw.online_features(_request_rows(spark, sf_dir), {repo.STATS.name: online}, refs)
 
@@ -69,14 +69,14 @@ def online_lookup(spark, sf_dir):
 def pushed_rows(spark, sf_dir):
     """Fresh rows pushed for each signup event (shape of the reference's pushed event)."""
     ev = table(spark, sf_dir, "events").filter(F.col("event_type") == "signup")
-    return ev.select(F.col("user_id").alias("driver_id"), F.col("ts").alias("event_timestamp"),
-                     F.col("ts").alias("created"), F.lit(1.0).alias("conv_rate"), F.lit(1.0).alias("acc_rate"),
-                     F.lit(1000).cast("bigint").alias("avg_daily_trips"))
+    return ev.select(F.col("user_id").alias("member_id"), F.col("ts").alias("event_timestamp"),
+                     F.col("ts").alias("created"), F.lit(1.0).alias("purchase_share"), F.lit(1.0).alias("ok_share"),
+                     F.lit(1000).cast("bigint").alias("n_events"))
 
 
 @query("push_upsert")
 def push_upsert(spark, sf_dir):
-    src = fx.driver_hourly_stats(spark, sf_dir)
+    src = fx.user_activity(spark, sf_dir)
     online = vw.materialize_incremental(None, src, repo.STATS_FRESH, None, ONLINE_END)
     _, online2 = vw.push(src, online, pushed_rows(spark, sf_dir), repo.STATS_FRESH)
     return online2
@@ -91,7 +91,7 @@ def feature_service_v2(spark, sf_dir):
 @query("online_service_v3")
 def online_service_v3(spark, sf_dir):
     """Push fresh rows into the push-sourced view, then read it online through service v3."""
-    src = fx.driver_hourly_stats(spark, sf_dir)
+    src = fx.user_activity(spark, sf_dir)
     online = vw.materialize_incremental(None, src, repo.STATS_FRESH, None, ONLINE_END)
     _, online2 = vw.push(src, online, pushed_rows(spark, sf_dir), repo.STATS_FRESH)
     return vw.online_features(_request_rows(spark, sf_dir), {repo.STATS_FRESH.name: online2}, repo.ACTIVITY_V3.items)

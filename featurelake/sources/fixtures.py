@@ -60,22 +60,22 @@ def feature_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def driver_hourly_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+def user_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly per-user statistics; event time is the window *end* so no label leaks."""
     ev = table(spark, sf_dir, "events")
     end = (F.date_trunc("hour", "ts") + F.expr("INTERVAL 1 HOUR")).cast("timestamp_ntz")
-    g = ev.groupBy(F.col("user_id").alias("driver_id"), end.alias("event_timestamp")).agg(
+    g = ev.groupBy(F.col("user_id").alias("member_id"), end.alias("event_timestamp")).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("event_type") == "purchase").alias("purchases"),
         F.count_if(F.col("event_type") == "error").alias("errors"),
     )
     return g.select(
-        "driver_id",
+        "member_id",
         "event_timestamp",
         F.col("event_timestamp").alias("created"),
-        (F.col("purchases") / F.col("n")).alias("conv_rate"),
-        (F.lit(1.0) - F.col("errors") / F.col("n")).alias("acc_rate"),
-        F.col("n").cast("bigint").alias("avg_daily_trips"),
+        (F.col("purchases") / F.col("n")).alias("purchase_share"),
+        (F.lit(1.0) - F.col("errors") / F.col("n")).alias("ok_share"),
+        F.col("n").cast("bigint").alias("n_events"),
     )
 
 
@@ -84,11 +84,11 @@ def training_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.filter(F.col("event_type") == "purchase").select(
         F.col("event_id").alias("request_id"),
-        F.col("user_id").alias("driver_id"),
+        F.col("user_id").alias("member_id"),
         F.col("ts").alias("event_timestamp"),
         F.col("value").alias("label"),
-        (F.col("event_id") % 10).cast("bigint").alias("val_to_add"),
-        (F.col("event_id") % 100).cast("bigint").alias("val_to_add_2"),
+        (F.col("event_id") % 10).cast("bigint").alias("bonus"),
+        (F.col("event_id") % 100).cast("bigint").alias("extra"),
     )
 
 
@@ -110,6 +110,18 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def minute_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as trips with time of day: pickup = event time, dropoff = value minutes later, zones from user and event."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        F.col("ts").alias("lpep_pickup_datetime"),
+        F.expr("ts + make_dt_interval(0, 0, 0, cast(round(value * 60, 6) AS DECIMAL(18, 6)))").cast("timestamp_ntz").alias("lpep_dropoff_datetime"),
+        F.col("user_id").alias("PULocationID"),
+        (F.col("event_id") % 97).alias("DOLocationID"),
+        F.col("value").alias("trip_distance"),
+    )
+
+
 def class_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X6 (class): actual = X1 target, predicted = quantity band."""
     f = flowers(spark, sf_dir)

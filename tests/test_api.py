@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from featurelake.api import FeatureRepo, FeatureStore, NetworkAnalyzer, QualityValidator
 from featurelake.operators import transform as tr
-from featurelake.plans import driver_repo as repo
+from featurelake.plans import activity_repo as repo
 from featurelake.sources import fixtures as fx
 from tests.conftest import SF_SMALL
 
@@ -34,7 +34,7 @@ def test_store_round_trip(spark):
 
 def test_feature_repo_workflow(spark):
     root = tempfile.mkdtemp(prefix="fl-repo-")
-    stats = fx.driver_hourly_stats(spark, SF_SMALL)
+    stats = fx.user_activity(spark, SF_SMALL)
     r = FeatureRepo(spark, root, repo.VIEWS, {repo.STATS.name: stats, repo.STATS_FRESH.name: stats})
     ents = fx.training_entities(spark, SF_SMALL)
     train = r.get_historical_features(ents, repo.TRAINING_REFS)
@@ -42,14 +42,14 @@ def test_feature_repo_workflow(spark):
     r.materialize_incremental("2024-01-15")
     r.materialize_incremental("2024-02-01")
     rows = spark.createDataFrame([(1, 1000, 2000), (2, 1001, 2002), (999999, 1, 2)],
-                                 "driver_id long, val_to_add long, val_to_add_2 long")
-    online = {x["driver_id"]: x for x in r.get_online_features(rows, repo.ONLINE_REFS).collect()}
-    assert online[999999]["acc_rate"] is None and online[1]["acc_rate"] is not None
+                                 "member_id long, bonus long, extra long")
+    online = {x["member_id"]: x for x in r.get_online_features(rows, repo.ONLINE_REFS).collect()}
+    assert online[999999]["ok_share"] is None and online[1]["ok_share"] is not None
     pushed = spark.createDataFrame([(1, dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 1), 1.0, 1.0, 1000)],
                                    stats.schema)
     r.push(repo.STATS_FRESH.name, pushed)
-    after = {x["driver_id"]: x for x in r.get_online_features(rows, repo.ACTIVITY_V3).collect()}
-    assert after[1]["conv_rate"] == 1.0 and after[1]["avg_daily_trips"] == 1000
+    after = {x["member_id"]: x for x in r.get_online_features(rows, repo.ACTIVITY_V3).collect()}
+    assert after[1]["purchase_share"] == 1.0 and after[1]["n_events"] == 1000
 
 
 def test_quality_and_network(spark):

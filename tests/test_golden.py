@@ -16,7 +16,7 @@ from featurelake.operators import store as st
 from featurelake.operators import transform as tr
 from featurelake.operators import trips as tp
 from featurelake.operators import views as vw
-from featurelake.plans import driver_repo as repo
+from featurelake.plans import activity_repo as repo
 from featurelake.streaming.envelopes import decode_updates, split_bad
 from featurelake.streaming.store_sink import FeatureStoreSink
 
@@ -26,12 +26,12 @@ US = dt.timedelta(microseconds=1)
 
 
 def _stats(spark, rows):
-    return spark.createDataFrame(rows, "driver_id long, event_timestamp timestamp_ntz, created timestamp_ntz, "
-                                       "conv_rate double, acc_rate double, avg_daily_trips long")
+    return spark.createDataFrame(rows, "member_id long, event_timestamp timestamp_ntz, created timestamp_ntz, "
+                                       "purchase_share double, ok_share double, n_events long")
 
 
 def _entities(spark, rows):
-    return spark.createDataFrame(rows, "request_id long, driver_id long, event_timestamp timestamp_ntz")
+    return spark.createDataFrame(rows, "request_id long, member_id long, event_timestamp timestamp_ntz")
 
 
 def _pit(spark, stats, ents, **kw):
@@ -52,12 +52,12 @@ def test_pit_ttl_edges_ties_and_same_instant(spark):
     ])
     ents = _entities(spark, [(i, i, T0) for i in range(1, 7)])
     got = _pit(spark, stats, ents)
-    assert got[1]["conv_rate"] == 0.1
-    assert got[2]["conv_rate"] is None
-    assert got[3]["conv_rate"] == 0.3
-    assert got[4]["conv_rate"] == 0.5
-    assert got[5]["conv_rate"] is None
-    assert got[6]["conv_rate"] is None  # unknown key
+    assert got[1]["purchase_share"] == 0.1
+    assert got[2]["purchase_share"] is None
+    assert got[3]["purchase_share"] == 0.3
+    assert got[4]["purchase_share"] == 0.5
+    assert got[5]["purchase_share"] is None
+    assert got[6]["purchase_share"] is None  # unknown key
     assert len(got) == 6
 
 
@@ -82,7 +82,7 @@ def test_pit_bucket_split_matches_single_bucket(spark):
     for rid, key, t in ents:
         cands = [r for r in rows if r[0] == key and t - DAY <= r[1] <= t]
         best = max(cands, key=lambda r: (r[1], r[2]))[3] if cands else None
-        assert a[rid]["conv_rate"] == best
+        assert a[rid]["purchase_share"] == best
 
 
 def test_batch_scoring_equals_pit_at_as_of(spark):
@@ -90,15 +90,15 @@ def test_batch_scoring_equals_pit_at_as_of(spark):
                            (2, T0 - 2 * DAY, T0, 0.2, 1.0, 1)])
     ents = _entities(spark, [(1, 1, T0 - DAY), (2, 2, T0)])
     got = {r["request_id"]: r for r in vw.batch_scoring_features(ents, stats, repo.STATS, T0).collect()}
-    assert got[1]["conv_rate"] == 0.1 and got[1]["event_timestamp"] == T0
-    assert got[2]["conv_rate"] is None
+    assert got[1]["purchase_share"] == 0.1 and got[1]["event_timestamp"] == T0
+    assert got[2]["purchase_share"] is None
 
 
 def test_feature_name_clash_is_rejected(spark):
     ents = _entities(spark, [(1, 1, T0)])
     with pytest.raises(ValueError):
         vw.historical_features(ents, {repo.STATS.name: _stats(spark, [])},
-                               (repo.STATS.select("conv_rate"), repo.STATS_FRESH.select("conv_rate")))
+                               (repo.STATS.select("purchase_share"), repo.STATS_FRESH.select("purchase_share")))
 
 
 # ---------------------------------------------------------------- long store
@@ -244,35 +244,35 @@ def test_sink_replay_is_idempotent_and_late_rows_do_not_win(spark):
 
 def test_request_source_and_schema_metadata(spark):
     from pyspark.sql import types as T
-    rs = vw.RequestSource("vals_to_add", T.StructType([T.StructField("val_to_add", T.LongType()),
-                                                       T.StructField("val_to_add_2", T.LongType())]))
-    df = spark.createDataFrame([(1, 2.0, 3.0)], "driver_id long, val_to_add double, val_to_add_2 double")
-    assert rs.check(df).schema["val_to_add"].dataType == T.LongType()
+    rs = vw.RequestSource("vals_to_add", T.StructType([T.StructField("bonus", T.LongType()),
+                                                       T.StructField("extra", T.LongType())]))
+    df = spark.createDataFrame([(1, 2.0, 3.0)], "member_id long, bonus double, extra double")
+    assert rs.check(df).schema["bonus"].dataType == T.LongType()
     with pytest.raises(ValueError):
-        rs.check(df.drop("val_to_add"))
-    sch = repo.STATS.schema({"avg_daily_trips": T.LongType()})
-    assert sch["avg_daily_trips"].metadata["description"] == "Average daily trips"
-    assert sch["conv_rate"].metadata["tags"] == {"team": "driver_performance"}
+        rs.check(df.drop("bonus"))
+    sch = repo.STATS.schema({"n_events": T.LongType()})
+    assert sch["n_events"].metadata["description"] == "Average daily trips"
+    assert sch["purchase_share"].metadata["tags"] == {"team": "growth"}
 
 
 def test_pandas_on_demand_matches_column_version(spark):
     from pyspark.sql import types as T
     df = spark.createDataFrame([(1, 0.5, 1, 10), (2, None, 2, 20)],
-                               "driver_id long, conv_rate double, val_to_add long, val_to_add_2 long")
+                               "member_id long, purchase_share double, bonus long, extra long")
 
     def plus(pdf):
         import pandas as pd
         out = pd.DataFrame()
-        out["conv_rate_plus_val1"] = pdf["conv_rate"] + pdf["val_to_add"]
-        out["conv_rate_plus_val2"] = pdf["conv_rate"] + pdf["val_to_add_2"]
+        out["share_with_bonus"] = pdf["purchase_share"] + pdf["bonus"]
+        out["share_with_extra"] = pdf["purchase_share"] + pdf["extra"]
         return out
 
-    outs = T.StructType([T.StructField("conv_rate_plus_val1", T.DoubleType()),
-                         T.StructField("conv_rate_plus_val2", T.DoubleType())])
-    a = {r["driver_id"]: r for r in vw.apply_on_demand_pandas(df, plus, outs).collect()}
-    b = {r["driver_id"]: r for r in vw.apply_on_demand(df, repo.TRANSFORMED).collect()}
-    assert a[1]["conv_rate_plus_val1"] == b[1]["conv_rate_plus_val1"] == 1.5
-    assert b[2]["conv_rate_plus_val2"] is None
+    outs = T.StructType([T.StructField("share_with_bonus", T.DoubleType()),
+                         T.StructField("share_with_extra", T.DoubleType())])
+    a = {r["member_id"]: r for r in vw.apply_on_demand_pandas(df, plus, outs).collect()}
+    b = {r["member_id"]: r for r in vw.apply_on_demand(df, repo.TRANSFORMED).collect()}
+    assert a[1]["share_with_bonus"] == b[1]["share_with_bonus"] == 1.5
+    assert b[2]["share_with_extra"] is None
 
 
 def test_schema_check_detects_drift(spark):
@@ -291,15 +291,15 @@ def test_pit_without_ttl_looks_back_without_limit(spark):
     ents = _entities(spark, [(1, 1, T0), (2, 2, T0), (3, 3, T0 + 5 * DAY)])
     for kw in ({}, {"bucket_width": dt.timedelta(hours=1)}, {"hot_rows": 1}):
         got = {r["request_id"]: r for r in vw.point_in_time_join(ents, stats, view, **kw).collect()}
-        assert got[1]["conv_rate"] == 0.1 and got[2]["conv_rate"] is None and got[3]["conv_rate"] == 0.4
+        assert got[1]["purchase_share"] == 0.1 and got[2]["purchase_share"] is None and got[3]["purchase_share"] == 0.4
 
 
 def test_full_names_allow_views_with_shared_fields(spark):
     stats = _stats(spark, [(1, T0 - dt.timedelta(hours=1), T0, 0.5, 1.0, 1)])
-    ents = spark.createDataFrame([(1, 1, T0, 2, 20)], "request_id long, driver_id long, event_timestamp timestamp_ntz, "
-                                                      "val_to_add long, val_to_add_2 long")
-    items = (repo.STATS.select("conv_rate"), repo.STATS_FRESH.select("conv_rate"), repo.TRANSFORMED)
+    ents = spark.createDataFrame([(1, 1, T0, 2, 20)], "request_id long, member_id long, event_timestamp timestamp_ntz, "
+                                                      "bonus long, extra long")
+    items = (repo.STATS.select("purchase_share"), repo.STATS_FRESH.select("purchase_share"), repo.TRANSFORMED)
     out = vw.historical_features(ents, {repo.STATS.name: stats, repo.STATS_FRESH.name: stats}, items, full_names=True)
     r = out.first()
-    assert r["driver_hourly_stats__conv_rate"] == 0.5 and r["driver_hourly_stats_fresh__conv_rate"] == 0.5
-    assert r["conv_rate_plus_val1"] == 2.5 and "conv_rate" not in out.columns
+    assert r["user_activity__purchase_share"] == 0.5 and r["user_activity_pushed__purchase_share"] == 0.5
+    assert r["share_with_bonus"] == 2.5 and "purchase_share" not in out.columns

@@ -11,7 +11,7 @@ from featurelake.operators import graph as gr
 from featurelake.operators import store as st
 from featurelake.operators import trips as tp
 from featurelake.operators import views as vw
-from featurelake.plans import driver_repo as repo
+from featurelake.plans import activity_repo as repo
 from featurelake.plans import q_stream
 from featurelake.session import scratch_dir
 from featurelake.sources import fixtures as fx
@@ -47,13 +47,13 @@ def test_metadata_last_write_wins_with_ties(spark):
 
 def test_online_lookup_sorted_columns_and_unknown_keys(spark):
     online = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1), 0.5, 0.9, 3)],
-                                   "driver_id long, event_timestamp timestamp_ntz, created timestamp_ntz, "
-                                   "conv_rate double, acc_rate double, avg_daily_trips long")
-    req = spark.createDataFrame([(1,), (2,)], "driver_id long")
+                                   "member_id long, event_timestamp timestamp_ntz, created timestamp_ntz, "
+                                   "purchase_share double, ok_share double, n_events long")
+    req = spark.createDataFrame([(1,), (2,)], "member_id long")
     out = vw.online_lookup(req, online, repo.STATS)
-    assert out.columns == ["driver_id", "acc_rate", "avg_daily_trips", "conv_rate"]
-    got = {r["driver_id"]: r for r in out.collect()}
-    assert got[2]["conv_rate"] is None and got[1]["avg_daily_trips"] == 3
+    assert out.columns == ["member_id", "ok_share", "n_events", "purchase_share"]
+    got = {r["member_id"]: r for r in out.collect()}
+    assert got[2]["purchase_share"] is None and got[1]["n_events"] == 3
 
 
 def test_pairwise_complete_correlation_matches_numpy(spark):

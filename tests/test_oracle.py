@@ -52,4 +52,4 @@ def test_entry_smoke(spark):
     df = se.entry(spark)
     rows = df.collect()
     assert len(rows) > 0
-    assert df.columns[:2] == ["request_id", "driver_id"]
+    assert df.columns[:2] == ["request_id", "member_id"]

@@ -36,11 +36,11 @@ def test_splits_written_partitioned(spark):
 
 def test_served_features_log(spark):
     d = tempfile.mkdtemp(prefix="fl-served-")
-    served = spark.createDataFrame([(1, 0.5)], "driver_id long, conv_rate double")
-    vw.log_served(served, "driver_activity_v1", dt.datetime(2024, 1, 1), os.path.join(d, "log"))
-    vw.log_served(served, "driver_activity_v1", dt.datetime(2024, 1, 2), os.path.join(d, "log"))
+    served = spark.createDataFrame([(1, 0.5)], "member_id long, purchase_share double")
+    vw.log_served(served, "activity_service_v1", dt.datetime(2024, 1, 1), os.path.join(d, "log"))
+    vw.log_served(served, "activity_service_v1", dt.datetime(2024, 1, 2), os.path.join(d, "log"))
     back = spark.read.parquet(os.path.join(d, "log"))
-    assert back.count() == 2 and set(back.columns) >= {"feature_service", "served_at", "conv_rate"}
+    assert back.count() == 2 and set(back.columns) >= {"feature_service", "served_at", "purchase_share"}
 
 
 def test_report_retention(spark):
@@ -89,7 +89,7 @@ def test_spread_only_when_the_scan_is_narrow(spark):
 
 def test_file_source_reads_with_declared_schema(spark):
     d = tempfile.mkdtemp(prefix="fl-src-")
-    stats = fx.driver_hourly_stats(spark, SF_SMALL)
+    stats = fx.user_activity(spark, SF_SMALL)
     write_parquet(stats, os.path.join(d, "stats"))
     src = vw.FileSource(os.path.join(d, "stats"), schema=stats.schema)
     assert src.read(spark).count() == stats.count()
