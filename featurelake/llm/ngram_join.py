@@ -185,9 +185,10 @@ FILTER_BITS = 24
 
 
 def _wholes(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(set, members) of wanted (set, rep): the sorted shingle hashes, from one scan of docs.
+    """(set, members): the sorted shingle hashes of wanted (set, rep), from one scan of docs.
 
-    The scan passes over documents by a bit table of the wanted ids, of fixed size; what it lets through by chance goes in the join.
+    The scan passes over documents by a bit table of the wanted ids, of fixed size. It lets a few others through by
+    chance, which no join asks for; a set that comes twice so gives its links twice.
     """
     bit = F.pmod(F.xxhash64("rep"), F.lit(1 << FILTER_BITS))
     got = (wanted.select(F.shiftright(bit, 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(pmod(xxhash64(rep), 64) as int))").alias("bit"))
@@ -199,15 +200,14 @@ def _wholes(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h = batch.column(2).to_numpy()
+            batch = batch.select([0, 1])
             batch = batch.filter(pa.array((shared.value[h >> 6] >> (h & 63).astype(np.uint64) & _U(1)).astype(bool)))
             for lo, hi, found in _in_runs(_sets(batch, k)):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([_identity(s) for s in found], pa.int64()),
-                                                  pa.array([s.tobytes() for s in found], pa.binary())], names=["rep", "set", "members"])
+                yield pa.RecordBatch.from_arrays([pa.array([_identity(s) for s in found], pa.int64()),
+                                                  pa.array([s.tobytes() for s in found], pa.binary())], names=["set", "members"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    found = (docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).alias("h")).filter("doc_id IS NOT NULL")
-             .mapInArrow(run, f"rep {kind}, set long, members binary"))
-    return found.join(wanted, ["rep", "set"]).select("set", "members").dropDuplicates(["set"])
+    return (docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).alias("h")).filter("doc_id IS NOT NULL")
+            .mapInArrow(run, "set long, members binary"))
 
 
 def _in_runs(sets: Iterator[tuple[int, np.ndarray]], size: int = 1 << 20) -> Iterator[tuple[int, int, list[np.ndarray]]]:
@@ -391,18 +391,17 @@ def components(docs: DataFrame, k: int = 5, percent: int = 80, cell_rows: int =
     points = keep(sized.join(met.select(F.col("rep").alias("doc_id"), "set"), ["doc_id", "set"]).dropDuplicates(["set"])
                   .select("set", F.col("n_shingles").cast("int").alias("n"), "counts"), "points")
 
-    def wholes(sets: DataFrame) -> DataFrame:
-        return keep(_wholes(docs, keep(sets.distinct().join(reps, "set"), "wanted"), k), "wholes")
+    def linked(pairs: DataFrame) -> DataFrame:
+        pairs = keep(pairs, "pairs")
+        sets = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+        return keep(_verified(pairs, keep(_wholes(docs, sets.join(reps, "set"), k), "wholes"), percent), "links")
 
-    ends = F.explode(F.array("a", "b")).alias("set")
     pairs = cells.filter("hub IS NOT NULL").select(F.least("hub", "set").alias("a"), F.greatest("hub", "set").alias("b")).distinct()
-    pairs = keep(_bounded(pairs, points, percent), "pairs")
-    links = keep(_verified(pairs, wholes(pairs.select(ends)), percent), "links")
+    links = linked(_bounded(pairs, points, percent))
     labels = _labels(links)
     mixed = keep(_mixed(cells, labels, cell_rows), "mixed")
-    known = wholes(mixed.select("set"))
     for near in (True, False):
-        more = keep(_verified(keep(_remaining(mixed, points, percent, near), "pairs"), known, percent), "links")
+        more = linked(_remaining(mixed, points, percent, near))
         if more.limit(1).count():
             links = links.unionAll(more)
             labels = _labels(links)
