@@ -32,7 +32,7 @@ def unescape(text: Column) -> Column:
 
 def n_tokens(text: Column) -> Column:
     """A token for every started 4 characters of a word, and the markers' share."""
-    return (F.length(text) / 4).cast("long") + F.size(F.split(text, r"\s+")) + MARK_TOKENS
+    return (F.length(text) / 4).cast("long") + F.size(F.split(text, r"[\x20\x09-\x0D]+")) + MARK_TOKENS
 
 
 def turns(conversations: DataFrame) -> DataFrame:

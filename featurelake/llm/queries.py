@@ -133,6 +133,30 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+SQL["op10_chat_format"] = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM t),
+b AS (SELECT *, (i = 1 AND role = 'system') AS sys, length(text) // 4 + len(regexp_split_to_array(text, '[\x20\x09-\x0D]+')) + 4 AS tokens,
+    16 + length(replace(replace(role, chr(92), chr(92) || 's'), '<|', '<' || chr(92) || 'b'))
+       + length(replace(replace(text, chr(92), chr(92) || 's'), '<|', '<' || chr(92) || 'b')) AS chars FROM o),
+p AS (SELECT *, coalesce(sum(CASE WHEN sys THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+    greatest(1, 2048 - 256 - max(CASE WHEN sys THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id)
+      - max(CASE WHEN sys THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id)) AS room FROM b),
+s AS (SELECT *, before // room AS span FROM p),
+w AS (SELECT conv_id, span, min(before) AS opens FROM s WHERE NOT sys GROUP BY ALL),
+f AS (SELECT conv_id, sum(chars) AS chars FROM (
+    SELECT s.conv_id, s.chars FROM s JOIN w USING (conv_id)
+      WHERE s.sys OR s.span = w.span OR (w.opens > s.before AND w.opens - s.before <= 256)
+    UNION ALL SELECT conv_id, chars FROM s WHERE conv_id NOT IN (SELECT conv_id FROM w)) GROUP BY conv_id),
+g AS (SELECT conv_id, count(*) AS n, string_agg(role || chr(10) || text || chr(10), '' ORDER BY i) AS said,
+    coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY i), '') AS loss FROM o GROUP BY conv_id)
+SELECT g.conv_id, n AS n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256,
+  f.chars::BIGINT AS formatted_chars
+FROM g JOIN f USING (conv_id)
+"""
+
+
 @query("op3_quality_classifier")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from featurelake.llm import rule_ensemble
