@@ -167,11 +167,12 @@ def point_in_time_join(entities: DataFrame, source: DataFrame, view: FeatureView
        the entity rows, ``last(ignorenulls)`` ordered by (time, side, created),
        then the TTL check (``t - ttl <= ts <= t``).
 
-    Feature rows are shuffled once and never copied. A key with more than
-    ``hot_rows`` feature rows gets m = ceil(rows / hot_rows) times finer buckets,
+    Feature rows are never copied. A key with more than ``hot_rows`` rows on either side gets
+    m = ceil(rows / hot_rows) times finer buckets,
     so a key holding a third of all rows is spread over many window
-    partitions; the hot-key table (a partial count) has at most rows/hot_rows
-    entries and AQE broadcasts it when small.
+    partitions, whichever side it is hot on; the hot-key table (a partial count) has at most
+    rows/hot_rows entries and AQE broadcasts it when small. ``hot_rows`` changes the partitions only, never a row
+    of the result. NULL keys match nothing; their entity rows are dealt out by content.
     """
     features = tuple(features or view.features)
     keys = list(view.keys)
@@ -193,7 +194,9 @@ def point_in_time_join(entities: DataFrame, source: DataFrame, view: FeatureView
                                   *[F.col(f).alias(f) for f in features]).alias("__f"))
     ents = entities
     if hot_rows:
-        hot = (source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        sides = (source.select(*keys, F.lit(1).alias("__fr"), F.lit(0).alias("__er"))
+                 .unionAll(entities.select(*keys, F.lit(0), F.lit(1))))
+        hot = (sides.groupBy(*keys).agg(F.greatest(F.sum("__fr"), F.sum("__er")).alias("__n"))
                .filter(F.col("__n") > hot_rows)
                .select(*keys, F.ceil(F.col("__n") / F.lit(hot_rows)).cast("bigint").alias("__m")))
         feat = feat.join(hot, keys, "left")

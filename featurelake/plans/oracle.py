@@ -96,6 +96,9 @@ SQL["feature_as_of_pivot"] = _pivot_sql(
 
 SQL["list_features"] = "SELECT DISTINCT event_type AS feature_name FROM events"
 
+SQL["feature_search"] = """SELECT DISTINCT event_type AS feature_name, 'Real-time updated feature: ' || event_type AS description
+FROM events WHERE event_type ILIKE '%purch%'"""
+
 SQL["metadata_upsert"] = """
 SELECT event_type AS feature_name, 'Real-time updated feature: ' || event_type AS description,
   'numeric' AS data_type, max(ts) AS created_at
@@ -167,6 +170,9 @@ PUSHED = """(SELECT user_id AS member_id, ts AS event_timestamp, ts AS created,
 
 SQL["push_upsert"] = f"""SELECT * FROM {_latest_stats("TRUE", f"(SELECT * FROM {STATS} WHERE event_timestamp <= TIMESTAMP '2024-01-31 00:00:00' UNION ALL SELECT * FROM {PUSHED})")}"""
 
+SQL["push_offline"] = f"SELECT * FROM {STATS} UNION ALL SELECT * FROM {PUSHED}"
+SQL["materialize_restart"] = SQL["materialize_incremental"]
+
 # ---------------------------------------------------------------- quality
 
 _PROFILE_COLS = {

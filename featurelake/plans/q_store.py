@@ -38,6 +38,14 @@ def list_features(spark, sf_dir):
     return st.list_features(fx.feature_log(spark, sf_dir))
 
 
+@query("feature_search")
+def feature_search(spark, sf_dir):
+    """Features whose name or description holds a text, any case."""
+    log = fx.feature_log(spark, sf_dir)
+    catalog = st.metadata_upsert(None, st.describe_stream_features(log, F.col("event_ts"), keep=("seq",)), tie_col="seq")
+    return st.list_features(log, catalog, contains="PurCH")
+
+
 @query("metadata_upsert")
 def metadata_upsert(spark, sf_dir):
     log = fx.feature_log(spark, sf_dir)

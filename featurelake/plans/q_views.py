@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from featurelake.api import FeatureRepo
 from featurelake.operators import views as vw
 from featurelake.plans import activity_repo as repo
 from featurelake.plans.catalog import query
+from featurelake.session import scratch_dir
 from featurelake.sources import fixtures as fx
 from featurelake.sources.tables import table
 
@@ -82,6 +84,25 @@ def push_upsert(spark, sf_dir):
     return online2
 
 
+@query("push_offline")
+def push_offline(spark, sf_dir):
+    """The offline half of a push, read back from the repository's own storage by a new instance."""
+    src = fx.user_activity(spark, sf_dir)
+    root = scratch_dir(spark, "repo")
+    FeatureRepo(spark, root, repo.VIEWS, {repo.STATS_FRESH.name: src}).push(repo.STATS_FRESH.name, pushed_rows(spark, sf_dir), to_online=False)
+    return FeatureRepo(spark, root, repo.VIEWS, {repo.STATS_FRESH.name: src}).sources[repo.STATS_FRESH.name]
+
+
+@query("materialize_restart")
+def materialize_restart(spark, sf_dir):
+    """T8 across two instances: the second goes on from the stored mark."""
+    sources, root = {repo.STATS.name: fx.user_activity(spark, sf_dir)}, scratch_dir(spark, "repo")
+    FeatureRepo(spark, root, repo.VIEWS, sources).materialize_incremental(CUT_1)
+    again = FeatureRepo(spark, root, repo.VIEWS, sources)
+    again.materialize_incremental(CUT_2)
+    return again.online_table(repo.STATS.name)
+
+
 @query("feature_service_v2")
 def feature_service_v2(spark, sf_dir):
     return vw.historical_features(fx.training_entities(spark, sf_dir), _sources(spark, sf_dir),

@@ -1,9 +1,11 @@
 """The user-level workflow end to end: store, views (historical, materialise, online, push), quality, network."""
 
+import dataclasses
 import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from featurelake.api import FeatureRepo, FeatureStore, NetworkAnalyzer, QualityValidator
@@ -52,12 +54,49 @@ def test_feature_repo_workflow(spark):
     assert after[1]["purchase_share"] == 1.0 and after[1]["n_events"] == 1000
 
 
+def test_state_survives_a_restart(spark):
+    root = tempfile.mkdtemp(prefix="fl-repo-")
+    stats = fx.user_activity(spark, SF_SMALL)
+
+    def repo_again():
+        return FeatureRepo(spark, root, repo.VIEWS, {repo.STATS.name: stats, repo.STATS_FRESH.name: stats})
+
+    r = repo_again()
+    r.materialize_incremental("2024-01-15")
+    pushed = spark.createDataFrame([(1, dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 1), 1.0, 1.0, 1000)], stats.schema)
+    r.push(repo.STATS_FRESH.name, pushed)
+    r.push(repo.STATS_FRESH.name, pushed)
+    r = repo_again()
+    assert r.mark(repo.STATS.name) == dt.datetime(2024, 1, 15)
+    assert r.sources[repo.STATS_FRESH.name].count() == stats.count() + 2
+    assert r.sources[repo.STATS.name].count() == stats.count()
+    r.materialize_incremental("2024-03-01")
+    assert r.mark(repo.STATS.name) == dt.datetime(2024, 3, 1)
+
+
+def test_requests_are_checked_and_served_rows_logged(spark):
+    root = tempfile.mkdtemp(prefix="fl-repo-")
+    stats = fx.user_activity(spark, SF_SMALL)
+    r = FeatureRepo(spark, root, repo.VIEWS, {repo.STATS.name: stats, repo.STATS_FRESH.name: stats})
+    r.materialize_incremental("2024-02-01")
+    rows = spark.createDataFrame([(1, 1000, 2000)], "member_id long, bonus long, extra long")
+    with pytest.raises(ValueError, match="misses request columns"):
+        r.get_online_features(rows.drop("extra"), repo.ACTIVITY_V1)
+    with pytest.raises(ValueError, match="clash"):
+        r.get_online_features(rows, (repo.STATS.select("ok_share"), repo.STATS_FRESH.select("ok_share")))
+    service = dataclasses.replace(repo.ACTIVITY_V1, log_path=os.path.join(root, "served"))
+    assert r.get_online_features(rows, service).count() == 1
+    assert spark.read.parquet(service.log_path).select("feature_service").first()[0] == service.name
+
+
 def test_quality_and_network(spark):
     d = tempfile.mkdtemp(prefix="fl-q-")
     v = QualityValidator(spark, report_path=os.path.join(d, "reports"))
     df = fx.flowers(spark, SF_SMALL)
     rep = v.validate_dataset(df, "flowers", exact=False)
     assert rep["profile"].filter("stat = 'row_count'").first()["value"] == df.count()
+    assert {r["part"] for r in spark.read.option("basePath", os.path.join(d, "reports")).option("mergeSchema", True).parquet(
+        os.path.join(d, "reports", "*", "*")).select("part").distinct().collect()} == {"profile", "schema", "summary"}
     drift = v.check_data_drift(df.filter("target = 0"), df.filter("target = 1"))
     assert drift.count() == 5
     net = NetworkAnalyzer()

@@ -251,7 +251,7 @@ def test_request_source_and_schema_metadata(spark):
     with pytest.raises(ValueError):
         rs.check(df.drop("bonus"))
     sch = repo.STATS.schema({"n_events": T.LongType()})
-    assert sch["n_events"].metadata["description"] == "Average daily trips"
+    assert sch["n_events"].metadata["description"] == "Events of the hour"
     assert sch["purchase_share"].metadata["tags"] == {"team": "growth"}
 
 
@@ -263,15 +263,15 @@ def test_pandas_on_demand_matches_column_version(spark):
     def plus(pdf):
         import pandas as pd
         out = pd.DataFrame()
-        out["share_with_bonus"] = pdf["purchase_share"] + pdf["bonus"]
-        out["share_with_extra"] = pdf["purchase_share"] + pdf["extra"]
+        out["share_with_bonus"] = pdf["purchase_share"] * 100 + pdf["bonus"]
+        out["share_with_extra"] = pdf["purchase_share"] * 100 - pdf["extra"]
         return out
 
     outs = T.StructType([T.StructField("share_with_bonus", T.DoubleType()),
                          T.StructField("share_with_extra", T.DoubleType())])
     a = {r["member_id"]: r for r in vw.apply_on_demand_pandas(df, plus, outs).collect()}
     b = {r["member_id"]: r for r in vw.apply_on_demand(df, repo.TRANSFORMED).collect()}
-    assert a[1]["share_with_bonus"] == b[1]["share_with_bonus"] == 1.5
+    assert a[1]["share_with_bonus"] == b[1]["share_with_bonus"] == 51.0
     assert b[2]["share_with_extra"] is None
 
 
