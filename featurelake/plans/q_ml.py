@@ -108,6 +108,21 @@ def batch_score_linear(spark, sf_dir):
     return st.melt(out, key="row_key", values=["predicted_target"], prefix="test_sample_", event_ts="2024-01-31 00:00:00")
 
 
+@query("model_floors")
+def model_floors(spark, sf_dir):
+    """M8 and M10 against the floors that tests hold them to, on the repeatable split: rows of each part, and whether each passes."""
+    df = _learnable_split(spark, sf_dir)
+    train, test = df.filter(F.col("split") == "train"), df.filter(F.col("split") == "test")
+    pred = ml.logistic_regression(train, label="label").transform(test)
+    logistic = mt.class_metrics(pred.select(F.col("label").alias("actual"), F.col("prediction").alias("predicted")))
+    forest = ml.random_forest(train, label="y", num_trees=20, max_depth=10).transform(test)
+    forest = mt.regression_metrics(forest, actual="y", predicted="prediction")
+    rows = df.agg(F.count_if(F.col("split") == "train").alias("n_train"), F.count_if(F.col("split") == "test").alias("n_test"))
+    passes = (logistic.select(F.lit("logistic_regression").alias("model"), (F.col("accuracy") >= 0.9).alias("passes"))
+              .unionByName(forest.select(F.lit("random_forest").alias("model"), (F.col("r2") >= 0.9).alias("passes"))))
+    return passes.crossJoin(F.broadcast(rows))  # two rows and one
+
+
 @query("random_forest")
 def random_forest(spark, sf_dir):
     df = _learnable_split(spark, sf_dir).withColumnRenamed("y", "target_y")

@@ -302,4 +302,4 @@ def test_full_names_allow_views_with_shared_fields(spark):
     out = vw.historical_features(ents, {repo.STATS.name: stats, repo.STATS_FRESH.name: stats}, items, full_names=True)
     r = out.first()
     assert r["user_activity__purchase_share"] == 0.5 and r["user_activity_pushed__purchase_share"] == 0.5
-    assert r["share_with_bonus"] == 2.5 and "purchase_share" not in out.columns
+    assert r["share_with_bonus"] == 52.0 and "purchase_share" not in out.columns

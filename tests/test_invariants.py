@@ -51,7 +51,7 @@ def test_online_lookup_sorted_columns_and_unknown_keys(spark):
                                    "purchase_share double, ok_share double, n_events long")
     req = spark.createDataFrame([(1,), (2,)], "member_id long")
     out = vw.online_lookup(req, online, repo.STATS)
-    assert out.columns == ["member_id", "ok_share", "n_events", "purchase_share"]
+    assert out.columns == ["member_id", "n_events", "ok_share", "purchase_share"]
     got = {r["member_id"]: r for r in out.collect()}
     assert got[2]["purchase_share"] is None and got[1]["n_events"] == 3
 

@@ -1,12 +1,16 @@
 """Every registered query against its DuckDB oracle (row count, columns, values)."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as se
 from tests.conftest import SF_SMALL
 from tests.oracle_check import canon, duck
 
-KEYS = sorted(se.oracle_sql())
+#: The training-data operators have their own tests (tests/llm).
+OWN = re.compile(r"(?!op\d+_|pipeline$)")
+KEYS = sorted(filter(OWN.match, se.oracle_sql()))
 
 
 @pytest.fixture(scope="module")
@@ -43,7 +47,7 @@ def test_query_matches_oracle(spark, con, key):
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    rows_only = set(se.queries()) - set(se.oracle_sql())
+    rows_only = set(filter(OWN.match, set(se.queries()) - set(se.oracle_sql())))
     assert rows_only <= {"pca", "logreg", "random_forest", "hyper_search", "batch_score", "model_selection", "batch_flow"}
     assert set(se.oracle_sql()) <= set(se.queries())
 
