@@ -51,24 +51,26 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             lang = part.column(0).dictionary_encode()
             code = np.asarray(lang.indices.to_numpy(zero_copy_only=False), np.int64)
-            gram = _packed(data.astype(np.int64), offsets, 256, 512)
+            symbols = data.astype(np.int64)
+            gram = symbols + 512 * _before(symbols, offsets, 256, 512)
             owner = np.repeat(code, np.diff(offsets))
             both, n = np.unique(owner << 36 | gram, return_counts=True)
             yield pa.RecordBatch.from_pydict({"lang": lang.dictionary.take(pa.array(both >> 36)), "gram": pa.array(both & (1 << 36) - 1), "n": pa.array(n)})
 
 
-def _packed(symbols: np.ndarray, offsets: np.ndarray, edge: int, base: int) -> np.ndarray:
-    """Each symbol with its ORDER predecessors as one number; before a text's start stands ``edge``."""
-    out = symbols.copy()
+def _before(symbols: np.ndarray, offsets: np.ndarray, edge: int, base: int) -> np.ndarray:
+    """The ORDER predecessors of each symbol as one number, nearest first; before a text's start stands ``edge``."""
+    out = np.zeros(len(symbols), symbols.dtype)
     scale = 1
     for back in range(1, ORDER + 1):
-        scale *= base
         prior = np.full(len(symbols), edge, symbols.dtype)
         prior[back:] = symbols[:-back]
         for j in range(back):
             at = offsets[:-1] + j
             prior[at[at < offsets[1:]]] = edge
-        out += prior * scale
+        prior *= scale
+        out += prior
+        scale *= base
     return out
 
 
@@ -138,8 +140,7 @@ class Model:
             return out
         a = self.a
         s = self.symbol[data]
-        context = _packed(s, offsets, 0, a) // a
-        cell = self.row[context].astype(np.int64)
+        cell = self.row[_before(s, offsets, 0, a)].astype(np.int64)  # at most 256 ** 3 contexts: 32 bits hold them
         cell *= a
         cell += s
         filled = np.flatnonzero(np.diff(offsets) > 0)

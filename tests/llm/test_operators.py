@@ -73,6 +73,15 @@ def test_language_codes_sum_to_one_and_match_a_plain_coder():
         assert got == pytest.approx([plain("x", text), plain("y", text)], rel=1e-5)
 
 
+def test_language_id_with_all_bytes():
+    data = np.frombuffer(np.random.default_rng(3).bytes(6000), np.uint8)
+    padded = [256] * 3 + data.tolist()
+    c = Counter(padded[k] + (padded[k - 1] << 9) + (padded[k - 2] << 18) + (padded[k - 3] << 27) for k in range(3, len(padded)))
+    m = language_id.Model(["x"], np.zeros(len(c), int), np.array(list(c)), np.array(list(c.values())))
+    ends = np.array([0, len(data)])
+    assert m.a > 250 and m.code_lengths(data, ends)[0, 0] / len(data) < 3 < 7 < m.code_lengths(data[::-1].copy(), ends)[0, 0] / len(data)
+
+
 def test_language_id_edges(spark, docs):
     rows = [(i, prose(40, i), "xx") for i in range(20)] + [(100 + i, prose(40, i)[::-1].replace("a", "ö"), "yy") for i in range(20)]
     odd = [(1000, None, None), (1001, "", "xx"), (1002, "123 !!", None), (None, prose(5), "xx"), (1003, prose(30000), None), (1003, prose(10), None)]
