@@ -91,7 +91,10 @@ def utf8(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batch: pa.RecordBatch, text: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows of about ``size`` bytes of text; a longer text stands alone."""
+    """The batch in runs of rows of about ``size`` bytes of text; a longer text stands alone.
+
+    After a batch, memory that Arrow holds unused goes back: Python workers live on between stages.
+    """
     if batch.num_rows == 0:
         return
     _, offsets = utf8(batch.column(batch.schema.get_field_index(text)))
@@ -100,6 +103,7 @@ def slices(batch: pa.RecordBatch, text: str = "text", size: int = SLICE_BYTES) -
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, side="right")) - 1)
         yield batch.slice(lo, hi - lo)
         lo = hi
+    pa.default_memory_pool().release_unused()
 
 
 def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -87,9 +87,8 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def encoded(batch: pa.RecordBatch, path: str, size: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def encoded(batch: pa.RecordBatch, path: str, size: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """(rows, ids, first) for slices of a batch with a ``text`` column."""
     coder = encoder(path)
     for part in slices(batch, size=size):
         yield part, *coder.encode(part.column(part.schema.get_field_index("text")))
-    pa.default_memory_pool().release_unused()
