@@ -65,16 +65,14 @@ def entropies(s: str, window: int = WINDOW) -> list[float]:
     counts: dict[str, int] = {}
     total, out = 0.0, []
     for i, c in enumerate(s):
-        n = counts.get(c, 0)
-        counts[c] = n + 1
-        if i >= window:
-            total += _NLOGN[n + 1] - _NLOGN[n] if n < window else 0.0
+        if i >= window:  # the old character leaves first, so no count passes the window
             old = s[i - window]
             m = counts[old]
             counts[old] = m - 1
             total += _NLOGN[m - 1] - _NLOGN[m]
-        else:
-            total += _NLOGN[n + 1] - _NLOGN[n]
+        n = counts.get(c, 0)
+        counts[c] = n + 1
+        total += _NLOGN[n + 1] - _NLOGN[n]
         if i >= window - 1:
             out.append(math.log2(window) - total / window)
     return out
