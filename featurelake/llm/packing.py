@@ -1,13 +1,15 @@
 """Operator 8, packing: cutting-stock column generation over the histogram of piece lengths.
 
 1. ``token_pieces``: every document becomes ids plus an end id, cut into full sequences and one shorter rest.
-2. The pieces' lengths, in steps of ``STEP`` tokens, make a histogram of at most CAPACITY / STEP classes: the
-   cutting-stock problem, of one size for any corpus.
-3. ``plan``: its linear program starts with patterns of one class each; duals price the classes, a knapsack dynamic
+2. The pieces' lengths make a histogram: exactly up to ``SHORT`` steps of ``STEP`` tokens, in steps beyond, where rounding up costs
+   little. That is at most SHORT * STEP + CAPACITY / STEP classes: the cutting-stock problem, of one size for any corpus.
+   Two ways to count the short ones are planned, exactly and in steps like the others; the one of fewer sequences is taken.
+3. ``plan``: the linear program of the long classes starts with patterns of one class each; duals price the classes, a knapsack dynamic
    program finds the best new pattern, until none improves. The solution is rounded down; what
-   remains of the demand (at most a sequence's worth per pattern) is filled first-fit, longest first.
+   remains of the demand (at most a sequence's worth per pattern) is filled first-fit, longest first. Short classes go
+   into the patterns' free tokens, longest first, and then into sequences of their own, by their exact lengths.
    If the plan wastes more than ``WASTE``, no patterns fit these lengths well; the documents' rests are then cut in two at
-   a place by their hash, which gives lengths of all kinds, and planned anew.
+   a place by their hash, which gives lengths of all kinds, and planned anew. The plan of fewer sequences is taken.
 4. ``assign``: pieces are ranked within their class (in salted parts, so that a class with a third of all rows is
    no single task's work), and a piece's class and rank tell its sequence: pattern p, made x times with a pieces of
    the class, takes the next a * x ranks.
@@ -17,17 +19,20 @@ from __future__ import annotations
 
 import functools
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurelake.llm.common import keep
 from featurelake.llm.word_tokens import encoded
 
 CAPACITY, STEP, END_ID = 2048, 8, 1
+#: Lengths of at most so many steps are counted exactly, or in steps too.
+SHORT = 32
 #: The share of sequences beyond the least number possible that a plan may take before rests are cut.
 WASTE = 0.02
 #: Rows that are ranked in one task.
@@ -80,9 +85,27 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
         run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids)
 
 
-def plan(demand: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
-    """[({class: pieces of it}, times)] that use each class (its size, 1 to capacity) exactly as often as demanded."""
-    return _plan(tuple(sorted(demand.items())), capacity)
+def plan(demand: dict[int, int], capacity: int, step: int = 1, short: int = SHORT) -> list[tuple[dict[int, int], int]]:
+    """[({class: pieces of it}, times)] that use each class (its size, 1 to capacity) exactly as often as demanded.
+
+    With a step over 1, sizes over ``short`` steps are multiples of it and go through the linear program in its units.
+    """
+    if step == 1:
+        return _plan(tuple(sorted(demand.items())), capacity)
+    long = _plan(tuple((s // step, n) for s, n in sorted(demand.items()) if s > short * step), capacity // step)
+    few = {s: n for s, n in sorted(demand.items(), reverse=True) if s <= short * step}
+    out = []
+    for units, times in sorted(long, key=lambda x: -x[1]):
+        pattern = {s * step: a for s, a in units.items()}
+        room = capacity - sum(s * a for s, a in pattern.items())
+        for s in few:
+            a = min(few[s] // times, room // s)
+            if a:
+                pattern[s], room = a, room - a * s
+                few[s] -= a * times
+        out.append((pattern, times))
+    sizes = np.array(sorted(few), np.int64)
+    return out + _first_fit(sizes, np.array([few[s] for s in sizes.tolist()], np.int64), capacity)
 
 
 @functools.lru_cache(maxsize=4)
@@ -166,16 +189,35 @@ def _first_fit(sizes: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple
     return made
 
 
+def size_class(length: Column, step: int = STEP, short: int = SHORT) -> Column:
+    """The length; beyond ``short`` steps, rounded up to its step."""
+    return F.when(length <= short * step, length).otherwise(F.ceil(length / step) * step).cast("int")
+
+
 def histogram(pieces: DataFrame, step: int = STEP) -> dict[int, int]:
-    """{class: pieces}; at most capacity / step classes."""
-    counts = pieces.groupBy(F.ceil(F.col("length") / step).cast("int").alias("class")).agg(F.count(F.lit(1)).alias("n"))
+    """{class: pieces}; a fixed number of classes."""
+    counts = pieces.groupBy(size_class(F.col("length"), step).alias("class")).agg(F.count(F.lit(1)).alias("n"))
     return {r["class"]: r["n"] for r in counts.collect()}
 
 
-def wasteful(pieces: DataFrame, capacity: int, step: int, waste: float = WASTE) -> bool:
+def best_plan(demand: dict[int, int], capacity: int, step: int) -> tuple[int, list[tuple[dict[int, int], int]], int]:
+    """(sequences, plan, short) of the better way to count short lengths: exactly, or in steps."""
+    stepped: dict[int, int] = {}
+    for s, n in demand.items():
+        up = -(-s // step) * step
+        stepped[up] = stepped.get(up, 0) + n
+    made = [(plan(d, capacity, step, short), short) for d, short in ((demand, SHORT), (stepped, 0))]
+    return min(((sum(times for _, times in p), p, short) for p, short in made), key=lambda x: x[0])
+
+
+def planned(pieces: DataFrame, capacity: int, step: int) -> int:
+    """The plan's number of sequences."""
+    return best_plan(histogram(pieces, step), capacity, step)[0]
+
+
+def wasteful(pieces: DataFrame, made: int, capacity: int, waste: float = WASTE) -> bool:
     tokens = pieces.agg(F.sum("length")).first()[0] or 0
-    least = -(-tokens // capacity)
-    return sum(times for _, times in plan(histogram(pieces, step), capacity // step)) > least * (1 + waste) + 1
+    return made > -(-tokens // capacity) * (1 + waste) + 1
 
 
 def assign(pieces: DataFrame, capacity: int = CAPACITY, step: int = STEP, part_rows: int = PART_ROWS) -> DataFrame:
@@ -184,8 +226,9 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY, step: int = STEP, part_r
     Columns of those two names give way. Every row gets one place, repeated rows too. No rows: no rows.
     """
     carried = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
-    pieces = pieces.select(*carried).withColumn("class__", F.ceil(F.col("length") / step).cast("int"))
     n = histogram(pieces, step)
+    _, patterns, short = best_plan(n, capacity, step)
+    pieces = pieces.select(*carried).withColumn("class__", size_class(F.col("length"), step, short))
     parts = max(1, -(-sum(n.values()) // part_rows))
     pieces = pieces.withColumn("part__", F.pmod(F.xxhash64("doc_id", "start"), F.lit(parts)).cast("int"))
     sizes = pieces.groupBy("class__", "part__").agg(F.count(F.lit(1)).alias("n__"))
@@ -194,8 +237,8 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY, step: int = STEP, part_r
     ranked = (pieces.withColumn("rank__", F.row_number().over(Window.partitionBy("class__", "part__").orderBy("doc_id", "start")))
               .join(before, ["class__", "part__"]).withColumn("rank__", F.col("rank__") - 1 + F.col("before__")).drop("before__", "part__"))
 
-    rows, used, base = [], {k: 0 for k in n}, 0
-    for pattern, times in plan(n, capacity // step):
+    rows, used, base = [], Counter(), 0
+    for pattern, times in patterns:
         for slot, (k, a) in enumerate(sorted(pattern.items(), reverse=True)):
             rows.append((k, used[k], a, base, slot))
             used[k] += a * times
@@ -224,8 +267,10 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, step: int =
     """token_pieces and assign: one row per piece. The pieces are written once; texts are read and encoded once, or
     twice where rests have to be cut."""
     pieces = keep(token_pieces(docs, tokenizer, capacity, with_ids=with_ids), "pieces")
-    if wasteful(pieces, capacity, step):
-        pieces = keep(token_pieces(docs, tokenizer, capacity, with_ids=with_ids, cut_rests=True), "pieces")
+    made = planned(pieces, capacity, step)
+    if wasteful(pieces, made, capacity):
+        cut = keep(token_pieces(docs, tokenizer, capacity, with_ids=with_ids, cut_rests=True), "pieces")
+        pieces = cut if planned(cut, capacity, step) < made else pieces
     return assign(pieces, capacity, step)
 
 

@@ -389,6 +389,26 @@ def test_plan_meets_demand_exactly():
             assert made == demand
 
 
+def test_short_documents_pack_tightly(spark, docs):
+    r = random.Random(5)
+    for rows in ([(i, prose(r.randint(0, 14))) for i in range(4000)], [(i, "") for i in range(5000)]):
+        total = Counter()
+        packed = packing.pack(docs(rows), WORDS_49K).collect()
+        for x in packed:
+            total[x["sequence_id"]] += x["length"]
+        assert len(packed) == len(rows) and max(x["length"] for x in packed) <= 90 and max(total.values()) <= 2048  # none is cut
+        assert len(total) <= sum(total.values()) / 2048 * 1.01 + 1
+
+
+def test_cuts_stay_only_where_they_save_sequences(spark, docs):
+    one = packing.pack(docs([(i, prose(1, 1) * 3) for i in range(5)]), WORDS_49K).collect()
+    assert len(one) == 5
+    word = prose(1, 1)
+    many = packing.pack(docs([(i, " ".join([word] * 620)) for i in range(300)]), WORDS_49K).collect()
+    n = len({x["sequence_id"] for x in many})
+    assert n <= max(150, sum(x["length"] for x in many) / 2048 * 1.1 + 1)
+
+
 def test_sequences_are_padded_but_at_powers_of_two(spark, docs):
     packed = packing.pack(docs([(i, prose(20)) for i in range(9)]), WORDS_49K, with_ids=True)
     for x in packing.sequences(packed).collect():
