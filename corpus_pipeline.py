@@ -20,9 +20,12 @@ MIN_SCORE = 0.5
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1. Rejects documents without a letter and those that no language explains better than the others together.
 
-    The model learns from the labelled documents of the stage's input; all columns stay as they are.
+    The model learns from the labelled documents of the stage's input; all columns stay as they are. Where none is labelled,
+    only documents without a letter are rejected.
     """
     model = language_id.train(docs)
+    if not model.langs:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     marked = language_id.predict(docs.withColumn("text__", F.col("text")), model)
     kept = marked.filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE))
     return kept.select(*[F.col("text__").alias("text") if c == "text" else F.col(c) for c in docs.columns])

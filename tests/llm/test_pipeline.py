@@ -43,6 +43,12 @@ def test_stages_take_empty_tables(spark):
         assert docs.count() == 0
 
 
+def test_language_stage_without_labels_rejects_only_texts_without_a_letter(spark, docs):
+    rows = docs([(1, "some words", None), (2, "12 34", None), (3, None, None), (4, "日本語", None), (4, "日本語", None), (5, "", None)])
+    got = corpus_pipeline.language_stage(spark, rows, SF_SMALL)
+    assert got.columns == rows.columns and sorted(r["doc_id"] for r in got.collect()) == [1, 4, 4]
+
+
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_oracle(spark, name):
     got = queries.QUERIES[name](spark, SF_SMALL).toPandas()
