@@ -9,7 +9,8 @@ the system turn, the history and the longest turn (at least 1; then each turn st
 exceed the budget, which ``n_tokens`` shows). A window holds the system turn, the history (the latest earlier turns of at most
 ``history`` tokens), and its span. The loss mask covers the assistant texts of the span; repeated turns are masked.
 
-A conversation's turns meet in one task (its prefix sums and digests need them in order); nothing else is grouped.
+A conversation's turns meet in one task (its prefix sums and digests need them in order), where each looks ahead by at most
+``history`` tokens; the system turn is joined to the spans.
 """
 
 from __future__ import annotations
@@ -60,13 +61,17 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
            .withColumn("opens", F.min(F.when(~F.col("system"), F.col("before"))).over(Window.partitionBy("conv_id", "span"))))
     text = F.concat(F.lit(START), escape(F.col("role")), F.lit("\n"), escape(F.col("text")), F.lit(END))
     block = F.struct("i", text.alias("text"), F.length(escape(F.col("role"))).alias("head"), (F.col("role") == "assistant").alias("train"), "tokens", "system")
-    # the spans' openings, in order; a turn goes to its span and, as history, to those that open at most `history` tokens after its start
-    opens = F.array_sort(F.collect_set(F.when(F.col("opens").isNotNull(), F.struct("opens", "span"))).over(conv))
-    dealt = cut.select("conv_id", block.alias("turn"), "span", "before", "tokens", "system", opens.alias("all"))
-    to = F.when(F.col("system"), F.when(F.size("all") == 0, F.array(F.lit(0).cast("long"))).otherwise(F.col("all.span"))).otherwise(
-        F.transform(F.filter("all", lambda w: (w["span"] == F.col("span")) | ((w["opens"] > F.col("before")) & (w["opens"] - F.col("before") <= history))), lambda w: w["span"]))
-    placed = dealt.select("conv_id", F.explode(to).alias("window"), F.struct(
-        "turn.i", "turn.text", "turn.head", "turn.train", "turn.tokens", "turn.system", "span").alias("turn"))
+    # a turn goes to its span and, as history, to those that open at most `history` tokens after its start: turns have tokens, so these are few
+    opening = ~F.col("system") & (F.col("before") == F.col("opens"))
+    near = F.collect_list(F.when(opening, F.struct("before", "span"))).over(conv.orderBy("before").rangeBetween(Window.currentRow, history))
+    later = F.transform(F.filter("near", lambda w: (w["before"] > F.col("before")) & (w["span"] != F.col("span"))), lambda w: w["span"])
+    dealt = cut.select("conv_id", block.alias("turn"), "span", "system", opening.alias("opening"), near.alias("near"), "before")
+    flat = F.struct("turn.i", "turn.text", "turn.head", "turn.train", "turn.tokens", "turn.system", "span").alias("turn")
+    own = dealt.filter(~F.col("system")).select("conv_id", F.explode(F.concat(F.array("span"), later)).alias("window"), flat)
+    # the system turn goes to every span
+    spans = dealt.filter("opening").select(F.col("conv_id").alias("id__"), F.col("span").alias("window__"))
+    systems = dealt.filter("system").select("conv_id", flat).join(spans, F.col("conv_id").eqNullSafe(F.col("id__")), "left")
+    placed = own.unionByName(systems.select("conv_id", F.coalesce("window__", F.lit(0).cast("long")).alias("window"), "turn"))
     got = placed.groupBy("conv_id", "window").agg(F.array_sort(F.collect_list("turn")).alias("turns"))
     first = F.col("window") == F.min("window").over(conv)
     again = lambda t: F.when(t["system"], ~F.col("first")).otherwise(t["span"] != F.col("window"))

@@ -475,3 +475,14 @@ def test_chat_round_trip(spark):
             assert all(x["formatted"].startswith("<|turn|>system\n") for x in made.collect() if x["conv_id"] in range(0, 40, 3))
             assert all(x["n_tokens"] <= 2048 for x in made.collect())
     assert chat.read_back(chat.windows(table.limit(0))).count() == 0
+
+
+def test_chat_windows_of_a_long_conversation(spark):
+    rows = [(1, 0, "system", "be brief")] + [(1, k, ["user", "assistant"][k % 2], "a b c") for k in range(1, 4000)] + [(1, 4000, "user", "x" * 9000)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = chat.windows(table)
+    assert "collect_set" not in made._jdf.queryExecution().optimizedPlan().toString()  # no turn carries all spans
+    got = made.select("window", "n_repeated", F.size("loss").alias("loss")).collect()
+    assert len(got) == 4000 and sum(x["loss"] for x in got) == 2000
+    # turns of 1 + 3 + 4 tokens: 32 earlier ones fit into the history of 256, besides the system turn
+    assert Counter(x["n_repeated"] for x in got)[33] == 4000 - 32
