@@ -182,3 +182,16 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     done = token_edits.apply_edits(token_edits.with_trees(docs, ranks), ranks)
     return done.select("doc_id", "n_tokens_before", "n_tokens", "n_edits", "n_reencoded", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op11_sentencepiece")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from featurelake.llm import piece_codec
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    done = piece_codec.decode(piece_codec.encode(common.documents(spark, sf_dir).select("doc_id", "text"), model), model)
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
