@@ -195,3 +195,67 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op12_importance")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from featurelake.llm import importance
+
+    drawn = importance.resample(common.documents(spark, sf_dir), common.table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+_CRC = r"""
+t(i, c, k) AS (SELECT range, range, 0 FROM range(256) UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM t WHERE k < 8),
+tab AS MATERIALIZED (SELECT list(c ORDER BY i) AS v FROM t WHERE k = 8)"""
+SQL["op12_importance"] = rf"""
+WITH RECURSIVE {_CRC},
+d AS (SELECT 0 AS side, row_number() OVER () AS r, doc_id, text FROM documents UNION ALL SELECT 1, row_number() OVER (), NULL, text FROM benchmark),
+w AS (SELECT side, r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM d),
+f AS (SELECT side, r, unnest(ws) AS w FROM w),
+x AS (SELECT w, hex(encode(w)) AS h FROM (SELECT DISTINCT w FROM f)),
+y AS (SELECT w, [(instr('0123456789ABCDEF', h[i]) - 1) * 16 + instr('0123456789ABCDEF', h[i + 1]) - 1 FOR i IN range(1, len(h), 2)] AS b FROM x),
+z AS (SELECT w, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, b::BIGINT[]),
+        lambda a, e: xor(a >> 8, tab.v[(xor(a, e) & 255) + 1]))) % 10000 AS bucket FROM y, tab),
+n AS (SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t FROM f JOIN z USING (w) GROUP BY bucket),
+a AS (SELECT count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t FROM f),
+g AS (SELECT bucket, floor(1000 * ln(((n.t + 1)::DOUBLE * (a.s + 10000)::DOUBLE) / ((n.s + 1)::DOUBLE * (a.t + 10000)::DOUBLE)))::BIGINT AS g FROM n, a),
+m AS (SELECT r, sum(g)::BIGINT AS total FROM f JOIN z USING (w) JOIN g USING (bucket) WHERE side = 0 GROUP BY r),
+h AS (SELECT doc_id, len(ws)::BIGINT AS n, coalesce(total, 0) AS total,
+        ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT::DOUBLE AS h FROM w LEFT JOIN m USING (r) WHERE side = 0),
+k AS (SELECT doc_id, n, CASE WHEN n = 0 THEN 0 ELSE (total - ((total % n) + n) % n) // n END AS weight,
+        floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS noise FROM h),
+o AS (SELECT *, weight + noise AS score, row_number() OVER (PARTITION BY n >= 20 ORDER BY weight + noise DESC, doc_id NULLS FIRST, weight, n) AS rank FROM k)
+SELECT doc_id, n AS n_features, weight::BIGINT AS weight, score::BIGINT AS score,
+  CASE WHEN n >= 20 AND rank <= (SELECT 10 * count(*) // 100 FROM k WHERE n >= 20) THEN rank END AS rank FROM o
+"""
+
+
+@query("op13_centroids")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from featurelake.llm import centroids
+
+    return centroids.cluster(common.table(spark, sf_dir, "embeddings"))
+
+
+def _lloyd(rounds: int) -> str:
+    near = """a{i} AS MATERIALIZED (SELECT r, c, d FROM (SELECT r, c, d, row_number() OVER (PARTITION BY r ORDER BY d, c) AS k FROM (
+  SELECT r, c, list_sum([(v.p[j] - c{i}.p[j]) * (v.p[j] - c{i}.p[j]) FOR j IN range(1, 65)])::BIGINT AS d FROM v, c{i})) WHERE k = 1)"""
+    move = """c{n} AS MATERIALIZED (SELECT c, coalesce(m.p, c{i}.p) AS p FROM c{i} LEFT JOIN (
+  SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS p FROM (
+    SELECT c, j, sum(p[j])::BIGINT AS s, count(*) AS n FROM a{i} JOIN v USING (r), range(1, 65) AS o(j) GROUP BY c, j) GROUP BY c) m USING (c))"""
+    return ",\n".join([part.format(i=i, n=i + 1) for i in range(rounds) for part in (near, move)] + [near.format(i=rounds)])
+
+
+SQL["op13_centroids"] = rf"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS p FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = 64),
+c0 AS MATERIALIZED (SELECT (k - 1)::INT AS c, p FROM (SELECT p, row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), p) AS k FROM v) WHERE k <= 16),
+{_lloyd(3)},
+s AS (SELECT c, sum(d)::BIGINT AS d FROM a3 GROUP BY c)
+SELECT vec_id, c AS cluster, a3.d AS distance, s.d AS cluster_inertia, (SELECT sum(d)::BIGINT FROM a3) AS inertia,
+  sha256(array_to_string(c3.p, ',')) AS centroid_sha256
+FROM a3 JOIN v USING (r) JOIN c3 USING (c) JOIN s USING (c)
+"""
