@@ -27,8 +27,8 @@ from featurelake.llm.common import slices
 
 SPACE_MARK = "▁"
 #: Characters of cuttings, and compatible or incompatible pairs, that a Python worker remembers; beyond it starts anew.
-MEMORY_CHARS = 16_000_000
-MEMORY_PAIRS = 2_000_000
+MEMORY_CHARS = 4_000_000
+MEMORY_PAIRS = 400_000
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 _codecs: dict[str, Codec] = {}
 
@@ -240,7 +240,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     rows, stay as they are. NULL and empty texts: an empty array. No rows: no rows."""
     def work(batches: Iterator[pa.RecordBatch], coder: Codec, at: int, names: list[str]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, names[at]):
+            for part in slices(batch, names[at], 1 << 20):
                 ids, first = coder.encode(part.column(at).to_pylist())
                 said = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([*part.columns, said], names=names)
@@ -256,8 +256,8 @@ def decode(rows: DataFrame, model: str) -> DataFrame:
             sizes = batch.column(at).value_lengths().fill_null(0).to_numpy()
             ends = np.concatenate([[0], np.cumsum(sizes)])
             lo = 0
-            while lo < len(sizes):  # about a million ids at a time; a longer text stands alone
-                hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + (1 << 20), side="right")) - 1)
+            while lo < len(sizes):  # about 256,000 ids at a time; a longer text stands alone
+                hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + (1 << 18), side="right")) - 1)
                 part = batch.slice(lo, hi - lo)
                 ids = part.column(at).flatten()
                 if ids.null_count or (len(ids) and not 0 <= pa.compute.min(ids).as_py() <= pa.compute.max(ids).as_py() < len(coder.said)):
