@@ -2,11 +2,11 @@
 
 A ``FeatureView`` names a keyed, time-stamped source frame with a TTL. Retrieval:
 
-* ``point_in_time_join`` (J1): for each entity row the newest feature row with
-  ``t - ttl <= event_ts <= t`` (ties by ``created``). Built as one union + one
-  window partitioned by key *and* time bucket, plus one carry row per entity
-  bucket from a small per-key running ``last``; hot keys get finer buckets.
-  Feature rows are never copied and no pairs are ever formed.
+* ``point_in_time_views`` (J1, J4): for each entity row the newest row of every view of one key with
+  ``t - ttl <= event_ts <= t`` (ties by ``created``). One union of all views' rows and the entity rows, one window
+  partitioned by key *and* time bucket with a ``last`` per view, plus one carry row per entity bucket from a prefix
+  scan in levels; hot keys get finer buckets. Feature rows are never copied, no pairs are ever formed, and no window
+  partition holds a whole key. ``point_in_time_join`` is the case of one view.
 * ``latest_per_key`` (W2) with partial aggregation for batch scoring,
   materialisation and pushes.
 * ``online_lookup`` (J3): a left join of request rows with the online table.
@@ -17,7 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import timedelta
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -146,109 +146,126 @@ def _micros(c: Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
-def point_in_time_join(entities: DataFrame, source: DataFrame, view: FeatureView,
-                       features: tuple[str, ...] | None = None, entity_ts: str = "event_timestamp",
-                       buckets_per_ttl: int = 4, full_names: bool = False,
-                       hot_rows: int | None = 2_000_000, bucket_width=None) -> DataFrame:
-    """Leakage-free as-of left join with TTL. Keeps every entity row exactly once.
-
-    Time is cut into buckets (TTL/k with k = ``buckets_per_ttl``, or
-    ``bucket_width`` when there is no TTL). The newest feature row at or before
-    an entity time t is either in t's own bucket or is the newest row of all
-    earlier buckets of that key. So:
-
-    1. ``newest``: the newest feature row per non-empty (key, bucket), a
-       partial ``max_by`` aggregate;
-    2. ``carry``: for each distinct entity (key, bucket), the newest row of all
-       earlier buckets, from one running ``last`` over the small per-key table
-       of ``newest`` rows and entity-bucket markers (one carry row per entity
-       bucket, never a copy per bucket in reach);
-    3. the main window over (key, bucket): own feature rows, the carry row and
-       the entity rows, ``last(ignorenulls)`` ordered by (time, side, created),
-       then the TTL check (``t - ttl <= ts <= t``).
-
-    Feature rows are never copied. A key with more than ``hot_rows`` rows on either side gets
-    m = ceil(rows / hot_rows) times finer buckets,
-    so a key holding a third of all rows is spread over many window
-    partitions, whichever side it is hot on; the hot-key table (a partial count) has at most
-    rows/hot_rows entries and AQE broadcasts it when small. ``hot_rows`` changes the partitions only, never a row
-    of the result. NULL keys match nothing; their entity rows are dealt out by content.
+#: Buckets that one window partition of the prefix scan takes together.
+FAN_OUT = 512
+SCAN_LEVELS = 2
+
+
+def _block(pos: Column, fan_out: int) -> Column:
+    """floor(pos / fan_out) in whole numbers."""
+    return ((pos - F.pmod(pos, F.lit(fan_out))) / fan_out).cast("bigint")
+
+
+def carried_in(summary: DataFrame, keys: list[str], newest: list[str], fan_out: int = FAN_OUT, levels: int = SCAN_LEVELS) -> DataFrame:
+    """For each asked (key, __pos) of ``summary`` the last non-NULL value of every column of ``newest`` at smaller positions.
+
+    ``summary`` has one row per (key, __pos) with ``__asked`` and the ``newest`` columns. A prefix scan in levels: positions are
+    folded into blocks of ``fan_out``, blocks into blocks of blocks (partial ``max_by`` aggregates), a running ``last`` goes over the
+    topmost blocks of a key, and what each block has before it enters the window over its own positions as a first row. So
+    no window partition holds more than ``fan_out`` + 1 rows below the top, nor more than a key's positions / fan_out^(levels - 1) there.
     """
-    features = tuple(features or view.features)
-    keys = list(view.keys)
-    ts, created = view.timestamp_field, view.created_field
+    steps = [summary.select(*keys, "__pos", "__asked", *newest)]
+    for _ in range(max(1, levels) - 1):
+        held = [F.max_by(n, F.when(F.col(n).isNotNull(), F.col("__in"))).alias(n) for n in newest]
+        steps.append(steps[-1].withColumnRenamed("__pos", "__in").groupBy(*keys, _block(F.col("__in"), fan_out).alias("__pos"))
+                     .agg(F.max("__asked").alias("__asked"), *held))
+
+    def before(rows: DataFrame, within: list[str], order: list[str]) -> DataFrame:
+        w = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.select(*[c for c in rows.columns if c not in newest], *[F.last(n, ignorenulls=True).over(w).alias(n) for n in newest])
+
+    carry = before(steps[-1], keys, ["__pos"]).filter("__asked").drop("__asked")
+    for step in reversed(steps[:-1]):
+        opening = carry.select(*keys, F.col("__pos").alias("__block"), F.lit(None).cast("bigint").alias("__pos"), F.lit(False).alias("__asked"), *newest)
+        rows = step.withColumn("__block", _block(F.col("__pos"), fan_out)).unionByName(opening)
+        carry = before(rows, [*keys, "__block"], ["__pos"]).filter("__asked").drop("__asked", "__block")
+    return carry.filter(reduce(or_, [F.col(n).isNotNull() for n in newest]))
+
+
+def point_in_time_views(entities: DataFrame, sources: dict[str, DataFrame], wanted: list[tuple[FeatureView, tuple[str, ...]]],
+                        entity_ts: str = "event_timestamp", buckets_per_ttl: int = 4, full_names: bool = False,
+                        hot_rows: int | None = 2_000_000, bucket_width=None) -> DataFrame:
+    """Leakage-free as-of left join with TTL of several views of one key. Keeps every entity row exactly once.
+
+    Time is cut into buckets (the smallest TTL/k with k = ``buckets_per_ttl``, or ``bucket_width`` when no view has a TTL). The
+    newest row of a view at or before an entity time t is either in t's own bucket or is the newest row of all earlier
+    buckets of that key. So:
+
+    1. one partial aggregate gives the newest row of each view per non-empty (key, bucket), and whether entity rows lie there;
+    2. ``carried_in`` gives each bucket with entity rows the newest row of every view in all earlier buckets of the key;
+    3. the main window over (key, bucket): own feature rows, the carry row and the entity rows, ``last(ignorenulls)`` per view ordered by
+       (time, side, created), then each view's TTL check (``t - ttl <= ts <= t``).
+
+    The entity frame is shuffled once, however many views there are. A key with more than ``hot_rows`` rows on either side
+    gets m = ceil(rows / hot_rows) times finer buckets, so a key holding a third of all rows is spread over many window partitions.
+    The table of such keys has at most rows / hot_rows entries (a few hundred thousand small rows for 10^12 rows), which is why it may be
+    broadcast. ``hot_rows`` changes the partitions only, never a row of the result. NULL keys match nothing; their entity
+    rows are dealt out by content. Feature rows without a time are never met.
+    """
+    keys = list(wanted[0][0].keys)
+    if any(list(v.keys) != keys for v, _ in wanted):
+        raise ValueError("views of different keys")
     ent_cols = entities.columns
-    t_ent = F.col(entity_ts).cast("timestamp_ntz")
-    created_c = F.col(created).cast("timestamp_ntz") if created else F.lit(None).cast("timestamp_ntz")
-
-    if view.ttl is not None:
-        base = max(1, int(view.ttl / timedelta(microseconds=1)) // max(1, int(buckets_per_ttl)))
-    else:
-        base = max(1, int((bucket_width or timedelta(days=1)) / timedelta(microseconds=1)))
-
-    for c in keys:
-        source = source.filter(F.col(c).isNotNull())
-    feat = source.select(*[F.col(c) for c in keys], F.col(ts).cast("timestamp_ntz").alias("__t"),
-                         created_c.alias("__created"),
-                         F.struct(F.col(ts).cast("timestamp_ntz").alias("__ts"),
-                                  *[F.col(f).alias(f) for f in features]).alias("__f"))
-    ents = entities
+    ttls = [v.ttl for v, _ in wanted if v.ttl is not None]
+    base = max(1, int(min(ttls) / timedelta(microseconds=1)) // max(1, int(buckets_per_ttl))) if ttls else \
+        max(1, int((bucket_width or timedelta(days=1)) / timedelta(microseconds=1)))
+    known = [F.col(c).isNotNull() for c in keys]
+    slots = [f"__f{i}" for i in range(len(wanted))]
+
+    entity_kind = entities.select(F.struct(*[F.col(c) for c in ent_cols]).alias("e")).schema["e"].dataType
+    held = [sources[v.name].select(F.struct(F.col(v.timestamp_field).cast("timestamp_ntz").alias("__ts"), *[F.col(f) for f in fs]).alias("f"))
+            .schema["f"].dataType for v, fs in wanted]
+
+    def side(frame: DataFrame, t: Column, created: Column, number: int, values: dict) -> DataFrame:
+        return frame.select(*keys, t.alias("__t"), F.lit(number).alias("__side"), created.alias("__created"),
+                            *[values.get(n, F.lit(None).cast(kind)).alias(n) for n, kind in [("__e", entity_kind), *zip(slots, held)]])
+
+    parts = [side(entities, F.col(entity_ts).cast("timestamp_ntz"), F.lit(None).cast("timestamp_ntz"), _SIDE_ENTITY,
+                  {"__e": F.struct(*[F.col(c) for c in ent_cols])})]
+    for slot, (v, fs) in zip(slots, wanted):
+        t = F.col(v.timestamp_field).cast("timestamp_ntz")
+        created = F.col(v.created_field).cast("timestamp_ntz") if v.created_field else F.lit(None).cast("timestamp_ntz")
+        parts.append(side(sources[v.name].filter(reduce(and_, [*known, t.isNotNull()])), t, created, _SIDE_FEATURE,
+                          {slot: F.struct(t.alias("__ts"), *[F.col(f) for f in fs])}))
+    rows = reduce(DataFrame.unionAll, parts)
+
+    width = F.lit(base)
     if hot_rows:
-        sides = (source.select(*keys, F.lit(1).alias("__fr"), F.lit(0).alias("__er"))
-                 .unionAll(entities.select(*keys, F.lit(0), F.lit(1))))
-        hot = (sides.groupBy(*keys).agg(F.greatest(F.sum("__fr"), F.sum("__er")).alias("__n"))
-               .filter(F.col("__n") > hot_rows)
+        tall = [F.count_if(F.col("__side") == n) for n in (_SIDE_FEATURE, _SIDE_ENTITY)]
+        hot = (rows.filter(reduce(and_, known)).groupBy(*keys).agg(F.greatest(*tall).alias("__n")).filter(F.col("__n") > hot_rows)
                .select(*keys, F.ceil(F.col("__n") / F.lit(hot_rows)).cast("bigint").alias("__m")))
-        feat = feat.join(hot, keys, "left")
-        ents = ents.join(hot, keys, "left")
-    else:
-        feat = feat.withColumn("__m", F.lit(None).cast("bigint"))
-        ents = ents.withColumn("__m", F.lit(None).cast("bigint"))
-    width = F.greatest(F.floor(F.lit(base) / F.coalesce(F.col("__m"), F.lit(1).cast("bigint"))), F.lit(1))
-    feat = feat.withColumn("__b", F.floor(_micros(F.col("__t")) / width).cast("bigint")).drop("__m")
-    ents = ents.withColumn("__b", F.floor(_micros(t_ent) / width).cast("bigint")).drop("__m")
+        rows = rows.join(F.broadcast(hot), keys, "left")
+        width = F.greatest(F.floor(F.lit(base) / F.coalesce(F.col("__m"), F.lit(1).cast("bigint"))), F.lit(1))
     # entity rows of a NULL key meet no feature rows: dealt out by their content, not into one window partition
-    lost = reduce(or_, [F.col(c).isNull() for c in keys])
-    ents = ents.withColumn("__b", F.when(lost, F.xxhash64(*[F.col(c) for c in ent_cols])).otherwise(F.col("__b")))
-
-    # 1. newest feature row per non-empty (key, bucket)
-    newest = feat.groupBy(*keys, "__b").agg(
-        F.max_by(F.struct("__t", "__created", "__f"), F.struct("__t", "__created")).alias("__n"))
-    # 2. one carry row per entity bucket: newest row of all earlier buckets of the key
-    markers = ents.select(*keys, "__b").distinct()
-    n_type = newest.schema["__n"].dataType
-    summary = (newest.select(*keys, "__b", F.lit(1).alias("__s"), "__n")
-               .unionByName(markers.select(*keys, "__b", F.lit(0).alias("__s"), F.lit(None).cast(n_type).alias("__n"))))
-    ws = (Window.partitionBy(*keys).orderBy("__b", "__s")
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carry = (summary.select(*keys, "__b", "__s", F.last("__n", ignorenulls=True).over(ws).alias("__c"))
-             .filter((F.col("__s") == 0) & F.col("__c").isNotNull())
-             .select(*keys, "__b", F.col("__c.__t").alias("__t"), F.col("__c.__created").alias("__created"),
-                     F.col("__c.__f").alias("__f")))
-    feat_rows = feat.select(*keys, "__t", "__created", "__f", "__b").unionByName(carry)
-
-    # 3. main window per (key, bucket)
-    e_type = entities.select(F.struct(*[F.col(c) for c in ent_cols]).alias("e")).schema["e"].dataType
-    f_rows = feat_rows.select(*keys, "__t", F.lit(_SIDE_FEATURE).alias("__side"), "__created",
-                              F.lit(None).cast(e_type).alias("__e"), "__f", "__b")
-    e_rows = ents.select(*[F.col(c) for c in keys], t_ent.alias("__t"),
-                         F.lit(_SIDE_ENTITY).alias("__side"), F.lit(None).cast("timestamp_ntz").alias("__created"),
-                         F.struct(*[F.col(c) for c in ent_cols]).alias("__e"),
-                         F.lit(None).cast(feat.schema["__f"].dataType).alias("__f"), "__b")
-    both = f_rows.unionByName(e_rows)
-    w = (Window.partitionBy(*keys, "__b").orderBy("__t", "__side", "__created")
+    place = F.when(reduce(and_, known), F.floor(_micros(F.col("__t")) / width)).otherwise(F.xxhash64("__e")).cast("bigint")
+    rows = rows.withColumn("__pos", place).drop("__m")
+
+    at = F.struct("__t", "__created")
+    summary = rows.filter(reduce(and_, known) & F.col("__pos").isNotNull()).groupBy(*keys, "__pos").agg(
+        F.max(F.col("__side") == _SIDE_ENTITY).alias("__asked"),
+        *[F.max_by(n, F.when(F.col(n).isNotNull(), at)).alias(n) for n in slots])
+    carry = carried_in(summary, keys, slots).select(
+        *keys, F.lit(None).cast("timestamp_ntz").alias("__t"), F.lit(_SIDE_FEATURE).alias("__side"), F.lit(None).cast("timestamp_ntz").alias("__created"),
+        F.lit(None).cast(entity_kind).alias("__e"), *slots, "__pos")
+
+    w = (Window.partitionBy(*keys, "__pos").orderBy("__t", "__side", "__created")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hit = F.last("__f", ignorenulls=True).over(w)
-    joined = both.select("__side", "__t", "__e", hit.alias("__hit")).filter(F.col("__side") == _SIDE_ENTITY)
-    if view.ttl is not None:
-        fresh = F.col("__hit.__ts") >= F.col("__t") - F.lit(view.ttl)
-    else:
-        fresh = F.col("__hit.__ts").isNotNull()
-    for c in keys:  # a window takes NULL keys for equal; a NULL key matches nothing
-        fresh = fresh & F.col(f"__e.{c}").isNotNull()
-    out_name = (lambda f: f"{view.name}__{f}") if full_names else (lambda f: f)
-    return joined.select(*[F.col("__e." + c).alias(c) for c in ent_cols],
-                         *[F.when(fresh, F.col("__hit." + f)).alias(out_name(f)) for f in features])
+    met = rows.unionByName(carry).select("__side", "__t", "__e", *[F.last(n, ignorenulls=True).over(w).alias(n) for n in slots])
+    met = met.filter(F.col("__side") == _SIDE_ENTITY)
+    out = [F.col("__e." + c).alias(c) for c in ent_cols]
+    for slot, (v, fs) in zip(slots, wanted):
+        fresh = F.col(f"{slot}.__ts") >= F.col("__t") - F.lit(v.ttl) if v.ttl is not None else F.col("__t").isNotNull()
+        out += [F.when(fresh, F.col(f"{slot}.{f}")).alias(f"{v.name}__{f}" if full_names else f) for f in fs]
+    return met.select(*out)
+
+
+def point_in_time_join(entities: DataFrame, source: DataFrame, view: FeatureView,
+                       features: tuple[str, ...] | None = None, entity_ts: str = "event_timestamp",
+                       buckets_per_ttl: int = 4, full_names: bool = False,
+                       hot_rows: int | None = 2_000_000, bucket_width=None) -> DataFrame:
+    """``point_in_time_views`` for one view."""
+    return point_in_time_views(entities, {view.name: source}, [(view, tuple(features or view.features))], entity_ts,
+                               buckets_per_ttl, full_names, hot_rows, bucket_width)
 
 
 def latest_per_key(source: DataFrame, view: FeatureView, start=None, end=None) -> DataFrame:
@@ -324,99 +341,100 @@ def apply_on_demand(df: DataFrame, odfv: OnDemandView, fields: tuple[str, ...] |
     return df.select("*", *[cols[f].alias(f) for f in fields])
 
 
+def _refs(items: tuple) -> list:
+    """Views stand for all their fields."""
+    whole = lambda it: it.select(*it.features) if isinstance(it, FeatureView) else it.select(*it.outputs)
+    return [whole(it) if isinstance(it, (FeatureView, OnDemandView)) else it for it in items]
+
+
+def _resolved(items: tuple) -> tuple[dict[str, tuple[FeatureView, list[str]]], list[tuple[OnDemandView, tuple[str, ...]]]]:
+    """The views to read, each with its fields (also those that only on-demand views need), and the on-demand views."""
+    needed: dict[str, tuple[FeatureView, list[str]]] = {}
+    od: list[tuple[OnDemandView, tuple[str, ...]]] = []
+    for ref in _refs(items):
+        reads = [(ref.view, ref.fields)]
+        if isinstance(ref, OnDemandRef):
+            od.append((ref.view, ref.fields))
+            reads = [(s, s.features) for s in ref.view.sources if isinstance(s, FeatureView)]
+        for v, fields in reads:
+            fs = needed.setdefault(v.name, (v, []))[1]
+            fs += [f for f in fields if f not in fs]
+    return needed, od
+
+
+def _checked_requests(rows: DataFrame, od: list[tuple[OnDemandView, tuple[str, ...]]]) -> DataFrame:
+    """The caller's frame carries what the on-demand views read, in the declared types."""
+    for odfv, _ in od:
+        missing = [s for s in odfv.sources if isinstance(s, str) and s not in rows.columns]
+        if missing:
+            raise ValueError(f"{odfv.name} misses request columns {missing}")
+        for s in odfv.sources:
+            if isinstance(s, RequestSource):
+                rows = s.check(rows)
+    return rows
+
+
+def _on_demand(out: DataFrame, od: list, full_names: bool) -> DataFrame:
+    """Add the on-demand columns; their code reads plain field names, also where the frame holds ``<view>__<field>``."""
+    for odfv, fs in od:
+        if not full_names:
+            out = apply_on_demand(out, odfv, fs)
+            continue
+        before = out.columns
+        plain = {f: F.col(f"{s.name}__{f}") for s in odfv.sources if isinstance(s, FeatureView) for f in s.features}
+        out = out.select("*", *[c.alias(f) for f, c in plain.items() if f not in before])
+        out = apply_on_demand(out, odfv, fs).select(*before, *fs)
+    return out
+
+
 def historical_features(entities: DataFrame, sources: dict, items: tuple, entity_ts: str = "event_timestamp",
                         buckets_per_ttl: int = 4, full_names: bool = False) -> DataFrame:
     """Assemble views and on-demand views for an entity frame (training set).
 
-    ``sources`` maps a view name to its source frame. Views are retrieved with
-    J1 one after another on the same key; on-demand views are computed last. The
-    on-demand inputs that are not requested are fetched and dropped again.
+    ``sources`` maps a view name to its source frame. All views of one key are retrieved in one pass
+    (``point_in_time_views``), so the entity frame is shuffled once per key, not per view; on-demand views are computed
+    last, after their request sources have cast and checked the entity frame. The on-demand inputs that are not
+    requested are fetched and dropped again.
     ``full_names=True`` names view fields ``<view>__<field>`` so that views sharing
     field names can be combined (on-demand views then read the prefixed names).
     """
-    out = entities
+    needed, od = _resolved(items)
+    out = _checked_requests(entities, od)
     wanted: list[str] = list(entities.columns)
-    needed: dict[str, tuple[FeatureView, list[str]]] = {}
-    od: list[tuple[OnDemandView, tuple[str, ...]]] = []
-    for it in items:
-        if isinstance(it, FeatureView):
-            it = it.select(*it.features)
-        if isinstance(it, OnDemandView):
-            it = it.select(*it.outputs)
-        if isinstance(it, FeatureRef):
-            v, fs = needed.get(it.view.name, (it.view, []))
-            needed[it.view.name] = (v, fs + [f for f in it.fields if f not in fs])
-            wanted += [f"{it.view.name}__{f}" if full_names else f for f in it.fields]
-        elif isinstance(it, OnDemandRef):
-            od.append((it.view, it.fields))
-            wanted += list(it.fields)
-            for s in it.view.sources:
-                if isinstance(s, FeatureView):
-                    v, fs = needed.get(s.name, (s, []))
-                    needed[s.name] = (v, fs + [f for f in s.features if f not in fs])
+    for ref in _refs(items):
+        wanted += [f"{ref.view.name}__{f}" if full_names and isinstance(ref, FeatureRef) else f for f in ref.fields]
     clash = [n for n in set(wanted) if wanted.count(n) > 1]
     if clash:
         raise ValueError(f"feature names clash: {sorted(clash)}")
-    for vname, (view, fs) in needed.items():
-        out = point_in_time_join(out, sources[vname], view, tuple(fs), entity_ts, buckets_per_ttl,
-                                 full_names=full_names)
-    for odfv, fs in od:
-        if full_names:  # on-demand code reads plain field names of its source view
-            src = next(s_ for s_ in odfv.sources if isinstance(s_, FeatureView))
-            plain = out.select("*", *[F.col(f"{src.name}__{f}").alias(f) for f in src.features
-                                      if f"{src.name}__{f}" in out.columns and f not in out.columns])
-            out = apply_on_demand(plain, odfv, fs).drop(*[f for f in src.features if f not in out.columns])
-        else:
-            out = apply_on_demand(out, odfv, fs)
+    by_key: dict[tuple[str, ...], list] = {}
+    for view, fs in needed.values():
+        by_key.setdefault(tuple(view.keys), []).append((view, tuple(fs)))
+    for group in by_key.values():
+        out = point_in_time_views(out, sources, group, entity_ts, buckets_per_ttl, full_names=full_names)
+    out = _on_demand(out, od, full_names)
     return out.select(*wanted)
 
 
-def online_features(entity_rows: DataFrame, online: dict, items: tuple) -> DataFrame:
+def online_features(entity_rows: DataFrame, online: dict, items: tuple, full_names: bool = False) -> DataFrame:
     """J3 + J4 for serving: look up view fields in online tables, then on-demand fields.
 
     ``online`` maps a view name to its online table (one row per key). Returned
-    feature columns are sorted by name, after the request columns (L5).
+    feature columns are sorted by name, after the request columns (L5). Views that share field names need
+    ``full_names``: view fields are then called ``<view>__<field>``. Request sources cast and check the request rows first (S4).
     """
-    out = entity_rows
-    wanted: list[str] = []
-    needed: dict[str, tuple[FeatureView, list[str]]] = {}
-    od: list[tuple[OnDemandView, tuple[str, ...]]] = []
-    for it in items:
-        if isinstance(it, FeatureView):
-            it = it.select(*it.features)
-        if isinstance(it, OnDemandView):
-            it = it.select(*it.outputs)
-        if isinstance(it, FeatureRef):
-            v, fs = needed.get(it.view.name, (it.view, []))
-            needed[it.view.name] = (v, fs + [f for f in it.fields if f not in fs])
-            wanted += list(it.fields)
-        else:
-            od.append((it.view, it.fields))
-            wanted += list(it.fields)
-            for s in it.view.sources:
-                if isinstance(s, FeatureView):
-                    v, fs = needed.get(s.name, (s, []))
-                    needed[s.name] = (v, fs + [f for f in s.features if f not in fs])
-    clash = sorted({n for n in wanted if wanted.count(n) > 1 or n in entity_rows.columns})
-    owners: dict[str, set[str]] = {}
-    for vname, (_, fs) in needed.items():
-        for f in fs:
-            owners.setdefault(f, set()).add(vname)
-    clash += [f for f, v in owners.items() if len(v) > 1 and f not in clash]
+    needed, od = _resolved(items)
+    out = _checked_requests(entity_rows, od)
+    name = lambda v, f: f"{v.name}__{f}" if full_names else f
+    wanted = [name(r.view, f) if isinstance(r, FeatureRef) else f for r in _refs(items) for f in r.fields]
+    fetched = [name(v, f) for v, fs in needed.values() for f in fs]
+    clash = sorted({n for n in wanted if wanted.count(n) > 1 or n in entity_rows.columns} | {n for n in fetched if fetched.count(n) > 1})
     if clash:
         raise ValueError(f"feature names clash: {clash}")
-    for odfv, _ in od:  # S4: the request carries what the on-demand views read
-        missing = [s for s in odfv.sources if isinstance(s, str) and s not in entity_rows.columns]
-        if missing:
-            raise ValueError(f"{odfv.name} misses request columns {missing}")
-        for s in odfv.sources:
-            if isinstance(s, RequestSource):
-                out = s.check(out)
     for vname, (view, fs) in needed.items():
-        out = online_lookup(out, online[vname], view, tuple(fs))
-    for odfv, fs in od:
-        out = apply_on_demand(out, odfv, fs)
-    return out.select(*entity_rows.columns, *sorted(dict.fromkeys(wanted)))
+        table = online[vname].select(*view.keys, *[F.col(f).alias(name(view, f)) for f in fs])
+        out = out.join(table, list(view.keys), "left").select(*out.columns, *[name(view, f) for f in fs])
+    out = _on_demand(out, od, full_names)
+    return out.select(*entity_rows.columns, *sorted(wanted))
 
 
 def log_served(served: DataFrame, service: str, served_at, path: str) -> None:

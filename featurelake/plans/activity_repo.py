@@ -1,45 +1,46 @@
-"""Example feature definitions: hourly activity of the members in ``events``.
+"""Example declarations over ``events``: what a member did in the last hour, spent in a day, and last signalled.
 
-These are user-level declarations (entity, views, on-demand views, services),
-bound to the stand-in source frames of ``featurelake.sources.fixtures``.
+The frames come from ``featurelake.sources.fixtures`` (``user_activity``, ``daily_spend``, ``member_signals``).
 """
 
 from __future__ import annotations
 
 from datetime import timedelta
 
-from featurelake.operators.views import Entity, FeatureService, FeatureView, OnDemandView
+from pyspark.sql import types as T
+
+from featurelake.operators.views import Entity, FeatureService, FeatureView, OnDemandView, RequestSource
 
 MEMBER = Entity("member", ("member_id",))
 
-STATS = FeatureView(
-    name="user_activity", entity=MEMBER, features=("purchase_share", "ok_share", "n_events"),
-    ttl=timedelta(days=1), tags={"team": "growth"},
-    descriptions={"n_events": "Events of the hour"})
+#: Hourly shares, stale after half a day.
+PACE = FeatureView("pace", MEMBER, ("purchase_share", "ok_share", "n_events"), ttl=timedelta(hours=12),
+                   descriptions={"n_events": "events in the hour", "ok_share": "share of events without an error"})
+
+#: Daily purchases, good for a week; made by another team under other names.
+SPEND = FeatureView("spend", MEMBER, ("best_value", "n_purchases"), ttl=timedelta(days=7),
+                    tags={"owner": "billing", "grain": "day"})
+
+#: Single signals as they are pushed; the last one holds until the next.
+SIGNALS = FeatureView("signals", MEMBER, ("kind", "strength"), ttl=None, tags={"owner": "growth"})
 
-STATS_FRESH = FeatureView(
-    name="user_activity_pushed", entity=MEMBER, features=("purchase_share", "ok_share", "n_events"),
-    ttl=timedelta(days=1), tags={"team": "growth"})
+CALL = RequestSource("call", T.StructType([T.StructField("horizon_days", T.DoubleType()), T.StructField("target_events", T.LongType())]))
 
 
-def _with_bonus(c):
-    return {"share_with_bonus": c("purchase_share") * 100 + c("bonus"),
-            "share_with_extra": c("purchase_share") * 100 - c("extra")}
+def _outlook(c):
+    return {"expected_value": c("best_value") * c("n_purchases") * c("horizon_days")}
 
 
-TRANSFORMED = OnDemandView("boosted_share", (STATS, "bonus", "extra"),
-                           ("share_with_bonus", "share_with_extra"), _with_bonus)
-TRANSFORMED_FRESH = OnDemandView("boosted_share_pushed", (STATS_FRESH, "bonus", "extra"),
-                                 ("share_with_bonus", "share_with_extra"), _with_bonus)
+def _gap(c):
+    return {"events_missing": c("target_events") - c("n_events"), "pace_ratio": c("n_events") / (c("target_events") + 1)}
 
-ACTIVITY_V1 = FeatureService("activity_service_v1", (STATS.select("purchase_share"), TRANSFORMED))
-ACTIVITY_V2 = FeatureService("activity_service_v2", (STATS, TRANSFORMED))
-ACTIVITY_V3 = FeatureService("activity_service_v3", (STATS_FRESH, TRANSFORMED_FRESH))
 
-VIEWS = {v.name: v for v in (STATS, STATS_FRESH, TRANSFORMED, TRANSFORMED_FRESH)}
+OUTLOOK = OnDemandView("outlook", (SPEND, CALL), ("expected_value",), _outlook)
+GAP = OnDemandView("gap", (PACE, CALL), ("events_missing", "pace_ratio"), _gap)
 
-TRAINING_REFS = ["user_activity:purchase_share", "user_activity:ok_share",
-                 "user_activity:n_events", "boosted_share:share_with_bonus",
-                 "boosted_share:share_with_extra"]
-ONLINE_REFS = ["user_activity:ok_share", "boosted_share:share_with_bonus",
-               "boosted_share:share_with_extra"]
+SERVICES = {s.name: s for s in (
+    FeatureService("ranking", (PACE.select("n_events"), GAP)),
+    FeatureService("account_review", (SPEND, PACE.select("ok_share", "purchase_share"), OUTLOOK, GAP.select("events_missing"))),
+    FeatureService("live_call", (SIGNALS.select("kind"), PACE.select("ok_share"), GAP.select("pace_ratio"))),
+)}
+VIEWS = {v.name: v for v in (PACE, SPEND, SIGNALS, OUTLOOK, GAP)}

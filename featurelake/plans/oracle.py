@@ -123,25 +123,51 @@ STATS = """(SELECT member_id, event_timestamp, event_timestamp AS created, p / n
          count(*) FILTER (WHERE event_type = 'error') AS e
        FROM events GROUP BY 1, 2))"""
 
+SPEND = """(SELECT user_id AS member_id, date_trunc('day', ts) + INTERVAL 1 DAY AS event_timestamp, event_timestamp AS created,
+   max(value) AS best_value, count(*)::BIGINT AS n_purchases FROM events WHERE event_type = 'purchase' GROUP BY 1, 2)"""
+
+
+def _signals(*kinds: str) -> str:
+    return f"""(SELECT user_id AS member_id, ts AS event_timestamp, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(event_id) AS created,
+   event_type AS kind, value AS strength FROM events WHERE event_type IN {(*kinds, '')})"""
+
+
+SIGNALS, PUSHED = _signals("click", "error"), _signals("signup")
+
 ENTITIES = """(SELECT event_id AS request_id, user_id AS member_id, ts AS event_timestamp, value AS label,
-   CAST(event_id % 10 AS BIGINT) AS bonus, CAST(event_id % 100 AS BIGINT) AS extra
+   CAST(event_id % 10 AS {days}) AS horizon_days, CAST(event_id % 100 AS BIGINT) AS target_events
  FROM events WHERE event_type = 'purchase')"""
 
-PIT = f"""(SELECT ent.*,
-   CASE WHEN s.event_timestamp >= ent.event_timestamp - INTERVAL 1 DAY THEN s.purchase_share END AS purchase_share,
-   CASE WHEN s.event_timestamp >= ent.event_timestamp - INTERVAL 1 DAY THEN s.ok_share END AS ok_share,
-   CASE WHEN s.event_timestamp >= ent.event_timestamp - INTERVAL 1 DAY THEN s.n_events END AS n_events
- FROM {ENTITIES} ent ASOF LEFT JOIN {STATS} s
-   ON ent.member_id = s.member_id AND ent.event_timestamp >= s.event_timestamp)"""
 
-SQL["pit_training_set"] = f"SELECT * FROM {PIT}"
+def _pit(days: str, *views: tuple[str, str, str | None]) -> str:
+    """Entity rows with each view's fields; the last of a view's rows by (event_timestamp, created) wins."""
+    sql, plain = f"SELECT * FROM {ENTITIES.format(days=days)}", "request_id"
+    for fields, source, ttl in views:
+        fresh = f"s.event_timestamp >= e.event_timestamp - INTERVAL {ttl}" if ttl else "s.event_timestamp IS NOT NULL"
+        named = ", ".join(f"CASE WHEN {fresh} THEN s.{f} END AS {f}" for f in fields.split(", "))
+        last = f"(SELECT * FROM {source} QUALIFY row_number() OVER (PARTITION BY member_id, event_timestamp ORDER BY created DESC) = 1)"
+        sql = f"""SELECT e.*, {named} FROM ({sql}) e ASOF LEFT JOIN {last} s
+          ON e.member_id = s.member_id AND e.event_timestamp >= s.event_timestamp"""
+    return f"({sql})"
+
+
+_PACE = ("purchase_share, ok_share, n_events", STATS, "12 HOUR")
+_SPEND = ("best_value, n_purchases", SPEND, "7 DAY")
+_REQUEST = "request_id, member_id, event_timestamp, label, horizon_days, target_events"
+_EXPECTED = "best_value * n_purchases * horizon_days AS expected_value"
+_MISSING = "CAST(target_events - n_events AS DOUBLE) AS events_missing"
+
+SQL["pit_training_set"] = f"SELECT * FROM {_pit('BIGINT', _PACE)}"
+
+SQL["on_demand"] = f"SELECT {_REQUEST}, n_purchases, best_value, {_EXPECTED} FROM {_pit('DOUBLE', _SPEND)}"
 
-SQL["on_demand"] = f"""SELECT *, CAST(purchase_share * 100 + bonus AS DOUBLE) AS share_with_bonus,
-  CAST(purchase_share * 100 - extra AS DOUBLE) AS share_with_extra FROM {PIT}"""
+SQL["pit_many_views"] = f"SELECT * FROM {_pit('BIGINT', _PACE, _SPEND, ('kind, strength', SIGNALS, None))}"
 
-SQL["feature_service_v1"] = f"""SELECT request_id, member_id, event_timestamp, label, bonus, extra,
-  purchase_share, CAST(purchase_share * 100 + bonus AS DOUBLE) AS share_with_bonus,
-  CAST(purchase_share * 100 - extra AS DOUBLE) AS share_with_extra FROM {PIT}"""
+SQL["feature_service_v1"] = f"""SELECT {_REQUEST}, n_events, {_MISSING}, n_events / (target_events + 1) AS pace_ratio
+FROM {_pit('DOUBLE', _PACE)}"""
+
+SQL["feature_service_v2"] = f"""SELECT {_REQUEST}, best_value, n_purchases, ok_share, purchase_share, {_EXPECTED}, {_MISSING}
+FROM {_pit('DOUBLE', _SPEND, _PACE)}"""
 
 
 def _latest_stats(where: str, src: str = STATS) -> str:
@@ -151,26 +177,26 @@ def _latest_stats(where: str, src: str = STATS) -> str:
 
 SQL["batch_scoring_features"] = f"""
 SELECT ent.request_id, ent.member_id, TIMESTAMP '2024-01-30 12:00:00' AS event_timestamp, ent.label,
-  ent.bonus, ent.extra, l.purchase_share, l.ok_share, l.n_events
-FROM {ENTITIES} ent LEFT JOIN (SELECT * FROM {_latest_stats("event_timestamp <= TIMESTAMP '2024-01-30 12:00:00'")}
-  WHERE event_timestamp >= TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 1 DAY) l ON ent.member_id = l.member_id"""
+  ent.horizon_days, ent.target_events, l.purchase_share, l.ok_share, l.n_events
+FROM {ENTITIES.format(days='BIGINT')} ent LEFT JOIN (SELECT * FROM {_latest_stats("event_timestamp <= TIMESTAMP '2024-01-30 12:00:00'")}
+  WHERE event_timestamp >= TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 12 HOUR) l ON ent.member_id = l.member_id"""
 
 _CUT_2 = "event_timestamp <= TIMESTAMP '2024-01-25 00:00:00'"
 SQL["materialize_incremental"] = f"SELECT * FROM {_latest_stats(_CUT_2)}"
 
+_ASKED = "c_custkey AS member_id, CAST(c_nationkey AS DOUBLE) AS horizon_days, CAST(c_nationkey * 10 AS BIGINT) AS target_events"
+_RATIO = "l.n_events / (c_nationkey * 10 + 1) AS pace_ratio"
+_ONLINE = _latest_stats("event_timestamp <= TIMESTAMP '2024-01-31 00:00:00'")
 SQL["online_lookup"] = f"""
-SELECT c_custkey AS member_id, CAST(c_nationkey AS BIGINT) AS bonus, CAST(c_nationkey * 10 AS BIGINT) AS extra,
-  l.ok_share, CAST(l.purchase_share * 100 + c_nationkey AS DOUBLE) AS share_with_bonus,
-  CAST(l.purchase_share * 100 - c_nationkey * 10 AS DOUBLE) AS share_with_extra
-FROM customer LEFT JOIN {_latest_stats("event_timestamp <= TIMESTAMP '2024-01-31 00:00:00'")} l
-  ON c_custkey = l.member_id"""
-
-PUSHED = """(SELECT user_id AS member_id, ts AS event_timestamp, ts AS created, 1.0::DOUBLE AS purchase_share,
-   1.0::DOUBLE AS ok_share, CAST(1000 AS BIGINT) AS n_events FROM events WHERE event_type = 'signup')"""
+SELECT {_ASKED}, l.ok_share, CAST(c_nationkey * 10 - l.n_events AS DOUBLE) AS events_missing, {_RATIO}
+FROM customer LEFT JOIN {_ONLINE} l ON c_custkey = l.member_id"""
 
-SQL["push_upsert"] = f"""SELECT * FROM {_latest_stats("TRUE", f"(SELECT * FROM {STATS} WHERE event_timestamp <= TIMESTAMP '2024-01-31 00:00:00' UNION ALL SELECT * FROM {PUSHED})")}"""
-
-SQL["push_offline"] = f"SELECT * FROM {STATS} UNION ALL SELECT * FROM {PUSHED}"
+_PUSHED_LATEST = _latest_stats("TRUE", f"(SELECT * FROM {SIGNALS} WHERE event_timestamp <= TIMESTAMP '2024-01-31 00:00:00' UNION ALL SELECT * FROM {PUSHED})")
+SQL["push_upsert"] = f"SELECT * FROM {_PUSHED_LATEST}"
+SQL["push_offline"] = f"SELECT * FROM {SIGNALS} UNION ALL SELECT * FROM {PUSHED}"
+SQL["online_service_v3"] = f"""
+SELECT {_ASKED}, s.kind, l.ok_share, {_RATIO}
+FROM customer LEFT JOIN {_PUSHED_LATEST} s ON c_custkey = s.member_id LEFT JOIN {_ONLINE} l ON c_custkey = l.member_id"""
 SQL["materialize_restart"] = SQL["materialize_incremental"]
 
 # ---------------------------------------------------------------- quality
@@ -449,17 +475,6 @@ SQL["linreg_ids"] = f"SELECT CAST(0.0 AS DOUBLE) AS train_rmse, count(*) AS n_tr
 SQL["linreg"] = f"""SELECT round(sqrt(avg((duration - m) * (duration - m))), 4) AS train_rmse, count(*) AS n_train
 FROM (SELECT duration, avg(duration) OVER (PARTITION BY PU_DO) AS m FROM {SPLIT} WHERE split = 'train')"""
 
-SQL["feature_service_v2"] = SQL["on_demand"]
-
-_PUSHED_LATEST = _latest_stats("TRUE", f"(SELECT * FROM {STATS} WHERE event_timestamp <= TIMESTAMP '2024-01-31 00:00:00' "
-                                       f"UNION ALL SELECT * FROM {PUSHED})")
-SQL["online_service_v3"] = f"""
-SELECT c_custkey AS member_id, CAST(c_nationkey AS BIGINT) AS bonus, CAST(c_nationkey * 10 AS BIGINT) AS extra,
-  l.ok_share, l.n_events, l.purchase_share, CAST(l.purchase_share * 100 + c_nationkey AS DOUBLE) AS share_with_bonus,
-  CAST(l.purchase_share * 100 - c_nationkey * 10 AS DOUBLE) AS share_with_extra
-FROM customer LEFT JOIN {_PUSHED_LATEST} l ON c_custkey = l.member_id"""
-
-
 # ---------------------------------------------------------------- quantized rounding
 # Every round(x, d) above is evaluated as round(x * 2^b) / 2^b with 2^-b just below
 # 10^-d, the same quantization the Spark side applies (functions.columns.quantize).

@@ -79,6 +79,23 @@ def user_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def daily_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's purchases of a day; event time is the day's end."""
+    ev = table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
+    end = (F.date_trunc("day", "ts") + F.expr("INTERVAL 1 DAY")).cast("timestamp_ntz")
+    g = ev.groupBy(F.col("user_id").alias("member_id"), end.alias("event_timestamp")).agg(
+        F.max("value").alias("best_value"), F.count(F.lit(1)).cast("bigint").alias("n_purchases"))
+    return g.select("member_id", "event_timestamp", F.col("event_timestamp").alias("created"), "best_value", "n_purchases")
+
+
+def member_signals(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...]) -> DataFrame:
+    """Events of some types as single signals; the id's place in time orders signals of one instant."""
+    ev = table(spark, sf_dir, "events").filter(F.col("event_type").isin(*kinds))
+    made = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, event_id)")
+    return ev.select(F.col("user_id").alias("member_id"), F.col("ts").cast("timestamp_ntz").alias("event_timestamp"), made.alias("created"),
+                     F.col("event_type").alias("kind"), F.col("value").alias("strength"))
+
+
 def training_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchase events as the entity frame (key, time, label, request values)."""
     ev = table(spark, sf_dir, "events")
@@ -87,8 +104,8 @@ def training_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("member_id"),
         F.col("ts").alias("event_timestamp"),
         F.col("value").alias("label"),
-        (F.col("event_id") % 10).cast("bigint").alias("bonus"),
-        (F.col("event_id") % 100).cast("bigint").alias("extra"),
+        (F.col("event_id") % 10).cast("bigint").alias("horizon_days"),
+        (F.col("event_id") % 100).cast("bigint").alias("target_events"),
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from featurelake.api import FeatureRepo, FeatureStore, NetworkAnalyzer, QualityValidator
 from featurelake.operators import transform as tr
-from featurelake.plans import activity_repo as repo
+from tests import member_views as repo
 from featurelake.sources import fixtures as fx
 from tests.conftest import SF_SMALL
 
@@ -39,18 +39,18 @@ def test_feature_repo_workflow(spark):
     stats = fx.user_activity(spark, SF_SMALL)
     r = FeatureRepo(spark, root, repo.VIEWS, {repo.STATS.name: stats, repo.STATS_FRESH.name: stats})
     ents = fx.training_entities(spark, SF_SMALL)
-    train = r.get_historical_features(ents, repo.TRAINING_REFS)
+    train = r.get_historical_features(ents, ["user_activity:purchase_share", "user_activity_pushed:n_events"])
     assert train.count() == ents.count()
     r.materialize_incremental("2024-01-15")
     r.materialize_incremental("2024-02-01")
     rows = spark.createDataFrame([(1, 1000, 2000), (2, 1001, 2002), (999999, 1, 2)],
                                  "member_id long, bonus long, extra long")
-    online = {x["member_id"]: x for x in r.get_online_features(rows, repo.ONLINE_REFS).collect()}
+    online = {x["member_id"]: x for x in r.get_online_features(rows, ["user_activity:ok_share", "boosted_share:share_with_bonus"]).collect()}
     assert online[999999]["ok_share"] is None and online[1]["ok_share"] is not None
     pushed = spark.createDataFrame([(1, dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 1), 1.0, 1.0, 1000)],
                                    stats.schema)
     r.push(repo.STATS_FRESH.name, pushed)
-    after = {x["member_id"]: x for x in r.get_online_features(rows, repo.ACTIVITY_V3).collect()}
+    after = {x["member_id"]: x for x in r.get_online_features(rows, repo.PUSHED).collect()}
     assert after[1]["purchase_share"] == 1.0 and after[1]["n_events"] == 1000
 
 
@@ -81,10 +81,10 @@ def test_requests_are_checked_and_served_rows_logged(spark):
     r.materialize_incremental("2024-02-01")
     rows = spark.createDataFrame([(1, 1000, 2000)], "member_id long, bonus long, extra long")
     with pytest.raises(ValueError, match="misses request columns"):
-        r.get_online_features(rows.drop("extra"), repo.ACTIVITY_V1)
+        r.get_online_features(rows.drop("extra"), repo.SERVED)
     with pytest.raises(ValueError, match="clash"):
         r.get_online_features(rows, (repo.STATS.select("ok_share"), repo.STATS_FRESH.select("ok_share")))
-    service = dataclasses.replace(repo.ACTIVITY_V1, log_path=os.path.join(root, "served"))
+    service = dataclasses.replace(repo.SERVED, log_path=os.path.join(root, "served"))
     assert r.get_online_features(rows, service).count() == 1
     assert spark.read.parquet(service.log_path).select("feature_service").first()[0] == service.name
 

@@ -16,7 +16,7 @@ from featurelake.operators import store as st
 from featurelake.operators import transform as tr
 from featurelake.operators import trips as tp
 from featurelake.operators import views as vw
-from featurelake.plans import activity_repo as repo
+from tests import member_views as repo
 from featurelake.streaming.envelopes import decode_updates, split_bad
 from featurelake.streaming.store_sink import FeatureStoreSink
 
@@ -244,7 +244,7 @@ def test_sink_replay_is_idempotent_and_late_rows_do_not_win(spark):
 
 def test_request_source_and_schema_metadata(spark):
     from pyspark.sql import types as T
-    rs = vw.RequestSource("vals_to_add", T.StructType([T.StructField("bonus", T.LongType()),
+    rs = vw.RequestSource("call", T.StructType([T.StructField("bonus", T.LongType()),
                                                        T.StructField("extra", T.LongType())]))
     df = spark.createDataFrame([(1, 2.0, 3.0)], "member_id long, bonus double, extra double")
     assert rs.check(df).schema["bonus"].dataType == T.LongType()

@@ -11,7 +11,7 @@ from featurelake.operators import graph as gr
 from featurelake.operators import store as st
 from featurelake.operators import trips as tp
 from featurelake.operators import views as vw
-from featurelake.plans import activity_repo as repo
+from tests import member_views as repo
 from featurelake.plans import q_stream
 from featurelake.session import scratch_dir
 from featurelake.sources import fixtures as fx
