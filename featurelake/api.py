@@ -193,17 +193,21 @@ def run_batch_flow(spark: SparkSession, data: DataFrame, key: str, features: lis
     3. evaluate: class metrics of the scored test rows (label and prediction on one row);
     4. gate: SUCCESS / WARNING with the reference's thresholds.
     """
+    from pyspark.ml import PipelineModel
     from pyspark.ml.feature import VectorAssembler
 
+    from featurelake.operators import guard
     from featurelake.operators import metrics as mt
     from featurelake.operators import models as ml
     from featurelake.operators import trips as tp
 
     FeatureStore(spark, store_root).store_features(data.select(key, *features), key=key, features=features)
     split = tp.hash_split(data, key, train_pct)
-    x = VectorAssembler(inputCols=features, outputCol="features").transform(split)
-    model = ml.logistic_regression(x.filter(F.col("split") == "train"), label=label)
+    watch = guard.SchemaGuard(inputCols=features).fit(split)
+    assembler = VectorAssembler(inputCols=features, outputCol="features")
+    fitted = ml.logistic_regression(assembler.transform(split.filter(F.col("split") == "train")), label=label)
+    model = PipelineModel([watch, assembler, fitted])  # what scores refuses a frame of another schema
     # the scored rows still carry the label, so actual and predicted stay on the same row (no re-alignment)
-    pred = model.transform(x.filter(F.col("split") == "test"))
+    pred = model.transform(split.filter(F.col("split") == "test"))
     metrics = mt.class_metrics(pred.select(F.col(label).alias("actual"), F.col("prediction").alias("predicted")))
     return mt.gate(metrics, threshold=threshold)

@@ -431,6 +431,8 @@ SQL["stream_upsert"] = """SELECT entity_id, feature_name, feature_value, event_t
     row_number() OVER (PARTITION BY user_id, event_type ORDER BY date_trunc('day', ts) DESC, event_id DESC) AS rn
   FROM events WHERE value IS NOT NULL AND NOT isnan(value)) WHERE rn = 1"""
 
+SQL["stream_state_latest"] = SQL["stream_upsert"]
+
 SQL["stream_score"] = f"""SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS key,
   CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS entity_id,
   CAST(CASE WHEN l_quantity < 17 THEN 0.0 WHEN l_quantity < 34 THEN 1.0 ELSE 2.0 END AS DOUBLE) AS prediction,
@@ -465,6 +467,24 @@ SELECT 'test_sample_' || k AS entity_id, 'predicted_target' AS feature_name, rou
   TIMESTAMP '2024-01-31 00:00:00' AS event_ts, TIMESTAMP '2024-01-31 00:00:00' AS ingest_ts, CAST(0 AS BIGINT) AS seq
 FROM x WHERE CAST(('0x' || substr(md5(k), 1, 8)) AS BIGINT) % 100 >= 80"""
 
+_TEST_LINES = """(SELECT * FROM (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS k,
+    max(l_quantity) AS q, max(l_tax) AS t FROM lineitem GROUP BY 1) WHERE CAST(('0x' || substr(md5(k), 1, 8)) AS BIGINT) % 100 >= 80)"""
+SQL["guarded_score"] = f"""
+SELECT 'as trained' AS frame, NULL::VARCHAR AS refused, count(*) AS n_rows, round(avg(3 * q - 2 * t + 5), 4) AS mean_prediction FROM {_TEST_LINES}
+UNION ALL SELECT 'whole numbers', NULL, count(*), round(avg(3 * trunc(q) - 2 * t + 5), 4) FROM {_TEST_LINES}
+UNION ALL SELECT 'tax as text', 'type of tax: string != double', count(*), NULL FROM {_TEST_LINES}
+UNION ALL SELECT 'no quantity', 'missing column quantity', count(*), NULL FROM {_TEST_LINES}"""
+
+SQL["schema_watch"] = """
+WITH n AS (SELECT count(*) FILTER (ts < DATE '2024-01-11') AS a, count(*) FILTER (ts >= DATE '2024-01-11' AND ts < DATE '2024-01-21') AS b,
+    count(*) FILTER (ts >= DATE '2024-01-21') AS c, count(value) FILTER (ts < DATE '2024-01-11') AS va, count(value) FILTER (ts >= DATE '2024-01-21') AS vc,
+    count(props) FILTER (ts < DATE '2024-01-11') AS pa, count(user_id) FILTER (ts < DATE '2024-01-11') AS ua,
+    count(user_id) FILTER (ts >= DATE '2024-01-11' AND ts < DATE '2024-01-21') AS ub, count(user_id) FILTER (ts >= DATE '2024-01-21') AS uc FROM events)
+SELECT 'events' AS dataset, v.* FROM n, LATERAL (VALUES
+  (1::BIGINT, 'user_id', 'retyped', 'bigint', 'string', ua, ub), (1, 'value', 'emptied', 'double', 'double', va, 0), (1, 'props', 'removed', 'string', NULL, pa, NULL),
+  (1, 'day', 'added', NULL, 'date', NULL, b), (2, 'ts', 'removed', 'timestamp_ntz', NULL, b, NULL), (2, 'user_id', 'retyped', 'string', 'bigint', ub, uc),
+  (2, 'value', 'filled', 'double', 'double', 0, vc)) AS v(run, column_name, change, type_before, type_after, filled_before, filled_after)"""
+
 MINUTES = """(SELECT CAST(user_id AS VARCHAR) AS PULocationID, CAST(event_id % 97 AS VARCHAR) AS DOLocationID,
    CAST(user_id AS VARCHAR) || '_' || CAST(event_id % 97 AS VARCHAR) AS PU_DO, value AS trip_distance, ts AS lpep_pickup_datetime,
    CAST(value * 60000000 AS BIGINT) / 60000000.0 AS duration FROM events)"""

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurelake.functions.columns import quantize, rounded
+from featurelake.functions.columns import hash_bucket, quantize, rounded
+from featurelake.operators import guard
 from featurelake.operators import metrics as mt
 from featurelake.operators import models as ml
 from featurelake.operators import store as st
@@ -108,6 +113,29 @@ def batch_score_linear(spark, sf_dir):
     return st.melt(out, key="row_key", values=["predicted_target"], prefix="test_sample_", event_ts="2024-01-31 00:00:00")
 
 
+@query("guarded_score")
+def guarded_score(spark, sf_dir):
+    """A model behind its schema guard, saved and reloaded. Rows whose numbers widen without loss are scored; a frame whose columns
+    have drifted is refused, and the refusal is counted beside the rows that it covers."""
+    df = learnable_rows(spark, sf_dir)
+    cols = ["quantity", "tax"]
+    train = df.filter(hash_bucket("row_key", 100) < 80)
+    stages = [VectorAssembler(inputCols=cols, outputCol="x"), LinearRegression(featuresCol="x", labelCol="y", solver="normal")]
+    model = ml.load(ml.save(guard.guarded(stages, cols, allow_widening=True).fit(train), scratch_dir(spark, "guarded")))
+    test = df.filter(hash_bucket("row_key", 100) >= 80)
+    whole = test.withColumn("quantity", F.col("quantity").cast("int"))
+    drifted = {"tax as text": test.withColumn("tax", F.col("tax").cast("string")), "no quantity": test.drop("quantity")}
+    out = [model.transform(f).agg(F.lit(name).alias("frame"), F.lit(None).cast("string").alias("refused"), F.count(F.lit(1)).alias("n_rows"),
+                                  quantize(F.avg("prediction"), 4).alias("mean_prediction")) for name, f in (("as trained", test), ("whole numbers", whole))]
+    for name, frame in drifted.items():
+        try:
+            model.transform(frame)
+        except guard.SchemaDrift as e:
+            out.append(frame.agg(F.lit(name).alias("frame"), F.lit("; ".join(e.problems)).alias("refused"), F.count(F.lit(1)).alias("n_rows"),
+                                 F.lit(None).cast("double").alias("mean_prediction")))
+    return reduce(DataFrame.unionByName, out)
+
+
 @query("model_floors")
 def model_floors(spark, sf_dir):
     """M8 and M10 against the floors that tests hold them to, on the repeatable split: rows of each part, and whether each passes."""

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from featurelake.functions.columns import rounded
+from featurelake.operators import guard
 from featurelake.operators import quality as qa
 from featurelake.plans.catalog import query
+from featurelake.session import scratch_dir
 from featurelake.sources import fixtures as fx
 from featurelake.sources.tables import table
 
@@ -29,3 +33,17 @@ def quality_describe(spark, sf_dir):
 def mean_drift(spark, sf_dir):
     df = fx.flowers_with_period(spark, sf_dir, cut="1998-07-01")
     return rounded(qa.mean_drift(df, "period"), 6)
+
+
+@query("schema_watch")
+def schema_watch(spark, sf_dir):
+    """E5: the events of three periods as three runs of one dataset, with columns gone, new, retyped and emptied; what each run changed."""
+    events, kept = table(spark, sf_dir, "events"), guard.SchemaHistory(spark, scratch_dir(spark, "schemas"))
+    day = F.to_date("ts")
+    first = events.filter(day < F.lit("2024-01-11").cast("date"))
+    second = events.filter((day >= F.lit("2024-01-11").cast("date")) & (day < F.lit("2024-01-21").cast("date"))).select(
+        "event_id", "ts", F.col("user_id").cast("string").alias("user_id"), "event_type", F.lit(None).cast("double").alias("value"), day.alias("day"))
+    third = events.filter(day >= F.lit("2024-01-21").cast("date")).select("event_id", "user_id", "event_type", "value", day.alias("day"))
+    for i, run in enumerate((first, second, third)):
+        kept.record(run, "events", f"2024-02-0{i + 1} 00:00:00")
+    return guard.changes(kept.history("events"))

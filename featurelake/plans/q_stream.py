@@ -21,6 +21,7 @@ from featurelake.session import scratch_dir
 from featurelake.sources import fixtures as fx
 from featurelake.sources.tables import table
 from featurelake.streaming import envelopes as env
+from featurelake.streaming import state
 from featurelake.streaming.scoring import bad_messages, score_messages
 from featurelake.streaming.store_sink import FeatureStoreSink, read_committed, run_available_now
 
@@ -98,6 +99,18 @@ def stream_upsert(spark, sf_dir):
     return _run_store_stream(spark, sf_dir).latest(spark).select("entity_id", "feature_name", "feature_value", "event_ts")
 
 
+@query("stream_state_latest")
+def stream_state_latest(spark, sf_dir):
+    """T3 by the stream's own state; the same messages and rows as ``stream_upsert``."""
+    root = scratch_dir(spark, "state")
+    messages = _message_stream(spark, update_messages(spark, sf_dir), os.path.join(root, "messages"))
+    good, _ = env.split_bad(env.decode_updates(messages))
+    sink = state.StateSink(os.path.join(root, "latest"))
+    state.run_changes(env.fan_out(good, seq=F.col("offset")), sink, os.path.join(root, "checkpoint"))
+    return sink.current(spark).select(
+        "entity_id", "feature_name", "feature_value", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"))
+
+
 def measurement_messages(spark, sf_dir):
     """Update messages carrying the four measurements of each line item."""
     li = table(spark, sf_dir, "lineitem")

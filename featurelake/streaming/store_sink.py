@@ -130,13 +130,13 @@ class FeatureStoreSink:
         return st.metadata_upsert(None, read_committed(spark, self.catalog_path))
 
 
-def run_available_now(stream: DataFrame, batch_fn, checkpoint: str, timeout_s: float | None = None) -> None:
+def run_available_now(stream: DataFrame, batch_fn, checkpoint: str, timeout_s: float | None = None, output_mode: str = "append") -> None:
     """Process everything available now in micro-batches, then stop (checkpointed, restartable).
 
     Waits until all of it is processed. A ``timeout_s`` that runs out before that stops the stream and raises; the
     checkpoint lets the next call go on from there.
     """
-    q = (stream.writeStream.foreachBatch(batch_fn).option("checkpointLocation", checkpoint)
+    q = (stream.writeStream.foreachBatch(batch_fn).outputMode(output_mode).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     done = q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination() is None
     if not done:
