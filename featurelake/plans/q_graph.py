@@ -12,7 +12,7 @@ CORR_THRESHOLD = 0.3  # the threshold the reference's script passes (function de
 
 
 def _corr(spark, sf_dir):
-    return gr.correlation_matrix(tr.engineer_features(fx.flowers(spark, sf_dir)))
+    return gr.correlation_matrix(tr.engineer_features(fx.flowers(spark, sf_dir, balance=True)))
 
 
 @query("corr_matrix")

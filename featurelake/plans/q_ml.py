@@ -29,14 +29,14 @@ ENGINEERED = ["sepal_length", "sepal_width", "petal_length", "petal_width", "sep
 
 @query("standard_scale")
 def standard_scale(spark, sf_dir):
-    df = fx.flowers(spark, sf_dir)
+    df = fx.flowers(spark, sf_dir, balance=True)
     model = ml.feature_pipeline(fx.FLOWER_FEATURES, with_pca=False).fit(df)
     return rounded(ml.scaled_columns(model.transform(df), fx.FLOWER_FEATURES), 6)
 
 
 @query("pca")
 def pca(spark, sf_dir):
-    eng = tr.engineer_features(fx.flowers(spark, sf_dir)).fillna(0.0, ENGINEERED)
+    eng = tr.engineer_features(fx.flowers(spark, sf_dir, balance=True)).fillna(0.0, ENGINEERED)
     model = ml.feature_pipeline(ENGINEERED).fit(eng)
     arr = F.col("pca")
     out = model.transform(eng).select(tr.vector_to_array_col("pca_features").alias("pca"))
@@ -93,7 +93,7 @@ def linreg_ids(spark, sf_dir):
 def pca_variance(spark, sf_dir):
     """M3 against the correlation matrix: all components' variances sum to the number of features, their squares to
     the sum of squared correlations."""
-    eng = tr.engineer_features(fx.flowers(spark, sf_dir)).fillna(0.0, ENGINEERED)
+    eng = tr.engineer_features(fx.flowers(spark, sf_dir, balance=True)).fillna(0.0, ENGINEERED)
     k = len(ENGINEERED)
     model = ml.feature_pipeline(ENGINEERED, k=k).fit(eng)
     pcs = model.transform(eng).select(tr.vector_to_array_col("pca_features").alias("pca"))

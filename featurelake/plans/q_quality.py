@@ -26,7 +26,7 @@ def quality_schema(spark, sf_dir):
 
 @query("quality_describe")
 def quality_describe(spark, sf_dir):
-    return rounded(qa.describe(fx.flowers(spark, sf_dir)), 6)
+    return rounded(qa.describe(fx.flowers(spark, sf_dir, balance=True)), 6)
 
 
 @query("mean_drift")

@@ -17,13 +17,15 @@ from featurelake.sources.tables import spread, table
 FLOWER_FEATURES = ["sepal_length", "sepal_width", "petal_length", "petal_width"]
 
 
-def flowers(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
+def flowers(spark: SparkSession, sf_dir: str, with_key: bool = False, balance: bool = False) -> DataFrame:
     """Lineitem mapped onto the four measurements plus a 0/1/2 class.
 
     ``with_key`` adds ``row_key`` = order key and line number (not unique in the
-    synthetic data, so it serves as an entity id, never as a row id).
+    synthetic data, so it serves as an entity id, never as a row id). ``balance`` spreads a scan of few splits
+    for what costs much CPU a row; a projection is cheaper than that shuffle.
     """
-    li = table(spark, sf_dir, "lineitem", balance=True)
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_extendedprice", "l_discount", "l_returnflag")
+    li = spread(li) if balance else li
     key = [F.concat_ws("-", "l_orderkey", "l_linenumber").alias("row_key")] if with_key else []
     return li.select(*key,
         nan_to_null("l_quantity").alias("sepal_length"),
