@@ -101,7 +101,8 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataF
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, trees: int = TREES, depth: int = DEPTH, lasso: float = LASSO, seed: int = 7) -> Ensemble:
     """Learn from docs (doc_id, text) and labels (doc_id, label 0 or 1). With one label or none, the score is a constant."""
-    known = keep(sample(docs, labels, rows).coalesce(8), "sample")
+    scanned = keep(sample(docs, labels, rows), "statistics")  # by as many tasks as the scan has; what follows is small
+    known = keep(scanned.repartition(8, *STATISTICS).sortWithinPartitions(*STATISTICS, "label"), "sample")
     ones, n = known.agg(F.sum("label"), F.count(F.lit(1))).first()
     prior = ((ones or 0.0) + 1) / (n + 2)
     constant = Ensemble(math.log(prior / (1 - prior)), ())
