@@ -4,9 +4,9 @@ Template: ``<|turn|>role``, a line break, the text, ``<|end|>`` per turn. Inside
 and ``<|`` becomes ``<\\b``, so no marker can occur there, and the escape is undone without loss.
 
 Prefix sums of the turns' tokens (pieces of words, counted with the markers) cut a conversation into spans of whole turns:
-the turns but a leading system turn belong to span floor(tokens before / room), where room is what the budget leaves beside
-the system turn, the history and the longest turn (at least 1; then each turn stands alone and a window may
-exceed the budget, which ``n_tokens`` shows). A window holds the system turn, the history (the latest earlier turns of at most
+a turn of more than half of what the budget leaves beside the system turn and the history is a span of its own, and its
+window may exceed the budget, which ``n_tokens`` shows. The others, but a leading system turn, are cut by floor(tokens of such
+turns before / room), where room is what is left beside the longest of them, and at each long turn. A window holds the system turn, the history (the latest earlier turns of at most
 ``history`` tokens), and its span. The loss mask covers the assistant texts of the span; repeated turns are masked.
 
 A conversation's turns meet in one task (its prefix sums and digests need them in order), where each looks ahead by at most
@@ -54,10 +54,14 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     conv = Window.partitionBy("conv_id")
     rows = turns(conversations)
     new = F.when(F.col("system"), 0).otherwise(F.col("tokens"))
-    room = budget - F.max(F.when(F.col("system"), F.col("tokens")).otherwise(0)).over(conv) - history - F.max(new).over(conv)
-    before = F.coalesce(F.sum(new).over(conv.orderBy("i").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cut = (rows.withColumn("before", before).withColumn("room", F.greatest(room, F.lit(1)))
-           .withColumn("span", F.floor(F.col("before") / F.col("room")))
+    earlier = conv.orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    sum_before = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
+    left = F.greatest(budget - history - F.max(F.when(F.col("system"), F.col("tokens")).otherwise(0)).over(conv), F.lit(1))
+    rows = rows.withColumn("left", left).withColumn("long", ~F.col("system") & (2 * F.col("tokens") > F.col("left")))
+    usual = F.when(F.col("long"), 0).otherwise(new)
+    # long turns before a turn move its span by two each, so a long turn's span lies between its neighbours'
+    cut = (rows.withColumn("before", sum_before(new)).withColumn("room", F.greatest(F.col("left") - F.max(usual).over(conv), F.lit(1)))
+           .withColumn("span", F.floor(sum_before(usual) / F.col("room")) + 2 * sum_before(F.col("long").cast("long")) + F.col("long").cast("long"))
            .withColumn("opens", F.min(F.when(~F.col("system"), F.col("before"))).over(Window.partitionBy("conv_id", "span"))))
     text = F.concat(F.lit(START), escape(F.col("role")), F.lit("\n"), escape(F.col("text")), F.lit(END))
     block = F.struct("i", text.alias("text"), F.length(escape(F.col("role"))).alias("head"), (F.col("role") == "assistant").alias("train"), "tokens", "system")

@@ -140,10 +140,12 @@ o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRS
 b AS (SELECT *, (i = 1 AND role = 'system') AS sys, length(text) // 4 + len(regexp_split_to_array(text, '[\x20\x09-\x0D]+')) + 4 AS tokens,
     16 + length(replace(replace(role, chr(92), chr(92) || 's'), '<|', '<' || chr(92) || 'b'))
        + length(replace(replace(text, chr(92), chr(92) || 's'), '<|', '<' || chr(92) || 'b')) AS chars FROM o),
-p AS (SELECT *, coalesce(sum(CASE WHEN sys THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
-    greatest(1, 2048 - 256 - max(CASE WHEN sys THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id)
-      - max(CASE WHEN sys THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id)) AS room FROM b),
-s AS (SELECT *, before // room AS span FROM p),
+q AS (SELECT *, greatest(1, 2048 - 256 - max(CASE WHEN sys THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id)) AS space FROM b),
+u AS (SELECT *, NOT sys AND 2 * tokens > space AS long FROM q),
+p AS (SELECT *, coalesce(sum(CASE WHEN sys THEN 0 ELSE tokens END) OVER e, 0) AS before, coalesce(sum(CASE WHEN sys OR long THEN 0 ELSE tokens END) OVER e, 0) AS usual,
+    coalesce(sum(long::INT) OVER e, 0) AS longs, greatest(1, space - max(CASE WHEN sys OR long THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id)) AS room
+  FROM u WINDOW e AS (PARTITION BY conv_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+s AS (SELECT *, usual // room + 2 * longs + long::INT AS span FROM p),
 w AS (SELECT conv_id, span, min(before) AS opens FROM s WHERE NOT sys GROUP BY ALL),
 f AS (SELECT conv_id, sum(chars) AS chars FROM (
     SELECT s.conv_id, s.chars FROM s JOIN w USING (conv_id)

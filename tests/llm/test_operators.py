@@ -483,6 +483,20 @@ def test_chat_windows_of_a_long_conversation(spark):
     made = chat.windows(table)
     assert "collect_set" not in made._jdf.queryExecution().optimizedPlan().toString()  # no turn carries all spans
     got = made.select("window", "n_repeated", F.size("loss").alias("loss")).collect()
-    assert len(got) == 4000 and sum(x["loss"] for x in got) == 2000
-    # turns of 1 + 3 + 4 tokens: 32 earlier ones fit into the history of 256, besides the system turn
-    assert Counter(x["n_repeated"] for x in got)[33] == 4000 - 32
+    # 3,999 turns of 1 + 3 + 4 tokens by 2048 - 256 - 8 - 8 tokens each, and the long turn alone
+    assert len(got) == -(-3999 * 8 // 1776) + 1 and sum(x["loss"] for x in got) == 2000
+    # 32 earlier turns fit into the history of 256, besides the system turn
+    assert Counter(x["n_repeated"] for x in got) == {0: 1, 33: len(got) - 1}
+    sizes = sorted(x["n_tokens"] for x in made.select("n_tokens").collect())
+    assert sizes[-2] <= 2048 < sizes[-1]
+
+
+def test_long_turns_stand_alone_and_leave_the_rest_alone(spark):
+    long = "y" * 5000
+    texts = [*["a b c"] * 300, long, *["a b c"] * 300, long, long, *["a b c"] * 10, long]
+    rows = [(1, k, ["user", "assistant"][k % 2], t) for k, t in enumerate(texts)]
+    made = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), history=0).orderBy("window").collect()
+    blocks = [x["formatted"].split("<|end|>")[:-1] for x in made]
+    assert [len(b) for b in blocks if long in b[0]] == [1] * 4 and sum(map(len, blocks)) == len(texts)
+    assert len(made) == 4 + 2 * 2 + 1  # 300 turns of 8 tokens by 2040 tokens: two windows
+    assert "".join("".join(b) for b in blocks) == "".join(f"<|turn|>{r}\n{t}" for _, _, r, t in rows)

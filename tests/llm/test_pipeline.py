@@ -58,4 +58,4 @@ def test_oracle(spark, name):
 
 def test_registered():
     names = se.queries()
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
