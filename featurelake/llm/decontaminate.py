@@ -3,12 +3,15 @@
 Words are runs of letters, digits and non-ASCII characters, lower-cased. A benchmark item of m words is compared with
 every window of m words of every document (a document of fewer words is one window):
 
-* a window that shares no 5-word shingle with an item has similarity 0 and is passed over at once;
+* a window of similarity 0.8 holds 0.8 of the item's weight, so it shares a shingle with any part of the item that weighs over
+  0.2 of it. The item's rarest shingles up to that weight are its anchors; a window without one is passed over at once. Shingles that
+  many items share (a common prompt) are anchors of items that have little else only;
 * the others get a 64-bit SimHash of their weighted shingles, from running sums, and look it up in the multi-index: the
   fingerprint is cut into 8 blocks, and an item is filed under every value within 2 bits of its block's. Two
   fingerprints within ``RADIUS`` = 23 bits differ by at most 2 in some block, so the index returns all of them;
-* what it returns is verified by the exact weighted Jaccard similarity of the shingle multisets, 0.8 or more. A
-  shingle weighs 1 + ln((items + 1) / (items that have it + 1)).
+* what it returns is verified by the exact weighted Jaccard similarity of the shingle multisets, 0.8 or more. For an item, its own
+  shingles weigh 1 + ln((items + 1) / (items that have it + 1)), counted over the whole benchmark, all others 1 + ln(items + 1). So
+  a similarity does not depend on how the benchmark is dealt into blocks.
 
 At similarity 0.8 the expected distance is about 10 bits and its deviation 3, so the radius lies over four deviations
 out. The benchmark is the stated query set: it is read in blocks of ``BLOCK_ITEMS`` items, each broadcast, so what is
@@ -29,6 +32,8 @@ from featurelake.llm.common import keep, mix, shingles, slices, span_hashes, spa
 
 K, SIMILARITY, RADIUS = 5, 0.8, 23
 BLOCK_ITEMS, BLOCK_BYTES = 5_000, 16 << 20
+#: Pairs of a shared shingle and an item that one step of a scan holds, besides those of a single text.
+HITS = 1 << 20
 _U = np.uint64
 _BITS = np.arange(64, dtype=np.uint64)
 _INSIDE = np.zeros(256, bool)
@@ -56,34 +61,43 @@ def _signed(found: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """The items of one block of a benchmark."""
+    """The items of one block of a benchmark. ``total`` and ``counted`` (sorted shingles, items that have each) speak for the whole
+    benchmark; without them the block is all there is."""
 
-    def __init__(self, ids: list, text: pa.Array, k: int = K):
+    def __init__(self, ids: list, text: pa.Array, k: int = K, total: int | None = None, counted: tuple[np.ndarray, np.ndarray] | None = None):
         found, at, words = _shingled(text, k)
         own = [i for i in range(len(ids)) if at[i + 1] > at[i]]
         self.k, self.ids = k, [ids[i] for i in own]
         self.words = [int(words[i]) for i in own]
         pairs = [np.unique(found[at[i]:at[i + 1]], return_counts=True) for i in own]
         every = np.concatenate([p[0] for p in pairs]) if pairs else np.zeros(0, np.uint64)
-        self.known, self.have = np.unique(every, return_counts=True)
-        self.weights = 1 + np.log((len(own) + 1) / (self.have + 1))
-        self.other = 1 + np.log(len(own) + 1)
-        self.items = [(s, c, self.weight(s)) for s, c in pairs]
+        shingle, have = counted if counted is not None else np.unique(every, return_counts=True)
+        n = len(own) if total is None else total
+        self.other = 1 + float(np.log(n + 1))
+        self.items = [(s, c, 1 + np.log((n + 1) / (have[np.searchsorted(shingle, s)] + 1))) for s, c in pairs]
         self.mass = [float((c * w).sum()) for _, c, w in self.items]
         self.prints = np.array([_fingerprints((_signed(s, w) * c[:, None]).sum(0)[None])[0] for s, c, w in self.items], np.uint64)
         blocks = self.prints[:, None] >> (_BITS[:8] * _U(8)) & _U(255)
         self.filed = np.stack([_NEAR[b.astype(np.int64)] for b in blocks]) if len(blocks) else np.zeros((0, 8, 256), bool)
+        anchors = [self._anchors(i) for i in range(len(self.items))]
+        every = np.concatenate(anchors) if anchors else np.zeros(0, np.uint64)
         order = np.argsort(every, kind="stable")
-        self.owner = np.repeat(np.arange(len(own)), [len(p[0]) for p in pairs])[order]
-        self.first = np.searchsorted(every[order], self.known)
+        self.owner = np.repeat(np.arange(len(anchors)), [len(x) for x in anchors])[order]
+        self.known, self.first, self.have = np.unique(every[order], return_index=True, return_counts=True)
         self.bitmap = np.zeros(1 << 20, bool)
         self.bitmap[(self.known >> _U(44)).astype(np.int64)] = True
 
-    def weight(self, found: np.ndarray) -> np.ndarray:
-        if not len(self.known):
-            return np.full(len(found), self.other)
-        j = np.minimum(np.searchsorted(self.known, found), len(self.known) - 1)
-        return np.where(self.known[j] == found, self.weights[j], self.other)
+    def _anchors(self, item: int) -> np.ndarray:
+        """The item's rarest shingles that together weigh more than a window of enough similarity may lack."""
+        shingle, count, w = self.items[item]
+        order = np.lexsort((shingle, -w))
+        enough = np.searchsorted(np.cumsum((count * w)[order]), (1 - SIMILARITY + 1e-6) * self.mass[item], side="right") + 1
+        return np.sort(shingle[order[:enough]])
+
+    def weight(self, found: np.ndarray, item: int) -> np.ndarray:
+        shingle, _, w = self.items[item]
+        j = np.minimum(np.searchsorted(shingle, found), len(shingle) - 1)
+        return np.where(shingle[j] == found, w[j], self.other)
 
     def hits(self, text: pa.Array) -> Iterator[tuple[int, int, int, int, float]]:
         """(row, item, first word, words, similarity): for each text and item the most similar window, the first of equals."""
@@ -95,6 +109,15 @@ class Index:
         ok = self.known[j] == found[likely]
         likely, j = likely[ok], j[ok]
         rows = np.searchsorted(at, likely, side="right") - 1
+        opens = np.concatenate([[0], np.cumsum(self.have[j])])
+        row_ends = np.flatnonzero(np.diff(rows, append=-1)) + 1
+        lo = 0
+        while lo < len(rows):  # whole texts of about HITS shared shingles at a time
+            hi = int(row_ends[max(np.searchsorted(opens[row_ends], opens[lo] + HITS, side="right") - 1, np.searchsorted(row_ends, lo, side="right"))])
+            yield from self._met(found, at, words, rows[lo:hi], likely[lo:hi], j[lo:hi])
+            lo = hi
+
+    def _met(self, found: np.ndarray, at: np.ndarray, words: np.ndarray, rows: np.ndarray, likely: np.ndarray, j: np.ndarray) -> Iterator[tuple]:
         n = self.have[j]
         owner = self.owner[np.repeat(self.first[j] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
         rows, place = np.repeat(rows, n), np.repeat(likely - at[rows], n)
@@ -125,7 +148,7 @@ class Index:
     def _verified(self, own: np.ndarray, s: int, e: int, size: int, item: int) -> tuple[float, int] | None:
         """Of the windows that start at s to e, the best (-similarity, start)."""
         part = own[s:e + size]
-        weight = self.weight(part)
+        weight = self.weight(part, item)
         sums = np.zeros((len(part) + 1, 64))
         np.cumsum(_signed(part, weight), axis=0, out=sums[1:])
         n = e - s + 1
@@ -145,22 +168,49 @@ class Index:
         return best
 
 
+def _counted(items: DataFrame) -> DataFrame:
+    """(block, shingle, opens): the distinct shingles of every item of (block, text); ``opens`` is 1 once per item that has any."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                found, at, _ = _shingled(part.column(1), K)
+                own = [np.unique(found[a:b]) for a, b in zip(at, at[1:])]
+                sizes = np.array([len(x) for x in own])
+                opens = np.zeros(sizes.sum(), np.int64)
+                opens[(np.cumsum(sizes) - sizes)[sizes > 0]] = 1
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(np.repeat(np.arange(len(own)), sizes))),
+                                                  pa.array(np.concatenate([np.zeros(0, np.uint64), *own]).view(np.int64)), pa.array(opens)],
+                                                 names=["block", "shingle", "opens"])
+
+    return items.select("block", "text").mapInArrow(run, "block long, shingle long, opens long")
+
+
 def indexes(benchmark: DataFrame, block_items: int = BLOCK_ITEMS, block_bytes: int = BLOCK_BYTES) -> Iterator[Index]:
     """The benchmark (item_id, text) in blocks of bounded size, one in the driver's memory at a time.
 
-    NULL and empty texts match nothing; equal rows count once.
+    Shingles are counted over the whole benchmark in tasks; a block gets the counts of its own shingles. NULL and empty texts
+    match nothing; equal rows count once.
     """
     items = benchmark.select("item_id", "text").filter("text IS NOT NULL").distinct()
     size = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
-    blocks = max(-(-size["n"] // (block_items // 2)), -(-(size["bytes"] or 0) // (block_bytes // 2)))
+    blocks = max(-(-size["n"] // max(1, block_items // 2)), -(-(size["bytes"] or 0) // max(1, block_bytes // 2)))
     if blocks > 1:
         items = keep(items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))), "benchmark")
+        rows = keep(_counted(items), "shingles")
+        total = int(rows.agg(F.sum("opens")).first()[0] or 0)
+        counts = keep(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("have"), F.collect_set("block").alias("blocks")), "counts")
     for b in range(blocks):
         got = (items if blocks == 1 else items.filter(F.col("block") == b)).select("item_id", "text").orderBy("item_id", "text").toArrow()
-        yield Index(got["item_id"].to_pylist(), got["text"].combine_chunks())
+        whole = {}
+        if blocks > 1:
+            own = counts.filter(F.array_contains("blocks", F.lit(b).cast("long"))).select("shingle", "have").toArrow()
+            shingle = own["shingle"].to_numpy().view(np.uint64)
+            order = np.argsort(shingle)
+            whole = {"total": total, "counted": (shingle[order], own["have"].to_numpy()[order])}
+        yield Index(got["item_id"].to_pylist(), got["text"].combine_chunks(), **whole)
 
 
-def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """(doc_id, item_id, start_word, n_words, similarity): one row for each row of docs (doc_id, text) and item found in it.
 
     NULL and empty texts hold nothing; repeated rows give repeated results; either table empty: no rows.
@@ -169,8 +219,8 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for name, kind in (("item_id", benchmark.schema["item_id"].dataType), ("start_word", "long"), ("n_words", "long"), ("similarity", "double")):
         schema = schema.add(name, kind)
     out = docs.sparkSession.createDataFrame([], schema)
-    for index in indexes(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    for index in indexes(benchmark, block_items):
+        shared = docs.sparkSession.sparkContext.broadcast(index)  # a block
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own = shared.value
