@@ -78,7 +78,7 @@ def base(docs: DataFrame) -> DataFrame:
 
 
 def frequent_lines(docs: DataFrame, limit_docs: int = LIMIT_DOCS, limit_share: float = LIMIT_SHARE) -> DataFrame:
-    """(host, h, n_docs, first_doc): the lines above their host's limit. A NULL source is a host of its own."""
+    """(host, h, n_docs, first_doc): the lines above their host's limit. A NULL source counts as an empty one."""
     host = F.coalesce(F.col("source"), F.lit("")).alias("host")
     lines = docs.select(host, "doc_id", F.explode(F.array_distinct(F.transform(line_hashes(F.col("text")), lambda x: x["h"]))).alias("h")).filter("h IS NOT NULL")
     counts = lines.distinct().groupBy("host", "h").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc")).filter(F.col("n_docs") > limit_docs)

@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -106,7 +108,10 @@ def entropy_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[in
                 else:
                     run = [at + i, at + i + WINDOW]
                     out.append(run)
-    return [(a, b, 3) for a, b in out if not any(a < y and x < b for x, y, _ in taken)]
+    # of the base spans that start before b, does the one that reaches furthest reach past a?
+    starts, reach = [x for x, _, _ in taken], list(accumulate((y for _, y, _ in taken), max))
+    before = [bisect_left(starts, b) for _, b in out]
+    return [(a, b, 3) for (a, b), i in zip(out, before) if not i or reach[i - 1] <= a]
 
 
 def scan_text(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
