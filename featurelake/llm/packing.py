@@ -223,18 +223,20 @@ def wasteful(pieces: DataFrame, made: int, capacity: int, waste: float = WASTE)
 def assign(pieces: DataFrame, capacity: int = CAPACITY, step: int = STEP, part_rows: int = PART_ROWS) -> DataFrame:
     """pieces (doc_id, start, length, ...) and sequence_id, offset: gapless from 0 within a sequence of at most ``capacity``.
 
-    Columns of those two names give way. Every row gets one place, repeated rows too. No rows: no rows.
+    Columns of those two names give way. Every row gets one place, repeated rows too: rows are ranked by doc_id, start and all that
+    tells two texts of one id apart, so a task that runs again after a lost executor deals the same places. No rows: no rows.
     """
     carried = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    told = [c for c in ("ids_crc32", "doc_tokens", "length") if c in carried]
     n = histogram(pieces, step)
     _, patterns, short = best_plan(n, capacity, step)
     pieces = pieces.select(*carried).withColumn("class__", size_class(F.col("length"), step, short))
     parts = max(1, -(-sum(n.values()) // part_rows))
-    pieces = pieces.withColumn("part__", F.pmod(F.xxhash64("doc_id", "start"), F.lit(parts)).cast("int"))
+    pieces = pieces.withColumn("part__", F.pmod(F.xxhash64("doc_id", "start", *told), F.lit(parts)).cast("int"))
     sizes = pieces.groupBy("class__", "part__").agg(F.count(F.lit(1)).alias("n__"))
     before = sizes.select("class__", "part__", F.coalesce(F.sum("n__").over(
         Window.partitionBy("class__").orderBy("part__").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before__"))
-    ranked = (pieces.withColumn("rank__", F.row_number().over(Window.partitionBy("class__", "part__").orderBy("doc_id", "start")))
+    ranked = (pieces.withColumn("rank__", F.row_number().over(Window.partitionBy("class__", "part__").orderBy("doc_id", "start", *told)))
               .join(before, ["class__", "part__"]).withColumn("rank__", F.col("rank__") - 1 + F.col("before__")).drop("before__", "part__"))
 
     rows, used, base = [], Counter(), 0
