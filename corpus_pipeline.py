@@ -1,14 +1,17 @@
 """The corpus pipeline: language ID, line dedup, near-duplicate removal, benchmark decontamination, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which ``run`` writes as Parquet to the shared folder
-and rereads as the next stage's docs. All stages but the last return the columns of documents.
+and rereads as the next stage's docs. All stages but the last return the columns of documents, and further columns of their
+input as they are, whatever their names. Rows with a NULL doc_id, repeated rows and rows of one doc_id with different texts
+are documents like any other. NULL and empty texts: no language (stage 1 rejects them), nothing to cut, no near duplicate, no
+benchmark item, one piece of the end mark alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurelake.llm import common, decontaminate, language_id, line_dedup, ngram_join, packing
@@ -17,6 +20,11 @@ from featurelake.llm import common, decontaminate, language_id, line_dedup, ngra
 MIN_SCORE = 0.5
 
 
+def _own(docs: DataFrame) -> list[Column]:
+    """All columns under private names, which no operator's results clash with."""
+    return [F.col(f"`{c}`").alias(f"own__{i}") for i, c in enumerate(docs.columns)]
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1. Rejects documents without a letter and those that no language explains better than the others together.
 
@@ -26,23 +34,31 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = language_id.train(docs)
     if not model.langs:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    marked = language_id.predict(docs.withColumn("text__", F.col("text")), model)
+    marked = language_id.predict(docs.select("text", *_own(docs)), model)
     kept = marked.filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE))
-    return kept.select(*[F.col("text__").alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    return kept.select(*[F.col(f"own__{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4. Later repeats of runs of 50 words or more are cut out; n_chars follows; a document cut to nothing goes."""
-    done = line_dedup.dedup(docs)
-    n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return done.filter((F.col("n_removed") == 0) | F.col("text").rlike(r"\S")).select(
-        *[n_chars.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    done = line_dedup.dedup(docs.select("doc_id", "text", *[c for c, name in zip(_own(docs), docs.columns) if name != "text"]))
+    own = {c: F.col(f"own__{i}") for i, c in enumerate(docs.columns) if c != "text"}
+    n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(own["n_chars"])
+    new = own | {"text": F.col("text"), "n_chars": n_chars}
+    return done.filter((F.col("n_removed") == 0) | F.col("text").rlike(r"\S")).select(*[new[c].alias(c) for c in docs.columns])
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2. Of each group of linked documents the one with the smallest doc_id stays, with its repeated rows if it has any."""
-    groups = ngram_join.components(docs).filter("component_id <=> doc_id").select(F.col("doc_id").alias("id__")).distinct()
-    return docs.join(groups, F.col("doc_id").eqNullSafe(F.col("id__")), "left_semi")
+    """Operator 2. Of each group of linked documents the first stays: the smallest doc_id (NULL last), then the smallest hash of the text.
+
+    Its repeated rows, equal in both, stay with it. The operator knows a document by a hash of its id and text, so neither NULL ids
+    nor two texts of one id are taken for each other.
+    """
+    name, unnamed = F.xxhash64("doc_id", "text"), F.col("doc_id").isNull()
+    groups = ngram_join.components(docs.select(name.alias("doc_id"), "text")).select(F.col("doc_id").alias("name"), "component_id").distinct()
+    ids = docs.select(name.alias("name"), F.struct(unnamed.alias("unnamed"), "doc_id", name.alias("name")).alias("place")).distinct()
+    firsts = groups.join(ids, "name").groupBy("component_id").agg(F.min("place").alias("place")).select(F.col("place.name").alias("name__"))
+    return docs.join(firsts, name == F.col("name__"), "left_semi")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
