@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import re
 import zlib
 from collections import Counter
@@ -11,7 +12,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from featurelake.llm import chat, decontaminate, language_id, line_dedup, ngram_join, packing, quality_rules, rule_ensemble, secrets, token_edits
+from featurelake.llm import chat, common, decontaminate, language_id, line_dedup, ngram_join, packing, quality_rules, rule_ensemble, secrets, token_edits
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WORDS = [a + b + c for a in ("ka", "lo", "mi", "tu", "re") for b in ("n", "st", "r") for c in ("a", "o", "ix", "um")]
@@ -340,6 +341,25 @@ def test_secret_scan(spark, docs):
     assert secrets.scan(docs([])).count() == 0
 
 
+def test_entropy_spans_stand_off_base_spans_as_in_a_plain_comparison():
+    r = random.Random(4)
+    text = " ".join(r.choice(["q7Rz9LmX2vKp4TnW8sYb3HdF", "deadbeef" * 4, "token=abcdef123456", "AKIA" + "A1B2" * 5, "plain"]) + r.choice(["", "x", "/", "="]) for _ in range(400))
+    base = sorted(secrets.base_spans(text), key=lambda x: (x[0], x[2]))
+    free = secrets.entropy_spans(text, [])
+    assert secrets.entropy_spans(text, base) == [f for f in free if not any(f[0] < y and x < f[1] for x, y, _ in base)]
+
+
+def test_a_long_text_of_mixed_lines_is_scanned_in_linear_time():
+    line = "id " + "0f" * 14 + " key q7Rz9LmX2vKp4TnW8sYb3HdF and words enough to fill a line of a log\n"
+    spent = []
+    for n in (1_500, 12_000):
+        t = time.perf_counter()
+        first, found = secrets.scan_text(line * n)
+        spent.append(time.perf_counter() - t)
+        assert len(first) == n and len(found) == 2 * n
+    assert spent[1] < 8 * 3 * spent[0]
+
+
 # ---------------------------------------------------------------- 8
 
 WORDS_49K = public_tokenizers.path("word_bpe_49k.json")
@@ -376,6 +396,13 @@ def test_packing_round_trip(spark, docs):
     assert packing.pack(docs([]), WORDS_49K).count() == 0
 
 
+def test_places_do_not_follow_the_order_of_arrival(spark, docs):
+    rows = [(7 if i % 2 else None, f"{w} " * 30) for i, w in enumerate(WORDS * 3)]
+    pieces = common.keep(packing.token_pieces(docs(rows), WORDS_49K), "pieces")
+    place = lambda df: sorted(((x["ids_crc32"], x["sequence_id"], x["offset"]) for x in packing.assign(df).collect()))
+    assert place(pieces.coalesce(1).orderBy("ids_crc32")) == place(pieces.repartition(7).orderBy(F.desc("ids_crc32")))
+
+
 def test_plan_meets_demand_exactly():
     r = random.Random(1)
     for capacity in (7, 64, 256):
