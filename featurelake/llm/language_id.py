@@ -8,8 +8,12 @@ is an exact code length. Statistics are frozen after training, so the code lengt
 ``ORDER`` predecessors only: all contexts' distributions are laid out once as a table, and scoring whole texts is a
 table lookup per byte.
 
-Training data: a bounded sample of labelled texts (``docs_per_lang`` whole documents per language, chosen by a hash
-of the id). The counts are made by Spark tasks; only the counts of the bounded sample reach the driver.
+Training data: a bounded sample of labelled texts (about ``docs_per_lang`` whole documents and ``bytes_per_lang`` bytes per
+language, chosen by a hash of the id). The counts are made by Spark tasks and written; only counts of the bounded sample reach the driver.
+
+There may be any number of languages. A language's code lengths follow from its own counts, so languages are taken in groups
+whose tables stay under ``TABLE_BYTES``: one group at a time reaches the driver and is broadcast, and the documents are scanned once per
+group, each scan adding to a document's least code length and to the sum that its posterior needs. A handful of languages is one group.
 """
 
 from __future__ import annotations
@@ -21,25 +25,27 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from featurelake.llm.common import slices, utf8
+from featurelake.llm.common import keep, slices, utf8
 
 ORDER = 3
 DOCS_PER_LANG = 300
-MAX_LANGS = 200
+BYTES_PER_LANG = 16 << 20
+BROADCAST_LABELS = 100_000
+#: Bound of a group's table, unless a single language has more.
+TABLE_BYTES = 256 << 20
 
 
-def training_sample(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, max_langs: int = MAX_LANGS) -> DataFrame:
-    """(lang, text): about ``docs_per_lang`` documents of each language, by a hash of the id; at most twice as many."""
+def training_sample(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, bytes_per_lang: int = BYTES_PER_LANG) -> DataFrame:
+    """(lang, text): about ``docs_per_lang`` documents and ``bytes_per_lang`` bytes of each language at most, by a hash of the id."""
     docs = docs.select("doc_id", "text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL")
-    counts = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs + 1).collect()
-    if len(counts) > max_langs:
-        raise ValueError(f"more than max_langs={max_langs} languages")
-    if not counts:
-        return docs.select("lang", "text").limit(0)
-    share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(1.0, docs_per_lang / r["n"]))])
+    shares = keep(docs.groupBy(F.col("lang").alias("lang__")).agg(F.least(
+        F.lit(1.0), docs_per_lang / F.count(F.lit(1)), bytes_per_lang / F.greatest(F.sum(F.octet_length("text").cast("long")), F.lit(1))).alias("share")), "shares")
+    if shares.count() <= BROADCAST_LABELS:  # texts are not dealt out by label, unless labels are too many to be sent along
+        shares = F.broadcast(shares)
     unit = (F.xxhash64(F.lit("language sample"), "doc_id").bitwiseAND(F.lit((1 << 30) - 1)) / float(1 << 30))
-    return docs.filter(unit < share[F.col("lang")]).select("lang", "text").limit(2 * docs_per_lang * len(counts))
+    return docs.withColumn("unit__", unit).join(shares, F.col("lang") == F.col("lang__")).filter(F.col("unit__") < F.col("share")).select("lang", "text")
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,17 +154,47 @@ class Model:
         return out
 
 
-def train(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> Model:
+class Models:
+    """Written counts (lang, gram, n), and the languages in groups."""
+
+    def __init__(self, counts: DataFrame, groups: list[list[str]]):
+        self.counts, self.groups = counts, groups
+        self.langs = [x for g in groups for x in g]
+
+    def group(self, i: int) -> Model:
+        langs = self.groups[i]
+        mine = self.counts if len(self.groups) == 1 else self.counts.filter((F.col("lang") >= langs[0]) & (F.col("lang") <= langs[-1]))
+        got = mine.toArrow()
+        code = pc.index_in(got["lang"], pa.array(langs, pa.string())).to_numpy()
+        return Model(langs, code, got["gram"].to_numpy(), got["n"].to_numpy())
+
+
+def grouped(sizes: list[tuple[str, int, int]], table_bytes: int = TABLE_BYTES) -> list[list[str]]:
+    """Languages in order of name, as many together as surely stay under ``table_bytes``, of (language, contexts, bytes it uses)."""
+    groups: list[list[str]] = []
+    contexts = symbols = 0
+    for lang, c, a in sizes:
+        contexts, symbols = contexts + c, min(257, symbols + a)
+        if not groups or 4 * contexts * symbols * (len(groups[-1]) + 1) > table_bytes:
+            groups.append([])
+            contexts, symbols = c, a
+        groups[-1].append(lang)
+    return groups
+
+
+def train(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, bytes_per_lang: int = BYTES_PER_LANG, table_bytes: int = TABLE_BYTES) -> Models:
     """Learn from (doc_id, text, lang); rows with a NULL in one of them teach nothing. No rows: no languages."""
-    grams = (training_sample(docs, docs_per_lang)
-             .mapInArrow(_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    got = grams.toArrow()
-    langs = sorted(pc.unique(got["lang"]).to_pylist())
-    code = pc.index_in(got["lang"], pa.array(langs, pa.string())).to_numpy()
-    return Model(langs, code, got["gram"].to_numpy(), got["n"].to_numpy())
+    counts = keep(training_sample(docs, docs_per_lang, bytes_per_lang).mapInArrow(_grams, "lang string, gram long, n long")
+                  .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    context = F.shiftright("gram", 9)
+    held = [F.count_distinct(F.col("context").bitwiseAND(F.lit((1 << 9 * k) - 1))) for k in range(1, ORDER + 1)]
+    sizes = (counts.select("lang", context.alias("context"), F.col("gram").bitwiseAND(F.lit(511)).alias("symbol"))
+             .groupBy("lang").agg(sum(held[1:], held[0] + 1).alias("contexts"), (F.count_distinct("symbol") + 1).alias("symbols")))
+    # the names sort by their bytes in Spark and by their code points here, which is the same order
+    return Models(counts, grouped([(r["lang"], r["contexts"], r["symbols"]) for r in sizes.orderBy("lang").collect()], table_bytes))
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
+def predict(docs: DataFrame, models: Models) -> DataFrame:
     """docs' columns but ``text``, and lang_pred, score, bits_per_byte, of each whole text.
 
     lang_pred is the language of the least code length (ties: the first by name), score its posterior probability
@@ -166,32 +202,48 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     Rows are neither joined nor dealt out, so repeated rows give repeated results. A column of docs named like a result gives way.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
     new = ["lang_pred", "score", "bits_per_byte"]
     carried = [c for c in docs.columns if c not in ("text", *new)]
-    schema = docs.select(*carried).schema.add("lang_pred", "string").add("score", "double").add("bits_per_byte", "double")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        names = np.array([*m.langs, "und"], object)
-        for batch in batches:
-            for part in slices(batch):
-                text, letters = part.column(0), part.column(1).to_numpy(zero_copy_only=False).astype(bool)
-                n = part.num_rows
-                best, score, rate = np.full(n, len(m.langs)), np.zeros(n), np.zeros(n)
-                if m.langs:
-                    data, offsets = utf8(pc.utf8_lower(text))
-                    bits = m.code_lengths(data, offsets)
-                    best = np.where(letters, bits.argmin(1), best)
-                    least = bits.min(1)
-                    with np.errstate(over="ignore", under="ignore"):
-                        score = np.where(letters, 1 / np.exp2(least[:, None] - bits).sum(1), 0.0)
-                    rate = np.where(letters, least / np.maximum(np.diff(offsets), 1), 0.0)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[2:], pa.array(names[best], pa.string()), pa.array(score), pa.array(rate)], names=[*carried, *new])
-
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return docs.select("text", letters.alias("letters"), *carried).mapInArrow(run, schema)
+    mark = "__"
+    while any(c.endswith(mark) for c in carried):  # names that no column of the caller has
+        mark += "_"
+    best, least, total = (F.col(n + mark) for n in ("best", "least", "sum"))
+    unread = [F.lit(None).cast(kind).alias(n + mark) for n, kind in (("best", T.StringType()), ("least", T.DoubleType()), ("sum", T.DoubleType()))]
+    rows = docs.select("text", letters.alias("letters" + mark), *carried, *unread)
+    schema = rows.schema
+
+    def scan(model: Model):
+        shared = spark.sparkContext.broadcast(model)  # a group's table, bounded by TABLE_BYTES or one language
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            m = shared.value
+            names = np.array(m.langs, object)
+            for batch in batches:
+                for part in slices(batch):
+                    data, offsets = utf8(pc.utf8_lower(part.column(0)))
+                    bits = m.code_lengths(data, offsets)
+                    best, least = names[bits.argmin(1)], bits.min(1)
+                    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+                        total = np.exp2(least[:, None] - bits).sum(1)
+                        old = part.column(part.num_columns - 2)
+                        if old.null_count < len(old):  # the sum of powers moves to the lesser of the two least lengths
+                            held, before = old.to_numpy(), part.column(part.num_columns - 1).to_numpy()
+                            low = np.minimum(held, least)
+                            total = before * np.exp2(low - held) + total * np.exp2(low - least)
+                            best = np.where(held <= least, np.array(part.column(part.num_columns - 3).to_pylist(), object), best)
+                            least = low
+                    yield pa.RecordBatch.from_arrays([*part.columns[:-3], pa.array(best, pa.string()), pa.array(least), pa.array(total)], names=schema.names)
+        return run
+
+    for i in range(len(models.groups)):
+        if i:  # one group's table in a worker at a time
+            rows = keep(rows, "languages")
+        rows = rows.mapInArrow(scan(models.group(i)), schema)
+    told = F.col("letters" + mark) & best.isNotNull()
+    length = F.greatest(F.octet_length(F.lower("text")), F.lit(1))
+    return rows.select(*carried, F.when(told, best).otherwise("und").alias("lang_pred"), F.when(told, 1 / total).otherwise(0.0).alias("score"),
+                       F.when(told, least / length).otherwise(0.0).alias("bits_per_byte"))
 
 
 def identify(docs: DataFrame, labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> DataFrame:

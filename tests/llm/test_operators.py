@@ -97,6 +97,43 @@ def test_language_id_edges(spark, docs):
     assert language_id.identify(docs([]), docs(rows)).count() == 0
 
 
+def test_groups_of_languages_change_no_result(spark, docs):
+    rows = [(i * 10 + k, prose(60, i * 10 + k).translate({97 + j: 97 + (j * (2 * i + 1) + i) % 26 for j in range(26)}), f"l{i}") for i in range(6) for k in range(8)]
+    rows += [(900, None, "l1"), (901, "12 3", "l2"), (902, "", None), (903, prose(2000), None)]
+    one = language_id.train(docs(rows))
+    many = language_id.train(docs(rows), table_bytes=1)
+    assert len(one.groups) == 1 and many.groups == [[f"l{i}"] for i in range(6)]
+    a, b = ({r["doc_id"]: r for r in language_id.predict(docs(rows, best__="x"), m).collect()} for m in (one, many))
+    assert set(a) == set(b) and a[900]["lang_pred"] == b[900]["lang_pred"] == "und"
+    for i, r in a.items():
+        assert (r["lang_pred"], r["best__"]) == (b[i]["lang_pred"], "x")
+        assert [b[i]["score"], b[i]["bits_per_byte"]] == pytest.approx([r["score"], r["bits_per_byte"]], rel=1e-5)
+
+
+def test_a_thousand_labels(spark, docs):
+    rows = [(i, f"{chr(0x4e00 + i)}{chr(97 + i % 26)} " * 12, f"tag-{i:04}") for i in range(1000)]
+    models = language_id.train(docs(rows), table_bytes=48 << 20)
+    assert len(models.langs) == 1000 and len(models.groups) > 1
+    got = language_id.predict(docs(rows), models).collect()
+    assert all(r["lang_pred"] == f"tag-{r['doc_id']:04}" for r in got) and len(got) == 1000
+
+
+def test_ties_between_languages_go_to_the_first_name(spark, docs):
+    rows = [(1, "same text here", "b"), (1, "same text here", "a"), (1, "same text here", "c")]
+    for size in (language_id.TABLE_BYTES, 1):
+        got = language_id.predict(docs(rows), language_id.train(docs(rows), table_bytes=size)).collect()
+        assert {r["lang_pred"] for r in got} == {"a"} and all(r["score"] == pytest.approx(1 / 3) for r in got)
+
+
+def test_groups_stay_under_the_bound():
+    sizes = [(f"l{i}", 100 + i, 50) for i in range(30)]
+    groups = language_id.grouped(sizes, 4 * 1000 * 200)
+    assert [x for g in groups for x in g] == [s[0] for s in sizes]
+    held = {n: (c, a) for n, c, a in sizes}
+    assert all(4 * sum(held[x][0] for x in g) * min(257, sum(held[x][1] for x in g)) * len(g) <= 4 * 1000 * 200 for g in groups)
+    assert language_id.grouped(sizes, 1) == [[s[0]] for s in sizes] and language_id.grouped([]) == []
+
+
 # ---------------------------------------------------------------- 2
 
 def components_by_hand(rows):
