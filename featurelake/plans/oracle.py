@@ -191,6 +191,8 @@ SQL["online_lookup"] = f"""
 SELECT {_ASKED}, l.ok_share, CAST(c_nationkey * 10 - l.n_events AS DOUBLE) AS events_missing, {_RATIO}
 FROM customer LEFT JOIN {_ONLINE} l ON c_custkey = l.member_id"""
 
+SQL["online_point_reads"] = SQL["online_lookup"]
+
 _PUSHED_LATEST = _latest_stats("TRUE", f"(SELECT * FROM {SIGNALS} WHERE event_timestamp <= TIMESTAMP '2024-01-31 00:00:00' UNION ALL SELECT * FROM {PUSHED})")
 SQL["push_upsert"] = f"SELECT * FROM {_PUSHED_LATEST}"
 SQL["push_offline"] = f"SELECT * FROM {SIGNALS} UNION ALL SELECT * FROM {PUSHED}"

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from featurelake.api import FeatureRepo
 from featurelake.operators import views as vw
+from featurelake.operators.online import OnlineTable
 from featurelake.plans import activity_repo as repo
 from featurelake.plans.catalog import query
 from featurelake.session import scratch_dir
@@ -83,6 +84,17 @@ def online_lookup(spark, sf_dir):
     return vw.online_features(_request_rows(spark, sf_dir), {repo.PACE.name: _online(spark, sf_dir, repo.PACE)}, refs)
 
 
+@query("online_point_reads")
+def online_point_reads(spark, sf_dir):
+    """J3 from a bucketed, written table: materialised in two steps, then read by a new instance; the same rows as ``online_lookup``."""
+    root, history = scratch_dir(spark, "online"), _sources(spark, sf_dir)[repo.PACE.name]
+    for start, end in ((None, CUT_1), (CUT_1, ONLINE_END)):
+        OnlineTable(spark, root, repo.PACE, buckets=16).upsert(vw.latest_per_key(history, repo.PACE, start=start, end=end))
+    requests = _request_rows(spark, sf_dir)
+    refs = vw.parse_refs(["pace:ok_share", "gap:events_missing", "gap:pace_ratio"], repo.VIEWS)
+    return vw.online_features(requests, {repo.PACE.name: OnlineTable(spark, root, repo.PACE).for_requests(requests)}, refs)
+
+
 @query("push_upsert")
 def push_upsert(spark, sf_dir):
     history, pushed = (fx.member_signals(spark, sf_dir, kinds) for kinds in (HISTORY, PUSHED))
