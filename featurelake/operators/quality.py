@@ -2,20 +2,21 @@
 
 Profiles are one aggregate pass per table (partial + final aggregation), then a
 narrow ``unpivot`` into tidy ``(dataset, column_name, stat, value)`` rows.
-Quantiles are exact, found by distributed selection (``exact_quantiles``)
-rather than by collecting a column into one aggregation buffer.
+Quantiles are exact, by ranks in a sort by ranges (``values_at_ranks``) or by
+distributed selection without a sort (``exact_quantiles``), rather than by collecting a column into one aggregation buffer.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featurelake.functions.columns import literal_frame, nan_to_null
 from featurelake.operators.transform import numeric_columns
+from featurelake.session import discard, written
 
 _FIXED_WIDTH = {T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
                 T.DateType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8}
@@ -220,11 +221,57 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], window:
         vals.unpersist()
 
 
+def values_at_ranks(df: DataFrame, cols: list[str], ranks: dict[str, list[int]]) -> dict[tuple[str, int], float]:
+    """The values at the given ranks (0 is the least; NULL and NaN are left out) of each column, all columns in one sort.
+
+    1. (column, value) pairs are counted (a partial aggregate, so a value that fills a third of a column is one row), dealt out by
+       ranges of (column, value), sorted, and written with the number of their range: nothing is left to one task, however many
+       rows or columns there are;
+    2. each range's count per column is summed over the ranges before it (a table of ranges plus columns, not of rows), which tells the
+       range and the place in it of every asked rank;
+    3. only these ranges are read again, and a running count inside each finds the value.
+
+    The driver gets a place and a value per asked rank, nothing else. Ranks outside a column have no entry.
+    """
+    spark = df.sparkSession
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("col"), F.col(f"`{c}`").cast("double").alias("v")) for i, c in enumerate(cols)])).alias("p"))
+    counted = pairs.select("p.col", "p.v").filter("v IS NOT NULL AND NOT isnan(v)").groupBy("col", "v").agg(F.count(F.lit(1)).alias("n"))
+    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    table, path = written(counted.repartitionByRange(ranges, "col", "v").sortWithinPartitions("col", "v").withColumn("part", F.spark_partition_id()), "ranks")
+    try:
+        before = Window.partitionBy("col").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        held = table.groupBy("part", "col").agg(F.sum("n").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        asked = spark.createDataFrame([(i, int(r)) for i, c in enumerate(cols) for r in sorted(set(ranks.get(c, [])))], "col int, rank bigint")
+        places = held.join(F.broadcast(asked), "col").filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
+        found = [(r["part"], r["col"], r["rank"], r["before"]) for r in places.select("part", "col", "rank", "before").collect()]
+        if not found:
+            return {}
+        wanted = spark.createDataFrame(found, "part int, col int, rank bigint, before bigint")
+        within = Window.partitionBy("part", "col").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        running = table.filter(F.col("part").isin(sorted({f[0] for f in found}))).withColumn("upto", F.sum("n").over(within))
+        hits = running.join(F.broadcast(wanted), ["part", "col"]).filter(
+            (F.col("before") + F.col("upto") > F.col("rank")) & (F.col("before") + F.col("upto") - F.col("n") <= F.col("rank")))
+        return {(cols[r["col"]], r["rank"]): r["v"] for r in hits.select("col", "rank", "v").collect()}
+    finally:
+        discard(spark, path)
+
+
+def sorted_quantiles(df: DataFrame, cols: list[str], probs: list[float], counts: dict[str, int]) -> dict[str, dict[float, float | None]]:
+    """Exact quantiles with linear interpolation between neighbouring ranks, by ``values_at_ranks``; None for a column without values."""
+    at = {c: [p * (counts[c] - 1) for p in probs] for c in cols if counts[c]}
+    value = values_at_ranks(df, cols, {c: [r for x in xs for r in (math.floor(x), math.ceil(x))] for c, xs in at.items()})
+
+    def between(c: str, x: float) -> float:
+        a, b = value[c, math.floor(x)], value[c, math.ceil(x)]
+        return a if a == b else a + (b - a) * (x - math.floor(x))
+
+    return {c: {p: between(c, at[c][k]) if c in at else None for k, p in enumerate(probs)} for c in cols}
+
+
 def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
     """A5: count, mean, std (n-1), min, 25/50/75 %, max per numeric column, one row per column.
 
-    Exact (default): moments and quantiles come from the persisted projection
-    used by ``exact_quantiles`` (moments ride on its first pass); the summary
+    Exact (default): one aggregate for the moments, then ``sorted_quantiles``; the summary
     (a handful of numbers per column) is returned as a small DataFrame.
     ``exact=False`` is one lazy aggregate with ``percentile_approx``.
     """
@@ -232,9 +279,12 @@ def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -
     schema = ("column_name string, count bigint, mean double, std double, min double, p25 double, p50 double, "
               "p75 double, max double")
     if exact:
-        q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], moments=True)
-        rows = [(c, q[c]["count"], q[c]["mean"], q[c]["std"], q[c]["min"], q[c][0.25], q[c][0.5], q[c][0.75],
-                 q[c]["max"]) for c in cols]
+        clean = df.select(*[nan_to_null(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+        m = clean.agg(*[f(f"v{i}").alias(f"{n}{i}") for i in range(len(cols)) for n, f in
+                        (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))]).first()
+        q = sorted_quantiles(df, cols, [0.25, 0.5, 0.75], {c: m[f"count{i}"] for i, c in enumerate(cols)})
+        rows = [(c, m[f"count{i}"], m[f"mean{i}"], m[f"std{i}"], m[f"min{i}"], q[c][0.25], q[c][0.5], q[c][0.75], m[f"max{i}"])
+                for i, c in enumerate(cols)]
         return literal_frame(df.sparkSession, rows, schema)
     clean = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in cols])
     aggs = []

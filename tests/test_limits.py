@@ -40,6 +40,34 @@ def test_quantiles_resolve_every_rank(spark):
         qa.exact_quantiles(df, ["x"], [0.1], window=1, splits=4, max_rounds=1)
 
 
+def test_ranks_equal_a_plain_sort(spark):
+    rng = np.random.default_rng(3)
+    cols = {"a b": rng.normal(size=5000).round(1), "ties": np.where(rng.random(5000) < 0.4, 7.0, rng.integers(0, 50, 5000)), "same": np.full(5000, 2.5),
+            "odd": np.concatenate([rng.normal(size=4990), [math.inf, -math.inf, 0.0, -0.0, 1e-300, -1e300, *[math.nan] * 4]])}
+    rows = [tuple(None if i % 97 == 0 and j == 0 else float(v[i]) for j, v in enumerate(cols.values())) + (None,) for i in range(5000)]
+    df = spark.createDataFrame(rows, "`a b` double, ties double, same double, odd double, none double")
+    names = [*cols, "none"]
+    plain = {c: sorted(v for r in rows if (v := r[j]) is not None and not math.isnan(v)) for j, c in enumerate(names)}
+    ranks = {c: [0, 1, 17, len(v) // 2, len(v) - 1, len(v), 10**9] for c, v in plain.items()}
+    got = qa.values_at_ranks(df, names, ranks)
+    assert got == {(c, r): plain[c][r] for c in names for r in ranks[c] if 0 <= r < len(plain[c])}
+    assert qa.values_at_ranks(df.limit(0), names, ranks) == {} and qa.values_at_ranks(df, names, {}) == {}
+
+
+def test_describe_equals_pandas_and_leaves_no_table(spark):
+    import glob
+
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(float(x), int(n), None) for x, n in zip(rng.normal(size=701), rng.integers(0, 9, 701))], "x double, n int, gone double")
+    got = {r["column_name"]: r for r in qa.describe(df).collect()}
+    want = df.toPandas()[["x", "n"]].describe()
+    for c in ("x", "n"):
+        for ours, theirs in (("count", "count"), ("mean", "mean"), ("std", "std"), ("min", "min"), ("p25", "25%"), ("p50", "50%"), ("p75", "75%"), ("max", "max")):
+            assert got[c][ours] == pytest.approx(want[c][theirs], rel=1e-12)
+    assert got["gone"]["count"] == 0 and got["gone"]["p50"] is None
+    assert not glob.glob(os.path.join(scratch_dir(spark, "x").removeprefix("file:").rsplit("/", 1)[0], "ranks-*"))
+
+
 def test_nan_is_left_out(spark):
     df = spark.createDataFrame([("reference", 1.0), ("reference", 1.0), ("current", 1.0), ("current", math.nan)], "period string, x double")
     r = qa.mean_drift(df, "period").first()
