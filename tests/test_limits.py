@@ -28,6 +28,23 @@ def test_components_converge_or_raise(spark):
     assert gr.component_labels(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
+@pytest.mark.parametrize("cell_edges", [10**9, 60, 5])
+def test_triangles_in_cells_equal_all_triples(spark, monkeypatch, cell_edges):
+    rng = np.random.default_rng(cell_edges % 7)
+    pairs = {tuple(sorted(p)) for p in rng.integers(0, 40, (260, 2)).tolist() if p[0] != p[1]}
+    pairs |= {(0, i) for i in range(1, 200)} | {(500 + i, 500 + j) for i in range(8) for j in range(i + 1, 8)}  # a hub and a clique
+    near = {}
+    for a, b in pairs:
+        near.setdefault(a, set()).add(b), near.setdefault(b, set()).add(a)
+    want = {v: sum(1 for x in n for y in n if x < y and y in near[x]) for v, n in near.items()}
+    monkeypatch.setattr(gr, "STEP_PAIRS", 50)
+    for name in (lambda i: i, lambda i: f"n{i}"):
+        edges = gr.canonical_edges(spark.createDataFrame([(name(a), name(b)) for a, b in pairs], "src long, dst long" if name(1) == 1 else "src string, dst string"))
+        got = {r["node"]: (r["triangles"], r["clustering"]) for r in gr.local_clustering(edges, cell_edges).collect()}
+        assert got == {name(v): (t, pytest.approx(2 * t / (len(near[v]) * (len(near[v]) - 1)) if len(near[v]) > 1 else 0.0)) for v, t in want.items()}
+    assert gr.local_clustering(edges.limit(0)).count() == 0
+
+
 def test_quantiles_resolve_every_rank(spark):
     rng = np.random.default_rng(1)
     x = np.concatenate([rng.normal(size=3000), np.full(4000, 7.0), [math.inf, -math.inf, 1e-300, -1e300]])
