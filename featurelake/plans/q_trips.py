@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from featurelake.operators import trips as tp
+from featurelake.operators.vocabulary import OneHotTables
 from featurelake.plans.catalog import query
+from featurelake.session import scratch_dir
 from featurelake.sources import fixtures as fx
 from featurelake.sources.tables import table
 
@@ -45,9 +47,9 @@ def hash_split(spark, sf_dir):
 @query("one_hot")
 def one_hot(spark, sf_dir):
     data = tp.temporal_split(prepared(spark, sf_dir), "pickup_datetime", VAL_FROM, TEST_FROM)
-    model = tp.fit_one_hot(data.filter(F.col("split") == "train"), ["PU_DO"], ["trip_distance"])
-    enc = model.transform(data.filter(F.col("split") != "train"))
-    return enc.select("PU_DO", "trip_distance", "split", tp.active_category(enc, "PU_DO").alias("pu_do_index"))
+    model = OneHotTables.fit(data.filter(F.col("split") == "train"), ["PU_DO"], scratch_dir(spark, "one-hot"))
+    enc = model.transform(data.filter(F.col("split") != "train"), ["trip_distance"])
+    return enc.select("PU_DO", "trip_distance", "split", F.col("PU_DO__idx").alias("pu_do_index"))
 
 
 @query("one_hot_ids")
@@ -55,7 +57,7 @@ def one_hot_ids(spark, sf_dir):
     """M5, second input set: pickup and dropoff ids encoded separately (one vocabulary each)."""
     data = tp.temporal_split(prepared(spark, sf_dir), "pickup_datetime", VAL_FROM, TEST_FROM)
     cats = ["PULocationID", "DOLocationID"]
-    model = tp.fit_one_hot(data.filter(F.col("split") == "train"), cats, [])
-    enc = model.transform(data.filter(F.col("split") != "train"))
-    return enc.select(*cats, "split", tp.active_category(enc, "PULocationID").alias("pu_index"),
-                      tp.active_category(enc, "DOLocationID").alias("do_index"))
+    root = scratch_dir(spark, "one-hot")
+    OneHotTables.fit(data.filter(F.col("split") == "train"), cats, root)
+    enc = OneHotTables.load(spark, root).indexed(data.filter(F.col("split") != "train"))
+    return enc.select(*cats, "split", F.col("PULocationID__idx").alias("pu_index"), F.col("DOLocationID__idx").alias("do_index"))
