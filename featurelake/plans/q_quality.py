@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from featurelake.functions.columns import rounded
 from featurelake.operators import guard
 from featurelake.operators import quality as qa
+from featurelake.operators.retention import ReportStore
 from featurelake.plans.catalog import query
 from featurelake.session import scratch_dir
 from featurelake.sources import fixtures as fx
@@ -47,3 +50,14 @@ def schema_watch(spark, sf_dir):
     for i, run in enumerate((first, second, third)):
         kept.record(run, "events", f"2024-02-0{i + 1} 00:00:00")
     return guard.changes(kept.history("events"))
+
+
+@query("report_retention")
+def report_retention(spark, sf_dir):
+    """A report per day and kind of event, kept for ten days after the day's last event; what is left on 20 January at noon."""
+    reports = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day"), "event_type").agg(
+        F.count(F.lit(1)).alias("n_events"), F.max("ts").cast("timestamp_ntz").alias("validated_at"))
+    store, now = ReportStore(spark, scratch_dir(spark, "reports")), datetime(2024, 1, 20, 12)
+    store.keep(reports.withColumn("expires_at", F.col("validated_at") + F.expr("INTERVAL 10 DAYS")))
+    store.expire(now)
+    return store.live(now).select("day", "event_type", "n_events", "validated_at", "expires_at")
