@@ -477,7 +477,7 @@ UNION ALL SELECT 'whole numbers', NULL, count(*), round(avg(3 * trunc(q) - 2 * t
 UNION ALL SELECT 'tax as text', 'type of tax: string != double', count(*), NULL FROM {_TEST_LINES}
 UNION ALL SELECT 'no quantity', 'missing column quantity', count(*), NULL FROM {_TEST_LINES}"""
 
-SQL["report_retention"] = """SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n_events, max(ts) AS validated_at,
+SQL["report_retention"] = """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(*) AS n_events, max(ts) AS validated_at,
   max(ts) + INTERVAL 10 DAY AS expires_at FROM events GROUP BY 1, 2 HAVING max(ts) + INTERVAL 10 DAY > TIMESTAMP '2024-01-20 12:00:00'"""
 
 SQL["schema_watch"] = """

@@ -55,7 +55,7 @@ def schema_watch(spark, sf_dir):
 @query("report_retention")
 def report_retention(spark, sf_dir):
     """A report per day and kind of event, kept for ten days after the day's last event; what is left on 20 January at noon."""
-    reports = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day"), "event_type").agg(
+    reports = table(spark, sf_dir, "events").groupBy(F.to_date("ts").cast("string").alias("day"), "event_type").agg(
         F.count(F.lit(1)).alias("n_events"), F.max("ts").cast("timestamp_ntz").alias("validated_at"))
     store, now = ReportStore(spark, scratch_dir(spark, "reports")), datetime(2024, 1, 20, 12)
     store.keep(reports.withColumn("expires_at", F.col("validated_at") + F.expr("INTERVAL 10 DAYS")))
