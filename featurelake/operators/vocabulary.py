@@ -1,8 +1,8 @@
 """One-hot encoding with vocabularies kept as tables (M5, S12): no category value ever reaches the driver.
 
 A vocabulary is a table (value, index): the distinct values of a column in alphabetical order, numbered densely from 0. The numbers are made
-in executors: values are dealt out by ranges and sorted, each range is counted, and a running sum over the ranges' counts
-(one row per range) says where each begins. Encoding joins a frame with the table, and Spark ML builds sparse vectors from the indexes; the
+in executors: values are dealt out by ranges and sorted, a value has a place in its range, and a running sum over the ranges' counts
+(one number per range) says where each begins. Encoding joins a frame with the table, and Spark ML builds sparse vectors from the indexes; the
 driver knows each vocabulary's size and nothing else. Use ``trips.fit_one_hot`` where a vocabulary surely fits into one pipeline stage.
 """
 
@@ -12,23 +12,33 @@ import os
 from dataclasses import dataclass
 
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurelake.session import discard, written
 
 
-def numbered(values: DataFrame, column: str) -> tuple[DataFrame, str]:
-    """((value, index), path): the distinct non-NULL values of ``column`` numbered from 0 in their order, and the working table below it."""
+#: Bits of a row's place within its partition in Spark's monotonically increasing ids; the partition's number is above them.
+_PLACE_BITS = 33
+
+
+def numbered(values: DataFrame, column: str) -> tuple[DataFrame, int, str]:
+    """((value, index), size, path): the distinct non-NULL values of ``column`` numbered from 0 in their order, their number, and the
+    working table below. The values are sorted once; the driver sees a count per range."""
     spark = values.sparkSession
     ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     distinct = values.select(F.col(f"`{column}`").alias("value")).filter("value IS NOT NULL").distinct()
-    table, path = written(distinct.repartitionByRange(ranges, "value").sortWithinPartitions("value").withColumn("part", F.spark_partition_id()), "values")
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
-    begins = table.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("begin"))
-    within = Window.partitionBy("part").orderBy("value")
-    index = F.row_number().over(within) - 1 + F.col("begin")
-    return table.join(F.broadcast(begins), "part").select("value", index.cast("bigint").alias("index")), path
+    place = F.monotonically_increasing_id()  # of sorted ranges: the range's number, and the place in it
+    table, path = written(distinct.repartitionByRange(ranges, "value").sortWithinPartitions("value").withColumn("place", place), "values")
+    part = F.shiftright("place", _PLACE_BITS)
+    counts = sorted((r["part"], r["n"]) for r in table.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+    begins, size = [], 0
+    for k, n in counts:
+        begins.append((k, size - (k << _PLACE_BITS)))
+        size += n
+    shift = spark.createDataFrame(begins, "part bigint, shift bigint")
+    index = F.col("place") + F.col("shift")
+    return table.withColumn("part", part).join(F.broadcast(shift), "part").select("value", index.alias("index")), size, path
 
 
 @dataclass(frozen=True)
@@ -44,11 +54,10 @@ class OneHotTables:
         """Write each column's vocabulary, then what ``load`` needs to find them."""
         spark, sizes = train.sparkSession, []
         for i, c in enumerate(columns):
-            table, path = numbered(train, c)
-            at = os.path.join(root, str(i))
-            table.write.mode("overwrite").parquet(at)
+            table, size, path = numbered(train, c)
+            table.write.mode("overwrite").parquet(os.path.join(root, str(i)))
             discard(spark, path)
-            sizes.append(spark.read.parquet(at).count())
+            sizes.append(size)
         about = spark.createDataFrame(list(zip(range(len(columns)), columns, sizes)), "place int, name string, size bigint")
         about.coalesce(1).write.mode("overwrite").parquet(os.path.join(root, "about"))
         return OneHotTables(root, tuple(columns), tuple(sizes))
