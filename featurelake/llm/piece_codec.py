@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -29,6 +29,8 @@ SPACE_MARK = "▁"
 #: Characters of cuttings, and compatible or incompatible pairs, that a Python worker remembers; beyond it starts anew.
 MEMORY_CHARS = 4_000_000
 MEMORY_PAIRS = 400_000
+#: Characters or ids of a long text that are worked on at a time.
+STEP = 1 << 18
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 _codecs: dict[str, Codec] = {}
 
@@ -157,9 +159,11 @@ class Codec:
         whole = "".join(marked)
         if not whole:
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-        kind = self.kind[np.frombuffer(whole.encode("utf-32-le"), np.uint32)].astype(np.int64)
+        points = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
         opens = np.ones(len(whole), bool)
-        opens[1:] = ~self.joined[kind[:-1] * self.n_kinds + kind[1:]]
+        for lo in range(1, len(whole), STEP):
+            kind = self.kind[points[lo - 1:lo + STEP]].astype(np.int64)
+            opens[lo:lo + STEP] = ~self.joined[kind[:-1] * self.n_kinds + kind[1:]]
         opens[ends[ends < len(whole)]] = True
         starts = np.flatnonzero(opens)
         at = [*starts.tolist(), len(whole)]
@@ -187,7 +191,10 @@ class Codec:
         lo[heads] += 1
         size[heads] -= 1
         byte_at = np.concatenate([[0], np.cumsum(size)])
-        data = self.bytes[np.arange(byte_at[-1]) + np.repeat(lo - byte_at[:-1], size)]
+        data = np.empty(byte_at[-1], np.uint8)
+        for s in range(0, len(ids), STEP):
+            a, b = byte_at[s], byte_at[min(s + STEP, len(ids))]
+            data[a:b] = self.bytes[np.arange(a, b) + np.repeat((lo - byte_at[:-1])[s:s + STEP], size[s:s + STEP])]
         border = np.union1d(first, np.flatnonzero(self.kinds[ids] == _CONTROL))  # no character reaches across a control
         offsets = byte_at[border]
         if not _whole_characters(data, offsets):
@@ -260,7 +267,7 @@ def decode(rows: DataFrame, model: str) -> DataFrame:
                 hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + (1 << 18), side="right")) - 1)
                 part = batch.slice(lo, hi - lo)
                 ids = part.column(at).flatten()
-                if ids.null_count or (len(ids) and not 0 <= pa.compute.min(ids).as_py() <= pa.compute.max(ids).as_py() < len(coder.said)):
+                if ids.null_count or (len(ids) and not 0 <= pc.min(ids).as_py() <= pc.max(ids).as_py() < len(coder.said)):
                     raise ValueError("an id outside the vocabulary")
                 data, offsets = coder.decode(ids.to_numpy(), ends[lo:hi + 1] - ends[lo])
                 text = pa.LargeStringArray.from_buffers(hi - lo, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data))

@@ -80,6 +80,16 @@ def test_memory_starts_anew(monkeypatch, library):
         assert own.encode([text])[0].tolist() == library.encode(text)
 
 
+@pytest.mark.parametrize("step", [1, 2, 7])
+def test_steps_change_nothing(monkeypatch, library, coder, step):
+    monkeypatch.setattr(piece_codec, "STEP", step)
+    texts = ["some  words, here\n", "", "é漢😀 x", "a" * 50]
+    ids, first = coder.encode(texts)
+    said, at = coder.decode(ids, first)
+    for i, text in enumerate(texts):
+        assert ids[first[i]:first[i + 1]].tolist() == library.encode(text) and said[at[i]:at[i + 1]].tobytes().decode() == text
+
+
 def test_rows_and_columns_stay(docs, library):
     rows = [(1, "one two"), (1, "one two"), (2, None), (3, ""), (None, "no id"), (4, "word " * 30_000)]
     done = piece_codec.decode(piece_codec.encode(docs(rows, ids="x", decoded="y", extra=7), MODEL), MODEL)
