@@ -27,8 +27,8 @@ from featurelake.llm.common import slices
 
 SPACE_MARK = "▁"
 #: Characters of cuttings, and compatible or incompatible pairs, that a Python worker remembers; beyond it starts anew.
-MEMORY_CHARS = 4_000_000
-MEMORY_PAIRS = 400_000
+MEMORY_CHARS = 2_500_000
+MEMORY_PAIRS = 200_000
 #: Characters or ids of a long text that are worked on at a time.
 STEP = 1 << 18
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
