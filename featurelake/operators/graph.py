@@ -8,8 +8,8 @@ canonical ``src < dst``. Every metric is a DataFrame job:
   (degree, id) rank, so no hub expands its full neighbourhood; counted in cells of three node colours (the partition
   algorithm of Suri and Vassilvitskii, "Counting triangles and the curse of the last reducer", WWW 2011), so edges are
   shuffled and wedges are not; listed with an equi-join (their node-iterator++);
-* components: min-label propagation with shortcutting, the labels written
-  with ``checkpoint()`` to the session's shared checkpoint folder each round.
+* components: alternating large and small stars, each step's edges written
+  to the session's shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -221,47 +221,88 @@ def average_clustering(edges: DataFrame) -> DataFrame:
                   (F.sum("triangles") / 3).cast("bigint").alias("triangles"))
 
 
-def component_labels(edges: DataFrame, max_rounds: int | None = None, salts: int = 8) -> DataFrame:
+def _nodes(edges: DataFrame, t: int) -> tuple[DataFrame, str, dict]:
+    """Per end of edges (hi, lo): its least smaller neighbour and its numbers of smaller and larger ones, as a written table.
+
+    Also observed while that table is written: the edges, the nodes that keep their component from being a star about its
+    least node, and the nodes with more than ``t`` smaller or larger neighbours.
+    """
+    none = F.lit(None).cast(edges.schema["lo"].dataType)
+    ends = edges.select(F.col("hi").alias("node"), F.col("lo").alias("least"), F.lit(1).alias("below"), F.lit(0).alias("above")) \
+        .unionAll(edges.select("lo", none, F.lit(0), F.lit(1)))
+    nodes = ends.groupBy("node").agg(F.min("least").alias("least"), F.sum("below").alias("below"), F.sum("above").alias("above"))
+    below, above = F.col("below"), F.col("above")
+    obs = Observation(f"nodes_{uuid.uuid4().hex[:8]}")
+    nodes, path = written(nodes.observe(
+        obs, F.count_if((below > 1) | ((below > 0) & (above > 0))).alias("unsettled"),
+        F.count_if(below > t).alias("hubs_below"), F.count_if(above > t).alias("hubs_above")), "nodes")
+    return nodes, path, obs.get
+
+
+def dealt_hubs(edges: DataFrame, nodes: DataFrame, end: str, t: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join of edges with the node at their ``end``, in pieces of about ``t`` edges a node (column ``piece``).
+
+    A node with more edges gets as many rows as pieces; its edges go to a piece by the hash of their other end. The list of
+    such nodes is broadcast: each has over ``t`` edges, so it has fewer than edges / t rows.
+    """
+    count, other = ("below", "lo") if end == "hi" else ("above", "hi")
+    hubs = F.broadcast(nodes.filter(F.col(count) > t).select(F.col("node").alias("hub"), F.ceil(F.col(count) / t).cast("int").alias("pieces")))
+    pieces = F.coalesce("pieces", F.lit(1))
+    left = (edges.join(hubs, F.col(end) == F.col("hub"), "left")
+            .select("hi", "lo", F.pmod(F.xxhash64(other), pieces).cast("int").alias("piece")))
+    right = (nodes.join(hubs, F.col("node") == F.col("hub"), "left")
+             .select("node", "least", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece")))
+    return left, right
+
+
+def _at(edges: DataFrame, nodes: DataFrame, end: str, t: int, hubs: int) -> DataFrame:
+    """edges (hi, lo) with ``least`` of the node at their ``end`` (NULL where it has no smaller neighbour)."""
+    wanted = nodes.filter("below > 0").select("node", "least")
+    if not hubs:
+        return edges.join(wanted, F.col(end) == F.col("node"), "left")
+    left, right = dealt_hubs(edges, nodes, end, t)
+    right = right.withColumnRenamed("piece", "part")
+    return left.join(right, (F.col(end) == F.col("node")) & (F.col("piece") == F.col("part")), "left")
+
+
+def component_labels(edges: DataFrame, max_rounds: int | None = None, hub_rows: int = 500_000) -> DataFrame:
     """(node, label) where label = smallest node id reachable. Edges with a NULL end are left out.
 
-    Each round: every node takes the minimum label over itself and its
-    neighbours (a partial aggregate, so hubs are combined map-side), then jumps
-    to its label's label (shortcutting), which cuts rounds to about log of the
-    diameter. A jump looks each label in use up once and deals the answers out
-    again by (label, salt), so a giant component is not one task's work. Each
-    round's labels are a table in the shared folder, so lineage stays flat, a
-    lost executor recomputes one round, and the tables of past rounds are deleted.
+    Alternating contraction into stars (Kiveris, Lattanzi, Mirrokni, Rastogi, Vassilvitskii, "Connected components in
+    MapReduce and beyond", SoCC 2014). An edge is (hi, lo), hi > lo. A large star hangs each node's larger neighbours on the
+    least of the node and its neighbours; a small star hangs its smaller ones and the node itself there. Both are a lookup of
+    that least neighbour (a partial aggregate) at one end of the edges. A hub's edges are looked up in pieces of at most about
+    ``hub_rows`` (and at least a 100,000th of all edges, which bounds the list of hubs). The number of edges never grows.
 
-    The loop ends when no label changes. ``max_rounds`` is a guard, not a cut:
-    if it is reached before that, the function raises.
+    Each step's tables lie in the shared folder, so lineage stays flat and a lost executor recomputes one step; those of past
+    steps are deleted. The loop ends when every component is a star about its least node. ``max_rounds`` is a guard, not
+    a cut: if it is reached before that, the function raises.
     """
     spark = edges.sparkSession
-    edges = edges.filter("src IS NOT NULL AND dst IS NOT NULL")
-    both, _ = written(edges.select("src", "dst").unionAll(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))), "edges")
-    labels, path = written(both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("label"))
-                           .select("node", F.least("node", "label").alias("label")), "labels")
-    none = F.lit(None).cast(labels.schema["label"].dataType)
+    ends = edges.filter("src IS NOT NULL AND dst IS NOT NULL").select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo"))
+    whole, _ = written(ends.distinct(), "edges")
+    rest, past = whole.filter("hi > lo"), None
+    t = max(hub_rows, whole.count() // 100_000)
     done = 0
     while True:
+        nodes, nodes_path, seen = _nodes(rest, t)
+        if not seen["unsettled"]:
+            discard(spark, nodes_path)
+            break
         if max_rounds is not None and done >= max_rounds:
             raise RuntimeError(f"components have not converged in max_rounds={max_rounds} rounds")
-        msgs = both.join(labels.withColumnRenamed("node", "src"), "src").select(F.col("dst").alias("node"), "label")
-        cand = labels.select("node", "label", F.col("label").alias("own")).unionAll(msgs.select("node", "label", none.alias("own")))
-        new, step = written(cand.groupBy("node").agg(F.min("label").alias("label"), F.min("own").alias("old")), "labels")
-        hop = (new.select("label").distinct().join(new.select(F.col("node").alias("label"), F.col("label").alias("label2")), "label")
-               .withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(salts)]))))
-        # pointer jumping: adopt the label's label (labels only ever decrease)
-        new = (new.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int")).join(hop, ["label", "salt"], "left")
-               .select("node", F.least("label", F.coalesce("label2", "label")).alias("label"), "old"))
-        # the number of changed labels is observed by the job that writes them: one count less per round
-        obs = Observation(f"components_{uuid.uuid4().hex[:8]}_{done}")
-        new, after = written(new.observe(obs, F.count_if(F.col("label") < F.col("old")).alias("changed")), "labels")
-        discard(spark, path)
-        discard(spark, step)
-        labels, path = new.select("node", "label"), after
+        large, large_path = written(_at(rest, nodes, "lo", t, seen["hubs_above"])
+                                    .select("hi", F.coalesce("least", "lo").alias("lo")).distinct(), "large-star")
+        mids, mids_path, seen = _nodes(large, t)
+        both = F.inline(F.array(F.struct(F.col("lo").alias("hi"), F.col("least").alias("lo")), F.struct("hi", F.col("least").alias("lo"))))
+        rest, path = written(_at(large, mids, "hi", t, seen["hubs_below"]).select(both).filter("hi > lo").distinct(), "small-star")
+        for old in (nodes_path, large_path, mids_path, past):
+            if old:
+                discard(spark, old)
+        past = path
         done += 1
-        if not obs.get["changed"]:
-            return labels
+    roots = rest.select("lo", "lo").unionAll(whole.filter("hi = lo"))  # least nodes, and nodes known by an edge to themselves
+    return rest.unionAll(roots).groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("label"))
 
 
 def component_sizes(edges: DataFrame, **kw) -> DataFrame:

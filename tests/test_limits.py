@@ -2,6 +2,7 @@
 
 import math
 import os
+import random
 
 import numpy as np
 import pytest
@@ -28,6 +29,49 @@ def test_components_converge_or_raise(spark):
     assert gr.component_labels(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
+def labels_by_hand(edges):
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+    for x, y in edges:
+        lo, hi = sorted((root(x), root(y)))
+        parent[hi] = lo
+    return {x: root(x) for x in parent}
+
+
+@pytest.mark.parametrize("hub_rows", [3, 500_000])
+def test_components_of_hubs_long_paths_loops_and_repeats(spark, hub_rows):
+    draw = random.Random(7)
+    edges = [(50, i) for i in range(40, 140)] + [(i, i + 1) for i in range(1000, 1060)] + [(7, 7), (8, 9), (9, 8), (8, 9)]
+    order = draw.sample(range(2000, 2060), 60)  # a path through ids in no order, and two stars that share a leaf
+    edges += list(zip(order, order[1:])) + [(3000, i) for i in range(3001, 3060)] + [(3100, i) for i in range(3050, 3100)]
+    edges += [(draw.randrange(4000, 4400), draw.randrange(4000, 4400)) for _ in range(180)]
+    got = gr.component_labels(spark.createDataFrame(edges + [(None, 1), (2, None)], "src long, dst long"), hub_rows=hub_rows)
+    assert {r["node"]: r["label"] for r in got.collect()} == labels_by_hand(edges)
+
+
+def test_components_of_text_ids(spark):
+    edges = [("b", "a"), ("c", "b"), ("é", "z"), ("d", "d")]
+    got = gr.component_labels(spark.createDataFrame(edges, "src string, dst string"))
+    assert {r["node"]: r["label"] for r in got.collect()} == {"a": "a", "b": "a", "c": "a", "z": "z", "é": "z", "d": "d"}
+
+
+@pytest.mark.parametrize("center", [0, 60_000])
+def test_no_group_of_a_join_holds_a_hub(spark, center):
+    star = spark.range(60_000).select(F.greatest("id", F.lit(center)).alias("hi"), F.least("id", F.lit(center)).alias("lo")).filter("hi > lo")
+    nodes, _, seen = gr._nodes(star, 1000)
+    end = "lo" if center == 0 else "hi"
+    assert seen["hubs_above" if center == 0 else "hubs_below"] == 1
+    left, right = gr.dealt_hubs(star, nodes, end, 1000)
+    largest = left.groupBy(end, "piece").count().agg(F.max("count")).first()[0]
+    assert largest <= 1300 and right.groupBy("node", "piece").count().filter("count > 1").count() == 0
+    joined = gr._at(star, nodes, end, 1000, 1)
+    assert joined.count() == star.count()
+
+
 @pytest.mark.parametrize("cell_edges", [10**9, 60, 5])
 def test_triangles_in_cells_equal_all_triples(spark, monkeypatch, cell_edges):
     rng = np.random.default_rng(cell_edges % 7)
