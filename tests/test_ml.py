@@ -1,11 +1,16 @@
 """Model quality by tolerance (never raw coefficients), on the learnable stand-in X10."""
 
+import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 import __spark_entry__ as se
 from featurelake.operators import models as ml
+from featurelake.operators import search
+from featurelake.operators import trips as tp
+from featurelake.plans import q_ml
 from featurelake.sources import fixtures as fx
 from tests.conftest import SF_MID, SF_SMALL
 
@@ -44,9 +49,50 @@ def test_saved_model_scores_the_same_after_reload(spark):
     assert set(r["feature_name"] for r in rows.select("feature_name").distinct().collect()) == {"predicted_target"}
 
 
-def test_search_reports_each_trial(spark):
-    t = se.queries()["hyper_search"](spark, SF_SMALL).collect()
-    assert len(t) == 15 and t[0]["val_rmse"] <= t[-1]["val_rmse"]
+def parts(spark, sf_dir=SF_SMALL):
+    df = q_ml._learnable_split(spark, sf_dir).coalesce(2)
+    return df.filter("split = 'train'").persist(), df.filter("split = 'test'").persist()
+
+
+def test_trials_are_prefixes_and_cuts_of_one_forest(spark):
+    """Errors read off the deep forest equal those of Spark's own forest of the same trees, and with all features looked at, of its shallow ones."""
+    train, test = parts(spark)
+    trials = [search.Trial(0, 12, 20, 1, "all"), search.Trial(1, 4, 20, 1, "all"), search.Trial(2, 12, 7, 1, "all"), search.Trial(3, 1, 1, 1, "all")]
+    forests = search.fit_forests(train, trials, label="y", seed=3)
+    assert len(forests) == 1 and len(forests[0].trees) == 20
+    got = {r["trial"]: r["rmse"] for r in search.score(test, forests, label="y").collect()}
+    for trial, depth in ((0, 12), (1, 4)):
+        own = ml.random_forest(train, label="y", num_trees=20, max_depth=depth, subset="all", seed=3)
+        assert got[trial] == pytest.approx(ml.rmse(own.transform(test), "y"), rel=1e-9)
+    x = np.array([r["features"].toArray() for r in test.select("features").collect()])
+    whole = RandomForestRegressor(featuresCol="features", labelCol="y", numTrees=20, maxDepth=12, featureSubsetStrategy="all", seed=3).fit(train)
+    mean = sum(np.array([r["prediction"] for r in t.transform(test.select("features")).collect()]) for t in whole.trees[:7]) / 7
+    by_trial = {t.trial: p for t, p in search.predictions(forests[0], x)}
+    assert by_trial[2] == pytest.approx(mean, rel=1e-9)
+
+
+def test_two_valued_features_split_as_in_the_model(spark):
+    raw = spark.range(400).select((F.col("id") % 7).cast("string").alias("c"), (F.col("id") % 11).cast("double").alias("v"))
+    x = tp.fit_one_hot(raw, ["c"], ["v"]).transform(raw).select("features", (F.col("c").cast("int") * 3 + F.col("v")).cast("double").alias("y")).coalesce(1).persist()
+    trial = search.Trial(0, 8, 10, 1, "all")
+    got = search.score(x, search.fit_forests(x, [trial], label="y"), label="y").first()
+    own = ml.random_forest(x, label="y", num_trees=10, max_depth=8, subset="all", seed=42)
+    assert got["rmse"] == pytest.approx(ml.rmse(own.transform(x), "y"), rel=1e-9) and got["n"] == 400
+
+
+def test_search_fits_one_forest_a_group_and_reports_each_trial(spark):
+    train, test = parts(spark)
+    t = ml.hyper_search(train, label="y", key="row_key").collect()
+    assert len(t) == 15 and sorted(r["trial"] for r in t) == list(range(15))
+    assert all(a["val_rmse"] <= b["val_rmse"] for a, b in zip(t, t[1:])) and t[0]["val_rmse"] < 0.2 * t[0]["mean_rmse"]
+    drawn = search.sample_trials(15)
+    assert len({(d.min_instances, d.subset) for d in drawn}) <= 4
+
+
+def test_second_budget_of_thirty_trials_runs(spark):
+    train, _ = parts(spark)
+    t = ml.hyper_search(train, label="y", trials=30, depth=(2, 30), trees=(50, 300), leaf=(1, 1), subsets=("0.3", "0.6", "1.0"), key="row_key").collect()
+    assert len(t) == 30 and max(r["num_trees"] for r in t) > 250 and all(r["val_rmse"] < r["mean_rmse"] for r in t)
 
 
 def test_batch_flow_passes_the_gate_on_learnable_data(spark):

@@ -48,7 +48,7 @@ def test_query_matches_oracle(spark, con, key):
 
 def test_every_query_has_oracle_or_is_rows_only():
     rows_only = set(filter(OWN.match, set(se.queries()) - set(se.oracle_sql())))
-    assert rows_only <= {"pca", "logreg", "random_forest", "hyper_search", "batch_score", "model_selection", "batch_flow"}
+    assert rows_only <= {"pca", "logreg", "random_forest", "batch_score", "batch_flow"}
     assert set(se.oracle_sql()) <= set(se.queries())
 
 
