@@ -28,15 +28,16 @@ No link between different texts is lost: a linked pair meets in a cell, and is v
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from featurelake.llm.common import keep, mix, shingles, slices, utf8, word_hashes
-from featurelake.operators.graph import component_labels
+from featurelake.session import discard, written
 
 #: Coarse groups whose masses order the axes, and the pieces in which their table is summed.
 MASS_BITS, PIECE_BITS = 20, 12
@@ -412,6 +413,35 @@ def components(docs: DataFrame, k: int = 5, percent: int = 80, cell_rows: int =
             .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
-def _labels(links: DataFrame) -> DataFrame:
-    """(set, label) of the sets that have links."""
-    return component_labels(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))).withColumnRenamed("node", "set")
+def _labels(links: DataFrame, salts: int = 8) -> DataFrame:
+    """(set, label) of the sets that have links; label = the smallest set reachable.
+
+    Each round: every set takes the minimum label over itself and its neighbours (a partial aggregate, so hubs are combined
+    map-side), then jumps to its label's label, which cuts rounds to about the log of the diameter. A jump looks each label in
+    use up once and deals the answers out again by (label, salt), so a giant group is not one task's work. Each round's labels
+    are a table in the shared folder; those of past rounds are deleted. The loop ends when no label changes.
+    """
+    spark = links.sparkSession
+    both, _ = written(links.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionAll(links.select(F.col("b").alias("src"), F.col("a").alias("dst"))), "edges")
+    labels, path = written(both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("label"))
+                           .select("node", F.least("node", "label").alias("label")), "labels")
+    none = F.lit(None).cast(labels.schema["label"].dataType)
+    done = 0
+    while True:
+        msgs = both.join(labels.withColumnRenamed("node", "src"), "src").select(F.col("dst").alias("node"), "label")
+        cand = labels.select("node", "label", F.col("label").alias("own")).unionAll(msgs.select("node", "label", none.alias("own")))
+        new, step = written(cand.groupBy("node").agg(F.min("label").alias("label"), F.min("own").alias("old")), "labels")
+        hop = (new.select("label").distinct().join(new.select(F.col("node").alias("label"), F.col("label").alias("label2")), "label")
+               .withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(salts)]))))
+        # pointer jumping: adopt the label's label (labels only ever decrease)
+        new = (new.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int")).join(hop, ["label", "salt"], "left")
+               .select("node", F.least("label", F.coalesce("label2", "label")).alias("label"), "old"))
+        # the number of changed labels is observed by the job that writes them: one count less per round
+        obs = Observation(f"components_{uuid.uuid4().hex[:8]}_{done}")
+        new, after = written(new.observe(obs, F.count_if(F.col("label") < F.col("old")).alias("changed")), "labels")
+        discard(spark, path)
+        discard(spark, step)
+        labels, path = new.select("node", "label"), after
+        done += 1
+        if not obs.get["changed"]:
+            return labels.withColumnRenamed("node", "set")
