@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from featurelake.api import FeatureRepo
@@ -14,6 +17,7 @@ from featurelake.sources import fixtures as fx
 from featurelake.sources.tables import table
 
 SCORING_AS_OF = "2024-01-30 12:00:00"
+SCORING_TTL = timedelta(days=1)
 CUT_1, CUT_2 = "2024-01-15 00:00:00", "2024-01-25 00:00:00"
 ONLINE_END = "2024-01-31 00:00:00"
 
@@ -55,8 +59,9 @@ def feature_service_v1(spark, sf_dir):
 
 @query("batch_scoring_features")
 def batch_scoring_features(spark, sf_dir):
+    """Scoring takes what is up to a day old."""
     return vw.batch_scoring_features(fx.training_entities(spark, sf_dir), fx.user_activity(spark, sf_dir),
-                                     repo.PACE, SCORING_AS_OF)
+                                     replace(repo.PACE, ttl=SCORING_TTL), SCORING_AS_OF)
 
 
 @query("materialize_incremental")

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as se
 from featurelake.operators import graph as gr
 from featurelake.operators import metrics as mt
 from featurelake.operators import quality as qa
@@ -94,6 +95,16 @@ def test_batch_scoring_equals_pit_at_as_of(spark):
     assert got[2]["purchase_share"] is None
 
 
+def test_batch_scoring_query_serves_what_is_a_day_old(spark):
+    at = dt.datetime(2024, 1, 30, 12)
+    events = [(1, 7, at - dt.timedelta(hours=20, minutes=30), "purchase", 1.0), (2, 8, at - dt.timedelta(hours=30), "purchase", 2.0),
+              (3, 9, at - dt.timedelta(hours=2), "purchase", 3.0), (4, 9, at - dt.timedelta(hours=20), "error", 4.0)]
+    root = tempfile.mkdtemp(prefix="fl-scoring-")
+    spark.createDataFrame(events, "event_id long, user_id long, ts timestamp_ntz, event_type string, value double").write.parquet(f"{root}/events.parquet")
+    got = {r["request_id"]: (r["purchase_share"], r["n_events"]) for r in se.queries()["batch_scoring_features"](spark, root).collect()}
+    assert got == {1: (1.0, 1), 2: (None, None), 3: (1.0, 1)}
+
+
 def test_feature_name_clash_is_rejected(spark):
     ents = _entities(spark, [(1, 1, T0)])
     with pytest.raises(ValueError):
