@@ -19,6 +19,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -120,9 +121,9 @@ def degree_centrality(edges: DataFrame) -> DataFrame:
     return deg.select("node", "degree", (F.col("degree") / denom).alias("centrality"))
 
 
-def _oriented(edges: DataFrame) -> DataFrame:
+def _oriented(edges: DataFrame, deg: DataFrame | None = None) -> DataFrame:
     """Each edge once, from the lower to the higher (degree, node) rank."""
-    deg = degrees(edges)
+    deg = degrees(edges) if deg is None else deg
     e = (edges.join(deg.select(F.col("node").alias("src"), F.col("degree").alias("ds")), "src")
               .join(deg.select(F.col("node").alias("dst"), F.col("degree").alias("dd")), "dst"))
     src_low = (F.col("ds") < F.col("dd")) | ((F.col("ds") == F.col("dd")) & (F.col("src") < F.col("dst")))
@@ -142,33 +143,60 @@ def triangles(edges: DataFrame) -> DataFrame:
 
 
 #: Edges that one task's share of the graph should hold, about.
-CELL_EDGES = 2_000_000
+CELL_EDGES = 4_000_000
+#: Edges in one packed block.
+BLOCK_EDGES = 1 << 17
 #: Pairs of an edge and a third node that are looked at in one step.
 STEP_PAIRS = 1 << 22
 
 
+def dealt_blocks(oriented: DataFrame, colours: int) -> DataFrame:
+    """(cell, ca, cb, edges): edges (a, b) packed by their ends' colours into blocks of a few bytes an edge, a row for each cell a block goes to."""
+    tint = lambda c: F.pmod(F.xxhash64(c), F.lit(colours)).cast("int")
+
+    def packed(edges: pa.Table) -> bytes:
+        """Sorted edges as one small Parquet file: neighbouring ids differ little, so most of an edge's bytes go."""
+        delta = {pa.int64(): "DELTA_BINARY_PACKED", pa.int32(): "DELTA_BINARY_PACKED", pa.string(): "DELTA_BYTE_ARRAY"}
+        encoding = {f.name: delta[f.type] for f in edges.schema if f.type in delta}
+        out = pa.BufferOutputStream()
+        pq.write_table(edges, out, compression="zstd", use_dictionary=False, column_encoding=encoding or None, write_statistics=False)
+        return out.getvalue().to_pybytes()
+
+    def pack(edges: pa.Table) -> pa.Table:
+        ca, cb = edges["ca"][0].as_py(), edges["cb"][0].as_py()
+        edges = edges.select(["a", "b"]).sort_by([("a", "ascending"), ("b", "ascending")])
+        blocks = [packed(edges.slice(at, BLOCK_EDGES)) for at in range(0, len(edges), BLOCK_EDGES)]
+        return pa.table({"ca": pa.array([ca] * len(blocks), pa.int32()), "cb": pa.array([cb] * len(blocks), pa.int32()), "edges": pa.array(blocks, pa.binary())})
+
+    blocks = (oriented.select("a", "b", tint("a").alias("ca"), tint("b").alias("cb")).groupBy("ca", "cb")
+              .applyInArrow(pack, "ca int, cb int, edges binary"))
+    return (blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(colours - 1))).alias("k"))
+            .select(F.array_sort(F.array("ca", "cb", "k")).alias("cell"), "ca", "cb", "edges"))
+
+
 def triangle_counts(oriented: DataFrame, n_edges: int, cell_edges: int = CELL_EDGES) -> DataFrame:
     """(node, triangles) of the nodes in any triangle, of edges (a, b) from the lower to the higher rank, each once.
 
     Nodes get one of C colours by hash, and an edge goes to the C cells {its two colours, any colour}. A triangle's three edges meet in
-    the cell of its three colours and are counted there alone. So what is shuffled is edges times C, no wedge leaves a task, and a cell
-    holds about 6 m / C^2 edges; C follows from that and ``cell_edges``. In a cell, each edge takes the smaller of its ends' sorted lists of
+    the cell of its three colours and are counted there alone. So no wedge leaves a task, and a cell
+    holds about 6 m / C^2 edges; C follows from that and ``cell_edges``. Edges are gathered by their two colours once and packed;
+    the packed blocks are what is shuffled C times. In a cell, each edge takes the smaller of its ends' sorted lists of
     higher neighbours and looks the other end's edges to them up, in bounded steps.
     """
     colours = max(1, math.ceil(math.sqrt(6 * max(n_edges, 1) / max(1, cell_edges))))
-    tint = lambda c: F.pmod(F.xxhash64(c), F.lit(colours)).cast("int")
-    third = F.explode(F.sequence(F.lit(0), F.lit(colours - 1)))
-    dealt = (oriented.select("a", "b", tint("a").alias("ca"), tint("b").alias("cb"), third.alias("k"))
-             .select("a", "b", "ca", "cb", F.array_sort(F.array("ca", "cb", "k")).alias("cell")))
 
-    def count(edges: pa.Table) -> pa.Table:
-        cell = sorted(edges["cell"][0].as_py())
+    def count(blocks: pa.Table) -> pa.Table:
+        cell = sorted(blocks["cell"][0].as_py())
+        parts = [pq.read_table(pa.BufferReader(b.as_buffer())) for b in blocks["edges"]]
+        sizes = [len(p) for p in parts]
+        edges = pa.concat_tables(parts)
         both = pa.chunked_array([*edges["a"].chunks, *edges["b"].chunks]).combine_chunks().dictionary_encode()
         code, names = both.indices.to_numpy().astype(np.int64), both.dictionary
         m, n = len(edges), len(names)
+        del parts, edges, both
         a, b = code[:m], code[m:]
         colour = np.zeros(n, np.int64)
-        colour[a], colour[b] = edges["ca"].to_numpy(), edges["cb"].to_numpy()
+        colour[a], colour[b] = np.repeat(blocks["ca"].to_numpy(), sizes), np.repeat(blocks["cb"].to_numpy(), sizes)
         order = np.lexsort((b, a))
         a, b = a[order], b[order]
         key, first = a * n + b, np.searchsorted(a, np.arange(n + 1))
@@ -193,14 +221,15 @@ def triangle_counts(oriented: DataFrame, n_edges: int, cell_edges: int = CELL_ED
 
     node = oriented.schema["a"].dataType
     kind = T.StructType([T.StructField("node", node), T.StructField("triangles", T.LongType())])
-    return dealt.groupBy("cell").applyInArrow(count, kind).groupBy("node").agg(F.sum("triangles").alias("triangles"))
+    return dealt_blocks(oriented, colours).groupBy("cell").applyInArrow(count, kind).groupBy("node").agg(F.sum("triangles").alias("triangles"))
 
 
 def local_clustering(edges: DataFrame, cell_edges: int = CELL_EDGES) -> DataFrame:
-    """Per node: triangles T and clustering 2T / (d (d - 1)); 0 when d < 2. The oriented edges are written once."""
-    oriented, _ = written(_oriented(edges).select("a", "b"), "oriented")
-    per = triangle_counts(oriented, oriented.count(), cell_edges)
-    deg = degrees(edges)
+    """Per node: triangles T and clustering 2T / (d (d - 1)); 0 when d < 2. The degrees and the oriented edges are written once."""
+    deg, _ = written(degrees(edges), "degrees")
+    oriented, path = written(_oriented(edges, deg).select("a", "b"), "oriented")
+    per, _ = written(triangle_counts(oriented, oriented.count(), cell_edges), "triangles")
+    discard(edges.sparkSession, path)
     d = F.col("degree")
     return deg.join(per, "node", "left").select(
         "node", "degree", F.coalesce("triangles", F.lit(0)).alias("triangles"),
@@ -210,13 +239,13 @@ def local_clustering(edges: DataFrame, cell_edges: int = CELL_EDGES) -> DataFram
 def average_clustering(edges: DataFrame) -> DataFrame:
     """Mean local clustering over all nodes, plus the triangle count; one row.
 
-    The edge list feeds the degrees, the orientation and the wedge closing, so
-    it is materialised once (checkpointed to the shared folder) instead of
+    The edge list feeds the degrees and the orientation, so
+    it is written once (to the shared folder) instead of
     being recomputed from its sources by each branch.
     """
-    checkpoint_dir(edges.sparkSession)
-    edges = edges.select("src", "dst").checkpoint()
+    edges, path = written(edges.select("src", "dst"), "edges")
     lc = local_clustering(edges)
+    discard(edges.sparkSession, path)
     return lc.agg(F.avg("clustering").alias("average_clustering"),
                   (F.sum("triangles") / 3).cast("bigint").alias("triangles"))
 

@@ -72,6 +72,14 @@ def test_no_group_of_a_join_holds_a_hub(spark, center):
     assert joined.count() == star.count()
 
 
+@pytest.mark.parametrize("kind, most", [("long", 5), ("string", 8)])
+def test_cells_are_sent_few_bytes_an_edge(spark, kind, most):
+    edges = spark.range(200_000).select((F.xxhash64("id") % 30_000).cast(kind).alias("a"), (F.xxhash64("id", F.lit(1)) % 30_000).cast(kind).alias("b")).distinct()
+    dealt = gr.dealt_blocks(edges, 4)
+    assert dealt.agg(F.sum(F.length("edges"))).first()[0] < most * 4 * edges.count()
+    assert dealt.groupBy("cell").count().count() == 20  # of four colours, three each
+
+
 @pytest.mark.parametrize("cell_edges", [10**9, 60, 5])
 def test_triangles_in_cells_equal_all_triples(spark, monkeypatch, cell_edges):
     rng = np.random.default_rng(cell_edges % 7)
