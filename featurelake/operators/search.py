@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featurelake.functions.columns import hash_bucket, literal_frame
+from featurelake.operators import bins as bn
 from featurelake.session import checkpoint_dir, discard, scratch_dir
 
 MAX_DEPTH = 30
@@ -65,10 +66,11 @@ class Tree:
 
 @dataclass
 class Forest:
-    """One fit and the trials that are read off it."""
+    """One fit and the trials that are read off it; ``bins`` where it was fitted to bins of the features."""
 
     trees: list[Tree]
     trials: list[Trial] = field(default_factory=list)
+    bins: bn.Bins | None = None
 
 
 def _tree(nodes: pa.Table) -> Tree:
@@ -105,22 +107,33 @@ def trees_of(model, frame: DataFrame) -> list[Tree]:
 
 
 def fit_forests(train: DataFrame, trials: Iterable[Trial], features: str = "features", label: str = "label", seed: int = 42,
-                parallelism: int = 4) -> list[Forest]:
-    """One forest per (min_instances, subset) among the trials, as deep and with as many trees as any of them needs; ``parallelism`` at a time."""
+                parallelism: int = 4, rows: int = bn.ROWS) -> list[Forest]:
+    """One forest per (min_instances, subset) among the trials, as deep and with as many trees as any of them needs; ``parallelism`` at a time.
+
+    More than ``rows`` rows are fitted as weighted shares (``operators.bins``), which all forests read.
+    """
     groups = defaultdict(list)
     for t in trials:
         groups[t.min_instances, t.subset].append(t)
     checkpoint_dir(train.sparkSession)  # where Spark keeps the rows' places in deep trees
+    found = bn.condensed(train, features, label, rows, seed)
+    bins, train, n = found or (None, train, 0)
+    train = train.persist() if bins else train
 
     def fit(group: tuple[tuple[int, str], list[Trial]]) -> Forest:
         (leaf, subset), members = group
         rf = RandomForestRegressor(featuresCol=features, labelCol=label, seed=seed, maxDepth=max(t.max_depth for t in members),
                                    numTrees=max(t.num_trees for t in members), minInstancesPerNode=leaf, featureSubsetStrategy=subset,
                                    cacheNodeIds=True, maxMemoryInMB=1024)
-        return Forest(trees_of(rf.fit(train), train), members)
+        rf = bn.weighted(rf, bins, n) if bins else rf
+        return Forest(trees_of(rf.fit(train), train), members, bins)
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        return list(pool.map(fit, groups.items()))
+    try:
+        with ThreadPoolExecutor(parallelism) as pool:
+            return list(pool.map(fit, groups.items()))
+    finally:
+        if bins:
+            train.unpersist()
 
 
 def predictions(forest: Forest, x: np.ndarray) -> Iterator[tuple[Trial, np.ndarray]]:
@@ -147,8 +160,10 @@ def score(frame: DataFrame, forests: list[Forest], features: str = "features", l
 
     ``rmse_of_mean`` is the error of the part's own mean. A task returns one row per part, trial and batch of rows; errors are
     summed about the labels' own values. Rows with a NULL label are left out. Without ``part`` there is one, "all".
+    Where the forests were fitted to bins, rows of one cell have one prediction: their errors are those of their mean and the squares about it.
     """
-    sent = frame.sparkSession.sparkContext.broadcast(forests)
+    bins = forests[0].bins if forests else None
+    sent = frame.sparkSession.sparkContext.broadcast([Forest(f.trees, f.trials) for f in forests])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,18 +171,21 @@ def score(frame: DataFrame, forests: list[Forest], features: str = "features", l
                 continue
             flat = batch["x"].flatten().to_numpy(zero_copy_only=False)
             x, y = flat.reshape(batch.num_rows, -1), batch["y"].to_numpy(zero_copy_only=False)
+            weight, within = (batch[c].to_numpy(zero_copy_only=False) for c in ("weight", "within"))
             names, code = np.unique(batch["part"].to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
             found = []
             for forest in sent.value:
                 for t, predicted in predictions(forest, x):
-                    sse = np.bincount(code, (predicted - y) ** 2, len(names))
+                    sse = np.bincount(code, weight * (predicted - y) ** 2 + within, len(names))
                     found += [(names[j], t.trial, sse[j]) for j in range(len(names))]
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int32()),
                                               pa.array([f[2] for f in found], pa.float64())], names=["part", "trial", "sse"])
 
     name = F.lit("all") if part is None else F.col(part).cast("string")
-    rows = frame.filter(F.col(label).isNotNull()).select(name.alias("part"), vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"))
-    sums = rows.mapInArrow(run, "part string, trial int, sse double").groupBy("part", "trial").agg(F.sum("sse").alias("sse"))
+    rows = frame.filter(F.col(label).isNotNull()).select(name.alias("part"), F.col(features), F.col(label).cast("double").alias("y"))
+    grouped = bn.cells(rows, bins, "y", by=["part"]) if bins else rows.select("*", F.lit(1.0).alias("weight"), F.lit(0.0).alias("within"))
+    x = vector_to_array(bins.getOutputCol() if bins else features).alias("x")
+    sums = grouped.select("part", x, "y", "weight", "within").mapInArrow(run, "part string, trial int, sse double").groupBy("part", "trial").agg(F.sum("sse").alias("sse"))
     whole = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("y").alias("rmse_of_mean"))
     return sums.join(whole, "part").select("part", "trial", "n", F.sqrt(F.col("sse") / F.col("n")).alias("rmse"), "rmse_of_mean")
 
@@ -186,7 +204,7 @@ def search(train: DataFrame, trials: list[Trial], features: str = "features", la
     else:
         bucket = hash_bucket(F.concat(F.lit("search-"), F.col(key).cast("string")), 100)
         fit, val = train.filter(bucket < 80), train.filter(bucket >= 80)
-    fit = fit.persist()
+    fit = fit.select(features, label).persist()
     try:
         forests = fit_forests(fit, trials, features, label, seed)
         n_fit = fit.count()

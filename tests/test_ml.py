@@ -7,10 +7,12 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 import __spark_entry__ as se
+from featurelake.operators import bins as bn
 from featurelake.operators import models as ml
 from featurelake.operators import search
 from featurelake.operators import trips as tp
 from featurelake.plans import q_ml
+from featurelake.session import scratch_dir
 from featurelake.sources import fixtures as fx
 from tests.conftest import SF_MID, SF_SMALL
 
@@ -89,6 +91,42 @@ def test_search_fits_one_forest_a_group_and_reports_each_trial(spark):
     assert len({(d.min_instances, d.subset) for d in drawn}) <= 4
 
 
+def many_rows(spark, n=20_000):
+    """Rows of no common value, whose target has noise of its own."""
+    u = [F.pmod(F.xxhash64("id", F.lit(i)), F.lit(10**9)) / 1e9 for i in range(4)]
+    rows = spark.range(n, numPartitions=3).select("id", u[0].alias("a"), (u[1] * u[1] * 100).alias("b"), (10 * u[0] + F.sqrt(u[1]) + u[3]).alias("y"))
+    return VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+
+
+def test_many_rows_are_fitted_as_weighted_shares(spark):
+    """A forest of shares counts every row, errs as one of rows does, keeps its leaves' least rows, and can be saved."""
+    x = many_rows(spark)
+    bins, shares, n = bn.condensed(x, "features", "y", rows=4000)
+    whole = shares.agg(F.sum("weight").alias("n"), F.count(F.lit(1)).alias("shares"), F.sum(F.col("weight") * F.col("y")).alias("y")).first()
+    assert n == whole["n"] == 20_000 and 2500 < whole["shares"] < 5000
+    assert whole["y"] == pytest.approx(x.agg(F.sum("y")).first()[0], rel=1e-9)
+    assert bn.condensed(x, "features", "y", rows=20_000) is None
+    fresh = many_rows(spark, 25_000).filter("id >= 20000")
+    few, own = ml.random_forest(x, label="y", rows=4000), ml.random_forest(x, label="y")
+    assert ml.rmse(few.transform(fresh), "y") < 1.1 * ml.rmse(own.transform(fresh), "y") < 0.2 * 3
+    path = ml.save(few, scratch_dir(spark, "model"))
+    assert ml.rmse(ml.load(path).transform(fresh), "y") == pytest.approx(ml.rmse(few.transform(fresh), "y"), rel=1e-12)
+    tree = ml.random_forest(x, label="y", num_trees=1, max_depth=12, min_instances=700, rows=4000)
+    sizes = [r["count"] for r in tree.transform(x).groupBy("prediction").count().collect()]
+    assert min(sizes) > 300 and len(sizes) > 5  # the bootstrap's 700 rows
+
+
+def test_errors_of_cells_are_those_of_their_rows(spark):
+    x = many_rows(spark, 9000)
+    trials = [search.Trial(0, 9, 5, 1, "all"), search.Trial(1, 3, 3, 1, "all")]
+    forests = search.fit_forests(x, trials, label="y", rows=2000)
+    got = {r["trial"]: (r["n"], r["rmse"], r["rmse_of_mean"]) for r in search.score(x, forests, label="y").collect()}
+    rows = forests[0].bins.transform(x).select(forests[0].bins.getOutputCol(), "y").collect()
+    v, y = np.array([r[0].toArray() for r in rows]), np.array([r[1] for r in rows])
+    for t, p in search.predictions(forests[0], v):
+        assert got[t.trial] == (9000, pytest.approx(float(np.sqrt(np.mean((p - y) ** 2))), rel=1e-9), pytest.approx(float(np.std(y)), rel=1e-9))
+
+
 def test_second_budget_of_thirty_trials_runs(spark):
     train, _ = parts(spark)
     t = ml.hyper_search(train, label="y", trials=30, depth=(2, 30), trees=(50, 300), leaf=(1, 1), subsets=("0.3", "0.6", "1.0"), key="row_key").collect()
