@@ -67,9 +67,12 @@ def event_time() -> Column:
 
 
 def decode_updates(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Parse update messages; adds ``_valid`` (parsed, has an entity, a non-empty map and a readable time)."""
+    """Parse update messages; adds ``_valid`` (parsed, has an entity, a non-empty map and a readable time).
+
+    The parsed message is a generated column: the optimizer would else copy the parser into each condition and each field read of it.
+    """
     m = F.from_json(F.col(value).cast("string"), UPDATE_SCHEMA)
-    out = messages.select("*", m.alias("m"))
+    out = messages.select("*", F.explode(F.array(m)).alias("m"))
     valid = (F.col("m").isNotNull() & F.col("m.entity_id").isNotNull() & F.col("m.feature_data").isNotNull()
              & (F.size("m.feature_data") > 0) & event_time().isNotNull())
     return out.select("*", F.coalesce(valid, F.lit(False)).alias("_valid"))
