@@ -21,9 +21,8 @@ from collections.abc import Iterator
 from datetime import timedelta
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from featurelake.streaming.store_sink import list_versions, read_committed, run_available_now
@@ -31,6 +30,8 @@ from featurelake.streaming.store_sink import list_versions, read_committed, run_
 KEY = ["entity_id", "feature_name"]
 ROWS = "entity_id string, feature_name string, feature_value double, event_ts timestamp, seq bigint"
 CHANGES = ROWS + ", op string"
+#: Rows of the keyed state: a key has few rows a micro-batch, so they go as rows, not as a pandas frame a key.
+_STATE_ROWS = "entity_id string, feature_name string, feature_value double, event_us bigint, seq bigint, op string"
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _ORDER = ["event_ts", "seq"]
 
@@ -50,14 +51,10 @@ class LatestValue(StatefulProcessor):
         self.handle = handle
         self.held = handle.getValueState("held", "feature_value double, event_us bigint, seq bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803 - Spark's names
-        best = None
-        for frame in rows:
-            for value, at, seq in zip(frame["feature_value"], frame["event_ts"], frame["seq"]):
-                row = (_micros(at), int(seq), float(value))
-                best = row if best is None or row[:2] > best[:2] else best
-        held = self.held.get() if self.held.exists() else None
-        if best is None or (held is not None and (held[1], held[2]) >= best[:2]):
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803 - Spark's names
+        best = max(((row["event_us"], row["seq"], row["feature_value"]) for row in rows), key=lambda row: row[:2])
+        held = self.held.get()
+        if held is not None and (held[1], held[2]) >= best[:2]:
             return
         if self.idle_ms is not None:
             if held is not None:
@@ -66,10 +63,11 @@ class LatestValue(StatefulProcessor):
         self.held.update((best[2], best[0], best[1]))
         yield self._change(key, best[2], best[0], best[1], "set")
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        if not self.held.exists():
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        held = self.held.get()
+        if held is None:
             return
-        value, at, seq = self.held.get()
+        value, at, seq = held
         if self._due(at) <= expiredTimerInfo.getExpiryTimeInMs():
             self.held.clear()
             yield self._change(key, value, at, seq, "expired")
@@ -81,14 +79,8 @@ class LatestValue(StatefulProcessor):
         return -(-event_us // 1000) + self.idle_ms
 
     @staticmethod
-    def _change(key, value, at, seq, op) -> pd.DataFrame:
-        return pd.DataFrame({"entity_id": [key[0]], "feature_name": [key[1]], "feature_value": [value],
-                             "event_ts": [pd.Timestamp(at, unit="us", tz="UTC")], "seq": [seq], "op": [op]})
-
-
-def _micros(at: pd.Timestamp) -> int:
-    at = pd.Timestamp(at)
-    return int((at.tz_localize("UTC") if at.tzinfo is None else at).value // 1000)
+    def _change(key, value, at, seq, op) -> Row:
+        return Row(entity_id=key[0], feature_name=key[1], feature_value=value, event_us=at, seq=seq, op=op)
 
 
 def changes(rows: DataFrame, idle: timedelta | None = None, lateness: str = "3650 days") -> DataFrame:
@@ -103,8 +95,9 @@ def changes(rows: DataFrame, idle: timedelta | None = None, lateness: str = "365
     long = rows.select("entity_id", "feature_name", F.col("feature_value").cast("double"), F.col("event_ts").cast("timestamp").alias("event_ts"),
                        F.col("seq").cast("bigint").alias("seq")).dropna()
     reduced = long.mapInPandas(_newest_of_batches, ROWS)
-    return reduced.withWatermark("event_ts", lateness).groupBy(*KEY).transformWithStateInPandas(
-        LatestValue(idle), T._parse_datatype_string(CHANGES), "Update", "EventTime")
+    timed = reduced.withWatermark("event_ts", lateness).withColumn("event_us", F.unix_micros("event_ts"))
+    found = timed.groupBy(*KEY).transformWithState(LatestValue(idle), _STATE_ROWS, "Update", "EventTime")
+    return found.select(*KEY, "feature_value", F.timestamp_micros("event_us").alias("event_ts"), "seq", "op")
 
 
 class StateSink:
