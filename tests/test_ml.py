@@ -7,12 +7,13 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 import __spark_entry__ as se
+from featurelake import api
 from featurelake.operators import bins as bn
 from featurelake.operators import models as ml
 from featurelake.operators import search
 from featurelake.operators import trips as tp
 from featurelake.plans import q_ml
-from featurelake.session import scratch_dir
+from featurelake.session import scratch_dir, written
 from featurelake.sources import fixtures as fx
 from tests.conftest import SF_MID, SF_SMALL
 
@@ -133,6 +134,23 @@ def test_second_budget_of_thirty_trials_runs(spark):
     assert len(t) == 30 and max(r["num_trees"] for r in t) > 250 and all(r["val_rmse"] < r["mean_rmse"] for r in t)
 
 
+def test_rows_that_several_steps_read_are_written_once(spark, monkeypatch):
+    kept = []
+
+    def spy(frame, name):
+        kept.append(name)
+        return written(frame, name)
+
+    monkeypatch.setattr(q_ml, "written", spy)
+    monkeypatch.setattr(api, "written", spy)
+    assert se.queries()["linreg"](spark, SF_SMALL).inputFiles() and kept == ["trips"]
+    plan = se.queries()["linreg"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan  # the joins are not run for the predictions
+    rows = spark.range(400).select(F.col("id").alias("k"), (F.col("id") % 2).cast("double").alias("a"), (F.col("id") % 2).cast("double").alias("label"))
+    assert api.run_batch_flow(spark, rows, "k", ["a"], "label", scratch_dir(spark, "flow")).first()["status"] == "SUCCESS"
+    assert kept == ["trips", "trips", "rows"]
+
+
 def test_batch_flow_passes_the_gate_on_learnable_data(spark):
     r = se.queries()["batch_flow"](spark, SF_MID).first()
     assert r["status"] == "SUCCESS" and r["accuracy"] >= 0.9 and r["f1"] >= 0.9

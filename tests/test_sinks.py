@@ -11,6 +11,7 @@ from featurelake.operators import quality as qa
 from featurelake.operators import trips as tp
 from featurelake.operators import views as vw
 from featurelake.sources import fixtures as fx
+from featurelake.streaming import envelopes as env
 from featurelake.sources.tables import read_csv, table, write_csv, write_parquet
 from tests.conftest import SF_SMALL
 
@@ -93,3 +94,13 @@ def test_file_source_reads_with_declared_schema(spark):
     write_parquet(stats, os.path.join(d, "stats"))
     src = vw.FileSource(os.path.join(d, "stats"), schema=stats.schema)
     assert src.read(spark).count() == stats.count()
+
+
+def test_a_message_is_parsed_once_a_pass(spark):
+    raw = ['{"entity_id":"e","feature_data":{"x":1.5},"timestamp":"2024-01-01T00:00:00"}', "{bad", None, '{"feature_data":{"x":1}}']
+    decoded = env.decode_updates(spark.createDataFrame([(v,) for v in raw], "value string"))
+    good, bad = env.split_bad(decoded)
+    for part, n in ((good, 1), (bad, 3)):
+        rows = part.select("m.entity_id", "m.feature_data", "m.timestamp") if part is good else part
+        assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+        assert rows.count() == n

@@ -5,6 +5,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from featurelake.streaming import state as ss
@@ -78,6 +79,31 @@ def test_a_hot_key_is_reduced_before_the_shuffle(spark):
     assert left.count() <= 8 and left.agg(F.max("seq")).first()[0] == 19_999
 
 
+def test_a_key_costs_one_look_up_and_takes_rows():
+    class Held:
+        def __init__(self):
+            self.value, self.looks = None, 0
+
+        def get(self):
+            self.looks += 1
+            return self.value
+
+        def exists(self):
+            self.looks += 1
+            return self.value is not None
+
+        def update(self, value):
+            self.value = value
+
+    latest = ss.LatestValue(None)
+    latest.held = held = Held()
+    row = lambda at, seq, value: Row(entity_id="a", feature_name="x", feature_value=value, event_us=at, seq=seq)
+    out = list(latest.handleInputRows(("a", "x"), iter([row(5, 1, 1.0), row(7, 0, 2.0), row(7, 0, 9.0)]), None))
+    assert out == [Row(entity_id="a", feature_name="x", feature_value=2.0, event_us=7, seq=0, op="set")]
+    assert list(latest.handleInputRows(("a", "x"), iter([row(6, 9, 3.0)]), None)) == [] and held.value == (2.0, 7, 0)
+    assert held.looks == 2
+
+
 def test_other_time_zones_raise(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
