@@ -9,7 +9,8 @@ canonical ``src < dst``. Every metric is a DataFrame job:
   algorithm of Suri and Vassilvitskii, "Counting triangles and the curse of the last reducer", WWW 2011), so edges are
   shuffled and wedges are not; listed with an equi-join (their node-iterator++);
 * components: alternating large and small stars, each step's edges written
-  to the session's shared checkpoint folder.
+  to the session's shared checkpoint folder; a dense graph is first contracted along each
+  node's edge to its least neighbour.
 """
 
 from __future__ import annotations
@@ -253,18 +254,18 @@ def average_clustering(edges: DataFrame) -> DataFrame:
 def _nodes(edges: DataFrame, t: int) -> tuple[DataFrame, str, dict]:
     """Per end of edges (hi, lo): its least smaller neighbour and its numbers of smaller and larger ones, as a written table.
 
-    Also observed while that table is written: the edges, the nodes that keep their component from being a star about its
-    least node, and the nodes with more than ``t`` smaller or larger neighbours.
+    Repeated edges count as often as they occur. Also observed while that table is written: the nodes that keep their
+    component from being a star about its least node, and the nodes with more than ``t`` edges to smaller or larger neighbours.
     """
     none = F.lit(None).cast(edges.schema["lo"].dataType)
     ends = edges.select(F.col("hi").alias("node"), F.col("lo").alias("least"), F.lit(1).alias("below"), F.lit(0).alias("above")) \
         .unionAll(edges.select("lo", none, F.lit(0), F.lit(1)))
-    nodes = ends.groupBy("node").agg(F.min("least").alias("least"), F.sum("below").alias("below"), F.sum("above").alias("above"))
+    nodes = ends.groupBy("node").agg(F.min("least").alias("least"), F.max("least").alias("most"), F.sum("below").alias("below"), F.sum("above").alias("above"))
     below, above = F.col("below"), F.col("above")
     obs = Observation(f"nodes_{uuid.uuid4().hex[:8]}")
     nodes, path = written(nodes.observe(
-        obs, F.count_if((below > 1) | ((below > 0) & (above > 0))).alias("unsettled"),
-        F.count_if(below > t).alias("hubs_below"), F.count_if(above > t).alias("hubs_above")), "nodes")
+        obs, F.count_if((F.col("least") < F.col("most")) | ((below > 0) & (above > 0))).alias("unsettled"),
+        F.count_if(below > t).alias("hubs_below"), F.count_if(above > t).alias("hubs_above")).drop("most"), "nodes")
     return nodes, path, obs.get
 
 
@@ -294,30 +295,23 @@ def _at(edges: DataFrame, nodes: DataFrame, end: str, t: int, hubs: int) -> Data
     return left.join(right, (F.col(end) == F.col("node")) & (F.col("piece") == F.col("part")), "left")
 
 
-def component_labels(edges: DataFrame, max_rounds: int | None = None, hub_rows: int = 500_000) -> DataFrame:
-    """(node, label) where label = smallest node id reachable. Edges with a NULL end are left out.
+#: Edges a node from which on a graph is contracted along least neighbours before its stars are made.
+DENSE = 4
 
-    Alternating contraction into stars (Kiveris, Lattanzi, Mirrokni, Rastogi, Vassilvitskii, "Connected components in
-    MapReduce and beyond", SoCC 2014). An edge is (hi, lo), hi > lo. A large star hangs each node's larger neighbours on the
-    least of the node and its neighbours; a small star hangs its smaller ones and the node itself there. Both are a lookup of
-    that least neighbour (a partial aggregate) at one end of the edges. A hub's edges are looked up in pieces of at most about
-    ``hub_rows`` (and at least a 100,000th of all edges, which bounds the list of hubs). The number of edges never grows.
 
-    Each step's tables lie in the shared folder, so lineage stays flat and a lost executor recomputes one step; those of past
-    steps are deleted. The loop ends when every component is a star about its least node. ``max_rounds`` is a guard, not
-    a cut: if it is reached before that, the function raises.
+def _stars(rest: DataFrame, t: int, max_rounds: int | None = None, first: tuple | None = None) -> tuple[DataFrame, str | None]:
+    """Edges (hi, lo) turned into one star about the least node for each component, and the path of the table that holds them.
+
+    ``rest`` may repeat edges; where they are stars already they are returned as they are, without a path. ``first`` is what
+    ``_nodes`` gives for them, if that is known.
     """
-    spark = edges.sparkSession
-    ends = edges.filter("src IS NOT NULL AND dst IS NOT NULL").select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo"))
-    whole, _ = written(ends.distinct(), "edges")
-    rest, past = whole.filter("hi > lo"), None
-    t = max(hub_rows, whole.count() // 100_000)
-    done = 0
+    spark, past, done = rest.sparkSession, None, 0
     while True:
-        nodes, nodes_path, seen = _nodes(rest, t)
+        nodes, nodes_path, seen = first or _nodes(rest, t)
+        first = None
         if not seen["unsettled"]:
             discard(spark, nodes_path)
-            break
+            return rest, past
         if max_rounds is not None and done >= max_rounds:
             raise RuntimeError(f"components have not converged in max_rounds={max_rounds} rounds")
         large, large_path = written(_at(rest, nodes, "lo", t, seen["hubs_above"])
@@ -330,8 +324,57 @@ def component_labels(edges: DataFrame, max_rounds: int | None = None, hub_rows:
                 discard(spark, old)
         past = path
         done += 1
-    roots = rest.select("lo", "lo").unionAll(whole.filter("hi = lo"))  # least nodes, and nodes known by an edge to themselves
-    return rest.unionAll(roots).groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("label"))
+
+
+def _contracted(rest: DataFrame, nodes: DataFrame, seen: dict, t: int, max_rounds: int | None) -> DataFrame:
+    """The stars of a graph with many edges a node, for two shuffles of its edges.
+
+    The edges to each node's least smaller neighbour are a forest of fewer edges than nodes; its stars are made first. Only the edges
+    between different stars are left to be joined up, each pair of stars once.
+    """
+    forest, forest_path = _stars(nodes.filter("below > 0").select(F.col("node").alias("hi"), F.col("least").alias("lo")), t, max_rounds)
+    root = forest.select(F.col("hi").alias("node"), F.col("lo").alias("least"))
+    roots, roots_path = written(nodes.select("node", "below", "above").join(root, "node", "left"), "roots")
+    half = _at(rest, roots, "lo", t, seen["hubs_above"]).select("hi", F.coalesce("least", "lo").alias("lo"))
+    half = half.distinct() if seen["hubs_below"] else half  # a hub's edges are dealt by their other ends
+    a, b = F.coalesce("least", "hi"), F.col("lo")
+    cross, cross_path = written(_at(half, roots, "hi", t, seen["hubs_below"]).filter(a != b)
+                                .select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct(), "cross")
+    joined, joined_path = _stars(cross, t, max_rounds)
+    up = joined.select(F.col("hi").alias("root"), F.col("lo").alias("top"))
+    stars, _ = written(forest.join(up, F.col("lo") == F.col("root"), "left").select("hi", F.coalesce("top", "lo").alias("lo")).unionAll(joined), "stars")
+    for path in {forest_path, roots_path, cross_path, joined_path} - {None}:
+        discard(rest.sparkSession, path)
+    return stars
+
+
+def component_labels(edges: DataFrame, max_rounds: int | None = None, hub_rows: int = 500_000, dense: float = DENSE) -> DataFrame:
+    """(node, label) where label = smallest node id reachable. Edges with a NULL end are left out; edges may be repeated.
+
+    Alternating contraction into stars (Kiveris, Lattanzi, Mirrokni, Rastogi, Vassilvitskii, "Connected components in
+    MapReduce and beyond", SoCC 2014). An edge is (hi, lo), hi > lo. A large star hangs each node's larger neighbours on the
+    least of the node and its neighbours; a small star hangs its smaller ones and the node itself there. Both are a lookup of
+    that least neighbour (a partial aggregate) at one end of the edges. A hub's edges are looked up in pieces of at most about
+    ``hub_rows`` (and at least a 100,000th of all edges, which bounds the list of hubs). The number of edges never grows.
+    A graph with more than ``dense`` edges a node is contracted first, so that the rounds pass over its nodes and not its edges.
+
+    Each step's tables lie in the shared folder, so lineage stays flat and a lost executor recomputes one step; those of past
+    steps are deleted. The loop ends when every component is a star about its least node. ``max_rounds`` is a guard, not
+    a cut: if it is reached before that, the function raises.
+    """
+    ends = edges.filter("src IS NOT NULL AND dst IS NOT NULL").select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo"))
+    whole, _ = written(ends, "edges")
+    rest = whole.filter("hi > lo")
+    n = whole.count()
+    t = max(hub_rows, n // 100_000)
+    nodes, nodes_path, seen = _nodes(rest, t)
+    if seen["unsettled"] and n > dense * nodes.count():
+        stars = _contracted(rest, nodes, seen, t, max_rounds)
+        discard(edges.sparkSession, nodes_path)
+    else:
+        stars, _ = _stars(rest, t, max_rounds, (nodes, nodes_path, seen))
+    roots = stars.select("lo", "lo").unionAll(whole.filter("hi = lo"))  # least nodes, and nodes known by an edge to themselves
+    return stars.unionAll(roots).groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("label"))
 
 
 def component_sizes(edges: DataFrame, **kw) -> DataFrame:

@@ -42,6 +42,24 @@ def labels_by_hand(edges):
     return {x: root(x) for x in parent}
 
 
+@pytest.mark.parametrize("hub_rows", [3, 500_000])
+def test_components_of_dense_graphs_are_contracted_first(spark, hub_rows, monkeypatch):
+    """Many repeated edges a node: the rounds pass over fewer edges than nodes."""
+    draw = random.Random(5)
+    groups = [draw.sample(range(k * 100, k * 100 + 100), 60) for k in range(5)]
+    edges = [(draw.choice(g), draw.choice(g)) for g in groups for _ in range(400)] * 2
+    edges += [(7000, 7000), (150, 8000), (8000, 250)] + [(9000, i) for i in range(9001, 9030)]
+    rounds = []
+    at = gr._at
+    monkeypatch.setattr(gr, "_at", lambda e, *a: rounds.append(e.count()) or at(e, *a))
+    df = spark.createDataFrame(edges, "src long, dst long")
+    got = {r["node"]: r["label"] for r in gr.component_labels(df, hub_rows=hub_rows).collect()}
+    assert got == labels_by_hand(edges)
+    assert rounds[0] < len(got) and sum(n > len(got) for n in rounds) <= 2  # once for each end
+    with pytest.raises(RuntimeError):
+        gr.component_labels(df, max_rounds=0)
+
+
 @pytest.mark.parametrize("hub_rows", [3, 500_000])
 def test_components_of_hubs_long_paths_loops_and_repeats(spark, hub_rows):
     draw = random.Random(7)
