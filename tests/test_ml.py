@@ -151,6 +151,13 @@ def test_rows_that_several_steps_read_are_written_once(spark, monkeypatch):
     assert kept == ["trips", "trips", "rows"]
 
 
+def test_fits_and_metrics_read_grouped_rows(spark):
+    """The grouping of the order lines lies behind a written table: no fit, count or metric of model_floors repeats it."""
+    rows = q_ml._learnable_split(spark, SF_SMALL)
+    assert rows.inputFiles() and not any("lineitem" in f for f in rows.inputFiles())
+    assert "Aggregate" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_batch_flow_passes_the_gate_on_learnable_data(spark):
     r = se.queries()["batch_flow"](spark, SF_MID).first()
     assert r["status"] == "SUCCESS" and r["accuracy"] >= 0.9 and r["f1"] >= 0.9
