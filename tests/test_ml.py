@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 import __spark_entry__ as se
@@ -158,6 +159,13 @@ def test_fits_and_metrics_read_grouped_rows(spark):
     assert "Aggregate" not in rows._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_two_classes_are_scored_after_a_frame_was_observed(spark):
+    seen = Observation("rows")
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    x = VectorAssembler(inputCols=["a"], outputCol="features").transform(spark.range(40).select((F.col("id") % 2).cast("double").alias("a"), (F.col("id") % 2).cast("double").alias("label")))
+    assert seen.get["n"] == 5 and ml.logistic_regression(x).transform(x).filter("prediction = label").count() == 40
+
+
 def test_batch_flow_passes_the_gate_on_learnable_data(spark):
     r = se.queries()["batch_flow"](spark, SF_MID).first()
     assert r["status"] == "SUCCESS" and r["accuracy"] >= 0.9 and r["f1"] >= 0.9
