@@ -7,7 +7,7 @@ canonical ``src < dst``. Every metric is a DataFrame job:
 * triangles (for clustering): edges oriented from lower to higher
   (degree, id) rank, so no hub expands its full neighbourhood; counted in cells of three node colours (the partition
   algorithm of Suri and Vassilvitskii, "Counting triangles and the curse of the last reducer", WWW 2011), so edges are
-  shuffled and wedges are not; listed with an equi-join (their node-iterator++);
+  shuffled and wedges are not, in rounds that share one packed copy of them; listed with an equi-join (their node-iterator++);
 * components: alternating large and small stars, each step's edges written
   to the session's shared checkpoint folder; a dense graph is first contracted along each
   node's edge to its least neighbour.
@@ -15,11 +15,13 @@ canonical ``src < dst``. Every metric is a DataFrame job:
 
 from __future__ import annotations
 
+import itertools
 import math
 import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -147,90 +149,265 @@ def triangles(edges: DataFrame) -> DataFrame:
 CELL_EDGES = 4_000_000
 #: Edges in one packed block.
 BLOCK_EDGES = 1 << 17
+#: Edges that a task gathers before it packs them.
+SPLIT_EDGES = 1 << 21
+#: Edges, each counted as often as it is copied, that one round of cells is sent at least.
+ROUND_EDGES = 1 << 26
+#: Nodes in one packed part of a colour's node list.
+PART_NODES = 1 << 16
 #: Pairs of an edge and a third node that are looked at in one step.
 STEP_PAIRS = 1 << 22
 
 
-def dealt_blocks(oriented: DataFrame, colours: int) -> DataFrame:
-    """(cell, ca, cb, edges): edges (a, b) packed by their ends' colours into blocks of a few bytes an edge, a row for each cell a block goes to."""
-    tint = lambda c: F.pmod(F.xxhash64(c), F.lit(colours)).cast("int")
+def _tint(node, colours: int):
+    return F.pmod(F.xxhash64(node), F.lit(colours)).cast("int")
 
-    def packed(edges: pa.Table) -> bytes:
-        """Sorted edges as one small Parquet file: neighbouring ids differ little, so most of an edge's bytes go."""
+
+def _packer():
+    """The function that tasks pack tables with (made here, so that it is sent to them with its code)."""
+    def packed(rows: pa.Table) -> bytes:
+        """Sorted rows as one small Parquet file: neighbouring ids differ little, so most of their bytes go."""
         delta = {pa.int64(): "DELTA_BINARY_PACKED", pa.int32(): "DELTA_BINARY_PACKED", pa.string(): "DELTA_BYTE_ARRAY"}
-        encoding = {f.name: delta[f.type] for f in edges.schema if f.type in delta}
+        encoding = {f.name: delta[f.type] for f in rows.schema if f.type in delta}
         out = pa.BufferOutputStream()
-        pq.write_table(edges, out, compression="zstd", use_dictionary=False, column_encoding=encoding or None, write_statistics=False)
+        pq.write_table(rows, out, compression="zstd", use_dictionary=False, column_encoding=encoding or None, write_statistics=False)
         return out.getvalue().to_pybytes()
 
-    def pack(edges: pa.Table) -> pa.Table:
-        ca, cb = edges["ca"][0].as_py(), edges["cb"][0].as_py()
-        edges = edges.select(["a", "b"]).sort_by([("a", "ascending"), ("b", "ascending")])
-        blocks = [packed(edges.slice(at, BLOCK_EDGES)) for at in range(0, len(edges), BLOCK_EDGES)]
-        return pa.table({"ca": pa.array([ca] * len(blocks), pa.int32()), "cb": pa.array([cb] * len(blocks), pa.int32()), "edges": pa.array(blocks, pa.binary())})
+    return packed
+
+
+def packed_blocks(edges: DataFrame, colours: int) -> DataFrame:
+    """(ca, cb, edges): the edges (a, b) of each task, packed by their ends' colours into blocks of a few bytes an edge; no shuffle."""
+    packed, block, split = _packer(), BLOCK_EDGES, SPLIT_EDGES
+
+    def pack(batches):
+        def blocks(held):
+            rows = pa.Table.from_batches(held)
+            pair = rows["ca"].to_numpy().astype(np.int64) * colours + rows["cb"].to_numpy()
+            order = np.argsort(pair, kind="stable")
+            pairs, first = np.unique(pair[order], return_index=True)
+            rows = rows.select(["a", "b"]).take(pa.array(order))
+            out = []
+            for c, lo, hi in zip(pairs.tolist(), first, [*first[1:], len(order)]):
+                part = rows.slice(lo, hi - lo).sort_by([("a", "ascending"), ("b", "ascending")])
+                out += [(c // colours, c % colours, packed(part.slice(at, block))) for at in range(0, len(part), block)]
+            ca, cb, data = zip(*out)
+            return pa.RecordBatch.from_arrays([pa.array(ca, pa.int32()), pa.array(cb, pa.int32()), pa.array(data, pa.binary())], names=["ca", "cb", "edges"])
+
+        held, n = [], 0
+        for batch in batches:
+            if len(batch):
+                held.append(batch)
+                n += len(batch)
+            if n >= split:
+                yield blocks(held)
+                held, n = [], 0
+        if held:
+            yield blocks(held)
+
+    return edges.select("a", "b", _tint("a", colours).alias("ca"), _tint("b", colours).alias("cb")).mapInArrow(pack, "ca int, cb int, edges binary")
+
 
-    blocks = (oriented.select("a", "b", tint("a").alias("ca"), tint("b").alias("cb")).groupBy("ca", "cb")
-              .applyInArrow(pack, "ca int, cb int, edges binary"))
-    return (blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(colours - 1))).alias("k"))
+def dealt_blocks(edges: DataFrame, colours: int, least: tuple[int, int] | None = None) -> DataFrame:
+    """(cell, ca, cb, edges): packed blocks of edges (edges (a, b) are packed first), a row for each cell a block goes to.
+
+    With ``least`` = (lo, hi) only of the cells whose least colour c is lo <= c < hi.
+    """
+    blocks = edges if "edges" in edges.columns else packed_blocks(edges, colours)
+    lo, hi = least or (0, colours)
+    smallest = lambda k: F.least("ca", "cb", k)
+    third = F.filter(F.sequence(F.lit(0), F.lit(colours - 1)), lambda k: (smallest(k) >= lo) & (smallest(k) < hi))
+    return (blocks.select("*", F.explode(third).alias("k"))
             .select(F.array_sort(F.array("ca", "cb", "k")).alias("cell"), "ca", "cb", "edges"))
 
 
-def triangle_counts(oriented: DataFrame, n_edges: int, cell_edges: int = CELL_EDGES) -> DataFrame:
-    """(node, triangles) of the nodes in any triangle, of edges (a, b) from the lower to the higher rank, each once.
+def packed_nodes(deg: DataFrame, colours: int) -> DataFrame:
+    """(colour, part, nodes): each colour's nodes and degrees in the order of the nodes, packed in parts. A node's number is its place among its colour's."""
+    packed, size = _packer(), PART_NODES
+
+    def pack(rows: pa.Table) -> pa.Table:
+        colour, rows = rows["colour"][0].as_py(), rows.select(["node", "degree"]).sort_by("node")
+        data = [packed(rows.slice(at, size)) for at in range(0, len(rows), size)]
+        return pa.table({"colour": pa.array([colour] * len(data), pa.int32()), "part": pa.array(range(len(data)), pa.int32()), "nodes": pa.array(data, pa.binary())})
+
+    return (deg.filter("node IS NOT NULL").select("node", "degree", _tint("node", colours).alias("colour"))
+            .groupBy("colour").applyInArrow(pack, "colour int, part int, nodes binary"))
+
+
+def oriented_blocks(edges: DataFrame, nodes: DataFrame, colours: int) -> DataFrame:
+    """(ca, cb, edges): packed blocks of the edges (a, b), nodes as their numbers, from the lower to the higher (degree, colour, number).
+
+    Edges are packed where they are read and sent to their pair of colours once, with the two packed node lists, so no edge
+    is joined with a degree row by row.
+    """
+    packed, block = _packer(), BLOCK_EDGES
+    swapped = _tint("src", colours) > _tint("dst", colours)
+    pairs = edges.filter("src IS NOT NULL AND dst IS NOT NULL").select(
+        F.when(swapped, F.col("dst")).otherwise(F.col("src")).alias("a"), F.when(swapped, F.col("src")).otherwise(F.col("dst")).alias("b"))
+    other = F.explode(F.sequence(F.lit(0), F.lit(colours - 1)))
+    lists = (nodes.select("*", other.alias("k"))
+             .select(F.least("colour", "k").alias("ca"), F.greatest("colour", "k").alias("cb"), "colour", "part", F.col("nodes").alias("rows")))
+    none = F.lit(None).cast("int")
+    both = packed_blocks(pairs, colours).select("ca", "cb", none.alias("colour"), none.alias("part"), F.col("edges").alias("rows")).unionAll(lists)
+
+    def orient(rows: pa.Table) -> pa.Table:
+        ca, cb = rows["ca"][0].as_py(), rows["cb"][0].as_py()
+        found = list(zip(rows["colour"].to_pylist(), rows["part"].to_pylist(), [r.as_buffer() for r in rows["rows"]]))
+        edges = [pq.read_table(pa.BufferReader(r)) for c, _, r in found if c is None]
+        out = {"ca": [], "cb": [], "edges": []}
+        if edges:
+            edges, number, degree = pa.concat_tables(edges), {}, {}
+            for end, colour in (("a", ca), ("b", cb)):
+                known = pa.concat_tables([pq.read_table(pa.BufferReader(r)) for c, _, r in sorted((f for f in found if f[0] == colour), key=lambda f: f[1])])
+                at = pc.index_in(edges[end], value_set=known["node"].combine_chunks())
+                number[end] = at.combine_chunks().to_numpy().astype(np.int64)
+                degree[end] = known["degree"].to_numpy()[number[end]]
+            a, b = number["a"], number["b"]
+            up = (degree["a"] < degree["b"]) | ((degree["a"] == degree["b"]) & ((a <= b) | (ca < cb)))
+            if ca == cb:
+                found = [(ca, cb, np.where(up, a, b) << 32 | np.where(up, b, a))]
+            else:
+                found = [(ca, cb, a[up] << 32 | b[up]), (cb, ca, b[~up] << 32 | a[~up])]
+            for x, y, key in found:
+                key = np.sort(key)
+                for at in range(0, len(key), block):
+                    part = key[at:at + block]
+                    out["ca"].append(x), out["cb"].append(y)
+                    out["edges"].append(packed(pa.table({"a": (part >> 32).astype(np.int32), "b": (part & 0xFFFFFFFF).astype(np.int32)})))
+        return pa.table({"ca": pa.array(out["ca"], pa.int32()), "cb": pa.array(out["cb"], pa.int32()), "edges": pa.array(out["edges"], pa.binary())})
+
+    return both.groupBy("ca", "cb").applyInArrow(orient, "ca int, cb int, edges binary")
+
+
+def cell_counts(dealt: DataFrame) -> DataFrame:
+    """(colour, part, counts): packed triangle counts of a colour's nodes, of all cells together, from blocks dealt to cells.
+
+    A cell counts the triangles whose three colours are its own, for each order (x, y, z) of them: of every edge from x to y the shorter
+    of its ends' lists of neighbours in z, and the other end's edges to them are looked up, in bounded steps.
+    """
+    packed, size, most = _packer(), PART_NODES, STEP_PAIRS
+
+    def count(rows: pa.Table) -> pa.Table:
+        cell = sorted(rows["cell"][0].as_py())
+        parts = {}
+        for ca, cb, data in zip(rows["ca"].to_pylist(), rows["cb"].to_pylist(), rows["edges"]):
+            part = pq.read_table(pa.BufferReader(data.as_buffer()))
+            a = part["a"].to_numpy().astype(np.int64)
+            parts.setdefault((ca, cb), []).append(a << 32 | part["b"].to_numpy())
+        blocks, n = {}, dict.fromkeys(cell, 0)
+        for pair in list(parts):
+            key = np.concatenate(sorted(parts.pop(pair), key=lambda k: k[0]))
+            a, b = (key >> 32).astype(np.int32), (key & 0xFFFFFFFF).astype(np.int32)
+            blocks[pair] = [key, a, b]
+            for c, ends in zip(pair, (a, b)):
+                n[c] = max(n[c], int(ends.max()) + 1)
+        for pair, block in blocks.items():
+            out = np.bincount(block[1], minlength=n[pair[0]])
+            block += [out, np.cumsum(out) - out]
+        triangles = {c: np.zeros(n[c], np.int64) for c in n}
+
+        def close(order, pick, lists, rest, ends, others):
+            """The triangles of those edges whose third node is looked for in the lists of their ``ends``, and then at ``others``."""
+            _, a, b, _, _ = blocks[order[:2]]
+            _, _, near, out, first = lists
+            sizes = out[ends]
+            past = np.concatenate([[0], np.cumsum(sizes)])
+            lo = 0
+            while lo < len(pick):
+                hi = max(lo + 1, int(np.searchsorted(past, past[lo] + most, side="right")) - 1)
+                edge = np.repeat(np.arange(lo, hi), sizes[lo:hi])
+                c = near[np.arange(past[lo], past[hi]) + (first[ends] - past[:-1])[edge]]
+                wanted = others[edge].astype(np.int64) << 32 | c
+                at = np.minimum(np.searchsorted(rest[0], wanted), len(rest[0]) - 1)
+                hit = rest[0][at] == wanted
+                edge = pick[edge[hit]]
+                for colour, nodes in zip(order, (a[edge], b[edge], c[hit])):
+                    triangles[colour] += np.bincount(nodes, minlength=n[colour])
+                lo = hi
+
+        for order in sorted(set(itertools.permutations(cell))):
+            x, y, z = order
+            if {(x, y), (x, z), (y, z)} <= set(blocks):
+                _, a, b, _, _ = blocks[x, y]
+                xz, yz = blocks[x, z], blocks[y, z]
+                ours, theirs = xz[3][a], yz[3][b]
+                pick = np.flatnonzero((ours > 0) & (ours <= theirs))
+                close(order, pick, xz, yz, a[pick], b[pick])
+                pick = np.flatnonzero((theirs > 0) & (ours > theirs))
+                close(order, pick, yz, xz, b[pick], a[pick])
+        out = [(c, at // size, packed(pa.table({"n": t[at:at + size]}))) for c, t in triangles.items() for at in range(0, len(t), size) if t[at:at + size].any()]
+        colour, part, data = zip(*out) if out else ((), (), ())
+        return pa.table({"colour": pa.array(colour, pa.int32()), "part": pa.array(part, pa.int32()), "counts": pa.array(data, pa.binary())})
+
+    def add(rows: pa.Table) -> pa.Table:
+        total = np.zeros(size, np.int64)
+        for data in rows["counts"]:
+            counts = pq.read_table(pa.BufferReader(data.as_buffer()))["n"].to_numpy()
+            total[:len(counts)] += counts
+        return pa.table({"colour": rows["colour"][:1], "part": rows["part"][:1], "counts": pa.array([packed(pa.table({"n": total}))], pa.binary())})
+
+    kind = "colour int, part int, counts binary"
+    return dealt.groupBy("cell").applyInArrow(count, kind).groupBy("colour", "part").applyInArrow(add, kind)
+
+
+def rounds(n_edges: int, colours: int, round_edges: int) -> list[tuple[int, int]]:
+    """Ranges of the least colour of a cell, so that a round sends about ``round_edges`` copies of edges, or one least colour's: 3 ``n_edges`` at most."""
+    out, held = [], 0
+    for c in range(colours):
+        left = colours - c
+        sent = n_edges * (3 * left * left - 3 * left + 1) / colours ** 2  # pairs of colours in cells whose least colour is c
+        if not out or held + sent > round_edges:
+            out.append((c, c + 1))
+            held = sent
+        else:
+            out[-1] = (out[-1][0], c + 1)
+            held += sent
+    return out
+
+
+def triangle_counts(edges: DataFrame, deg: DataFrame, n_edges: int, cell_edges: int = CELL_EDGES) -> DataFrame:
+    """(node, triangles) of the nodes in any triangle, as a written table, of edges (src, dst), each once, and their degrees.
 
     Nodes get one of C colours by hash, and an edge goes to the C cells {its two colours, any colour}. A triangle's three edges meet in
     the cell of its three colours and are counted there alone. So no wedge leaves a task, and a cell
-    holds about 6 m / C^2 edges; C follows from that and ``cell_edges``. Edges are gathered by their two colours once and packed;
-    the packed blocks are what is shuffled C times. In a cell, each edge takes the smaller of its ends' sorted lists of
-    higher neighbours and looks the other end's edges to them up, in bounded steps.
+    holds about 6 m / C^2 edges; C follows from that and ``cell_edges``. Edges are gathered by their two colours once, packed and written;
+    the packed blocks are what is sent to C cells each, in rounds over the cells' least colours. A round's shuffle is deleted when
+    its counts are written, so the disk holds at most about 3 copies of the packed edges at a time, whatever C is.
     """
+    spark, kind = edges.sparkSession, deg.schema["node"].dataType
     colours = max(1, math.ceil(math.sqrt(6 * max(n_edges, 1) / max(1, cell_edges))))
-
-    def count(blocks: pa.Table) -> pa.Table:
-        cell = sorted(blocks["cell"][0].as_py())
-        parts = [pq.read_table(pa.BufferReader(b.as_buffer())) for b in blocks["edges"]]
-        sizes = [len(p) for p in parts]
-        edges = pa.concat_tables(parts)
-        both = pa.chunked_array([*edges["a"].chunks, *edges["b"].chunks]).combine_chunks().dictionary_encode()
-        code, names = both.indices.to_numpy().astype(np.int64), both.dictionary
-        m, n = len(edges), len(names)
-        del parts, edges, both
-        a, b = code[:m], code[m:]
-        colour = np.zeros(n, np.int64)
-        colour[a], colour[b] = np.repeat(blocks["ca"].to_numpy(), sizes), np.repeat(blocks["cb"].to_numpy(), sizes)
-        order = np.lexsort((b, a))
-        a, b = a[order], b[order]
-        key, first = a * n + b, np.searchsorted(a, np.arange(n + 1))
-        out = np.diff(first)
-        scan, other = np.where(out[b] <= out[a], b, a), np.where(out[b] <= out[a], a, b)
-        ends = np.concatenate([[0], np.cumsum(out[scan])])
-        triangles = np.zeros(n, np.int64)
-        lo = 0
-        while lo < m:
-            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + STEP_PAIRS, side="right")) - 1)
-            edge = np.repeat(np.arange(lo, hi), out[scan[lo:hi]])
-            c = b[np.arange(ends[lo], ends[hi]) - ends[edge] + first[scan[edge]]]
-            wanted = other[edge] * n + c
-            at = np.minimum(np.searchsorted(key, wanted), m - 1)
-            edge, c = edge[key[at] == wanted], c[key[at] == wanted]
-            corners = np.stack([a[edge], b[edge], c])
-            corners = corners[:, (np.sort(colour[corners], 0) == np.array(cell)[:, None]).all(0)]
-            triangles += np.bincount(corners.ravel(), minlength=n)
-            lo = hi
-        hit = np.flatnonzero(triangles)
-        return pa.table({"node": names.take(pa.array(hit)), "triangles": pa.array(triangles[hit])})
-
-    node = oriented.schema["a"].dataType
-    kind = T.StructType([T.StructField("node", node), T.StructField("triangles", T.LongType())])
-    return dealt_blocks(oriented, colours).groupBy("cell").applyInArrow(count, kind).groupBy("node").agg(F.sum("triangles").alias("triangles"))
+    nodes, nodes_path = written(packed_nodes(deg, colours), "nodes", free=True)
+    ends = edges.select(F.col("src").cast(kind).alias("src"), F.col("dst").cast(kind).alias("dst"))
+    blocks, blocks_path = written(oriented_blocks(ends, nodes, colours), "oriented", free=True)
+    counted = [written(cell_counts(dealt_blocks(blocks, colours, least)), "counts", free=True)
+               for least in rounds(n_edges, colours, ROUND_EDGES)]
+    discard(spark, blocks_path)
+
+    def named(rows: pa.Table) -> pa.Table:
+        total, names = 0, None
+        for nodes, counts in zip(rows["nodes"], rows["counts"]):
+            if nodes.is_valid:
+                names = pq.read_table(pa.BufferReader(nodes.as_buffer()))["node"].combine_chunks()
+            else:
+                total = total + pq.read_table(pa.BufferReader(counts.as_buffer()))["n"].to_numpy()
+        hit = np.flatnonzero(total)
+        return pa.table({"node": names.take(pa.array(hit)), "triangles": pa.array(np.atleast_1d(total)[hit].astype(np.int64))})
+
+    none = F.lit(None).cast("binary")
+    rows = nodes.withColumn("counts", none)
+    for counts, _ in counted:
+        rows = rows.unionAll(counts.select("colour", "part", none.alias("nodes"), "counts"))
+    per, _ = written(rows.groupBy("colour", "part").applyInArrow(named, T.StructType([T.StructField("node", kind), T.StructField("triangles", T.LongType())])),
+                     "triangles", free=True)
+    for path in (nodes_path, *(p for _, p in counted)):
+        discard(spark, path)
+    return per
 
 
 def local_clustering(edges: DataFrame, cell_edges: int = CELL_EDGES) -> DataFrame:
-    """Per node: triangles T and clustering 2T / (d (d - 1)); 0 when d < 2. The degrees and the oriented edges are written once."""
-    deg, _ = written(degrees(edges), "degrees")
-    oriented, path = written(_oriented(edges, deg).select("a", "b"), "oriented")
-    per, _ = written(triangle_counts(oriented, oriented.count(), cell_edges), "triangles")
-    discard(edges.sparkSession, path)
+    """Per node: triangles T and clustering 2T / (d (d - 1)); 0 when d < 2. The degrees are written once."""
+    deg, _ = written(degrees(edges), "degrees", free=True)
+    per = triangle_counts(edges, deg, edges.count(), cell_edges)
     d = F.col("degree")
     return deg.join(per, "node", "left").select(
         "node", "degree", F.coalesce("triangles", F.lit(0)).alias("triangles"),
@@ -244,7 +421,7 @@ def average_clustering(edges: DataFrame) -> DataFrame:
     it is written once (to the shared folder) instead of
     being recomputed from its sources by each branch.
     """
-    edges, path = written(edges.select("src", "dst"), "edges")
+    edges, path = written(edges.select("src", "dst"), "edges", free=True)
     lc = local_clustering(edges)
     discard(edges.sparkSession, path)
     return lc.agg(F.avg("clustering").alias("average_clustering"),
