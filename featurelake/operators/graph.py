@@ -151,9 +151,9 @@ CELL_EDGES = 4_000_000
 BLOCK_EDGES = 1 << 17
 #: Edges that a task gathers before it packs them.
 SPLIT_EDGES = 1 << 21
-#: Edges, each counted as often as it is copied, that one round of cells is sent at least.
-ROUND_EDGES = 1 << 26
-#: Nodes in one packed part of a colour's node list.
+#: Edges or nodes, each counted as often as it is copied, that one round may send.
+ROUND_ROWS = 1 << 26
+#: Nodes in one packed part of a colour's node list, about.
 PART_NODES = 1 << 16
 #: Pairs of an edge and a third node that are looked at in one step.
 STEP_PAIRS = 1 << 22
@@ -176,6 +176,20 @@ def _packer():
     return packed
 
 
+def _summer():
+    """The function that tasks add packed counts with."""
+    def summed(packs) -> np.ndarray:
+        total = np.zeros(0, np.int64)
+        for pack in packs:
+            counts = pq.read_table(pa.BufferReader(pack.as_buffer()))["n"].to_numpy()
+            longer, shorter = (counts.copy(), total) if len(counts) > len(total) else (total, counts)
+            longer[:len(shorter)] += shorter
+            total = longer
+        return total
+
+    return summed
+
+
 def packed_blocks(edges: DataFrame, colours: int) -> DataFrame:
     """(ca, cb, edges): the edges (a, b) of each task, packed by their ends' colours into blocks of a few bytes an edge; no shuffle."""
     packed, block, split = _packer(), BLOCK_EDGES, SPLIT_EDGES
@@ -221,30 +235,32 @@ def dealt_blocks(edges: DataFrame, colours: int, least: tuple[int, int] | None =
             .select(F.array_sort(F.array("ca", "cb", "k")).alias("cell"), "ca", "cb", "edges"))
 
 
-def packed_nodes(deg: DataFrame, colours: int) -> DataFrame:
-    """(colour, part, nodes): each colour's nodes and degrees in the order of the nodes, packed in parts. A node's number is its place among its colour's."""
-    packed, size = _packer(), PART_NODES
+def packed_nodes(deg: DataFrame, colours: int, parts: int) -> DataFrame:
+    """(colour, part, nodes): each colour's nodes and degrees, packed in parts by hash. A node's number among its colour's is place * ``parts`` + part."""
+    packed = _packer()
 
     def pack(rows: pa.Table) -> pa.Table:
-        colour, rows = rows["colour"][0].as_py(), rows.select(["node", "degree"]).sort_by("node")
-        data = [packed(rows.slice(at, size)) for at in range(0, len(rows), size)]
-        return pa.table({"colour": pa.array([colour] * len(data), pa.int32()), "part": pa.array(range(len(data)), pa.int32()), "nodes": pa.array(data, pa.binary())})
+        data = packed(rows.select(["node", "degree"]).sort_by("node"))
+        return pa.table({"colour": rows["colour"][:1], "part": rows["part"][:1], "nodes": pa.array([data], pa.binary())})
 
-    return (deg.filter("node IS NOT NULL").select("node", "degree", _tint("node", colours).alias("colour"))
-            .groupBy("colour").applyInArrow(pack, "colour int, part int, nodes binary"))
+    return (deg.filter("node IS NOT NULL")
+            .select("node", "degree", _tint("node", colours).alias("colour"), F.pmod(F.xxhash64("node", F.lit(1)), F.lit(parts)).cast("int").alias("part"))
+            .groupBy("colour", "part").applyInArrow(pack, "colour int, part int, nodes binary"))
 
 
-def oriented_blocks(edges: DataFrame, nodes: DataFrame, colours: int) -> DataFrame:
+def oriented_blocks(edges: DataFrame, nodes: DataFrame, colours: int, parts: int, least: tuple[int, int]) -> DataFrame:
     """(ca, cb, edges): packed blocks of the edges (a, b), nodes as their numbers, from the lower to the higher (degree, colour, number).
 
     Edges are packed where they are read and sent to their pair of colours once, with the two packed node lists, so no edge
-    is joined with a degree row by row.
+    is joined with a degree row by row. Only pairs whose lesser colour c is lo <= c < hi, of ``least`` = (lo, hi).
     """
-    packed, block = _packer(), BLOCK_EDGES
-    swapped = _tint("src", colours) > _tint("dst", colours)
-    pairs = edges.filter("src IS NOT NULL AND dst IS NOT NULL").select(
-        F.when(swapped, F.col("dst")).otherwise(F.col("src")).alias("a"), F.when(swapped, F.col("src")).otherwise(F.col("dst")).alias("b"))
-    other = F.explode(F.sequence(F.lit(0), F.lit(colours - 1)))
+    packed, block, at_once = _packer(), BLOCK_EDGES, 16 * PART_NODES
+    lo, hi = least
+    wanted = lambda x, y: (F.least(x, y) >= lo) & (F.least(x, y) < hi)
+    cs, cd = _tint("src", colours), _tint("dst", colours)
+    pairs = edges.filter(F.col("src").isNotNull() & F.col("dst").isNotNull() & wanted(cs, cd)).select(
+        F.when(cs > cd, F.col("dst")).otherwise(F.col("src")).alias("a"), F.when(cs > cd, F.col("src")).otherwise(F.col("dst")).alias("b"))
+    other = F.explode(F.filter(F.sequence(F.lit(0), F.lit(colours - 1)), lambda k: wanted(F.col("colour"), k)))
     lists = (nodes.select("*", other.alias("k"))
              .select(F.least("colour", "k").alias("ca"), F.greatest("colour", "k").alias("cb"), "colour", "part", F.col("nodes").alias("rows")))
     none = F.lit(None).cast("int")
@@ -252,23 +268,39 @@ def oriented_blocks(edges: DataFrame, nodes: DataFrame, colours: int) -> DataFra
 
     def orient(rows: pa.Table) -> pa.Table:
         ca, cb = rows["ca"][0].as_py(), rows["cb"][0].as_py()
-        found = list(zip(rows["colour"].to_pylist(), rows["part"].to_pylist(), [r.as_buffer() for r in rows["rows"]]))
+        found = list(zip(rows["colour"].to_pylist(), rows["part"].to_pylist(), (r.as_buffer() for r in rows["rows"])))
         edges = [pq.read_table(pa.BufferReader(r)) for c, _, r in found if c is None]
+
+        def looked_up(ids: pa.ChunkedArray, colour: int) -> tuple[np.ndarray, np.ndarray]:
+            """Numbers and degrees of the nodes, of one colour; its list is looked at a piece at a time."""
+            coded = ids.combine_chunks().dictionary_encode()
+            number, degree = (np.full(len(coded.dictionary), -1, np.int64) for _ in range(2))
+            held, numbers = [], []
+            of = [(p, r) for c, p, r in found if c == colour]
+            for i, (part, r) in enumerate(of):
+                held.append(pq.read_table(pa.BufferReader(r)))
+                numbers.append(np.arange(len(held[-1])) * parts + part)
+                if sum(map(len, numbers)) >= at_once or i == len(of) - 1:
+                    known, code = pa.concat_tables(held), np.concatenate(numbers)
+                    at = pc.index_in(coded.dictionary, value_set=known["node"].combine_chunks())
+                    there, at = at.is_valid().to_numpy(zero_copy_only=False), at.drop_null().to_numpy()
+                    number[there], degree[there] = code[at], known["degree"].to_numpy()[at]
+                    held, numbers = [], []
+            if (number < 0).any():
+                raise ValueError("an edge's end has no degree")
+            code = coded.indices.to_numpy()
+            return number[code], degree[code]
+
         out = {"ca": [], "cb": [], "edges": []}
         if edges:
-            edges, number, degree = pa.concat_tables(edges), {}, {}
-            for end, colour in (("a", ca), ("b", cb)):
-                known = pa.concat_tables([pq.read_table(pa.BufferReader(r)) for c, _, r in sorted((f for f in found if f[0] == colour), key=lambda f: f[1])])
-                at = pc.index_in(edges[end], value_set=known["node"].combine_chunks())
-                number[end] = at.combine_chunks().to_numpy().astype(np.int64)
-                degree[end] = known["degree"].to_numpy()[number[end]]
-            a, b = number["a"], number["b"]
-            up = (degree["a"] < degree["b"]) | ((degree["a"] == degree["b"]) & ((a <= b) | (ca < cb)))
+            edges = pa.concat_tables(edges)
+            (a, da), (b, db) = looked_up(edges["a"], ca), looked_up(edges["b"], cb)
+            up = (da < db) | ((da == db) & ((a <= b) | (ca < cb)))
             if ca == cb:
-                found = [(ca, cb, np.where(up, a, b) << 32 | np.where(up, b, a))]
+                sides = [(ca, cb, np.where(up, a, b) << 32 | np.where(up, b, a))]
             else:
-                found = [(ca, cb, a[up] << 32 | b[up]), (cb, ca, b[~up] << 32 | a[~up])]
-            for x, y, key in found:
+                sides = [(ca, cb, a[up] << 32 | b[up]), (cb, ca, b[~up] << 32 | a[~up])]
+            for x, y, key in sides:
                 key = np.sort(key)
                 for at in range(0, len(key), block):
                     part = key[at:at + block]
@@ -279,29 +311,38 @@ def oriented_blocks(edges: DataFrame, nodes: DataFrame, colours: int) -> DataFra
     return both.groupBy("ca", "cb").applyInArrow(orient, "ca int, cb int, edges binary")
 
 
-def cell_counts(dealt: DataFrame) -> DataFrame:
+def cell_counts(dealt: DataFrame, parts: int) -> DataFrame:
     """(colour, part, counts): packed triangle counts of a colour's nodes, of all cells together, from blocks dealt to cells.
 
     A cell counts the triangles whose three colours are its own, for each order (x, y, z) of them: of every edge from x to y the shorter
     of its ends' lists of neighbours in z, and the other end's edges to them are looked up, in bounded steps.
     """
-    packed, size, most = _packer(), PART_NODES, STEP_PAIRS
+    packed, most = _packer(), STEP_PAIRS
 
     def count(rows: pa.Table) -> pa.Table:
         cell = sorted(rows["cell"][0].as_py())
-        parts = {}
+        parted = {}
         for ca, cb, data in zip(rows["ca"].to_pylist(), rows["cb"].to_pylist(), rows["edges"]):
             part = pq.read_table(pa.BufferReader(data.as_buffer()))
             a = part["a"].to_numpy().astype(np.int64)
-            parts.setdefault((ca, cb), []).append(a << 32 | part["b"].to_numpy())
-        blocks, n = {}, dict.fromkeys(cell, 0)
-        for pair in list(parts):
-            key = np.concatenate(sorted(parts.pop(pair), key=lambda k: k[0]))
-            a, b = (key >> 32).astype(np.int32), (key & 0xFFFFFFFF).astype(np.int32)
-            blocks[pair] = [key, a, b]
-            for c, ends in zip(pair, (a, b)):
-                n[c] = max(n[c], int(ends.max()) + 1)
+            parted.setdefault((ca, cb), []).append(a << 32 | part["b"].to_numpy())
+        blocks, ends = {}, {c: [] for c in cell}
+        for pair in list(parted):
+            key = np.concatenate(sorted(parted.pop(pair), key=lambda k: k[0]))
+            blocks[pair] = [key, (key >> 32).astype(np.int32), (key & 0xFFFFFFFF).astype(np.int32)]
+            ends[pair[0]].append(blocks[pair][1]), ends[pair[1]].append(blocks[pair][2])
+        n, present = {}, {}
+        for c, seen in ends.items():
+            n[c] = max((int(s.max()) + 1 for s in seen), default=0)
+            if n[c] > 4 * sum(map(len, seen)):  # of a sparse graph's nodes only those in the cell are numbered
+                present[c] = np.unique(np.concatenate(seen))
+                n[c] = len(present[c])
         for pair, block in blocks.items():
+            for at, c in enumerate(pair, 1):
+                if c in present:
+                    block[at] = np.searchsorted(present[c], block[at]).astype(np.int32)
+            if set(pair) & set(present):
+                block[0] = block[1].astype(np.int64) << 32 | block[2]
             out = np.bincount(block[1], minlength=n[pair[0]])
             block += [out, np.cumsum(out) - out]
         triangles = {c: np.zeros(n[c], np.int64) for c in n}
@@ -335,33 +376,38 @@ def cell_counts(dealt: DataFrame) -> DataFrame:
                 close(order, pick, xz, yz, a[pick], b[pick])
                 pick = np.flatnonzero((theirs > 0) & (ours > theirs))
                 close(order, pick, yz, xz, b[pick], a[pick])
-        out = [(c, at // size, packed(pa.table({"n": t[at:at + size]}))) for c, t in triangles.items() for at in range(0, len(t), size) if t[at:at + size].any()]
+        out = []
+        for c, counts in triangles.items():
+            hit = np.flatnonzero(counts)
+            place, part = np.divmod(present[c][hit] if c in present else hit, parts)
+            order = np.argsort(part, kind="stable")
+            of, first = np.unique(part[order], return_index=True)
+            for p, picked in zip(of.tolist(), np.split(order, first[1:])):
+                dense = np.zeros(place[picked].max() + 1, np.int64)
+                dense[place[picked]] = counts[hit[picked]]
+                out.append((c, p, packed(pa.table({"n": dense}))))
         colour, part, data = zip(*out) if out else ((), (), ())
         return pa.table({"colour": pa.array(colour, pa.int32()), "part": pa.array(part, pa.int32()), "counts": pa.array(data, pa.binary())})
 
+    summed = _summer()
+
     def add(rows: pa.Table) -> pa.Table:
-        total = np.zeros(size, np.int64)
-        for data in rows["counts"]:
-            counts = pq.read_table(pa.BufferReader(data.as_buffer()))["n"].to_numpy()
-            total[:len(counts)] += counts
-        return pa.table({"colour": rows["colour"][:1], "part": rows["part"][:1], "counts": pa.array([packed(pa.table({"n": total}))], pa.binary())})
+        return pa.table({"colour": rows["colour"][:1], "part": rows["part"][:1], "counts": pa.array([packed(pa.table({"n": summed(rows["counts"])}))], pa.binary())})
 
     kind = "colour int, part int, counts binary"
     return dealt.groupBy("cell").applyInArrow(count, kind).groupBy("colour", "part").applyInArrow(add, kind)
 
 
-def rounds(n_edges: int, colours: int, round_edges: int) -> list[tuple[int, int]]:
-    """Ranges of the least colour of a cell, so that a round sends about ``round_edges`` copies of edges, or one least colour's: 3 ``n_edges`` at most."""
+def rounds(sent: list[float], most: float) -> list[tuple[int, int]]:
+    """Ranges (lo, hi) of 0..len(sent) - 1, in each of which ``sent`` sums up to at most ``most``, or that hold one number."""
     out, held = [], 0
-    for c in range(colours):
-        left = colours - c
-        sent = n_edges * (3 * left * left - 3 * left + 1) / colours ** 2  # pairs of colours in cells whose least colour is c
-        if not out or held + sent > round_edges:
+    for c, more in enumerate(sent):
+        if not out or held + more > most:
             out.append((c, c + 1))
-            held = sent
+            held = more
         else:
             out[-1] = (out[-1][0], c + 1)
-            held += sent
+            held += more
     return out
 
 
@@ -372,34 +418,36 @@ def triangle_counts(edges: DataFrame, deg: DataFrame, n_edges: int, cell_edges:
     the cell of its three colours and are counted there alone. So no wedge leaves a task, and a cell
     holds about 6 m / C^2 edges; C follows from that and ``cell_edges``. Edges are gathered by their two colours once, packed and written;
     the packed blocks are what is sent to C cells each, in rounds over the cells' least colours. A round's shuffle is deleted when
-    its counts are written, so the disk holds at most about 3 copies of the packed edges at a time, whatever C is.
+    its counts are written, so the disk holds at most about 3 copies of the packed edges at a time, whatever C is. The node lists are sent
+    to the pairs of colours in such rounds too; in all but sparse graphs that is one.
     """
     spark, kind = edges.sparkSession, deg.schema["node"].dataType
     colours = max(1, math.ceil(math.sqrt(6 * max(n_edges, 1) / max(1, cell_edges))))
-    nodes, nodes_path = written(packed_nodes(deg, colours), "nodes", free=True)
-    ends = edges.select(F.col("src").cast(kind).alias("src"), F.col("dst").cast(kind).alias("dst"))
-    blocks, blocks_path = written(oriented_blocks(ends, nodes, colours), "oriented", free=True)
-    counted = [written(cell_counts(dealt_blocks(blocks, colours, least)), "counts", free=True)
-               for least in rounds(n_edges, colours, ROUND_EDGES)]
-    discard(spark, blocks_path)
+    n = deg.count()
+    parts = max(1, math.ceil(n / colours / PART_NODES))
+    nodes, nodes_path = written(packed_nodes(deg, colours, parts), "nodes", free=True)
+    real = isinstance(kind, (T.DoubleType, T.FloatType))
+    ends = edges.select(*[(F.col(c).cast(kind) + F.lit(0.0).cast(kind) if real else F.col(c).cast(kind)).alias(c) for c in ("src", "dst")])  # -0.0 is 0.0
+    left = [(colours - c) / colours for c in range(colours)]
+    oriented = [written(oriented_blocks(ends, nodes, colours, parts, least), "oriented", free=True)
+                for least in rounds([2 * n * x for x in left], max(ROUND_ROWS, 3 * n_edges))]
+    blocks = spark.read.schema("ca int, cb int, edges binary").parquet(*(path for _, path in oriented))
+    counted = [written(cell_counts(dealt_blocks(blocks, colours, least), parts), "counts", free=True)
+               for least in rounds([3 * n_edges * x * x for x in left], max(ROUND_ROWS, n_edges))]
+    summed = _summer()
 
     def named(rows: pa.Table) -> pa.Table:
-        total, names = 0, None
-        for nodes, counts in zip(rows["nodes"], rows["counts"]):
-            if nodes.is_valid:
-                names = pq.read_table(pa.BufferReader(nodes.as_buffer()))["node"].combine_chunks()
-            else:
-                total = total + pq.read_table(pa.BufferReader(counts.as_buffer()))["n"].to_numpy()
+        total = summed(c for c in rows["counts"] if c.is_valid)
+        names = pq.read_table(pa.BufferReader(next(r for r in rows["nodes"] if r.is_valid).as_buffer()))["node"].combine_chunks()
         hit = np.flatnonzero(total)
-        return pa.table({"node": names.take(pa.array(hit)), "triangles": pa.array(np.atleast_1d(total)[hit].astype(np.int64))})
+        return pa.table({"node": names.take(pa.array(hit)), "triangles": pa.array(total[hit])})
 
     none = F.lit(None).cast("binary")
-    rows = nodes.withColumn("counts", none)
-    for counts, _ in counted:
-        rows = rows.unionAll(counts.select("colour", "part", none.alias("nodes"), "counts"))
+    counts = spark.read.schema("colour int, part int, counts binary").parquet(*(path for _, path in counted))
+    rows = nodes.withColumn("counts", none).unionAll(counts.select("colour", "part", none.alias("nodes"), "counts"))
     per, _ = written(rows.groupBy("colour", "part").applyInArrow(named, T.StructType([T.StructField("node", kind), T.StructField("triangles", T.LongType())])),
                      "triangles", free=True)
-    for path in (nodes_path, *(p for _, p in counted)):
+    for path in (nodes_path, *(path for _, path in oriented + counted)):
         discard(spark, path)
     return per
 

@@ -3,6 +3,8 @@
 import math
 import os
 import random
+import time
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -15,7 +17,7 @@ from featurelake.operators import store as st
 from featurelake.operators import transform as tr
 from featurelake.operators import trips as tp
 from featurelake.operators import views as vw
-from featurelake.session import scratch_dir
+from featurelake.session import scratch_dir, written
 from featurelake.streaming import envelopes as env
 from featurelake.streaming.store_sink import FeatureStoreSink, read_committed, run_available_now
 
@@ -115,6 +117,60 @@ def test_triangles_in_cells_equal_all_triples(spark, monkeypatch, cell_edges):
     assert gr.local_clustering(edges.limit(0)).count() == 0
 
 
+def test_triangles_in_rounds_with_loops_and_missing_ends(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    links = {tuple(sorted(p)) for p in rng.integers(0, 60, (500, 2)).tolist()} | {(900 + i, 1900 + i) for i in range(300)} | {(3, 3), (70, 70)}  # some are loops
+    after = {}
+    for a, b in links:
+        after.setdefault(a, set()).add(b)
+    degree, want = Counter(), Counter()
+    for a, b in [*links, (None, 5), (None, None)]:
+        degree.update([a, b])
+    for a, b in links:
+        want.update(v for c in after[a] & after.get(b, set()) for v in (a, b, c))  # as the SQL counts: a <= b <= c
+    monkeypatch.setattr(gr, "ROUND_ROWS", 1)
+    monkeypatch.setattr(gr, "PART_NODES", 2)
+    monkeypatch.setattr(gr, "SPLIT_EDGES", 50)
+    monkeypatch.setattr(gr, "BLOCK_EDGES", 7)
+    for cast in ("long", "double", "string"):
+        edges = spark.createDataFrame([*links, (None, 5), (None, None)], "src long, dst long").selectExpr(f"cast(src as {cast}) src", f"cast(dst as {cast}) dst")
+        got = {None if r["node"] is None else int(float(r["node"])): (r["degree"], r["triangles"]) for r in gr.local_clustering(edges, 100).collect()}
+        assert got == {v: (d, want[v]) for v, d in degree.items()}
+
+
+def test_rounds_deal_each_cell_once_and_few_copies(spark):
+    edges = spark.range(200_000).select((F.xxhash64("id") % 30_000).alias("a"), (F.xxhash64("id", F.lit(1)) % 30_000).alias("b")).distinct()
+    blocks = gr.packed_blocks(edges, 12).localCheckpoint()
+    whole = blocks.agg(F.sum(F.length("edges"))).first()[0]
+    cells, copies = [], []
+    left = [(12 - c) / 12 for c in range(12)]
+    spans = gr.rounds([3 * x * x for x in left], 1)
+    for least in spans:
+        seen = gr.dealt_blocks(blocks, 12, least).groupBy("cell").agg(F.sum(F.length("edges")).alias("n")).collect()
+        cells += [tuple(r["cell"]) for r in seen]
+        copies.append(sum(r["n"] for r in seen) / whole)
+    assert [c for lo, hi in spans for c in range(lo, hi)] == list(range(12))
+    assert len(cells) == len(set(cells)) == 12 * 13 * 14 // 6
+    assert max(copies) < 3.2 and sum(copies) == pytest.approx(12)
+
+
+def test_clustering_leaves_no_shuffle_files_behind(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f.getName(): f.length() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle_") and f.getName().endswith(".data")}
+
+    edges = spark.range(60_000).select((F.xxhash64("id") % 3000).alias("a"), (F.xxhash64("id", F.lit(1)) % 3000).alias("b"))
+    edges, _ = written(gr.canonical_edges(edges, "a", "b"), "links", free=True)
+    old = set(shuffled())
+    gr.local_clustering(edges, 3000)
+    for _ in range(40):
+        left = sum(n for name, n in shuffled().items() if name not in old)
+        if left < 1000:
+            break
+        time.sleep(0.25)
+    assert left < 1000
+
+
 def test_quantiles_resolve_every_rank(spark):
     rng = np.random.default_rng(1)
     x = np.concatenate([rng.normal(size=3000), np.full(4000, 7.0), [math.inf, -math.inf, 1e-300, -1e300]])
